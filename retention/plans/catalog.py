@@ -212,4 +212,91 @@ def q_churn_rate(spark, sf):
     return tidy(lab.churn_rate(labels_df(spark, sf)))
 
 
+# ---------------------------------------------------------------- many snapshots (D4 x n, L2)
+
+# The four weekly snapshots of the training range.
+WEEKLY = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22"]
+
+
+def multi_features_df(spark, sf, dates=WEEKLY) -> DataFrame:
+    from retention.operators.multisnap import multi_snapshot_features
+    t = cleaned(spark, sf)
+    return multi_snapshot_features(spark, t.customers, t.transactions, t.interactions, dates)
+
+
+def multi_labels_df(spark, sf, dates=WEEKLY) -> DataFrame:
+    from retention.operators.multisnap import labels_for_dates
+    t = cleaned(spark, sf)
+    return labels_for_dates(spark, t.customers, t.transactions, t.interactions, dates)
+
+
+def _union_all(parts: list[str]) -> str:
+    return " UNION ALL ".join(f"SELECT * FROM ({q})" for q in parts)
+
+
+@query("multi_snapshot_features", tidy_sql(O.with_views(_union_all([O.snapshot(s) for s in WEEKLY])),
+                                           money=MONEY, dbl=FEATURE_DBLS, ints=FEATURE_INTS, dates=DATES))
+def q_multi_snapshot_features(spark, sf):
+    return tidy(multi_features_df(spark, sf))
+
+
+def _matured(dates, as_of, p=DEFAULT):
+    from retention.functions.timewin import to_day
+    return [s for s in dates if (to_day(as_of) - to_day(s)).days >= p.churn_horizon_days]
+
+
+@query("backfill_labels", tidy_sql(O.with_views(_union_all([O.churn_labels(s) for s in _matured(WEEKLY, AS_OF)])),
+                                   ints=["churn_label"], dates=["churned_date", "snapshot_date"]))
+def q_backfill_labels(spark, sf):
+    from retention.operators.multisnap import backfill_labels
+    t = cleaned(spark, sf)
+    hist = multi_features_df(spark, sf)
+    return tidy(backfill_labels(hist, t.customers, t.transactions, t.interactions, AS_OF))
+
+
+# ---------------------------------------------------------------- sources and store
+
+@query("ingest_dated", tidy_sql(O.with_views("SELECT * FROM transactions"), money=["amount"], dates=["timestamp"]))
+def q_ingest_dated(spark, sf):
+    from retention.session import scratch_path
+    from retention.sources.raw import ingest, write_dated
+    root = scratch_path(spark, "raw")
+    write_dated(raw(spark, sf).as_dict(), root, SNAPSHOT)
+    return tidy(ingest(spark, root, SNAPSHOT)["transactions"], money=["amount"])
+
+
+def _store(spark):
+    from retention.session import scratch_path
+    from retention.sources.store import FeatureStore
+    return FeatureStore(spark, scratch_path(spark, "store"))
+
+
+@query("store_roundtrip_features", tidy_sql(
+    O.with_views(_union_all([O.snapshot(s) for s in ("2024-01-08", "2024-01-15")])),
+    money=MONEY, dbl=FEATURE_DBLS, ints=FEATURE_INTS, dates=DATES))
+def q_store_roundtrip_features(spark, sf):
+    st = _store(spark)
+    st.store_features(multi_features_df(spark, sf))
+    return tidy(st.load_features_range("2024-01-08", "2024-01-15"), money=MONEY)
+
+
+@query("store_range_labels", tidy_sql(
+    O.with_views(_union_all([O.churn_labels(s) for s in ("2024-01-01", "2024-01-08", "2024-01-15")])),
+    ints=["churn_label"], dates=["churned_date", "snapshot_date"]))
+def q_store_range_labels(spark, sf):
+    st = _store(spark)
+    st.store_labels(multi_labels_df(spark, sf))
+    return tidy(st.load_labels_range("2024-01-01", "2024-01-15"))
+
+
+@query("csv_scan", tidy_sql("SELECT * FROM part", dbl=["p_retailprice"], ints=["p_partkey", "p_size"]))
+def q_csv_scan(spark, sf):
+    from retention.session import scratch_path
+    from retention.sources.raw import read_csv, write_csv_gz
+    part = fx.read_table(spark, sf, "part")
+    path = scratch_path(spark, "csv")
+    write_csv_gz(part, path)
+    return tidy(read_csv(spark, path, part.schema))
+
+
 _ = DEFAULT, F

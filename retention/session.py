@@ -54,6 +54,7 @@ def local_session(app: str = "retention", cores: int = 8, shuffle_partitions: in
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in SESSION_CONF.items():
         builder = builder.config(k, v)
