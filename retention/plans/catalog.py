@@ -299,4 +299,292 @@ def q_csv_scan(spark, sf):
     return tidy(read_csv(spark, path, part.schema))
 
 
+# ---------------------------------------------------------------- training set and split
+
+SPLIT_DATE = "2024-01-08"
+SPLIT_SQL = "substring(md5(customer_id), 1, 2) < 'b3'"
+
+
+def training_df(spark, sf) -> DataFrame:
+    from retention.operators.split import training_set
+    return training_set(multi_features_df(spark, sf), multi_labels_df(spark, sf))
+
+
+def _base_views() -> dict[str, str]:
+    from retention.operators.scoring import LINEAR_INTERCEPT, LINEAR_WEIGHTS
+    z = f"CAST({LINEAR_INTERCEPT} AS DOUBLE)" + "".join(
+        f" + CAST({w} AS DOUBLE) * CAST({n} AS DOUBLE)" for n, w in LINEAR_WEIGHTS)
+    prob = f"(0.5 + 0.5 * ({z}) / (1.0 + abs({z})))"
+    return {
+        "features4": _union_all([O.snapshot(s) for s in WEEKLY]),
+        "labels4": _union_all([O.churn_labels(s) for s in WEEKLY]),
+        "training": "SELECT f.*, l.churn_label, l.churned_date FROM features4 f "
+                    "JOIN labels4 l USING (customer_id, snapshot_date)",
+        "scored": f"SELECT customer_id, snapshot_date, churn_label, {prob} AS churn_probability, "
+                  f"CAST({prob} > 0.5 AS INTEGER) AS churn_prediction, DATE '{AS_OF}' AS prediction_date "
+                  "FROM training",
+        "scored1": f"SELECT customer_id, snapshot_date, {prob} AS churn_probability, "
+                   f"CAST({prob} > 0.5 AS INTEGER) AS churn_prediction, DATE '{AS_OF}' AS prediction_date "
+                   f"FROM ({O.snapshot(SNAPSHOT)})",
+        "curve0": "SELECT churn_probability AS score, CAST(sum(churn_label) AS BIGINT) AS pos, "
+                  "CAST(sum(1 - churn_label) AS BIGINT) AS neg FROM scored GROUP BY 1",
+        "curve": "SELECT score, pos, neg, "
+                 "CAST(coalesce(sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos_above, "
+                 "CAST(coalesce(sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS neg_above, "
+                 "CAST(sum(pos) OVER () AS BIGINT) AS P, CAST(sum(neg) OVER () AS BIGINT) AS N FROM curve0",
+    }
+
+
+def V(body: str) -> str:
+    return O.with_views(body, _base_views())
+
+
+LABEL_INTS = FEATURE_INTS + ["churn_label"]
+LABEL_DATES = DATES + ["churned_date"]
+
+
+@query("training_set", tidy_sql(V("SELECT * FROM training"), money=MONEY, dbl=FEATURE_DBLS,
+                                ints=LABEL_INTS, dates=LABEL_DATES))
+def q_training_set(spark, sf):
+    return tidy(training_df(spark, sf), money=MONEY)
+
+
+@query("split_train", tidy_sql(V(f"SELECT * FROM training WHERE {SPLIT_SQL} AND snapshot_date <= DATE '{SPLIT_DATE}'"),
+                               money=MONEY, dbl=FEATURE_DBLS, ints=LABEL_INTS, dates=LABEL_DATES))
+def q_split_train(spark, sf):
+    from retention.operators.split import split
+    return tidy(split(training_df(spark, sf), SPLIT_DATE)[0], money=MONEY)
+
+
+@query("split_val", tidy_sql(V(f"SELECT * FROM training WHERE NOT ({SPLIT_SQL}) AND snapshot_date > DATE '{SPLIT_DATE}'"),
+                             money=MONEY, dbl=FEATURE_DBLS, ints=LABEL_INTS, dates=LABEL_DATES))
+def q_split_val(spark, sf):
+    from retention.operators.split import split
+    return tidy(split(training_df(spark, sf), SPLIT_DATE)[1], money=MONEY)
+
+
+_LEAK_SQL = f"""SELECT *, CASE WHEN overlap_customers > 0 OR max_train_date > min_val_date THEN 'error' ELSE 'ok' END AS status
+FROM (SELECT
+  count(DISTINCT customer_id) FILTER (WHERE {SPLIT_SQL}) AS train_customers,
+  count(DISTINCT customer_id) FILTER (WHERE NOT ({SPLIT_SQL})) AS val_customers,
+  0 AS overlap_customers,
+  count(*) FILTER (WHERE {SPLIT_SQL} AND snapshot_date <= DATE '{SPLIT_DATE}') AS train_samples,
+  count(*) FILTER (WHERE NOT ({SPLIT_SQL}) AND snapshot_date > DATE '{SPLIT_DATE}') AS val_samples,
+  max(snapshot_date) FILTER (WHERE {SPLIT_SQL} AND snapshot_date <= DATE '{SPLIT_DATE}') AS max_train_date,
+  min(snapshot_date) FILTER (WHERE NOT ({SPLIT_SQL}) AND snapshot_date > DATE '{SPLIT_DATE}') AS min_val_date
+FROM training)"""
+
+
+@query("split_leak_check", tidy_sql(V(_LEAK_SQL), ints=["train_customers", "val_customers", "overlap_customers",
+                                                       "train_samples", "val_samples"],
+                                    dates=["max_train_date", "min_val_date"]))
+def q_split_leak_check(spark, sf):
+    from retention.operators.split import split_report
+    return tidy(split_report(training_df(spark, sf), SPLIT_DATE))
+
+
+SAMPLE_N = DEFAULT.shap_sample_size
+_SAMPLE_SQL = ("SELECT f.* FROM features4 f, (SELECT count(*) AS cnt FROM features4) c WHERE c.cnt <= "
+               f"{SAMPLE_N} OR ('0x' || substring(md5(customer_id || '|' || CAST(snapshot_date AS VARCHAR)), 1, 4))"
+               f"::INTEGER < (CAST({SAMPLE_N} AS DOUBLE) / CAST(c.cnt AS DOUBLE)) * 65536")
+
+
+def sample_df(spark, sf) -> DataFrame:
+    from retention.operators.split import sample_for_explanation
+    return sample_for_explanation(multi_features_df(spark, sf), SAMPLE_N)
+
+
+@query("shap_sample", tidy_sql(V(_SAMPLE_SQL), money=MONEY, dbl=FEATURE_DBLS, ints=FEATURE_INTS, dates=DATES))
+def q_shap_sample(spark, sf):
+    return tidy(sample_df(spark, sf), money=MONEY)
+
+
+# ---------------------------------------------------------------- scoring and metrics
+
+def scored_df(spark, sf) -> DataFrame:
+    from retention.operators.scoring import linear_score
+    return linear_score(training_df(spark, sf), AS_OF, keep=("churn_label",))
+
+
+def curve_df(spark, sf) -> DataFrame:
+    from retention.operators.ranking import score_curve
+    return score_curve(scored_df(spark, sf))
+
+
+@query("score_linear", tidy_sql(V("SELECT * FROM scored"), dbl=["churn_probability"],
+                                ints=["churn_label", "churn_prediction"], dates=["snapshot_date", "prediction_date"]))
+def q_score_linear(spark, sf):
+    return tidy(scored_df(spark, sf))
+
+
+@query("top_risk", tidy_sql(V("SELECT *, row_number() OVER (ORDER BY churn_probability DESC, customer_id, snapshot_date) "
+                              "AS churn_rank FROM scored1 ORDER BY churn_rank LIMIT 1000"),
+                            dbl=["churn_probability"], ints=["churn_prediction", "churn_rank"],
+                            dates=["snapshot_date", "prediction_date"]))
+def q_top_risk(spark, sf):
+    from retention.operators.scoring import linear_score, top_risk
+    return tidy(top_risk(linear_score(snapshot_df(spark, sf), AS_OF), 1000))
+
+
+_AUC_SQL = ("SELECT CASE WHEN max(P) * max(N) > 0 THEN sum(CAST(pos AS DOUBLE) * (CAST(N - neg_above - neg AS DOUBLE) "
+            "+ CAST(neg AS DOUBLE) * 0.5)) / (CAST(max(P) AS DOUBLE) * CAST(max(N) AS DOUBLE)) END AS auc FROM curve")
+
+
+@query("eval_auc", tidy_sql(V(_AUC_SQL), dbl=["auc"]))
+def q_eval_auc(spark, sf):
+    from retention.operators.ranking import auc
+    return tidy(auc(curve_df(spark, sf)))
+
+
+_PRF_SQL = """SELECT n_rows, tp, fp, fn,
+  CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS precision,
+  CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS recall,
+  CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END AS f1
+FROM (SELECT count(*) FILTER (WHERE churn_label = 1 AND churn_prediction = 1) AS tp,
+  count(*) FILTER (WHERE churn_label <> 1 AND churn_prediction = 1) AS fp,
+  count(*) FILTER (WHERE churn_label = 1 AND churn_prediction <> 1) AS fn, count(*) AS n_rows FROM scored)"""
+
+
+@query("eval_prf", tidy_sql(V(_PRF_SQL), dbl=["precision", "recall", "f1"], ints=["n_rows", "tp", "fp", "fn"]))
+def q_eval_prf(spark, sf):
+    from retention.operators.ranking import prf
+    return tidy(prf(scored_df(spark, sf)))
+
+
+_PAR_SQL = f"""SELECT precision AS precision_at_target_recall, recall AS recall_at_pick, threshold FROM (
+  SELECT 0 AS _end, score AS threshold,
+    CASE WHEN P > 0 THEN (pos_above + pos) / P ELSE 1.0 END AS recall,
+    CASE WHEN pos_above + pos + neg_above + neg > 0 THEN (pos_above + pos) / (pos_above + pos + neg_above + neg)
+         ELSE 0 END AS precision FROM curve
+  UNION ALL SELECT 1, NULL, 0.0, 1.0)
+ORDER BY abs(recall - CAST({DEFAULT.target_recall} AS DOUBLE)), _end, threshold LIMIT 1"""
+
+
+@query("eval_precision_at_recall", tidy_sql(V(_PAR_SQL), dbl=["precision_at_target_recall", "recall_at_pick",
+                                                              "threshold"]))
+def q_eval_precision_at_recall(spark, sf):
+    from retention.operators.ranking import precision_at_recall
+    return tidy(precision_at_recall(curve_df(spark, sf), DEFAULT.target_recall))
+
+
+_METRICS_SQL = (f"SELECT p.n_rows, a.auc, p.precision, p.recall, p.f1, r.precision_at_target_recall "
+                f"FROM ({_PRF_SQL}) p, ({_AUC_SQL}) a, ({_PAR_SQL}) r")
+
+
+@query("eval_metrics", tidy_sql(V(_METRICS_SQL), dbl=["auc", "precision", "recall", "f1",
+                                                      "precision_at_target_recall"], ints=["n_rows"]))
+def q_eval_metrics(spark, sf):
+    return tidy(metrics_df(spark, sf))
+
+
+def metrics_df(spark, sf) -> DataFrame:
+    from retention.operators.ranking import metrics
+    return metrics(scored_df(spark, sf), DEFAULT.target_recall)
+
+
+_GATE_SQL = (f"SELECT metric, value, minimum, CASE WHEN value < minimum THEN 'warn' ELSE 'ok' END AS status FROM ("
+             f"SELECT 'auc' AS metric, auc AS value, CAST({DEFAULT.min_auc_threshold} AS DOUBLE) AS minimum FROM ({_METRICS_SQL}) "
+             f"UNION ALL SELECT 'precision_at_target_recall', precision_at_target_recall, "
+             f"CAST({DEFAULT.min_precision_threshold} AS DOUBLE) FROM ({_METRICS_SQL}))")
+
+
+@query("threshold_gate", tidy_sql(V(_GATE_SQL), dbl=["value", "minimum"]))
+def q_threshold_gate(spark, sf):
+    from retention.operators.ranking import threshold_gate
+    return tidy(threshold_gate(metrics_df(spark, sf), DEFAULT.min_auc_threshold, DEFAULT.min_precision_threshold))
+
+
+_ROC_SQL = """SELECT score AS threshold, pos_above + pos AS tps, neg_above + neg AS fps,
+  CASE WHEN P > 0 THEN (pos_above + pos) / P ELSE 0 END AS tpr,
+  CASE WHEN N > 0 THEN (neg_above + neg) / N ELSE 0 END AS fpr,
+  CASE WHEN pos_above + pos + neg_above + neg > 0 THEN (pos_above + pos) / (pos_above + pos + neg_above + neg) ELSE 0 END
+    AS precision FROM curve"""
+
+
+@query("roc_curve", tidy_sql(V(_ROC_SQL), dbl=["threshold", "tpr", "fpr", "precision"], ints=["tps", "fps"]))
+def q_roc_curve(spark, sf):
+    from retention.operators.ranking import roc_curve
+    return tidy(roc_curve(curve_df(spark, sf)))
+
+
+_LIFT_SQL = """SELECT decile, customers, churners, churners / customers AS churn_rate,
+  CASE WHEN P > 0 THEN (churners / customers) / (P / (P + N)) ELSE 0 END AS lift
+FROM (SELECT CAST(floor(10 * (pos_above + neg_above) / (P + N)) AS INTEGER) + 1 AS decile,
+  sum(pos + neg) AS customers, sum(pos) AS churners, max(P) AS P, max(N) AS N
+  FROM curve WHERE P + N > 0 GROUP BY 1)"""
+
+
+@query("lift_deciles", tidy_sql(V(_LIFT_SQL), dbl=["churn_rate", "lift"], ints=["decile", "customers", "churners"]))
+def q_lift_deciles(spark, sf):
+    from retention.operators.ranking import lift_deciles
+    return tidy(lift_deciles(curve_df(spark, sf)))
+
+
+# ---------------------------------------------------------------- drift and attributions
+
+DRIFT_REFERENCE = "2024-01-01"
+
+
+def _stats_sql(src: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature_name, avg(CAST({c} AS DOUBLE)) AS mean, stddev_samp(CAST({c} AS DOUBLE)) AS std "
+        f"FROM {src}" for c in cols)
+
+
+def _drift_sql() -> str:
+    cols = feat.MODEL_FEATURES
+    extra = {"cur": O.snapshot(SNAPSHOT), "ref": O.snapshot(DRIFT_REFERENCE)}
+    body = (f"SELECT c.feature_name, c.mean AS current_mean, c.std AS current_std, r.mean AS reference_mean, "
+            f"r.std AS reference_std, CASE WHEN r.std > 0 THEN abs(c.mean - r.mean) / r.std ELSE 0 END AS drift_score "
+            f"FROM ({_stats_sql('cur', cols)}) c JOIN ({_stats_sql('ref', cols)}) r USING (feature_name)")
+    return O.with_views(body, extra)
+
+
+@query("drift", tidy_sql(_drift_sql(), dbl=["current_mean", "current_std", "reference_mean", "reference_std",
+                                           "drift_score"]))
+def q_drift(spark, sf):
+    from retention.operators.drift import drift
+    return tidy(drift(snapshot_df(spark, sf, SNAPSHOT), snapshot_df(spark, sf, DRIFT_REFERENCE), feat.MODEL_FEATURES))
+
+
+def _shap_sql() -> str:
+    from retention.operators.scoring import LINEAR_INTERCEPT, LINEAR_WEIGHTS
+    means = ", ".join(f"avg(CAST({n} AS DOUBLE)) AS m_{n}" for n, _ in LINEAR_WEIGHTS)
+    ev = f"CAST({LINEAR_INTERCEPT} AS DOUBLE)" + "".join(
+        f" + CAST({w} AS DOUBLE) * m_{n}" for n, w in LINEAR_WEIGHTS)
+    cols = ", ".join(f"CAST({w} AS DOUBLE) * (CAST({n} AS DOUBLE) - m_{n}) AS shap_{n}" for n, w in LINEAR_WEIGHTS)
+    return (f"SELECT customer_id, snapshot_date, {ev} AS expected_value, {cols} "
+            f"FROM ({_SAMPLE_SQL}) s, (SELECT {means} FROM features4) m")
+
+
+def shap_df(spark, sf) -> DataFrame:
+    from retention.operators.explain import linear_explanations
+    from retention.operators.scoring import LINEAR_INTERCEPT, LINEAR_WEIGHTS
+    return linear_explanations(sample_df(spark, sf), multi_features_df(spark, sf), LINEAR_WEIGHTS, LINEAR_INTERCEPT)
+
+
+def _shap_cols():
+    from retention.operators.scoring import LINEAR_WEIGHTS
+    return ["expected_value"] + [f"shap_{n}" for n, _ in LINEAR_WEIGHTS]
+
+
+@query("shap_linear", tidy_sql(V(_shap_sql()), dbl=_shap_cols(), dates=["snapshot_date"]))
+def q_shap_linear(spark, sf):
+    return tidy(shap_df(spark, sf))
+
+
+def _importance_sql() -> str:
+    from retention.operators.scoring import LINEAR_WEIGHTS
+    parts = " UNION ALL ".join(f"SELECT '{n}' AS feature_name, avg(abs(shap_{n})) AS importance FROM e"
+                               for n, _ in LINEAR_WEIGHTS)
+    return (f"WITH e AS ({_shap_sql()}) SELECT *, row_number() OVER (ORDER BY importance DESC, feature_name) AS rank "
+            f"FROM ({parts})")
+
+
+@query("global_importance", tidy_sql(V(f"SELECT * FROM ({_importance_sql()})"), dbl=["importance"], ints=["rank"]))
+def q_global_importance(spark, sf):
+    from retention.operators.explain import global_importance
+    return tidy(global_importance(shap_df(spark, sf)))
+
+
 _ = DEFAULT, F
