@@ -587,4 +587,245 @@ def q_global_importance(spark, sf):
     return tidy(global_importance(shap_df(spark, sf)))
 
 
+# ---------------------------------------------------------------- profile
+
+# The profile's end date and trend year.
+PROFILE_END = "2024-01-31"
+TREND_YEAR = 2023
+ACT_SQL = ("SELECT customer_id, max(timestamp) AS last_activity FROM (SELECT customer_id, timestamp FROM transactions "
+           "UNION ALL SELECT customer_id, timestamp FROM interactions) GROUP BY customer_id")
+
+
+def _t(day_offset: int) -> str:
+    from retention.functions.timewin import shift
+    return f"TIMESTAMP '{shift(PROFILE_END, day_offset)} 00:00:00'"
+
+
+@query("value_share", tidy_sql(O.with_views(
+    "SELECT 'transactions' AS table_name, product AS value, count(*) AS rows, count(*) / sum(count(*)) OVER () AS share "
+    "FROM transactions GROUP BY product UNION ALL SELECT 'interactions', interaction_type, count(*), "
+    "count(*) / sum(count(*)) OVER () FROM interactions GROUP BY interaction_type"), dbl=["share"], ints=["rows"]))
+def q_value_share(spark, sf):
+    from retention.operators.profile import value_share
+    t = raw(spark, sf)
+    return tidy(value_share(t.transactions, "product", "transactions")
+                .unionByName(value_share(t.interactions, "interaction_type", "interactions")))
+
+
+@query("monthly_volume", tidy_sql(O.with_views(
+    "SELECT 'transactions' AS table_name, count(*) AS months, avg(rows) AS monthly_mean, stddev_samp(rows) AS monthly_std "
+    "FROM (SELECT date_trunc('month', timestamp) AS m, count(*) AS rows FROM transactions GROUP BY 1)"),
+    dbl=["monthly_mean", "monthly_std"], ints=["months"]))
+def q_monthly_volume(spark, sf):
+    from retention.operators.profile import monthly_volume
+    return tidy(monthly_volume(raw(spark, sf).transactions, "transactions"))
+
+
+def _inactive_sql() -> str:
+    from retention.operators.profile import INACTIVITY_CUTOFFS
+    parts = " UNION ALL ".join(
+        f"SELECT {c} AS cutoff_days, count(*) FILTER (WHERE last_activity > {_t(-c)}) AS active_ids FROM act"
+        for c in INACTIVITY_CUTOFFS)
+    return O.with_views(
+        "SELECT cutoff_days, active_ids, n AS customers, n - active_ids AS inactive_customers, "
+        "CASE WHEN n > 0 THEN (n - active_ids) / n * 100 ELSE 0 END AS inactive_pct "
+        f"FROM ({parts}) a, (SELECT count(*) AS n FROM customers) c", {"act": ACT_SQL})
+
+
+@query("inactive_by_cutoff", tidy_sql(_inactive_sql(), dbl=["inactive_pct"],
+                                      ints=["cutoff_days", "active_ids", "customers", "inactive_customers"]))
+def q_inactive_by_cutoff(spark, sf):
+    from retention.operators.profile import inactive_by_cutoff
+    t = raw(spark, sf)
+    return tidy(inactive_by_cutoff(t.customers, t.transactions, t.interactions, PROFILE_END))
+
+
+@query("activity_trend", tidy_sql(O.with_views(
+    f"SELECT {TREND_YEAR} AS year, sum(rows) AS activity_rows, regr_slope(CAST(rows AS DOUBLE), CAST(month AS DOUBLE)) AS trend "
+    "FROM (SELECT m.month, coalesce(p.rows, 0) AS rows FROM (SELECT range AS month FROM range(1, 13)) m LEFT JOIN "
+    "(SELECT month(timestamp) AS month, count(*) AS rows FROM (SELECT timestamp FROM transactions UNION ALL "
+    f"SELECT timestamp FROM interactions) WHERE timestamp >= TIMESTAMP '{TREND_YEAR}-01-01 00:00:00' AND "
+    f"timestamp < TIMESTAMP '{TREND_YEAR + 1}-01-01 00:00:00' GROUP BY 1) p USING (month))"),
+    dbl=["trend"], ints=["year", "activity_rows"]))
+def q_activity_trend(spark, sf):
+    from retention.operators.profile import activity_trend
+    t = raw(spark, sf)
+    return tidy(activity_trend(t.transactions, t.interactions, TREND_YEAR))
+
+
+@query("lifecycle_distribution", tidy_sql(O.with_views(
+    "SELECT state, customers, CASE WHEN n > 0 THEN customers / n * 100 ELSE 0 END AS pct FROM ("
+    "SELECT state, count(*) AS customers FROM (SELECT CASE WHEN a.last_activity > " + _t(-30) + " THEN 'stable' "
+    "WHEN a.last_activity > " + _t(-60) + " THEN 'at_risk' WHEN c.customer_id IS NOT NULL THEN 'churned' END AS state "
+    "FROM act a FULL JOIN (SELECT DISTINCT customer_id FROM customers) c ON a.customer_id = c.customer_id) "
+    "WHERE state IS NOT NULL GROUP BY state) g, (SELECT count(DISTINCT customer_id) AS n FROM customers) n",
+    {"act": ACT_SQL}), dbl=["pct"], ints=["customers"]))
+def q_lifecycle_distribution(spark, sf):
+    from retention.operators.profile import lifecycle_distribution
+    t = raw(spark, sf)
+    return tidy(lifecycle_distribution(t.customers, t.transactions, t.interactions, PROFILE_END))
+
+
+TXN_STATS_SQL = ("SELECT customer_id, count(amount) AS txn_count, sum(amount) AS txn_sum, avg(amount) AS txn_mean, "
+                 "stddev_samp(amount) AS txn_std, min(timestamp) AS first_txn, max(timestamp) AS last_txn "
+                 "FROM transactions GROUP BY customer_id")
+
+
+@query("txn_stats", tidy_sql(O.with_views(TXN_STATS_SQL), dbl=["txn_sum", "txn_mean", "txn_std"], ints=["txn_count"],
+                             dates=["first_txn", "last_txn"]))
+def q_txn_stats(spark, sf):
+    from retention.operators.profile import txn_stats
+    return tidy(txn_stats(raw(spark, sf).transactions))
+
+
+@query("interaction_stats", tidy_sql(O.with_views(
+    "SELECT customer_id, count(interaction_type) AS interaction_count, min(timestamp) AS first_interaction, "
+    "max(timestamp) AS last_interaction FROM interactions GROUP BY customer_id"),
+    ints=["interaction_count"], dates=["first_interaction", "last_interaction"]))
+def q_interaction_stats(spark, sf):
+    from retention.operators.profile import interaction_stats
+    return tidy(interaction_stats(raw(spark, sf).interactions))
+
+
+@query("age_summary", tidy_sql(O.with_views(
+    "SELECT count(age) AS age_count, avg(age) AS age_mean, stddev_samp(age) AS age_std, min(age) AS age_min, "
+    "max(age) AS age_max FROM customers"), dbl=["age_mean", "age_std"], ints=["age_count", "age_min", "age_max"]))
+def q_age_summary(spark, sf):
+    from retention.operators.profile import age_summary
+    return tidy(age_summary(raw(spark, sf).customers))
+
+
+@query("penetration", tidy_sql(O.with_views(
+    "SELECT avg(CAST(has_checking AS INTEGER)) AS checking, avg(CAST(has_savings AS INTEGER)) AS savings, "
+    "avg(CAST(has_credit_card AS INTEGER)) AS credit_card, avg(CAST(has_loan AS INTEGER)) AS loan FROM customers"),
+    dbl=["checking", "savings", "credit_card", "loan"]))
+def q_penetration(spark, sf):
+    from retention.operators.profile import penetration
+    return tidy(penetration(raw(spark, sf).customers))
+
+
+LAST_SQL = ("SELECT c.customer_id, t.last_txn, i.last_interaction, greatest(t.last_txn, i.last_interaction) AS last_activity "
+            "FROM (SELECT customer_id FROM customers) c "
+            "LEFT JOIN (SELECT customer_id, max(timestamp) AS last_txn FROM transactions GROUP BY 1) t USING (customer_id) "
+            "LEFT JOIN (SELECT customer_id, max(timestamp) AS last_interaction FROM interactions GROUP BY 1) i USING (customer_id)")
+
+
+def last_df(spark, sf) -> DataFrame:
+    from retention.operators.profile import last_activity
+    t = raw(spark, sf)
+    return last_activity(t.customers, t.transactions, t.interactions)
+
+
+@query("last_activity", tidy_sql(O.with_views(LAST_SQL), dates=["last_txn", "last_interaction", "last_activity"]))
+def q_last_activity(spark, sf):
+    return tidy(last_df(spark, sf))
+
+
+def _recency_sql() -> str:
+    from retention.operators.profile import RECENCY_THRESHOLDS as R
+    days = (f"(date_diff('day', CAST(last_activity AS DATE), DATE '{PROFILE_END}') - CASE WHEN "
+            "CAST(CAST(last_activity AS DATE) AS TIMESTAMP) < last_activity THEN 1 ELSE 0 END)")
+    cnt = ", ".join(f"count(*) FILTER (WHERE days >= {t}) AS inactive_{t}d" for t in R)
+    pct = ", ".join(f"CASE WHEN active_customers > 0 THEN inactive_{t}d / active_customers * 100 ELSE 0 END "
+                    f"AS inactive_{t}d_pct" for t in R)
+    return O.with_views(f"SELECT *, {pct} FROM (SELECT count(*) AS active_customers, avg(days) AS mean_days, {cnt} "
+                        f"FROM (SELECT {days} AS days FROM ({LAST_SQL}) WHERE last_activity IS NOT NULL))")
+
+
+@query("recency_distribution", tidy_sql(_recency_sql(), dbl=["mean_days", "inactive_30d_pct", "inactive_60d_pct",
+                                                             "inactive_90d_pct"],
+                                        ints=["active_customers", "inactive_30d", "inactive_60d", "inactive_90d"]))
+def q_recency_distribution(spark, sf):
+    from retention.operators.profile import recency_distribution
+    return tidy(recency_distribution(last_df(spark, sf), PROFILE_END))
+
+
+@query("profile_counts", tidy_sql(O.with_views(
+    "SELECT *, CASE WHEN customers > 0 THEN transactions / customers ELSE 0 END AS txn_per_customer, "
+    "CASE WHEN customers > 0 THEN interactions / customers ELSE 0 END AS interactions_per_customer FROM (SELECT "
+    "(SELECT count(*) FROM customers) AS customers, (SELECT count(*) FROM transactions) AS transactions, "
+    "(SELECT count(*) FROM interactions) AS interactions, (SELECT min(timestamp) FROM transactions) AS txn_first, "
+    "(SELECT max(timestamp) FROM transactions) AS txn_last, (SELECT min(timestamp) FROM interactions) AS interaction_first, "
+    "(SELECT max(timestamp) FROM interactions) AS interaction_last)"),
+    dbl=["txn_per_customer", "interactions_per_customer"], ints=["customers", "transactions", "interactions"],
+    dates=["txn_first", "txn_last", "interaction_first", "interaction_last"]))
+def q_profile_counts(spark, sf):
+    from retention.operators.profile import profile_counts
+    t = raw(spark, sf)
+    return tidy(profile_counts(t.customers, t.transactions, t.interactions))
+
+
+# ---------------------------------------------------------------- customer 360
+
+def _pivot_sql() -> str:
+    from retention.operators.customer360 import EVENT_TYPES
+    cols = ", ".join(f"count(*) FILTER (WHERE event_type = '{e}') AS {e}" for e in EVENT_TYPES)
+    return f"SELECT CAST(user_id AS VARCHAR) AS customer_id, {cols} FROM events GROUP BY 1"
+
+
+def pivot_df(spark, sf) -> DataFrame:
+    from retention.operators.customer360 import event_pivot
+    ev = fx.read_table(spark, sf, "events").select(F.col("user_id").cast("string").alias("customer_id"), "event_type")
+    return event_pivot(ev)
+
+
+def _event_ints():
+    from retention.operators.customer360 import EVENT_TYPES
+    return list(EVENT_TYPES)
+
+
+@query("event_pivot", tidy_sql(_pivot_sql(), ints=_event_ints()))
+def q_event_pivot(spark, sf):
+    return tidy(pivot_df(spark, sf))
+
+
+LIFE_SQL = ("SELECT customer_id, CAST(date_diff('day', CAST(last_activity AS DATE), DATE '" + PROFILE_END + "') AS INTEGER) "
+            "AS recency_days, CASE WHEN date_diff('day', CAST(last_activity AS DATE), DATE '" + PROFILE_END + "') < 15 THEN 'active' "
+            "WHEN date_diff('day', CAST(last_activity AS DATE), DATE '" + PROFILE_END + "') < 45 THEN 'dormant' "
+            "WHEN date_diff('day', CAST(last_activity AS DATE), DATE '" + PROFILE_END + "') < 60 THEN 'at-risk' "
+            f"ELSE 'lost' END AS lifecycle_state FROM ({LAST_SQL})")
+
+
+def life_df(spark, sf) -> DataFrame:
+    from retention.operators.customer360 import lifecycle
+    return lifecycle(last_df(spark, sf), PROFILE_END)
+
+
+@query("lifecycle_bucket", tidy_sql(O.with_views(LIFE_SQL), ints=["recency_days"]))
+def q_lifecycle_bucket(spark, sf):
+    return tidy(life_df(spark, sf))
+
+
+@query("basket_join", tidy_sql(
+    "SELECT o_orderkey AS order_id, o_custkey AS customer_key, o_orderdate AS order_date, p_partkey AS product_id, "
+    "p_name AS product_name, p_type AS product_type, l_linenumber AS line_number, l_quantity AS quantity, "
+    "l_extendedprice AS price, CASE l_linestatus WHEN 'F' THEN 'prior' ELSE 'train' END AS eval_set "
+    "FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey "
+    "WHERE l_linestatus IN ('F', 'O')",
+    dbl=["quantity", "price"], ints=["order_id", "customer_key", "product_id", "line_number"], dates=["order_date"]))
+def q_basket_join(spark, sf):
+    from retention.operators.customer360 import basket_join
+    r = lambda n: fx.read_table(spark, sf, n)
+    return tidy(basket_join(r("orders"), r("lineitem"), r("part")))
+
+
+def _c360_sql() -> str:
+    from retention.operators.customer360 import EVENT_TYPES
+    fills = ", ".join(f"coalesce({e}, 0) AS {e}" for e in EVENT_TYPES)
+    return O.with_views(
+        f"SELECT * REPLACE ({fills}) FROM customers LEFT JOIN ({TXN_STATS_SQL}) b USING (customer_id) "
+        f"LEFT JOIN ({_pivot_sql()}) e USING (customer_id) "
+        f"LEFT JOIN (SELECT * EXCLUDE (recency_days) FROM ({LIFE_SQL})) l USING (customer_id)")
+
+
+@query("customer_360", tidy_sql(_c360_sql(), dbl=["txn_sum", "txn_mean", "txn_std"],
+                                ints=["age", "txn_count"] + _event_ints(),
+                                dates=["join_date", "first_txn", "last_txn"]))
+def q_customer_360(spark, sf):
+    from retention.operators.customer360 import customer_360
+    from retention.operators.profile import txn_stats
+    t = raw(spark, sf)
+    return tidy(customer_360(t.customers, txn_stats(t.transactions), pivot_df(spark, sf), life_df(spark, sf)))
+
+
 _ = DEFAULT, F
