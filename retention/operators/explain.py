@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PREFIX = "shap_"
+from retention.explain_names import PREFIX
 
 
 def linear_explanations(sample: DataFrame, background: DataFrame, weights: list[tuple[str, float]],

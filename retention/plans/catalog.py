@@ -828,4 +828,118 @@ def q_customer_360(spark, sf):
     return tidy(customer_360(t.customers, txn_stats(t.transactions), pivot_df(spark, sf), life_df(spark, sf)))
 
 
+# ---------------------------------------------------------------- Spark ML (M1-M5, M11, M13 trees, A18)
+
+_MODELS: dict[tuple[str, str], object] = {}
+
+
+def gbt_model(spark, sf):
+    """Fit once per session and scale factor (both GBT queries use the same model)."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MODELS:
+        from retention.operators.model import GBTParams, train_model
+        _MODELS[key] = train_model(multi_features_df(spark, sf), multi_labels_df(spark, sf), SPLIT_DATE, AS_OF,
+                                   gp=GBTParams())[0]
+    return _MODELS[key]
+
+
+@query("gbt_train_score")
+def q_gbt_train_score(spark, sf):
+    """Train (reference settings), save and reload the pipeline (A18), score the validation split."""
+    from retention.operators.model import predict
+    from retention.operators.split import split
+    st = _store(spark)
+    st.save_model(gbt_model(spark, sf), AS_OF)
+    model = st.load_model(AS_OF)
+    val = split(training_df(spark, sf), SPLIT_DATE)[1]
+    return tidy(predict(model, val, AS_OF, keep=("churn_label",)))
+
+
+@query("gbt_tree_shap")
+def q_gbt_tree_shap(spark, sf):
+    from retention.operators.treeshap import explain
+    from retention.session import scratch_path
+    return tidy(explain(spark, gbt_model(spark, sf), sample_df(spark, sf), scratch_path(spark, "treeshap")))
+
+
+# ---------------------------------------------------------------- second tier
+
+_LAG_SQL = """SELECT customer_id, snapshot_date, txn_count_30d AS value,
+  lag(txn_count_30d) OVER w AS lag_1, txn_count_30d - lag(txn_count_30d) OVER w AS delta_1,
+  avg(txn_count_30d) OVER r AS rolling_mean_4, stddev_samp(txn_count_30d) OVER r AS rolling_std_4
+FROM features4 WINDOW w AS (PARTITION BY customer_id ORDER BY snapshot_date),
+  r AS (PARTITION BY customer_id ORDER BY snapshot_date ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)"""
+
+
+@query("lag_rolling", tidy_sql(V(_LAG_SQL), dbl=["rolling_mean_4", "rolling_std_4"],
+                               ints=["value", "lag_1", "delta_1"], dates=["snapshot_date"]))
+def q_lag_rolling(spark, sf):
+    from retention.operators.segments import lag_rolling
+    return tidy(lag_rolling(multi_features_df(spark, sf)))
+
+
+def _fourier_sql() -> str:
+    import math
+    from retention.operators.segments import FOURIER_HARMONICS, FOURIER_PERIOD
+    t = f"CAST(CAST(date_diff('day', CAST(timestamp AS DATE), DATE '{SNAPSHOT}') AS INTEGER) % {FOURIER_PERIOD} AS DOUBLE)"
+    aggs = ["count(*) AS txn_rows"]
+    for k in FOURIER_HARMONICS:
+        ang = f"CAST('{2.0 * math.pi * k!r}' AS DOUBLE) * {t} / CAST('{float(FOURIER_PERIOD)!r}' AS DOUBLE)"
+        aggs += [f"sum(cos({ang})) AS fourier_cos_{k}", f"sum(sin({ang})) AS fourier_sin_{k}"]
+    return O.with_views(f"SELECT customer_id, {', '.join(aggs)} FROM transactions_clean WHERE "
+                        f"{O.lookback_where(SNAPSHOT)} GROUP BY customer_id")
+
+
+@query("fourier", tidy_sql(_fourier_sql(), dbl=["fourier_cos_1", "fourier_sin_1", "fourier_cos_2", "fourier_sin_2"],
+                           ints=["txn_rows"]))
+def q_fourier(spark, sf):
+    from retention.operators.segments import fourier_features
+    return tidy(fourier_features(cleaned(spark, sf).transactions, SNAPSHOT))
+
+
+@query("churn_trend", tidy_sql(V("SELECT snapshot_date, count(*) AS customers, count(*) FILTER (WHERE churn_label = 1) "
+                                 "AS churned, avg(CAST(churn_label AS DOUBLE)) AS churn_rate FROM labels4 GROUP BY 1"),
+                               dbl=["churn_rate"], ints=["customers", "churned"], dates=["snapshot_date"]))
+def q_churn_trend(spark, sf):
+    from retention.operators.segments import churn_trend
+    return tidy(churn_trend(multi_labels_df(spark, sf)))
+
+
+# The features KMeans segments on.
+SEGMENT_FEATURES = ["tenure_days", "txn_count_30d", "txn_amount_30d", "login_count_30d", "digital_engagement_score",
+                    "days_since_last_txn"]
+
+
+@query("segments")
+def q_segments(spark, sf):
+    from retention.operators.segments import kmeans_segments, segment_profiles
+    seg = kmeans_segments(training_df(spark, sf), SEGMENT_FEATURES)
+    return tidy(segment_profiles(seg, SEGMENT_FEATURES))
+
+
+def _stream_sql() -> str:
+    from retention.operators.scoring import LINEAR_INTERCEPT, LINEAR_WEIGHTS
+    z = f"CAST({LINEAR_INTERCEPT} AS DOUBLE)" + "".join(
+        f" + CAST({w} AS DOUBLE) * CAST({n} AS DOUBLE)" for n, w in LINEAR_WEIGHTS)
+    prob = f"(0.5 + 0.5 * ({z}) / (1.0 + abs({z})))"
+    return V(f"SELECT customer_id, snapshot_date, {prob} AS churn_probability, CAST({prob} > 0.5 AS INTEGER) "
+             f"AS churn_prediction, DATE '{AS_OF}' AS prediction_date FROM features4")
+
+
+@query("stream_score_linear", tidy_sql(_stream_sql(), dbl=["churn_probability"], ints=["churn_prediction"],
+                                       dates=["snapshot_date", "prediction_date"]))
+def q_stream_score_linear(spark, sf):
+    """Feature files arrive in a folder; a stream scores them into an append-only sink."""
+    from retention.operators.scoring import linear_score
+    from retention.session import scratch_path
+    from retention.streaming.scoring import score_stream
+    src, out, ck = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
+    feats = multi_features_df(spark, sf)
+    feats.write.mode("overwrite").partitionBy("snapshot_date").parquet(src)
+    schema = spark.read.parquet(src).schema
+    q = score_stream(spark, src, schema, lambda df: linear_score(df, AS_OF), out, ck)
+    q.awaitTermination()
+    return tidy(spark.read.parquet(out))
+
+
 _ = DEFAULT, F
