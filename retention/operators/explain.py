@@ -16,10 +16,18 @@ from pyspark.sql import functions as F
 from retention.explain_names import PREFIX
 
 
-def linear_explanations(sample: DataFrame, background: DataFrame, weights: list[tuple[str, float]],
-                        intercept: float) -> DataFrame:
-    """M13 + M14 for a linear margin."""
-    means = background.agg(*[F.avg(F.col(n).cast("double")).alias(n) for n, _ in weights]).first()
+def background_stats(background: DataFrame, columns: list[str]) -> tuple[int, dict[str, float]]:
+    """Row count and column means in one aggregate job (one small row to the driver)."""
+    r = background.agg(F.count(F.lit(1)).alias("_n"),
+                       *[F.avg(F.col(c).cast("double")).alias(c) for c in columns]).first()
+    return int(r["_n"]), {c: float(r[c] or 0.0) for c in columns}
+
+
+def linear_explanations(sample: DataFrame, background: DataFrame | None, weights: list[tuple[str, float]],
+                        intercept: float, means: dict[str, float] | None = None) -> DataFrame:
+    """M13 + M14 for a linear margin (``means`` may come from ``background_stats``)."""
+    if means is None:
+        means = background_stats(background, [n for n, _ in weights])[1]
     ev = float(intercept) + sum(float(w) * float(means[n] or 0.0) for n, w in weights)
     cols = [(F.lit(float(w)) * (F.col(n).cast("double") - F.lit(float(means[n] or 0.0)))).alias(PREFIX + n)
             for n, w in weights]

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retention.functions.timewin import is_midnight, to_day
+from retention.functions.timewin import is_midnight, shift, to_day, ts_between_midnights
 from retention.operators import features as feat
 from retention.operators.rangejoin import day_number, range_join
 from retention.params import DEFAULT, Params
@@ -24,19 +24,30 @@ MAX_SNAPSHOT_DATES = 100_000
 
 
 def snapshot_frame(spark: SparkSession, dates: list[str]) -> DataFrame:
+    """The snapshot list as a small frame; its size is checked here, which is what
+    lets the range joins below broadcast it."""
     rows = sorted({to_day(d) for d in dates})
+    if len(rows) > MAX_SNAPSHOT_DATES:
+        raise ValueError(f"{len(rows)} snapshot dates exceed the broadcast bound {MAX_SNAPSHOT_DATES}")
     return spark.createDataFrame([(d,) for d in rows], "snapshot_date date")
 
 
-def _in_window(facts: DataFrame, snaps: DataFrame, start_offset: int, end_offset: int) -> DataFrame:
+def _in_window(facts: DataFrame, dates: list[str], snaps: DataFrame, start_offset: int,
+               end_offset: int) -> DataFrame:
     """Pair each fact with each snapshot S where ``S+start 00:00 <= ts <= S+end 00:00``.
 
-    On the last day only rows at exactly midnight qualify.
+    On the last day only rows at exactly midnight qualify. Facts are first cut to
+    the span of all windows, a plain range test that reaches the parquet scan
+    (below any dedupe), so history outside every window is never read.
     """
+    days = sorted(to_day(d) for d in dates)
+    facts = facts.filter(ts_between_midnights(F.col("timestamp"), shift(days[0], start_offset),
+                                              shift(days[-1], end_offset)))
     s = F.col("snapshot_date")
     ranges = snaps.select(s, (day_number(s) + start_offset).alias("_lo"), (day_number(s) + end_offset).alias("_hi"))
     pts = facts.withColumn("_day", day_number(F.col("timestamp"))).withColumn("_mid", is_midnight(F.col("timestamp")))
-    j = range_join(pts, F.col("_day"), ranges, F.col("_lo"), F.col("_hi"), end_offset - start_offset + 1)
+    j = range_join(pts, F.col("_day"), ranges, F.col("_lo"), F.col("_hi"), end_offset - start_offset + 1,
+                   broadcast_ranges=True)
     return j.filter((F.col("_day") < F.col("_hi")) | F.col("_mid")).drop("_day", "_mid", "_lo", "_hi")
 
 
@@ -58,10 +69,10 @@ def multi_snapshot_features(spark: SparkSession, customers: DataFrame, transacti
     snaps = snapshot_frame(spark, dates)
     s = F.col("snapshot_date")
     keys = ["customer_id", "snapshot_date"]
-    tx = _in_window(transactions, snaps, -p.feature_window_days, 0)
+    tx = _in_window(transactions, dates, snaps, -p.feature_window_days, 0)
     tx_days = F.datediff(s, F.col("timestamp").cast("date"))
     txf = feat.with_txn_trend(tx.groupBy(*keys).agg(*feat.txn_aggregates(tx_days)))
-    it = _in_window(interactions, snaps, -p.feature_window_days, 0)
+    it = _in_window(interactions, dates, snaps, -p.feature_window_days, 0)
     it_days = F.datediff(s, F.col("timestamp").cast("date"))
     itf = feat.with_interaction_trends(it.groupBy(*keys).agg(*feat.interaction_aggregates(it_days)))
     base = feat.demographic_features(eligible_by_snapshot(customers, dates, p), s)
@@ -102,9 +113,9 @@ def labels_for_dates(spark: SparkSession, customers: DataFrame, transactions: Da
     """L1 for a list of snapshot dates in one plan; equal to the union of single-date labels."""
     snaps = snapshot_frame(spark, dates)
     keys = ["customer_id", "snapshot_date"]
-    tx = _in_window(transactions.select("customer_id", "timestamp"), snaps, 1, p.churn_horizon_days)
+    tx = _in_window(transactions.select("customer_id", "timestamp"), dates, snaps, 1, p.churn_horizon_days)
     it = _in_window(interactions.filter(F.col("session_duration") > 0).select("customer_id", "timestamp"),
-                    snaps, 1, p.churn_horizon_days)
+                    dates, snaps, 1, p.churn_horizon_days)
     active = tx.select(*keys).union(it.select(*keys)).distinct()
     elig = eligible_by_snapshot(customers.select("customer_id", "join_date"), dates, p).select(*keys)
     s = F.col("snapshot_date")

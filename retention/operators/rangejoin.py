@@ -23,9 +23,15 @@ def day_number(c: Column) -> Column:
 
 
 def range_join(points: DataFrame, point: Column, ranges: DataFrame, lo: Column, hi: Column,
-               bucket_size: int) -> DataFrame:
-    """Inner join of ``points`` with every range of ``ranges`` that holds ``point`` (ends inclusive)."""
+               bucket_size: int, broadcast_ranges: bool = False) -> DataFrame:
+    """Inner join of ``points`` with every range of ``ranges`` that holds ``point`` (ends inclusive).
+
+    ``broadcast_ranges`` is for callers that know the range side is small (a
+    bounded parameter list); otherwise the planner and AQE choose from sizes.
+    """
     b = F.lit(int(bucket_size))
     r = ranges.withColumn(BUCKET, F.explode(F.sequence(F.floor(lo / b), F.floor(hi / b))))
+    if broadcast_ranges:
+        r = F.broadcast(r)
     p = points.withColumn(BUCKET, F.floor(point / b))
     return p.join(r, BUCKET).filter((point >= lo) & (point <= hi)).drop(BUCKET)

@@ -37,13 +37,30 @@ def _bucket_col(df: DataFrame, score: str, buckets: int):
     return F.size(F.filter(arr, lambda b: b < s))
 
 
-def score_curve(scored: DataFrame, score: str = "churn_probability", label: str = "churn_label",
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """One row per distinct score: ``pos, neg, pos_above, neg_above`` (strictly higher scores)
-    plus the totals ``P, N``."""
+def score_groups(scored: DataFrame, score: str = "churn_probability", label: str = "churn_label",
+                 extra: tuple[str, ...] = (), materialize: bool = True) -> DataFrame:
+    """Positives and negatives per distinct score (and ``extra`` keys), checkpointed.
+
+    Partial aggregation before the shuffle keeps a heavily repeated score cheap.
+    The result is written to the shared checkpoint folder so the quantile job
+    and the main plan both read it instead of recomputing the scoring plan.
+    """
     y = F.col(label).cast("int")
-    g = scored.groupBy(F.col(score).alias("score")).agg(
+    g = scored.groupBy(F.col(score).alias("score"), *extra).agg(
         F.sum(y).cast("bigint").alias("pos"), F.sum(1 - y).cast("bigint").alias("neg"))
+    if materialize:
+        from retention.session import materialize as _m
+        g = _m(g)
+    return g
+
+
+def score_curve(scored: DataFrame, score: str = "churn_probability", label: str = "churn_label",
+                buckets: int = DEFAULT_BUCKETS, groups: DataFrame | None = None) -> DataFrame:
+    """One row per distinct score: ``pos, neg, pos_above, neg_above`` (strictly higher scores)
+    plus the totals ``P, N``. ``groups`` may pass a ready ``score_groups`` table."""
+    g = score_groups(scored, score, label) if groups is None else groups
+    if set(g.columns) != {"score", "pos", "neg"}:
+        g = g.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     g = g.withColumn("_b", _bucket_col(g, "score", buckets))
     tot = g.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     above = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -115,6 +132,10 @@ def prf(scored: DataFrame, label: str = "churn_label", pred: str = "churn_predic
     y, yh = F.col(label) == 1, F.col(pred) == 1
     a = scored.agg(F.count_if(y & yh).alias("tp"), F.count_if(~y & yh).alias("fp"),
                    F.count_if(y & ~yh).alias("fn"), F.count(F.lit(1)).alias("n_rows"))
+    return _prf_select(a)
+
+
+def _prf_select(a: DataFrame) -> DataFrame:
     p = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).otherwise(F.lit(0.0))
     r = F.when(F.col("tp") + F.col("fn") > 0, F.col("tp") / (F.col("tp") + F.col("fn"))).otherwise(F.lit(0.0))
     f1 = F.when(2 * F.col("tp") + F.col("fp") + F.col("fn") > 0,
@@ -122,6 +143,16 @@ def prf(scored: DataFrame, label: str = "churn_label", pred: str = "churn_predic
     return a.select("n_rows", "tp", "fp", "fn", p.alias("precision"), r.alias("recall"), f1.alias("f1"))
 
 
+def prf_from_groups(groups: DataFrame, pred: str = "churn_prediction") -> DataFrame:
+    """M7 from the (score, prediction) groups, no second pass over the rows."""
+    yh = F.col(pred) == 1
+    a = groups.agg(F.coalesce(F.sum(F.when(yh, F.col("pos"))), F.lit(0)).alias("tp"),
+                   F.coalesce(F.sum(F.when(yh, F.col("neg"))), F.lit(0)).alias("fp"),
+                   F.coalesce(F.sum(F.when(~yh, F.col("pos"))), F.lit(0)).alias("fn"),
+                   F.coalesce(F.sum(F.col("pos") + F.col("neg")), F.lit(0)).alias("n_rows"))
+    return _prf_select(a)
+
+
 def metrics(scored: DataFrame, target_recall: float, label: str = "churn_label",
             score: str = "churn_probability", pred: str = "churn_prediction",
             buckets: int = DEFAULT_BUCKETS) -> DataFrame:
@@ -130,14 +161,15 @@ def metrics(scored: DataFrame, target_recall: float, label: str = "churn_label",
     The three one-row results are stacked as (metric, value) rows and pivoted
     back into one row, so no join is needed to put them side by side.
     """
-    curve = score_curve(scored, score, label, buckets)
+    groups = score_groups(scored, score, label, extra=(pred,))
+    curve = score_curve(scored, score, label, buckets, groups=groups)
     names = ["n_rows", "auc", "precision", "recall", "f1", "precision_at_target_recall"]
 
     def long(df: DataFrame, cols: list[str]) -> DataFrame:
         return df.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in cols])))
 
-    stacked = (long(prf(scored, label, pred), ["n_rows", "precision", "recall", "f1"])
+    stacked = (long(prf_from_groups(groups, pred), ["n_rows", "precision", "recall", "f1"])
                .unionByName(long(auc(curve), ["auc"]))
                .unionByName(long(precision_at_recall(curve, target_recall), ["precision_at_target_recall"])))
     wide = stacked.groupBy().pivot("metric", names).agg(F.first("value"))

@@ -558,9 +558,14 @@ def _shap_sql() -> str:
 
 
 def shap_df(spark, sf) -> DataFrame:
-    from retention.operators.explain import linear_explanations
+    """Sample size and background means come from one aggregate over the features."""
+    from retention.operators.explain import background_stats, linear_explanations
     from retention.operators.scoring import LINEAR_INTERCEPT, LINEAR_WEIGHTS
-    return linear_explanations(sample_df(spark, sf), multi_features_df(spark, sf), LINEAR_WEIGHTS, LINEAR_INTERCEPT)
+    from retention.operators.split import sample_for_explanation
+    feats = multi_features_df(spark, sf)
+    total, means = background_stats(feats, [n for n, _ in LINEAR_WEIGHTS])
+    sample = sample_for_explanation(feats, SAMPLE_N, total=total)
+    return linear_explanations(sample, None, LINEAR_WEIGHTS, LINEAR_INTERCEPT, means=means)
 
 
 def _shap_cols():

@@ -62,3 +62,10 @@ def local_session(app: str = "retention", cores: int = 8, shuffle_partitions: in
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
     return spark
+
+
+def materialize(df):
+    """Cut lineage by writing ``df`` to the shared checkpoint folder (reliable
+    checkpoint: survives lost executors, unlike a local checkpoint)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
