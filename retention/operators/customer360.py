@@ -84,3 +84,8 @@ def customer_360(demographics: DataFrame, behavioral: DataFrame, events_pivot: D
     if offers is not None:
         out = out.join(offers, "customer_id", "left")
     return fill_zero_if_present(out, EVENT_TYPES)
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """the first rows for a look (a limit is the feature here)."""
+    return df.limit(n)

@@ -185,3 +185,21 @@ def profile_counts(customers: DataFrame, transactions: DataFrame, interactions:
     per = lambda c: F.when(F.col("customers") > 0, F.col(c) / F.col("customers")).otherwise(F.lit(0.0))
     return w.select("*", per("transactions").alias("txn_per_customer"),
                     per("interactions").alias("interactions_per_customer"))
+
+
+def profile_report(customers: DataFrame, transactions: DataFrame, interactions: DataFrame, end: str,
+                   year: int) -> dict[str, DataFrame]:
+    """Every profile item as its own small frame (each one aggregate job when run)."""
+    last = last_activity(customers, transactions, interactions)
+    return {
+        "counts": profile_counts(customers, transactions, interactions),
+        "product_share": value_share(transactions, "product", "transactions"),
+        "interaction_share": value_share(interactions, "interaction_type", "interactions"),
+        "monthly_volume": monthly_volume(transactions, "transactions"),
+        "inactive_by_cutoff": inactive_by_cutoff(customers, transactions, interactions, end),
+        "activity_trend": activity_trend(transactions, interactions, year),
+        "lifecycle": lifecycle_distribution(customers, transactions, interactions, end),
+        "age": age_summary(customers),
+        "penetration": penetration(customers),
+        "recency": recency_distribution(last, end),
+    }

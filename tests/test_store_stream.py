@@ -74,3 +74,23 @@ def test_event_pivot_fills_zero(spark):
     ev = spark.createDataFrame([("a", "click"), ("a", "click"), ("b", "view")], "customer_id string, event_type string")
     got = {r.customer_id: r.asDict() for r in event_pivot(ev).collect()}
     assert got["a"]["click"] == 2 and got["a"]["view"] == 0 and got["b"]["purchase"] == 0
+
+
+def test_export_truncates_to_millis_and_drops(spark):
+    from retention.sources.raw import export_parquet
+    df = spark.createDataFrame([("a", datetime(2024, 1, 1, 0, 0, 0, 123456), 1)],
+                               "customer_id string, timestamp timestamp_ntz, extra int")
+    path = scratch_path(spark, "t-export")
+    export_parquet(df, path, drop=("extra",), millis="timestamp")
+    back = spark.read.parquet(path)
+    assert back.columns == ["customer_id", "timestamp"]
+    assert back.first().timestamp == datetime(2024, 1, 1, 0, 0, 0, 123000)
+
+
+def test_profile_report_runs(spark):
+    from retention.operators.profile import profile_report
+    from retention.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+    t = fx.tables(spark, SF_SMALL)
+    rep = profile_report(t.customers, t.transactions, t.interactions, "2024-01-31", 2023)
+    assert all(df.count() > 0 for df in rep.values())
