@@ -32,3 +32,30 @@ def drift(current: DataFrame, reference: DataFrame, columns: list[str]) -> DataF
                    F.abs(F.col("current_mean") - F.col("reference_mean")) / F.col("reference_std")
                    ).otherwise(F.lit(0.0))
     return j.withColumn("drift_score", score)
+
+
+def drift_between(features: DataFrame, current_date: str, reference_date: str, columns: list[str]) -> DataFrame:
+    """M12 over one frame holding both snapshot dates: one ``groupBy(snapshot_date)``
+    aggregate (two output rows), unpivoted and folded per feature, no join."""
+    from retention.functions.timewin import date_lit
+    s = F.col("snapshot_date")
+    side = F.when(s == date_lit(current_date), "cur").when(s == date_lit(reference_date), "ref")
+    tagged = features.filter(side.isNotNull()).withColumn("_side", side)
+    aggs = []
+    for c in columns:
+        x = F.col(c).cast("double")
+        aggs += [F.avg(x).alias(f"m__{c}"), F.stddev_samp(x).alias(f"s__{c}")]
+    per_side = tagged.groupBy("_side").agg(*aggs)
+    long = per_side.select("_side", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature_name"), F.col(f"m__{c}").alias("mean"), F.col(f"s__{c}").alias("std"))
+        for c in columns])))
+
+    def pick(which: str, col: str):
+        return F.max(F.when(F.col("_side") == which, F.col(col)))
+    folded = long.groupBy("feature_name").agg(
+        pick("cur", "mean").alias("current_mean"), pick("cur", "std").alias("current_std"),
+        pick("ref", "mean").alias("reference_mean"), pick("ref", "std").alias("reference_std"))
+    score = F.when(F.col("reference_std") > 0,
+                   F.abs(F.col("current_mean") - F.col("reference_mean")) / F.col("reference_std")
+                   ).otherwise(F.lit(0.0))
+    return folded.withColumn("drift_score", score)

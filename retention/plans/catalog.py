@@ -543,8 +543,9 @@ def _drift_sql() -> str:
 @query("drift", tidy_sql(_drift_sql(), dbl=["current_mean", "current_std", "reference_mean", "reference_std",
                                            "drift_score"]))
 def q_drift(spark, sf):
-    from retention.operators.drift import drift
-    return tidy(drift(snapshot_df(spark, sf, SNAPSHOT), snapshot_df(spark, sf, DRIFT_REFERENCE), feat.MODEL_FEATURES))
+    from retention.operators.drift import drift_between
+    both = multi_features_df(spark, sf, [DRIFT_REFERENCE, SNAPSHOT])
+    return tidy(drift_between(both, SNAPSHOT, DRIFT_REFERENCE, feat.MODEL_FEATURES))
 
 
 def _shap_sql() -> str:
@@ -947,4 +948,3 @@ def q_stream_score_linear(spark, sf):
     return tidy(spark.read.parquet(out))
 
 
-_ = DEFAULT, F

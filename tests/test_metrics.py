@@ -181,3 +181,13 @@ def test_treeshap_matches_bruteforce_shapley():
                     tot += wgt * (cond_exp(X[r], set(S) | {i}) - cond_exp(X[r], set(S)))
             assert phi[r, i] == pytest.approx(0.7 * tot, abs=1e-12)
     assert np.allclose(expected_value([t]) + phi.sum(axis=1), margin([t], X))
+
+
+def test_drift_between_equals_two_frame_drift(spark):
+    rows = [("a", "2024-01-01", 1.0), ("b", "2024-01-01", 3.0), ("a", "2024-01-15", 4.0), ("b", "2024-01-15", 8.0),
+            ("c", "2024-01-08", 100.0)]
+    df = spark.createDataFrame(rows, "customer_id string, snapshot_date string, x double").withColumn(
+        "snapshot_date", F.col("snapshot_date").cast("date"))
+    one = dr.drift_between(df, "2024-01-15", "2024-01-01", ["x"]).first()
+    two = dr.drift(df.filter("snapshot_date = '2024-01-15'"), df.filter("snapshot_date = '2024-01-01'"), ["x"]).first()
+    assert one.drift_score == pytest.approx(two.drift_score) == pytest.approx(4.0 / math.sqrt(2.0))
