@@ -181,6 +181,8 @@ def explain(spark: SparkSession, model, sample: DataFrame, scratch: str,
     ids; the work runs batch by batch on the executors.
     """
     from retention.operators.model import model_columns, prepare
+    from retention.session import ship_package
+    ship_package(spark)
     cols = model_columns(model)
     trees = load_trees(spark, model.stages[-1], scratch)
     ev = expected_value(trees)

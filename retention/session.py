@@ -69,3 +69,34 @@ def materialize(df):
     checkpoint: survives lost executors, unlike a local checkpoint)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``retention`` importable on executors' Python workers (what ``--py-files``
+    does at submit time): zip the package into the shared folder and ``addPyFile`` it,
+    once per application. Needed before any ``mapInPandas`` that calls our code."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target = scratch_path(spark, "pyfiles")
+    local = target[len("file:"):] if target.startswith("file:") else target
+    if "://" in local:  # a cluster file system: stage the zip locally first, Spark uploads it
+        local = tempfile.mkdtemp(prefix="retention-pyfiles-")
+    os.makedirs(local, exist_ok=True)
+    zpath = os.path.join(local, "retention.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
