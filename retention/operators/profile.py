@@ -20,10 +20,11 @@ RECENCY_THRESHOLDS = [30, 60, 90]
 
 
 def value_share(df: DataFrame, column: str, table: str) -> DataFrame:
-    """Count and share of each value; the total comes from a window over the
-    (small) grouped result, not a join."""
+    """Count and share of each value. The total is a scalar subquery over the
+    grouped rows (same shuffle, reused): no join and no single-partition window,
+    whatever the number of distinct values."""
     g = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-    total = F.sum("rows").over(Window.partitionBy(F.lit(table)))
+    total = g.select(F.sum("rows")).scalar()
     return g.select(F.lit(table).alias("table_name"), "value", "rows", (F.col("rows") / total).alias("share"))
 
 
