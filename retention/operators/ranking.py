@@ -19,22 +19,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 256
+# Distinct scores per bucket the within-bucket window should see, and the most
+# buckets we allow (the bucket table is broadcast, so its size must stay bounded).
+SCORES_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 100_000
 
 
-def _bucket_col(df: DataFrame, score: str, buckets: int):
-    """Bucket index (0 = lowest scores) from approximate quantiles of the distinct scores."""
+def bucket_count(n_scores: int, minimum: int = DEFAULT_BUCKETS) -> int:
+    """Buckets for ``n_scores`` distinct scores: at least ``minimum``, about
+    ``SCORES_PER_BUCKET`` scores each, never more than ``MAX_BUCKETS``."""
+    need = -(-n_scores // SCORES_PER_BUCKET)
+    return max(1, min(MAX_BUCKETS, max(minimum, need)))
+
+
+def _with_bucket(df: DataFrame, score: str, buckets: int) -> DataFrame:
+    """Add ``_b`` (0 = lowest scores) from approximate quantiles of the distinct scores.
+
+    The bounds (at most ``buckets - 1`` values, one aggregate job) go to a
+    ``Bucketizer``: a binary search per row inside the JVM.
+    """
     if buckets <= 1:
-        return F.lit(0)
+        return df.withColumn("_b", F.lit(0))
     probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(score, probs, 10_000).alias("q")).first()
+    acc = max(10_000, 4 * buckets)
+    row = df.agg(F.percentile_approx(score, probs, acc).alias("q")).first()
     bounds = sorted(set(v for v in (row.q or []) if v is not None))
     if not bounds:
-        return F.lit(0)
-    s = F.col(score)
-    # Bounds are a bounded literal list; a binary search would be O(log B) but the
-    # plain count keeps this inside whole-stage codegen.
-    arr = F.array(*[F.lit(float(b)) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b < s))
+        return df.withColumn("_b", F.lit(0))
+    from pyspark.ml.feature import Bucketizer
+    splits = [float("-inf")] + [float(b) for b in bounds] + [float("inf")]
+    bz = Bucketizer(splits=splits, inputCol=score, outputCol="_bd", handleInvalid="keep")
+    return bz.transform(df).withColumn("_b", F.col("_bd").cast("int")).drop("_bd")
 
 
 def score_groups(scored: DataFrame, score: str = "churn_probability", label: str = "churn_label",
@@ -55,13 +70,16 @@ def score_groups(scored: DataFrame, score: str = "churn_probability", label: str
 
 
 def score_curve(scored: DataFrame, score: str = "churn_probability", label: str = "churn_label",
-                buckets: int = DEFAULT_BUCKETS, groups: DataFrame | None = None) -> DataFrame:
+                buckets: int | None = None, groups: DataFrame | None = None) -> DataFrame:
     """One row per distinct score: ``pos, neg, pos_above, neg_above`` (strictly higher scores)
-    plus the totals ``P, N``. ``groups`` may pass a ready ``score_groups`` table."""
+    plus the totals ``P, N``. ``groups`` may pass a ready ``score_groups`` table;
+    ``buckets=None`` sizes the buckets from the number of distinct scores."""
     g = score_groups(scored, score, label) if groups is None else groups
     if set(g.columns) != {"score", "pos", "neg"}:
         g = g.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    g = g.withColumn("_b", _bucket_col(g, "score", buckets))
+    if buckets is None:
+        buckets = bucket_count(g.count())  # reads the checkpointed groups: a cheap job
+    g = _with_bucket(g, "score", buckets)
     tot = g.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     above = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     all_rows = Window.partitionBy(F.lit(1))
@@ -155,7 +173,7 @@ def prf_from_groups(groups: DataFrame, pred: str = "churn_prediction") -> DataFr
 
 def metrics(scored: DataFrame, target_recall: float, label: str = "churn_label",
             score: str = "churn_probability", pred: str = "churn_prediction",
-            buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+            buckets: int | None = None) -> DataFrame:
     """M9: one row with auc, precision, recall, f1, precision_at_target_recall.
 
     The three one-row results are stacked as (metric, value) rows and pivoted

@@ -191,3 +191,9 @@ def test_drift_between_equals_two_frame_drift(spark):
     one = dr.drift_between(df, "2024-01-15", "2024-01-01", ["x"]).first()
     two = dr.drift(df.filter("snapshot_date = '2024-01-15'"), df.filter("snapshot_date = '2024-01-01'"), ["x"]).first()
     assert one.drift_score == pytest.approx(two.drift_score) == pytest.approx(4.0 / math.sqrt(2.0))
+
+
+def test_bucket_count_scales_and_is_capped():
+    assert rk.bucket_count(10) == rk.DEFAULT_BUCKETS
+    assert rk.bucket_count(10**9) == 1000
+    assert rk.bucket_count(10**13) == rk.MAX_BUCKETS
