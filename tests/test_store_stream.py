@@ -94,3 +94,18 @@ def test_profile_report_runs(spark):
     t = fx.tables(spark, SF_SMALL)
     rep = profile_report(t.customers, t.transactions, t.interactions, "2024-01-31", 2023)
     assert all(df.count() > 0 for df in rep.values())
+
+
+def test_stream_restart_scores_each_file_once(spark):
+    src, out, ck = (scratch_path(spark, x) for x in ("r-in", "r-out", "r-ck"))
+    first = _feats(spark, ["2024-01-01"])
+    first.write.mode("append").parquet(src)
+    scorer = lambda d: linear_score(d, "2024-02-15")
+    score_stream(spark, src, first.schema, scorer, out, ck).awaitTermination()
+    second = _feats(spark, ["2024-01-08"], n=4)
+    second.write.mode("append").parquet(src)
+    # a new query on the same checkpoint picks up only the new file
+    score_stream(spark, src, first.schema, scorer, out, ck).awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == 3 + 4
+    assert got.select("customer_id", "snapshot_date").distinct().count() == 7
