@@ -28,17 +28,20 @@ def round4(c):
 
 
 def tidy(df: DataFrame, money: tuple[str, ...] | list[str] = ()) -> DataFrame:
-    cols = []
+    """One ``selectExpr`` (a single call into the JVM) with a cast or round per column."""
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        q = f"`{f.name}`"
         if isinstance(f.dataType, TEMPORAL):
-            c = c.cast("string")
+            e = f"CAST({q} AS STRING)"
         elif isinstance(f.dataType, INTEGRAL):
-            c = c.cast("bigint")
+            e = f"CAST({q} AS BIGINT)"
         elif isinstance(f.dataType, FRACTIONAL):
-            c = round4(c.cast("double"))
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            e = f"CAST(FLOOR(CAST({q} AS DOUBLE) * {SCALE}D + {OFFSET}D) AS DOUBLE) / {SCALE}D"
+        else:
+            e = q
+        exprs.append(f"{e} AS {q}")
+    return df.selectExpr(*exprs)
 
 
 def tidy_sql(inner: str, dbl=(), ints=(), dates=(), money=()) -> str:

@@ -27,8 +27,21 @@ class Tables:
                 "interactions": self.interactions}
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver's read-only input tables, one relation per application.
+
+    Re-reading a path lists its files and reads footers on the driver each time;
+    these inputs never change, so the scan relation is built once and reused by
+    every plan (each plan still prunes columns and pushes filters on its own).
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _shift(c):
