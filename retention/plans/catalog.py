@@ -390,8 +390,11 @@ _SAMPLE_SQL = ("SELECT f.* FROM features4 f, (SELECT count(*) AS cnt FROM featur
 
 
 def sample_df(spark, sf) -> DataFrame:
+    """G3 over the features, checkpointed once: the count that sets the fraction and
+    the sample itself then read the written rows instead of recomputing the plan."""
     from retention.operators.split import sample_for_explanation
-    return sample_for_explanation(multi_features_df(spark, sf), SAMPLE_N)
+    from retention.session import materialize
+    return sample_for_explanation(materialize(multi_features_df(spark, sf)), SAMPLE_N)
 
 
 @query("shap_sample", tidy_sql(V(_SAMPLE_SQL), money=MONEY, dbl=FEATURE_DBLS, ints=FEATURE_INTS, dates=DATES))
@@ -563,7 +566,8 @@ def shap_df(spark, sf) -> DataFrame:
     from retention.operators.explain import background_stats, linear_explanations
     from retention.operators.scoring import LINEAR_INTERCEPT, LINEAR_WEIGHTS
     from retention.operators.split import sample_for_explanation
-    feats = multi_features_df(spark, sf)
+    from retention.session import materialize
+    feats = materialize(multi_features_df(spark, sf))
     total, means = background_stats(feats, [n for n, _ in LINEAR_WEIGHTS])
     sample = sample_for_explanation(feats, SAMPLE_N, total=total)
     return linear_explanations(sample, None, LINEAR_WEIGHTS, LINEAR_INTERCEPT, means=means)
