@@ -165,3 +165,13 @@ def test_schema_check(spark):
     rows = qual.schema_check({"customers": c.withColumn("age", F.col("age").cast("string"))}).collect()
     age = [r for r in rows if r.column_name == "age"][0]
     assert age.present and not age.type_matches
+
+
+def test_eligibility_long_date_list_matches_inline(spark, monkeypatch):
+    import retention.operators.multisnap as ms
+    c = customers(spark, [("a", date(2023, 10, 1)), ("b", date(2023, 12, 1)), ("n", None)])
+    dates = [(date(2023, 11, 1) + timedelta(days=7 * k)).isoformat() for k in range(12)]
+    inline = sorted(map(tuple, ms.eligible_by_snapshot(c, dates).select("customer_id", "snapshot_date").collect()))
+    monkeypatch.setattr(ms, "INLINE_DATES", 3)
+    joined = sorted(map(tuple, ms.eligible_by_snapshot(c, dates).select("customer_id", "snapshot_date").collect()))
+    assert inline == joined and len(inline) > 0
