@@ -31,3 +31,25 @@ def test_weekly_training_inference(spark):
     m = inf.metrics.first()
     assert 0.0 <= m.auc <= 1.0
     assert inf.drift.filter(F.col("drift_score") < 0).count() == 0
+
+
+def test_treeshap_local_accuracy_on_spark_gbt(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from retention.operators import model as M
+    from retention.operators import treeshap as TS
+    from retention.plans import catalog as C
+    training = C.training_df(spark, SF_SMALL)
+    cols = M.feature_columns(training)
+    model = M.fit(training, cols, GBTParams(max_iter=4, max_depth=4))
+    ex = TS.explain(spark, model, training, scratch_path(spark, "t-shap"))
+    raw = model.transform(M.prepare(training, cols)).select(
+        "customer_id", "snapshot_date", vector_to_array("rawPrediction")[1].alias("margin"))
+    shap_cols = [c for c in ex.columns if c.startswith("shap_")]
+    assert len(shap_cols) == len(cols)
+    total = F.col("expected_value")
+    for c in shap_cols:
+        total = total + F.col(c)
+    err = ex.join(raw, ["customer_id", "snapshot_date"]).agg(F.max(F.abs(total - F.col("margin"))).alias("e"),
+                                                              F.count(F.lit(1)).alias("n")).first()
+    assert err.n == training.count() and err.e < 1e-9
