@@ -119,7 +119,24 @@ def q_quality_report(spark, sf):
     return tidy(qual.quality_report(raw(spark, sf).as_dict(), AS_OF))
 
 
-@query("schema_check")
+def _schema_check_sql() -> str:
+    from retention.sources.schemas import EXPECTED
+    declared = ", ".join(f"('{t}', '{f.name}', '{f.dataType.simpleString()}')"
+                         for t, sch in EXPECTED.items() for f in sch.fields)
+    actual = " UNION ALL ".join(f"SELECT '{t}' AS table_name, column_name, column_type FROM (DESCRIBE SELECT * FROM {t})"
+                                for t in EXPECTED)
+    mapped = ("SELECT table_name, column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' "
+              "WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'BOOLEAN' THEN 'boolean' "
+              "WHEN 'DATE' THEN 'date' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS actual_type "
+              f"FROM ({actual})")
+    return O.with_views(
+        "SELECT d.table_name, d.column_name, d.declared_type, m.actual_type, m.actual_type IS NOT NULL AS present, "
+        "coalesce(m.actual_type = d.declared_type, false) AS type_matches "
+        f"FROM (VALUES {declared}) AS d(table_name, column_name, declared_type) "
+        f"LEFT JOIN ({mapped}) m ON d.table_name = m.table_name AND d.column_name = m.column_name")
+
+
+@query("schema_check", _schema_check_sql())
 def q_schema_check(spark, sf):
     return qual.schema_check(raw(spark, sf).as_dict())
 

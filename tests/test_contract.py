@@ -18,4 +18,4 @@ def test_oracle_keys_are_queries():
 
 def test_rows_only_queries_are_the_non_sql_ones():
     missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"schema_check", "segments", "gbt_train_score", "gbt_tree_shap"}
+    assert missing == {"segments", "gbt_train_score", "gbt_tree_shap"}
