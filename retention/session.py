@@ -76,9 +76,14 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``retention`` importable on executors' Python workers (what ``--py-files``
-    does at submit time): zip the package into the shared folder and ``addPyFile`` it,
-    once per application. Needed before any ``mapInPandas`` that calls our code."""
+    """Make ``retention`` importable on Python workers before a ``mapInPandas`` that
+    calls our code.
+
+    On a cluster the package is shipped at submit time (``--py-files retention.zip``)
+    and nothing happens here. When the shared checkpoint folder is on the local file
+    system (local mode, tests) the package is zipped into it and added with
+    ``addPyFile``, once per application.
+    """
     import os
     import zipfile
 
@@ -86,12 +91,13 @@ def ship_package(spark: SparkSession) -> None:
     app = sc.applicationId
     if app in _SHIPPED:
         return
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    _SHIPPED.add(app)
     target = scratch_path(spark, "pyfiles")
+    if "://" in target and not target.startswith("file:"):
+        return
     local = target[len("file:"):] if target.startswith("file:") else target
-    if "://" in local:  # a cluster file system: stage the zip locally first, Spark uploads it
-        local = tempfile.mkdtemp(prefix="retention-pyfiles-")
     os.makedirs(local, exist_ok=True)
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
     zpath = os.path.join(local, "retention.zip")
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _dirs, files in os.walk(pkg_dir):
@@ -100,4 +106,3 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(zpath)
-    _SHIPPED.add(app)
