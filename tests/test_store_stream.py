@@ -37,14 +37,15 @@ def test_store_roundtrip_and_dynamic_overwrite(spark):
     assert st_.load_labels_range("2024-01-01", "2024-01-01").count() == 1
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=12, deadline=None)
 @given(st.lists(st.integers(0, 60), min_size=1, max_size=25),
        st.lists(st.tuples(st.integers(0, 60), st.integers(0, 20)), min_size=1, max_size=6),
-       st.integers(1, 15))
-def test_range_join_matches_bruteforce(spark, points, ranges, bucket):
+       st.integers(1, 15), st.sampled_from([(True, None), (False, 1), (False, 4)]))
+def test_range_join_matches_bruteforce(spark, points, ranges, bucket, mode):
     pts = spark.createDataFrame([(i, p) for i, p in enumerate(points)], "pid int, p int")
     rgs = spark.createDataFrame([(j, lo, lo + w) for j, (lo, w) in enumerate(ranges)], "rid int, lo int, hi int")
-    got = sorted((r.pid, r.rid) for r in range_join(pts, F.col("p"), rgs, F.col("lo"), F.col("hi"), bucket).collect())
+    joined = range_join(pts, F.col("p"), rgs, F.col("lo"), F.col("hi"), bucket, broadcast_ranges=mode[0], salt=mode[1])
+    got = sorted((r.pid, r.rid) for r in joined.collect())
     want = sorted((i, j) for i, p in enumerate(points) for j, (lo, w) in enumerate(ranges) if lo <= p <= lo + w)
     assert got == want
 
