@@ -45,7 +45,7 @@ def _in_window(facts: DataFrame, dates: list[str], snaps: DataFrame, start_offse
                                               shift(days[-1], end_offset)))
     s = F.col("snapshot_date")
     ranges = snaps.select(s, (day_number(s) + start_offset).alias("_lo"), (day_number(s) + end_offset).alias("_hi"))
-    pts = facts.withColumn("_day", day_number(F.col("timestamp"))).withColumn("_mid", is_midnight(F.col("timestamp")))
+    pts = facts.withColumns({"_day": day_number(F.col("timestamp")), "_mid": is_midnight(F.col("timestamp"))})
     j = range_join(pts, F.col("_day"), ranges, F.col("_lo"), F.col("_hi"), end_offset - start_offset + 1,
                    broadcast_ranges=True)
     return j.filter((F.col("_day") < F.col("_hi")) | F.col("_mid")).drop("_day", "_mid", "_lo", "_hi")

@@ -120,9 +120,8 @@ def null_report(df: DataFrame, p: Params = DEFAULT,
         F.inline(F.array(*[F.struct(F.lit(c).alias("feature_name"), F.col(c).alias("null_count"))
                            for c in cols])))
     ratio = F.when(F.col("total_rows") > 0, F.col("null_count") / F.col("total_rows")).otherwise(F.lit(0.0))
-    return (stacked.withColumn("null_ratio", ratio)
-            .withColumn("status", F.when(F.col("null_ratio") > p.null_error_ratio, "error")
-                        .when(F.col("null_ratio") > p.null_warn_ratio, "warn").otherwise("ok")))
+    status = (F.when(ratio > p.null_error_ratio, "error").when(ratio > p.null_warn_ratio, "warn").otherwise("ok"))
+    return stacked.withColumns({"null_ratio": ratio, "status": status})
 
 
 def enforce_null_report(report: DataFrame) -> None:
