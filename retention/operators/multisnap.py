@@ -27,6 +27,8 @@ def snapshot_frame(spark: SparkSession, dates: list[str]) -> DataFrame:
     """The snapshot list as a small frame; its size is checked here, which is what
     lets the range joins below broadcast it."""
     rows = sorted({to_day(d) for d in dates})
+    if not rows:
+        raise ValueError("at least one snapshot date is needed")
     if len(rows) > MAX_SNAPSHOT_DATES:
         raise ValueError(f"{len(rows)} snapshot dates exceed the broadcast bound {MAX_SNAPSHOT_DATES}")
     return spark.createDataFrame([(d,) for d in rows], "snapshot_date date")
