@@ -56,6 +56,7 @@ def local_session(app: str = "retention", cores: int = 8, shuffle_partitions: in
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in SESSION_CONF.items():
         builder = builder.config(k, v)

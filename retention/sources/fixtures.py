@@ -116,8 +116,15 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_VIEWS: dict[tuple[str, str], Tables] = {}
+
+
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(customers(spark, sf_dir), transactions(spark, sf_dir), interactions(spark, sf_dir))
+    """The three fixture views (immutable plans, built once per application)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _VIEWS:
+        _VIEWS[key] = Tables(customers(spark, sf_dir), transactions(spark, sf_dir), interactions(spark, sf_dir))
+    return _VIEWS[key]
 
 
 # DuckDB text of the same three views, used as CTEs by the oracle SQL.

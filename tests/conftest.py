@@ -23,6 +23,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.session.timeZone", "UTC"))
     for k, v in SESSION_CONF.items():
         b = b.config(k, v)
