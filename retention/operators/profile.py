@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from retention.functions.timewin import midnight_lit, shift
 from retention.operators.quality import elapsed_days
 
-# Inactivity cutoffs (days) and lifecycle horizons of the profile.
+# Inactivity cutoffs (days), recency thresholds (days) and the products
+# whose penetration is reported, in the reference's order.
 INACTIVITY_CUTOFFS = [7, 14, 30, 60, 90]
 RECENCY_THRESHOLDS = [30, 60, 90]
+PENETRATION_PRODUCTS = ["checking", "savings", "credit_card", "loan"]
 
 
 def value_share(df: DataFrame, column: str, table: str) -> DataFrame:
@@ -145,7 +147,7 @@ def age_summary(customers: DataFrame) -> DataFrame:
 def penetration(customers: DataFrame) -> DataFrame:
     """Share of customers holding each product (booleans averaged as 0/1)."""
     return customers.agg(*[F.avg(F.col(f"has_{p}").cast("int")).alias(p)
-                           for p in ("checking", "savings", "credit_card", "loan")])
+                           for p in PENETRATION_PRODUCTS])
 
 
 def recency_distribution(last: DataFrame, end: str, thresholds: list[int] = RECENCY_THRESHOLDS) -> DataFrame:
