@@ -82,9 +82,13 @@ def train_model(features: DataFrame, labels: DataFrame, split_date: str, run_dat
                 check_leaks: bool = True) -> tuple[PipelineModel, DataFrame]:
     """M2: join, split, leak gate, fit, validate (M11), optionally save.
 
-    Returns the fitted pipeline and the one-row validation metrics.
+    The joined training table feeds the leak report, the fit and the validation
+    scoring, so it is checkpointed once to the shared folder rather than
+    recomputed from its inputs three times. Returns the fitted pipeline and the
+    one-row validation metrics.
     """
-    training = splitting.training_set(features, labels)
+    from retention.session import materialize
+    training = materialize(splitting.training_set(features, labels))
     if check_leaks:
         splitting.enforce_split(splitting.split_report(training, split_date, p))
     train_df, val_df = splitting.split(training, split_date, p)
