@@ -125,8 +125,11 @@ def labels_for_dates(spark: SparkSession, customers: DataFrame, transactions: Da
     """L1 for a list of snapshot dates in one plan; equal to the union of single-date labels."""
     snaps = snapshot_frame(spark, dates)
     keys = ["customer_id", "snapshot_date"]
-    tx = _in_window(transactions.select("customer_id", "timestamp"), dates, snaps, 1, p.churn_horizon_days)
-    it = _in_window(interactions.filter(F.col("session_duration") > 0).select("customer_id", "timestamp"),
+    # Only (customer, time) matters for activity: a distinct on that projection lets
+    # Catalyst drop the cleaning step's whole-row dedupe beneath it.
+    tx = _in_window(transactions.select("customer_id", "timestamp").distinct(), dates, snaps, 1,
+                    p.churn_horizon_days)
+    it = _in_window(interactions.filter(F.col("session_duration") > 0).select("customer_id", "timestamp").distinct(),
                     dates, snaps, 1, p.churn_horizon_days)
     active = tx.select(*keys).union(it.select(*keys)).distinct()
     elig = eligible_by_snapshot(customers.select("customer_id", "join_date"), dates, p).select(*keys)
