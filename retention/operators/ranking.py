@@ -61,7 +61,8 @@ def score_groups(scored: DataFrame, score: str = "churn_probability", label: str
     and the main plan both read it instead of recomputing the scoring plan.
     """
     y = F.col(label).cast("int")
-    g = scored.groupBy(F.col(score).alias("score"), *extra).agg(
+    # Rows without a score cannot be ranked; they are left out (sklearn rejects them).
+    g = scored.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("score"), *extra).agg(
         F.sum(y).cast("bigint").alias("pos"), F.sum(1 - y).cast("bigint").alias("neg"))
     if materialize:
         from retention.session import materialize as _m

@@ -197,3 +197,11 @@ def test_bucket_count_scales_and_is_capped():
     assert rk.bucket_count(10) == rk.DEFAULT_BUCKETS
     assert rk.bucket_count(10**9) == 1000
     assert rk.bucket_count(10**13) == rk.MAX_BUCKETS
+
+
+def test_null_scores_are_left_out(spark):
+    pairs = [(1, 0.8), (0, 0.3), (1, 0.6), (0, 0.7)]
+    df = _scored(spark, pairs).unionByName(spark.createDataFrame(
+        [("z1", 1, None, 0)], "customer_id string, churn_label int, churn_probability double, churn_prediction int"))
+    got = rk.auc(rk.score_curve(df, buckets=2)).first().auc
+    assert got == pytest.approx(_auc_bruteforce(pairs))
