@@ -32,18 +32,21 @@ def bucket_count(n_scores: int, minimum: int = DEFAULT_BUCKETS) -> int:
     return max(1, min(MAX_BUCKETS, max(minimum, need)))
 
 
-def _with_bucket(df: DataFrame, score: str, buckets: int) -> DataFrame:
-    """Add ``_b`` (0 = lowest scores) from approximate quantiles of the distinct scores.
-
-    The bounds (at most ``buckets - 1`` values, one aggregate job) go to a
-    ``Bucketizer``: a binary search per row inside the JVM.
-    """
-    if buckets <= 1:
-        return df.withColumn("_b", F.lit(0))
+def _quantile_bounds(df: DataFrame, score: str, buckets: int, with_count: bool = False):
+    """Approximate quantile bounds for ``buckets`` buckets (and optionally the row
+    count) in one aggregate job; one small row comes back."""
     probs = [i / buckets for i in range(1, buckets)]
     acc = max(10_000, 4 * buckets)
-    row = df.agg(F.percentile_approx(score, probs, acc).alias("q")).first()
+    aggs = [F.percentile_approx(score, probs, acc).alias("q")] if buckets > 1 else [F.lit(None).alias("q")]
+    if with_count:
+        aggs.append(F.count(F.lit(1)).alias("n"))
+    row = df.agg(*aggs).first()
     bounds = sorted(set(v for v in (row.q or []) if v is not None))
+    return bounds, (int(row.n) if with_count else None)
+
+
+def _with_bucket(df: DataFrame, score: str, bounds: list[float]) -> DataFrame:
+    """Add ``_b`` (0 = lowest scores): a ``Bucketizer`` binary search over the bounds."""
     if not bounds:
         return df.withColumn("_b", F.lit(0))
     from pyspark.ml.feature import Bucketizer
@@ -79,8 +82,15 @@ def score_curve(scored: DataFrame, score: str = "churn_probability", label: str
     if set(g.columns) != {"score", "pos", "neg"}:
         g = g.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     if buckets is None:
-        buckets = bucket_count(g.count())  # reads the checkpointed groups: a cheap job
-    g = _with_bucket(g, "score", buckets)
+        # Bounds for the default bucket count and the distinct-score count in one job
+        # (over the checkpointed groups); a second job only when the data needs more.
+        bounds, n = _quantile_bounds(g, "score", DEFAULT_BUCKETS, with_count=True)
+        need = bucket_count(n)
+        if need > DEFAULT_BUCKETS:
+            bounds, _ = _quantile_bounds(g, "score", need)
+    else:
+        bounds, _ = _quantile_bounds(g, "score", buckets)
+    g = _with_bucket(g, "score", bounds)
     tot = g.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     above = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     all_rows = Window.partitionBy(F.lit(1))
