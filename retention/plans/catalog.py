@@ -2,7 +2,12 @@
 
 Every query reads the driver's tables through the fixture views, over whole
 tables, so its work grows with the data. ``ORACLE`` holds the DuckDB text of
-the same result for the side-by-side check.
+the same result for the side-by-side check; both sides go through the same
+output shaping (``tidy`` / ``tidy_sql``).
+
+Sections, in order: cleaning; quality; features; labels; many snapshots;
+sources and store; training set and split; scoring and metrics; drift and
+attributions; profile; customer 360; Spark ML; second tier and streaming.
 """
 
 from __future__ import annotations
