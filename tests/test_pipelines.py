@@ -53,3 +53,15 @@ def test_treeshap_local_accuracy_on_spark_gbt(spark):
     err = ex.join(raw, ["customer_id", "snapshot_date"]).agg(F.max(F.abs(total - F.col("margin"))).alias("e"),
                                                               F.count(F.lit(1)).alias("n")).first()
     assert err.n == training.count() and err.e < 1e-9
+
+
+def test_keys_are_unique_in_labels_and_features(spark):
+    from retention.plans import catalog as C
+    for df in (C.multi_labels_df(spark, SF_SMALL), C.multi_features_df(spark, SF_SMALL), C.training_df(spark, SF_SMALL)):
+        dup = df.groupBy("customer_id", "snapshot_date").count().filter(F.col("count") > 1).count()
+        assert dup == 0
+    lab = C.multi_labels_df(spark, SF_SMALL)
+    # churned rows carry their snapshot date, active rows none
+    bad = lab.filter(((F.col("churn_label") == 1) & (F.col("churned_date") != F.col("snapshot_date")))
+                     | ((F.col("churn_label") == 0) & F.col("churned_date").isNotNull())).count()
+    assert bad == 0
