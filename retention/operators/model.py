@@ -34,6 +34,11 @@ class GBTParams:
     subsampling_rate: float = 0.8
     feature_subset: str = "0.8"
     seed: int = 42
+    # Execution settings (not model semantics): cache each row's node id between
+    # rounds, and checkpoint the boosting state every 10 rounds into the shared
+    # checkpoint folder so lineage stays short over 100 rounds.
+    cache_node_ids: bool = True
+    checkpoint_interval: int = 10
 
 
 def feature_columns(df: DataFrame, exclude: tuple[str, ...] = EXCLUDE) -> list[str]:
@@ -54,11 +59,14 @@ def pipeline(columns: list[str], gp: GBTParams = GBTParams()) -> Pipeline:
     """M1: assembler + boosted trees with the reference's settings."""
     gbt = GBTClassifier(labelCol="churn_label", featuresCol="features", maxDepth=gp.max_depth,
                         maxIter=gp.max_iter, stepSize=gp.step_size, subsamplingRate=gp.subsampling_rate,
-                        featureSubsetStrategy=gp.feature_subset, seed=gp.seed)
+                        featureSubsetStrategy=gp.feature_subset, seed=gp.seed,
+                        cacheNodeIds=gp.cache_node_ids, checkpointInterval=gp.checkpoint_interval)
     return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features"), gbt])
 
 
 def fit(train_df: DataFrame, columns: list[str], gp: GBTParams = GBTParams()) -> PipelineModel:
+    from retention.session import checkpoint_root
+    checkpoint_root(train_df.sparkSession)  # GBT checkpoints only when a folder is registered
     return pipeline(columns, gp).fit(prepare(train_df, columns))
 
 
