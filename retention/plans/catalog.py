@@ -867,7 +867,8 @@ _MODELS: dict[tuple[str, str], object] = {}
 
 def gbt_model(spark, sf):
     """Fit once per session and scale factor (both GBT queries use the same model)."""
-    key = (spark.sparkContext.applicationId, sf)
+    from retention.session import app_key
+    key = (app_key(spark), sf)
     if key not in _MODELS:
         from retention.operators.model import GBTParams, train_model
         _MODELS[key] = train_model(multi_features_df(spark, sf), multi_labels_df(spark, sf), SPLIT_DATE, AS_OF,

@@ -10,6 +10,15 @@ from pyspark.sql import SparkSession
 from retention.params import SESSION_CONF
 
 
+def app_key(spark: SparkSession) -> str:
+    """A key for per-application memos that also works where ``sparkContext`` is not
+    exposed (a Spark Connect session)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return spark.conf.get("spark.app.id", None) or f"session-{id(spark)}"
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the pipeline's runtime SQL settings to an existing session."""
     for k, v in SESSION_CONF.items():

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retention.session import app_key
+
 # Fixed value: the day shift of the fixture views.
 DAY_SHIFT = 8249
 
@@ -38,7 +40,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     every plan (each plan still prunes columns and pushes filters on its own).
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (app_key(spark), path)
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]
@@ -121,7 +123,7 @@ _VIEWS: dict[tuple[str, str], Tables] = {}
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The three fixture views (immutable plans, built once per application)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (app_key(spark), sf_dir.rstrip("/"))
     if key not in _VIEWS:
         _VIEWS[key] = Tables(customers(spark, sf_dir), transactions(spark, sf_dir), interactions(spark, sf_dir))
     return _VIEWS[key]
