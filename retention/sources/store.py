@@ -35,20 +35,27 @@ class FeatureStore:
         return f"{self.root.rstrip('/')}/models"
 
     # -- writes
-    def _write(self, df: DataFrame, path: str, snapshot_date: str | None) -> None:
+    def _write(self, df: DataFrame, path: str, snapshot_date: str | None, files_per_date: int | None) -> None:
         if snapshot_date is not None:
             df = df.withColumn("snapshot_date", date_lit(snapshot_date))
         df = df.withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
-        # No repartition by date: one date holds every customer, and a single
-        # task per date would not scale. Each task writes its own file per date.
+        # By default no repartition: one date holds every customer, so a single task
+        # per date would not scale, and each task writes its own file per date. With
+        # ``files_per_date`` rows are shuffled to (date, hash bucket of the customer)
+        # first, which bounds the files of a wide date range at about dates x buckets.
+        if files_per_date:
+            bucket = F.pmod(F.hash(F.col("customer_id")), F.lit(int(files_per_date)))
+            df = df.repartition(F.col("snapshot_date"), bucket)
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("snapshot_date").parquet(path))
 
-    def store_features(self, df: DataFrame, snapshot_date: str | None = None) -> None:
-        self._write(df, self.features_root, snapshot_date)
+    def store_features(self, df: DataFrame, snapshot_date: str | None = None,
+                       files_per_date: int | None = None) -> None:
+        self._write(df, self.features_root, snapshot_date, files_per_date)
 
-    def store_labels(self, df: DataFrame, snapshot_date: str | None = None) -> None:
-        self._write(df, self.labels_root, snapshot_date)
+    def store_labels(self, df: DataFrame, snapshot_date: str | None = None,
+                     files_per_date: int | None = None) -> None:
+        self._write(df, self.labels_root, snapshot_date, files_per_date)
 
     # -- reads (A9-A12)
     def _read(self, path: str) -> DataFrame:

@@ -110,3 +110,15 @@ def test_stream_restart_scores_each_file_once(spark):
     got = spark.read.parquet(out)
     assert got.count() == 3 + 4
     assert got.select("customer_id", "snapshot_date").distinct().count() == 7
+
+
+def test_store_files_per_date_bounds_file_count(spark):
+    import os
+    root = scratch_path(spark, "t-files")
+    st_ = FeatureStore(spark, root)
+    st_.store_features(_feats(spark, ["2024-01-01", "2024-01-08"], n=40).repartition(12), files_per_date=2)
+    base = st_.features_root.replace("file:", "")
+    for d in ("2024-01-01", "2024-01-08"):
+        files = [f for f in os.listdir(f"{base}/snapshot_date={d}") if f.endswith(".parquet")]
+        assert 1 <= len(files) <= 2
+    assert st_.load_features_range("2024-01-01", "2024-01-08").count() == 80
