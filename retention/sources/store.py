@@ -42,7 +42,9 @@ class FeatureStore:
         # By default no repartition: one date holds every customer, so a single task
         # per date would not scale, and each task writes its own file per date. With
         # ``files_per_date`` rows are shuffled to (date, hash bucket of the customer)
-        # first, which bounds the files of a wide date range at about dates x buckets.
+        # first, which bounds the files of a wide date range at about dates x buckets;
+        # each (date, bucket) is written by one task, so pick it as rows per date
+        # divided by what one task should write (features hold one row per customer).
         if files_per_date:
             bucket = F.pmod(F.hash(F.col("customer_id")), F.lit(int(files_per_date)))
             df = df.repartition(F.col("snapshot_date"), bucket)
