@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retention.llm import bpe_fst, chat, ctph, line_dedup, packing, quality_mcd, simhash, token_counts, warc
+from retention.llm import bpe_fst, chat, ctph, line_dedup, packing, quality_mcd, recurrent_lm, simhash, token_counts, warc
 from retention.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(table(spark, sf_dir, "conversations").select(*columns).unionByName(marked))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), _pattern())
 
@@ -64,7 +68,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_format, op3_token_counts, op4_quality_rules, op5_simhash, op6_best_fit_packing, op7_warc, op8_bpe_round_trip, op9_fingerprints, op10_line_dedup,
+    op1_chat_format, op2_lm_score, op3_token_counts, op4_quality_rules, op5_simhash, op6_best_fit_packing, op7_warc, op8_bpe_round_trip, op9_fingerprints, op10_line_dedup,
 )}
 
 ORACLE: dict[str, str] = {

@@ -43,14 +43,14 @@ def _line(raw: Column) -> Column:
     return F.trim(raw)
 
 
-def _store(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The documents with a row number, in a table bucketed by it in the shared folder."""
+def store_rows(docs: DataFrame, what: str) -> DataFrame:
+    """(_rk, _doc): the documents with a row number, in a table bucketed by it in the shared folder."""
     spark = docs.sparkSession
-    name = f"lines_{uuid.uuid4().hex[:12]}"
+    name = f"{what}_{uuid.uuid4().hex[:12]}"
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.struct("*").alias("_doc"), F.monotonically_increasing_id().alias("_rk"))
     rows.repartition(n, "_rk").write.bucketBy(n, "_rk").option("path", scratch_path(spark, name)).option("compression", "zstd").saveAsTable(name)
-    return spark.table(name), name
+    return spark.table(name)
 
 
 def _lines(stored: DataFrame) -> DataFrame:
@@ -198,7 +198,7 @@ def _without(text: Column, gone: Column) -> Column:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents with an array ``_removed`` of (pos, near) (null: none); ``_doc`` is the row."""
-    stored, _ = _store(docs)
+    stored = store_rows(docs, "lines")
     gone = removals(stored).groupBy("_rk").agg(F.sort_array(F.collect_list(F.struct("pos", "near"))).alias("_removed"))
     return stored.join(gone, "_rk", "left")
 

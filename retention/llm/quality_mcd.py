@@ -24,13 +24,15 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retention.session import materialize
+from retention.session import materialize, scratch_path
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 MIN_WORDS, MAX_REPEATED = 50, 50
 #: Share of a group that determines its estimate, concentration steps, smallest group.
 SUPPORT, ROUNDS, MIN_GROUP = 0.75, 4, 100
+#: Groups whose keys and estimates (a few hundred bytes each) are broadcast; more are joined by shuffle.
+BROADCAST_GROUPS = 20_000
 #: Standard deviations added to each feature's spread, so that a feature that is constant in most of a
 #: group doesn't reject whatever differs from it a little.
 FLOOR = {"x_words": 0.25, "x_length": 0.05, "x_symbols": 0.05, "x_repeats": 0.10, "x_lines": 0.10}
@@ -68,23 +70,23 @@ CUTOFF = 3.0 * _chi2_quantile(1 - 1e-6, _P)
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines) of
-    whole texts, in built-in functions."""
+    """(_doc, doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines)
+    of whole texts, in built-in functions; _doc is the row as it came."""
     text = F.coalesce(F.col("text"), F.lit(""))
     # hashes stand for the 3-word windows of a text: two of one text share a 64-bit hash by chance with a probability below 1e-9 up to a million words
     window = F.transform(F.sequence(F.lit(0), F.col("_n") - 3), lambda i: F.xxhash64(F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)))
     has_word = lambda line: F.length(F.translate(line, BLANKS, "")) > 0
-    rows = docs.select("doc_id", "lang", "source", text.alias("_t"))
+    rows = docs.select(F.struct("*").alias("_doc"), "doc_id", "lang", "source", text.alias("_t"))
     rows = rows.select(
-        "doc_id", "lang", "source", F.length(F.translate("_t", BLANKS, "")).cast("bigint").alias("word_chars"),
+        "_doc", "doc_id", "lang", "source", F.length(F.translate("_t", BLANKS, "")).cast("bigint").alias("word_chars"),
         (F.length("_t") - F.length(F.translate("_t", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
         F.filter(F.split("_t", r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("_w"), F.filter(F.split("_t", "\n"), has_word).alias("_l"),
     )
     rows = rows.withColumn("_n", F.size("_w"))
-    rows = rows.select("doc_id", "lang", "source", "word_chars", "n_symbols", F.col("_n"), F.size("_l").alias("_lines"), F.size(F.array_distinct("_l")).alias("_distinct"), F.when(F.col("_n") >= 3, window).otherwise(F.array().cast("array<bigint>")).alias("_h"))
+    rows = rows.select("_doc", "doc_id", "lang", "source", "word_chars", "n_symbols", F.col("_n"), F.size("_l").alias("_lines"), F.size(F.array_distinct("_l")).alias("_distinct"), F.when(F.col("_n") >= 3, window).otherwise(F.array().cast("array<bigint>")).alias("_h"))
     rows = rows.withColumn("_repeats", F.size(F.array_distinct("_h")) < F.size("_h"))
     return rows.select(
-        "doc_id", "lang", "source", F.col("_n").cast("bigint").alias("n_words"), "word_chars", "n_symbols", (F.col("_lines") - F.col("_distinct")).cast("bigint").alias("n_dup_lines"),
+        "_doc", "doc_id", "lang", "source", F.col("_n").cast("bigint").alias("n_words"), "word_chars", "n_symbols", (F.col("_lines") - F.col("_distinct")).cast("bigint").alias("n_dup_lines"),
         F.when(F.col("_repeats"), _covered(F.col("_h"))).otherwise(0).cast("bigint").alias("n_repeat_words"), F.col("_lines").cast("bigint").alias("n_lines"),
     )
 
@@ -191,20 +193,37 @@ def _concentrated(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     return _inverted(moments.withColumns(scaled))
 
 
-def judged(docs: DataFrame) -> DataFrame:
+def _small(groups: DataFrame) -> DataFrame:
+    """Broadcast if it has few rows, else left to a shuffled join."""
+    return F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
+
+
+def judged(docs: DataFrame, carry: bool = False) -> DataFrame:
     """A row per document: its statistics, base_failed, kept, and the squared distance (null where the
-    rules failed it or its group is too small)."""
-    rows = materialize(features(statistics(docs)))
-    keys = materialize(_group_keys(rows))
+    rules failed it or its group is too small); with ``carry`` also _doc, the row as it came."""
+    rows = features(statistics(docs))
+    if carry:
+        path = scratch_path(docs.sparkSession, "quality")
+        rows.write.option("compression", "zstd").parquet(path)
+        rows = docs.sparkSession.read.parquet(path)
+    else:
+        rows = materialize(rows.drop("_doc"))
+    keys = _small(materialize(_group_keys(rows)))
     keyed = rows.alias("r").join(keys, F.col("r.lang").eqNullSafe(F.col("_lang")) & F.col("r.source").eqNullSafe(F.col("_source")), "left").select("r.*", "_key")
     passed = keyed.where(~F.col("base_failed")).select("_key", *FEATURES)
     estimates = materialize(_start(passed))
     for _ in range(ROUNDS):
-        estimates = materialize(_concentrated(passed, estimates))
-    scored = _distances(keyed, estimates, "left")
+        estimates = materialize(_concentrated(passed, _small(estimates)))
+    scored = _distances(keyed, _small(estimates), "left")
     far = F.when(~F.col("base_failed") & (F.col("_n") >= MIN_GROUP), F.col("_d2"))
     return scored.withColumn("distance", far).withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF))
 
 
 def quality_rows(docs: DataFrame) -> DataFrame:
-    return judged(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+    return judged(docs.select("doc_id", "text", "lang", "source")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """The documents that the rules and estimates keep, columns as they came. The texts aren't shuffled:
+    groups' estimates come to them."""
+    return judged(docs, carry=True).where("kept").select(*(F.col("_doc").getField(c).alias(c) for c in docs.columns))
