@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPLIT_HEX_DIGITS = 2
-SAMPLE_HEX_DIGITS = 4
+#: Digits of the digest that are compared: 60 bits, finer than a double's fraction.
+HEX_DIGITS = 15
 
 
-def hex_threshold(fraction: float, digits: int) -> str:
-    """Lower-case hex string t such that ``prefix < t`` keeps ~``fraction``."""
+def hex_threshold(fraction: float, digits: int = HEX_DIGITS) -> str:
+    """Lower-case hex string t such that ``prefix < t`` keeps ``fraction`` of the keys."""
     space = 16 ** digits
     n = max(0, min(space, round(fraction * space)))
     if n >= space:
@@ -22,18 +22,10 @@ def hex_threshold(fraction: float, digits: int) -> str:
     return format(n, f"0{digits}x")
 
 
-def key_hash_prefix(key: Column, digits: int) -> Column:
-    return F.substring(F.md5(key.cast("string")), 1, digits)
+def key_hash(key: Column) -> Column:
+    return F.md5(key.cast("string"))
 
 
 def split_predicate(key: Column, train_ratio: float) -> Column:
     """True for the training side of a customer-level split."""
-    return key_hash_prefix(key, SPLIT_HEX_DIGITS) < F.lit(hex_threshold(train_ratio, SPLIT_HEX_DIGITS))
-
-
-def sample_predicate(key: Column, fraction: Column | float) -> Column:
-    """Keep a row when its hash prefix, read as an integer, is below fraction * 16^4."""
-    space = 16 ** SAMPLE_HEX_DIGITS
-    frac = fraction if isinstance(fraction, Column) else F.lit(float(fraction))
-    value = F.conv(key_hash_prefix(key, SAMPLE_HEX_DIGITS), 16, 10).cast("int")
-    return value < F.least(F.lit(1.0), frac) * F.lit(space)
+    return F.substring(key_hash(key), 1, HEX_DIGITS) < F.lit(hex_threshold(train_ratio))

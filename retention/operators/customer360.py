@@ -15,6 +15,8 @@ from retention.functions.timewin import date_lit
 # Event types of the pivot, in the order of their columns.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
+OTHER_EVENTS = "other"
+
 # Lifecycle buckets by days since last activity (upper bound exclusive).
 LIFECYCLE_BUCKETS = [(15, "active"), (45, "dormant"), (60, "at-risk")]
 LIFECYCLE_ELSE = "lost"
@@ -22,9 +24,11 @@ LIFECYCLE_ELSE = "lost"
 
 def event_pivot(events: DataFrame, key: str = "customer_id", kind: str = "event_type",
                 values: list[str] = EVENT_TYPES) -> DataFrame:
-    """Count per key x event type, 0 where none. The explicit value list avoids
-    Spark's extra distinct job and fixes the output columns."""
-    return events.groupBy(key).pivot(kind, values).count().na.fill(0, values)
+    """Count per key x event type, 0 where none; types outside the list (and null) count
+    in ``other``. The explicit list avoids an extra distinct job and fixes the columns."""
+    named = F.when(F.col(kind).isin(values), F.col(kind)).otherwise(OTHER_EVENTS)
+    columns = [*values, OTHER_EVENTS]
+    return events.withColumn(kind, named).groupBy(key).pivot(kind, columns).count().na.fill(0, columns)
 
 
 def lifecycle_state(recency_days: Column) -> Column:
@@ -42,11 +46,10 @@ def lifecycle(last: DataFrame, as_of: str) -> DataFrame:
 
 
 def order_products(lineitem: DataFrame) -> DataFrame:
-    """Prior (finished lines) and train (open lines) concatenated with their set name."""
+    """Every order line with its set, in one scan: prior (finished), train (open), other."""
     cols = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice"]
-    prior = lineitem.filter(F.col("l_linestatus") == "F").select(*cols, F.lit("prior").alias("eval_set"))
-    train = lineitem.filter(F.col("l_linestatus") == "O").select(*cols, F.lit("train").alias("eval_set"))
-    return prior.unionByName(train)
+    status = F.col("l_linestatus")
+    return lineitem.select(*cols, F.when(status == "F", "prior").when(status == "O", "train").otherwise("other").alias("eval_set"))
 
 
 def basket_join(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
@@ -83,7 +86,7 @@ def customer_360(demographics: DataFrame, behavioral: DataFrame, events_pivot: D
            .join(life.drop("recency_days"), "customer_id", "left"))
     if offers is not None:
         out = out.join(offers, "customer_id", "left")
-    return fill_zero_if_present(out, EVENT_TYPES)
+    return fill_zero_if_present(out, [*EVENT_TYPES, OTHER_EVENTS])
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

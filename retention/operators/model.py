@@ -97,9 +97,9 @@ def train_model(features: DataFrame, labels: DataFrame, split_date: str, run_dat
     """
     from retention.session import materialize
     training = materialize(splitting.training_set(features, labels))
-    if check_leaks:
-        splitting.enforce_split(splitting.split_report(training, split_date, p))
     train_df, val_df = splitting.split(training, split_date, p)
+    if check_leaks:
+        splitting.enforce_split(splitting.split_report(train_df, val_df))
     cols = feature_columns(training)
     model = fit(train_df, cols, gp)
     val_scored = predict(model, val_df, run_date, keep=("churn_label",))

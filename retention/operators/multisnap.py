@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from retention.functions.timewin import is_midnight, shift, to_day, ts_between_midnights
 from retention.operators import features as feat
+from retention.operators.labels import labels_from_flags
 from retention.operators.rangejoin import day_number, range_join
 from retention.params import DEFAULT, Params
 
@@ -131,11 +132,5 @@ def labels_for_dates(spark: SparkSession, customers: DataFrame, transactions: Da
                     p.churn_horizon_days)
     it = _in_window(interactions.filter(F.col("session_duration") > 0).select("customer_id", "timestamp").distinct(),
                     dates, snaps, 1, p.churn_horizon_days)
-    active = tx.select(*keys).union(it.select(*keys)).distinct()
-    elig = eligible_by_snapshot(customers.select("customer_id", "join_date"), dates, p).select(*keys)
-    s = F.col("snapshot_date")
-    non_churned = active.select("customer_id", F.lit(0).alias("churn_label"),
-                                F.lit(None).cast("date").alias("churned_date"), s)
-    churned = elig.join(active, keys, "left_anti").select(
-        "customer_id", F.lit(1).alias("churn_label"), s.alias("churned_date"), s)
-    return non_churned.unionByName(churned)
+    elig = eligible_by_snapshot(customers.select("customer_id", "join_date"), dates, p)
+    return labels_from_flags(elig, tx.select(*keys).union(it.select(*keys)), keys)

@@ -64,8 +64,8 @@ def score_groups(scored: DataFrame, score: str = "churn_probability", label: str
     and the main plan both read it instead of recomputing the scoring plan.
     """
     y = F.col(label).cast("int")
-    # Rows without a score cannot be ranked; they are left out (sklearn rejects them).
-    g = scored.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("score"), *extra).agg(
+    # Rows without a score stay a group of their own: curves leave it out, counts don't.
+    g = scored.groupBy(F.col(score).alias("score"), *extra).agg(
         F.sum(y).cast("bigint").alias("pos"), F.sum(1 - y).cast("bigint").alias("neg"))
     if materialize:
         from retention.session import materialize as _m
@@ -79,6 +79,7 @@ def score_curve(scored: DataFrame, score: str = "churn_probability", label: str
     plus the totals ``P, N``. ``groups`` may pass a ready ``score_groups`` table;
     ``buckets=None`` sizes the buckets from the number of distinct scores."""
     g = score_groups(scored, score, label) if groups is None else groups
+    g = g.filter(F.col("score").isNotNull())
     if set(g.columns) != {"score", "pos", "neg"}:
         g = g.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     if buckets is None:
@@ -158,7 +159,7 @@ def precision_at_recall(curve: DataFrame, target_recall: float) -> DataFrame:
 
 def prf(scored: DataFrame, label: str = "churn_label", pred: str = "churn_prediction") -> DataFrame:
     """M7: precision, recall, F1 of the 0/1 predictions; 0 where undefined."""
-    y, yh = F.col(label) == 1, F.col(pred) == 1
+    y, yh = F.col(label) == 1, F.coalesce(F.col(pred) == 1, F.lit(False))
     a = scored.agg(F.count_if(y & yh).alias("tp"), F.count_if(~y & yh).alias("fp"),
                    F.count_if(y & ~yh).alias("fn"), F.count(F.lit(1)).alias("n_rows"))
     return _prf_select(a)
@@ -174,7 +175,7 @@ def _prf_select(a: DataFrame) -> DataFrame:
 
 def prf_from_groups(groups: DataFrame, pred: str = "churn_prediction") -> DataFrame:
     """M7 from the (score, prediction) groups, no second pass over the rows."""
-    yh = F.col(pred) == 1
+    yh = F.coalesce(F.col(pred) == 1, F.lit(False))
     a = groups.agg(F.coalesce(F.sum(F.when(yh, F.col("pos"))), F.lit(0)).alias("tp"),
                    F.coalesce(F.sum(F.when(yh, F.col("neg"))), F.lit(0)).alias("fp"),
                    F.coalesce(F.sum(F.when(~yh, F.col("pos"))), F.lit(0)).alias("fn"),
@@ -185,34 +186,42 @@ def prf_from_groups(groups: DataFrame, pred: str = "churn_prediction") -> DataFr
 def metrics(scored: DataFrame, target_recall: float, label: str = "churn_label",
             score: str = "churn_probability", pred: str = "churn_prediction",
             buckets: int | None = None) -> DataFrame:
-    """M9: one row with auc, precision, recall, f1, precision_at_target_recall.
+    """M9: one row with n_rows, n_unscored, auc, precision, recall, f1, precision_at_target_recall.
+
+    Rows without a score count as not predicted in precision, recall and F1, and are
+    counted in n_unscored; they have no place on the curve.
 
     The three one-row results are stacked as (metric, value) rows and pivoted
     back into one row, so no join is needed to put them side by side.
     """
     groups = score_groups(scored, score, label, extra=(pred,))
     curve = score_curve(scored, score, label, buckets, groups=groups)
-    names = ["n_rows", "auc", "precision", "recall", "f1", "precision_at_target_recall"]
+    names = ["n_rows", "n_unscored", "auc", "precision", "recall", "f1", "precision_at_target_recall"]
 
     def long(df: DataFrame, cols: list[str]) -> DataFrame:
         return df.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in cols])))
 
     stacked = (long(prf_from_groups(groups, pred), ["n_rows", "precision", "recall", "f1"])
+               .unionByName(long(groups.filter(F.col("score").isNull()).agg(
+                   F.coalesce(F.sum(F.col("pos") + F.col("neg")), F.lit(0)).alias("n_unscored")), ["n_unscored"]))
                .unionByName(long(auc(curve), ["auc"]))
                .unionByName(long(precision_at_recall(curve, target_recall), ["precision_at_target_recall"])))
     wide = stacked.groupBy().pivot("metric", names).agg(F.first("value"))
-    return wide.select(F.col("n_rows").cast("bigint").alias("n_rows"), *names[1:])
+    counts = [F.col(c).cast("bigint").alias(c) for c in names[:2]]
+    return wide.select(*counts, *names[2:])
 
 
 def threshold_gate(metrics_row: DataFrame, min_auc: float, min_precision: float) -> DataFrame:
-    """One row per gated metric with its threshold and warn/ok."""
+    """One row per gated metric with its threshold and warn/ok; error if rows have no score."""
     rows = F.array(
         F.struct(F.lit("auc").alias("metric"), F.col("auc").alias("value"), F.lit(float(min_auc)).alias("minimum")),
         F.struct(F.lit("precision_at_target_recall").alias("metric"),
                  F.col("precision_at_target_recall").alias("value"), F.lit(float(min_precision)).alias("minimum")))
-    out = metrics_row.select(F.inline(rows))
-    return out.withColumn("status", F.when(F.col("value") < F.col("minimum"), "warn").otherwise("ok"))
+    unscored = (F.col("n_unscored") > 0).alias("_unscored")
+    out = metrics_row.select(unscored, F.inline(rows))
+    status = F.when(F.col("_unscored"), "error").when(F.col("value") < F.col("minimum"), "warn").otherwise("ok")
+    return out.withColumn("status", status).drop("_unscored")
 
 
 def lift_deciles(curve: DataFrame) -> DataFrame:

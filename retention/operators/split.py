@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retention.functions.hashing import sample_predicate, split_predicate
+from retention.functions.hashing import key_hash, split_predicate
 from retention.functions.timewin import date_lit
 from retention.params import DEFAULT, Params
 
@@ -34,40 +34,28 @@ def customer_overlap(train_customers: DataFrame, val_customers: DataFrame) -> Da
     return train_customers.intersect(val_customers)
 
 
-def with_split(training: DataFrame, split_date: str, p: Params = DEFAULT) -> DataFrame:
-    """``split`` = train (train customer, date <= split), val (val customer, date > split), else null."""
-    is_train = split_predicate(F.col("customer_id"), p.train_ratio)
-    s = F.col("snapshot_date") <= date_lit(split_date)
-    return training.withColumn(
-        "split", F.when(is_train & s, "train").when(~is_train & ~s, "val"))
-
-
 def split(training: DataFrame, split_date: str, p: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """G2 + B22 + C4: the two sides, each a plain filter (no join against a customer list)."""
-    tagged = with_split(training, split_date, p)
-    return (tagged.filter(F.col("split") == "train").drop("split"),
-            tagged.filter(F.col("split") == "val").drop("split"))
-
-
-def split_report(training: DataFrame, split_date: str, p: Params = DEFAULT) -> DataFrame:
-    """I6 in one job: customer counts per side, overlap, sample counts, date order, status.
-
-    Grouped first by customer (partial aggregation, so a customer with many
-    rows is combined map-side), then a global aggregate of the per-customer rows.
-    """
+    """G2 + B22 + C4: train (train customer, date <= split) and val (val customer, date > split). Each is a
+    plain conjunction, so the date test reaches the partitions of a stored table."""
     is_train = split_predicate(F.col("customer_id"), p.train_ratio)
-    s = F.col("snapshot_date") <= date_lit(split_date)
-    per_cust = training.groupBy("customer_id").agg(
-        F.max(is_train.cast("int")).alias("in_train_set"),
-        F.max((~is_train).cast("int")).alias("in_val_set"),
-        F.count_if(is_train & s).alias("train_rows"),
-        F.count_if(~is_train & ~s).alias("val_rows"),
-        F.max(F.when(is_train & s, F.col("snapshot_date"))).alias("max_train"),
-        F.min(F.when(~is_train & ~s, F.col("snapshot_date"))).alias("min_val"))
+    early = F.col("snapshot_date") <= date_lit(split_date)
+    return training.filter(early & is_train), training.filter(~early & ~is_train)
+
+
+def split_report(train_df: DataFrame, val_df: DataFrame) -> DataFrame:
+    """I6 over the two frames themselves: customer counts per side, customers in both, sample counts,
+    date order, status. Grouped first by customer (combined map-side), then over customers."""
+    sides = train_df.select("customer_id", "snapshot_date", F.lit(True).alias("_train")).unionByName(
+        val_df.select("customer_id", "snapshot_date", F.lit(False).alias("_train")))
+    t = F.col("_train")
+    per_cust = sides.groupBy("customer_id").agg(
+        F.count_if(t).alias("train_rows"), F.count_if(~t).alias("val_rows"),
+        F.max(F.when(t, F.col("snapshot_date"))).alias("max_train"),
+        F.min(F.when(~t, F.col("snapshot_date"))).alias("min_val"))
     a = per_cust.agg(
-        F.coalesce(F.sum("in_train_set"), F.lit(0)).alias("train_customers"),
-        F.coalesce(F.sum("in_val_set"), F.lit(0)).alias("val_customers"),
-        F.count_if((F.col("in_train_set") == 1) & (F.col("in_val_set") == 1)).alias("overlap_customers"),
+        F.count_if(F.col("train_rows") > 0).alias("train_customers"),
+        F.count_if(F.col("val_rows") > 0).alias("val_customers"),
+        F.count_if((F.col("train_rows") > 0) & (F.col("val_rows") > 0)).alias("overlap_customers"),
         F.coalesce(F.sum("train_rows"), F.lit(0)).alias("train_samples"),
         F.coalesce(F.sum("val_rows"), F.lit(0)).alias("val_samples"),
         F.max("max_train").alias("max_train_date"),
@@ -83,9 +71,8 @@ def enforce_split(report: DataFrame) -> None:
                          f"max_train_date={r.max_train_date}, min_val_date={r.min_val_date}")
 
 
-def sample_for_explanation(features: DataFrame, n: int, total: int | None = None) -> DataFrame:
-    """About ``n`` rows, chosen by a hash of (customer_id, snapshot_date); fraction clamped to 1."""
-    total = features.count() if total is None else total
-    frac = 1.0 if total <= n else n / total
+def sample_for_explanation(features: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows (all, if there are fewer) whose (customer_id, snapshot_date) have the smallest
+    hashes; a distributed top-n, no count needed. A caller asks for it; nothing samples by default."""
     key = F.concat_ws("|", F.col("customer_id"), F.col("snapshot_date").cast("string"))
-    return features.filter(sample_predicate(key, frac))
+    return features.orderBy(key_hash(key), "customer_id", "snapshot_date").limit(n)

@@ -38,4 +38,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "36700160",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # midnight bounds must not move with the cluster's zone
+    "spark.sql.session.timeZone": "UTC",
 }

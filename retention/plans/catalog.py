@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retention.functions.hashing import HEX_DIGITS, hex_threshold
 from retention.operators import features as feat
 from retention.operators import labels as lab
 from retention.operators import quality as qual
@@ -324,7 +325,7 @@ def q_csv_scan(spark, sf):
 # ---------------------------------------------------------------- training set and split
 
 SPLIT_DATE = "2024-01-08"
-SPLIT_SQL = "substring(md5(customer_id), 1, 2) < 'b3'"
+SPLIT_SQL = f"substring(md5(customer_id), 1, {HEX_DIGITS}) < '{hex_threshold(DEFAULT.train_ratio)}'"
 
 
 def training_df(spark, sf) -> DataFrame:
@@ -385,38 +386,54 @@ def q_split_val(spark, sf):
     return tidy(split(training_df(spark, sf), SPLIT_DATE)[1], money=MONEY)
 
 
-_LEAK_SQL = f"""SELECT *, CASE WHEN overlap_customers > 0 OR max_train_date > min_val_date THEN 'error' ELSE 'ok' END AS status
+_SIDES_SQL = f"""WITH tr AS (SELECT * FROM training WHERE {SPLIT_SQL} AND snapshot_date <= DATE '{SPLIT_DATE}'),
+va AS (SELECT * FROM training WHERE NOT ({SPLIT_SQL}) AND snapshot_date > DATE '{SPLIT_DATE}')
+"""
+_LEAK_SQL = f"""SELECT * FROM ({_SIDES_SQL}SELECT *, CASE WHEN overlap_customers > 0 OR max_train_date > min_val_date THEN 'error' ELSE 'ok' END AS status
 FROM (SELECT
-  count(DISTINCT customer_id) FILTER (WHERE {SPLIT_SQL}) AS train_customers,
-  count(DISTINCT customer_id) FILTER (WHERE NOT ({SPLIT_SQL})) AS val_customers,
-  0 AS overlap_customers,
-  count(*) FILTER (WHERE {SPLIT_SQL} AND snapshot_date <= DATE '{SPLIT_DATE}') AS train_samples,
-  count(*) FILTER (WHERE NOT ({SPLIT_SQL}) AND snapshot_date > DATE '{SPLIT_DATE}') AS val_samples,
-  max(snapshot_date) FILTER (WHERE {SPLIT_SQL} AND snapshot_date <= DATE '{SPLIT_DATE}') AS max_train_date,
-  min(snapshot_date) FILTER (WHERE NOT ({SPLIT_SQL}) AND snapshot_date > DATE '{SPLIT_DATE}') AS min_val_date
-FROM training)"""
+  (SELECT count(DISTINCT customer_id) FROM tr) AS train_customers,
+  (SELECT count(DISTINCT customer_id) FROM va) AS val_customers,
+  (SELECT count(*) FROM (SELECT customer_id FROM tr INTERSECT SELECT customer_id FROM va)) AS overlap_customers,
+  (SELECT count(*) FROM tr) AS train_samples,
+  (SELECT count(*) FROM va) AS val_samples,
+  (SELECT max(snapshot_date) FROM tr) AS max_train_date,
+  (SELECT min(snapshot_date) FROM va) AS min_val_date))"""
 
 
 @query("split_leak_check", tidy_sql(V(_LEAK_SQL), ints=["train_customers", "val_customers", "overlap_customers",
                                                        "train_samples", "val_samples"],
                                     dates=["max_train_date", "min_val_date"]))
 def q_split_leak_check(spark, sf):
-    from retention.operators.split import split_report
-    return tidy(split_report(training_df(spark, sf), SPLIT_DATE))
+    from retention.operators.split import split, split_report
+    return tidy(split_report(*split(training_df(spark, sf), SPLIT_DATE)))
+
+
+@query("split_val_customers", V(f"SELECT customer_id FROM training EXCEPT SELECT customer_id FROM training WHERE {SPLIT_SQL}"))
+def q_split_val_customers(spark, sf):
+    """The validation customers, by EXCEPT over the distinct customers."""
+    from retention.operators.split import customer_sets
+    return customer_sets(training_df(spark, sf).select("customer_id").distinct())[1]
+
+
+@query("split_date_customers", V(f"SELECT customer_id FROM training WHERE snapshot_date <= DATE '{SPLIT_DATE}' "
+                                 f"INTERSECT SELECT customer_id FROM training WHERE snapshot_date > DATE '{SPLIT_DATE}'"))
+def q_split_date_customers(spark, sf):
+    """E7's intersect over a split by date alone, where customers do stand on both sides."""
+    from retention.operators.split import customer_overlap
+    t = training_df(spark, sf).select("customer_id", "snapshot_date")
+    early = F.col("snapshot_date") <= F.lit(SPLIT_DATE).cast("date")
+    return customer_overlap(t.filter(early).select("customer_id"), t.filter(~early).select("customer_id"))
 
 
 SAMPLE_N = DEFAULT.shap_sample_size
-_SAMPLE_SQL = ("SELECT f.* FROM features4 f, (SELECT count(*) AS cnt FROM features4) c WHERE c.cnt <= "
-               f"{SAMPLE_N} OR ('0x' || substring(md5(customer_id || '|' || CAST(snapshot_date AS VARCHAR)), 1, 4))"
-               f"::INTEGER < (CAST({SAMPLE_N} AS DOUBLE) / CAST(c.cnt AS DOUBLE)) * 65536")
+_SAMPLE_SQL = ("SELECT * FROM features4 ORDER BY md5(customer_id || '|' || CAST(snapshot_date AS VARCHAR)), "
+               f"customer_id, snapshot_date LIMIT {SAMPLE_N}")
 
 
 def sample_df(spark, sf) -> DataFrame:
-    """G3 over the features, checkpointed once: the count that sets the fraction and
-    the sample itself then read the written rows instead of recomputing the plan."""
+    """G3 over the features: the rows of the smallest hashes."""
     from retention.operators.split import sample_for_explanation
-    from retention.session import materialize
-    return sample_for_explanation(materialize(multi_features_df(spark, sf)), SAMPLE_N)
+    return sample_for_explanation(multi_features_df(spark, sf), SAMPLE_N)
 
 
 @query("shap_sample", tidy_sql(V(_SAMPLE_SQL), money=MONEY, dbl=FEATURE_DBLS, ints=FEATURE_INTS, dates=DATES))
@@ -492,12 +509,12 @@ def q_eval_precision_at_recall(spark, sf):
     return tidy(precision_at_recall(curve_df(spark, sf), DEFAULT.target_recall))
 
 
-_METRICS_SQL = (f"SELECT p.n_rows, a.auc, p.precision, p.recall, p.f1, r.precision_at_target_recall "
+_METRICS_SQL = (f"SELECT p.n_rows, (SELECT count(*) FROM scored WHERE churn_probability IS NULL) AS n_unscored, a.auc, p.precision, p.recall, p.f1, r.precision_at_target_recall "
                 f"FROM ({_PRF_SQL}) p, ({_AUC_SQL}) a, ({_PAR_SQL}) r")
 
 
 @query("eval_metrics", tidy_sql(V(_METRICS_SQL), dbl=["auc", "precision", "recall", "f1",
-                                                      "precision_at_target_recall"], ints=["n_rows"]))
+                                                      "precision_at_target_recall"], ints=["n_rows", "n_unscored"]))
 def q_eval_metrics(spark, sf):
     return tidy(metrics_df(spark, sf))
 
@@ -580,19 +597,17 @@ def _shap_sql() -> str:
         f" + CAST({w} AS DOUBLE) * m_{n}" for n, w in LINEAR_WEIGHTS)
     cols = ", ".join(f"CAST({w} AS DOUBLE) * (CAST({n} AS DOUBLE) - m_{n}) AS shap_{n}" for n, w in LINEAR_WEIGHTS)
     return (f"SELECT customer_id, snapshot_date, {ev} AS expected_value, {cols} "
-            f"FROM ({_SAMPLE_SQL}) s, (SELECT {means} FROM features4) m")
+            f"FROM features4 s, (SELECT {means} FROM features4) m")
 
 
 def shap_df(spark, sf) -> DataFrame:
-    """Sample size and background means come from one aggregate over the features."""
+    """Explanations of all rows; the background means come from one aggregate over them."""
     from retention.operators.explain import background_stats, linear_explanations
     from retention.operators.scoring import LINEAR_INTERCEPT, LINEAR_WEIGHTS
-    from retention.operators.split import sample_for_explanation
     from retention.session import materialize
     feats = materialize(multi_features_df(spark, sf))
-    total, means = background_stats(feats, [n for n, _ in LINEAR_WEIGHTS])
-    sample = sample_for_explanation(feats, SAMPLE_N, total=total)
-    return linear_explanations(sample, None, LINEAR_WEIGHTS, LINEAR_INTERCEPT, means=means)
+    _, means = background_stats(feats, [n for n, _ in LINEAR_WEIGHTS])
+    return linear_explanations(feats, None, LINEAR_WEIGHTS, LINEAR_INTERCEPT, means=means)
 
 
 def _shap_cols():
@@ -790,8 +805,10 @@ def q_profile_counts(spark, sf):
 # ---------------------------------------------------------------- customer 360
 
 def _pivot_sql() -> str:
-    from retention.operators.customer360 import EVENT_TYPES
+    from retention.operators.customer360 import EVENT_TYPES, OTHER_EVENTS
     cols = ", ".join(f"count(*) FILTER (WHERE event_type = '{e}') AS {e}" for e in EVENT_TYPES)
+    listed = ", ".join(f"'{e}'" for e in EVENT_TYPES)
+    cols += f", count(*) FILTER (WHERE event_type IS NULL OR event_type NOT IN ({listed})) AS {OTHER_EVENTS}"
     return f"SELECT CAST(user_id AS VARCHAR) AS customer_id, {cols} FROM events GROUP BY 1"
 
 
@@ -802,8 +819,8 @@ def pivot_df(spark, sf) -> DataFrame:
 
 
 def _event_ints():
-    from retention.operators.customer360 import EVENT_TYPES
-    return list(EVENT_TYPES)
+    from retention.operators.customer360 import EVENT_TYPES, OTHER_EVENTS
+    return [*EVENT_TYPES, OTHER_EVENTS]
 
 
 @query("event_pivot", tidy_sql(_pivot_sql(), ints=_event_ints()))
@@ -831,9 +848,8 @@ def q_lifecycle_bucket(spark, sf):
 @query("basket_join", tidy_sql(
     "SELECT o_orderkey AS order_id, o_custkey AS customer_key, o_orderdate AS order_date, p_partkey AS product_id, "
     "p_name AS product_name, p_type AS product_type, l_linenumber AS line_number, l_quantity AS quantity, "
-    "l_extendedprice AS price, CASE l_linestatus WHEN 'F' THEN 'prior' ELSE 'train' END AS eval_set "
-    "FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey "
-    "WHERE l_linestatus IN ('F', 'O')",
+    "l_extendedprice AS price, CASE l_linestatus WHEN 'F' THEN 'prior' WHEN 'O' THEN 'train' ELSE 'other' END AS eval_set "
+    "FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey",
     dbl=["quantity", "price"], ints=["order_id", "customer_key", "product_id", "line_number"], dates=["order_date"]))
 def q_basket_join(spark, sf):
     from retention.operators.customer360 import basket_join
@@ -842,8 +858,7 @@ def q_basket_join(spark, sf):
 
 
 def _c360_sql() -> str:
-    from retention.operators.customer360 import EVENT_TYPES
-    fills = ", ".join(f"coalesce({e}, 0) AS {e}" for e in EVENT_TYPES)
+    fills = ", ".join(f"coalesce({e}, 0) AS {e}" for e in _event_ints())
     return O.with_views(
         f"SELECT * REPLACE ({fills}) FROM customers LEFT JOIN ({TXN_STATS_SQL}) b USING (customer_id) "
         f"LEFT JOIN ({_pivot_sql()}) e USING (customer_id) "
@@ -892,7 +907,7 @@ def q_gbt_train_score(spark, sf):
 def q_gbt_tree_shap(spark, sf):
     from retention.operators.treeshap import explain
     from retention.session import scratch_path
-    return tidy(explain(spark, gbt_model(spark, sf), sample_df(spark, sf), scratch_path(spark, "treeshap")))
+    return tidy(explain(spark, gbt_model(spark, sf), multi_features_df(spark, sf), scratch_path(spark, "treeshap")))
 
 
 # ---------------------------------------------------------------- second tier

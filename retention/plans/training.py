@@ -17,7 +17,7 @@ from retention.operators import model as mdl
 from retention.operators import split as sp
 from retention.operators import treeshap
 from retention.params import DEFAULT, Params
-from retention.session import scratch_path
+from retention.session import materialize, scratch_path
 from retention.sources.store import FeatureStore
 
 
@@ -31,11 +31,12 @@ class TrainingResult:
 
 
 def monthly_training(spark: SparkSession, store: FeatureStore, start: str, end: str, split_date: str,
-                     run_date: str, p: Params = DEFAULT, gp: mdl.GBTParams = mdl.GBTParams()) -> TrainingResult:
+                     run_date: str, p: Params = DEFAULT, gp: mdl.GBTParams = mdl.GBTParams(), explain_rows: int | None = None) -> TrainingResult:
+    """``explain_rows``: explain a sample of so many rows instead of all of them."""
     features = store.load_features_range(start, end)
     labels = store.load_labels_range(start, end)
     model, metrics = mdl.train_model(features, labels, split_date, run_date, p, gp)
     path = store.save_model(model, run_date)
-    sample = sp.sample_for_explanation(features, p.shap_sample_size)
-    explanations = treeshap.explain(spark, model, sample, scratch_path(spark, "treeshap"))
+    explained = features if explain_rows is None else sp.sample_for_explanation(features, explain_rows)
+    explanations = materialize(treeshap.explain(spark, model, explained, scratch_path(spark, "treeshap")))
     return TrainingResult(model, path, metrics, explanations, ex.global_importance(explanations))

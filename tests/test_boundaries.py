@@ -191,16 +191,49 @@ def test_null_gate_raises_before_fill(spark):
     qual.enforce_null_report(qual.null_report(feat.weekly_snapshot(c, t, interactions(spark, []), S)))
 
 
-def test_split_gate_raises_on_date_order(spark):
+def test_split_gate_raises_on_leaking_frames(spark):
     from retention.operators import split as sp
     rows = [(f"id{i}", "2024-01-15") for i in range(50)] + [(f"id{i}", "2024-01-01") for i in range(50)]
     df = spark.createDataFrame(rows, "customer_id string, snapshot_date string").withColumn(
         "snapshot_date", F.col("snapshot_date").cast("date"))
-    ok = sp.split_report(df, "2024-01-08")
-    sp.enforce_split(ok)
+    train, val = sp.split(df, "2024-01-08")
+    sp.enforce_split(sp.split_report(train, val))
     # a split date after every snapshot leaves no validation rows: still ordered
-    assert sp.split_report(df, "2024-02-01").first().status == "ok"
-    bad = sp.split_report(df, "2024-01-08").withColumn("max_train_date", F.lit("2024-01-20").cast("date")) \
-        .withColumn("status", F.lit("error"))
+    assert sp.split_report(*sp.split(df, "2024-02-01")).first().status == "ok"
+    shared = val.limit(1)
+    leak = sp.split_report(train.unionByName(shared.withColumn("snapshot_date", F.lit("2024-01-01").cast("date"))), val)
+    assert leak.first().overlap_customers == 1
     with pytest.raises(ValueError, match="leakage"):
-        sp.enforce_split(bad)
+        sp.enforce_split(leak)
+    late = train.withColumn("snapshot_date", F.lit("2024-01-20").cast("date"))
+    with pytest.raises(ValueError, match="leakage"):
+        sp.enforce_split(sp.split_report(late, val))
+
+
+def test_split_prunes_the_partitions_of_a_stored_table(spark, tmp_path):
+    from retention.operators import split as sp
+    df = spark.createDataFrame([(f"id{i}", d, 1) for i in range(20) for d in ("2024-01-01", "2024-01-15")],
+                               "customer_id string, snapshot_date string, x int")
+    df.withColumn("snapshot_date", F.col("snapshot_date").cast("date")).write.partitionBy("snapshot_date").parquet(str(tmp_path / "t"))
+    for side in sp.split(spark.read.parquet(str(tmp_path / "t")), "2024-01-08"):
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(snapshot_date" in plan
+
+
+@pytest.mark.parametrize("ratio", [0.001, 0.7, 0.999])
+def test_split_ratio_is_exact_for_any_fraction(spark, ratio):
+    from retention.functions.hashing import split_predicate
+    n = 100_000
+    got = spark.range(n).filter(split_predicate(F.col("id"), ratio)).count()
+    assert abs(got - ratio * n) < 5 * (ratio * (1 - ratio) * n) ** 0.5 + 1
+
+
+def test_null_score_lowers_recall_and_fails_the_gate(spark):
+    from retention.operators import ranking
+    rows = [(0.9, 1, 1), (0.2, 0, 0), (None, 1, None)]
+    df = spark.createDataFrame(rows, "churn_probability double, churn_label int, churn_prediction int")
+    m = ranking.metrics(df, 0.5)
+    one = m.first()
+    assert (one.n_rows, one.n_unscored, one.recall, one.auc) == (3, 1, 0.5, 1.0)
+    assert ranking.prf(df).first().recall == 0.5
+    assert {r.status for r in ranking.threshold_gate(m, 0.0, 0.0).collect()} == {"error"}

@@ -72,9 +72,10 @@ def test_lifecycle_bucket_edges(spark):
 
 
 def test_event_pivot_fills_zero(spark):
-    ev = spark.createDataFrame([("a", "click"), ("a", "click"), ("b", "view")], "customer_id string, event_type string")
+    ev = spark.createDataFrame([("a", "click"), ("a", "click"), ("b", "view"), ("c", "refund"), ("c", None)], "customer_id string, event_type string")
     got = {r.customer_id: r.asDict() for r in event_pivot(ev).collect()}
     assert got["a"]["click"] == 2 and got["a"]["view"] == 0 and got["b"]["purchase"] == 0
+    assert got["c"]["other"] == 2 and got["a"]["other"] == 0
 
 
 def test_export_truncates_to_millis_and_drops(spark):
