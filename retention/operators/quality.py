@@ -151,6 +151,21 @@ def schema_check(raw: dict[str, DataFrame], check_types: bool = False) -> DataFr
               "present boolean, type_matches boolean")
 
 
+def schema_scan(raw: dict[str, DataFrame]) -> DataFrame:
+    """One aggregate per table: for each declared column the rows, and the nulls where it may
+    not be null."""
+    out = None
+    for name, df in raw.items():
+        fields = EXPECTED[name].fields
+        missing = [F.count_if(F.col(f.name).isNull() & F.lit(not f.nullable)).alias(f"_m{i}") for i, f in enumerate(fields)]
+        one = df.agg(F.count(F.lit(1)).alias("n_rows"), *missing)
+        columns = F.array(*(F.struct(F.lit(f.name).alias("column_name"), F.col(f"_m{i}").alias("n_missing")) for i, f in enumerate(fields)))
+        rows = one.select(F.lit(name).alias("table_name"), "n_rows", F.explode(columns).alias("_c")).select(
+            "table_name", "_c.column_name", "n_rows", "_c.n_missing")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def validate_schemas(raw: dict[str, DataFrame], check_types: bool = False) -> None:
     """A6 gate: missing declared columns raise; types only with ``check_types``."""
     for name, df in raw.items():

@@ -53,18 +53,33 @@ def churn_trend(labels: DataFrame) -> DataFrame:
         F.avg(F.col("churn_label").cast("double")).alias("churn_rate"))
 
 
-def kmeans_segments(features: DataFrame, columns: list[str], k: int = 4, seed: int = 42) -> DataFrame:
-    """P5: standardised features -> KMeans; returns the rows with a ``segment`` column."""
+def fit_segments(features: DataFrame, columns: list[str], k: int = 4, seed: int = 42):
+    """P5: the fitted pipeline, standardised features -> KMeans."""
     from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
-    prepared = features.na.fill(0, columns)
-    pipe = Pipeline(stages=[
+    return Pipeline(stages=[
         VectorAssembler(inputCols=columns, outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
-        KMeans(featuresCol="_scaled", predictionCol="segment", k=k, seed=seed)])
-    model = pipe.fit(prepared)
-    return model.transform(prepared).drop("_raw", "_scaled")
+        KMeans(featuresCol="_scaled", predictionCol="segment", k=k, seed=seed)]).fit(features.na.fill(0, columns))
+
+
+def kmeans_segments(features: DataFrame, columns: list[str], k: int = 4, seed: int = 42) -> DataFrame:
+    """P5: the rows with a ``segment`` column."""
+    model = fit_segments(features, columns, k, seed)
+    return model.transform(features.na.fill(0, columns)).drop("_raw", "_scaled")
+
+
+def with_nearest_check(model, features: DataFrame, columns: list[str], tolerance: float = 1e-9) -> DataFrame:
+    """The segmented rows with ``nearest``: no centre is nearer than the row's own segment's."""
+    from pyspark.ml.functions import vector_to_array
+    rows = model.transform(features.na.fill(0, columns)).withColumn("_x", vector_to_array("_scaled"))
+    centres = [c.tolist() for c in model.stages[-1].clusterCenters()]  # k rows
+    away = [F.aggregate(F.zip_with("_x", F.lit(c), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d)
+            for c in centres]
+    rows = rows.withColumn("_away", F.array(*away))
+    near = F.get("_away", F.col("segment")) <= F.array_min("_away") + tolerance
+    return rows.withColumn("nearest", near).drop("_raw", "_scaled", "_x", "_away")
 
 
 def segment_profiles(segmented: DataFrame, columns: list[str], label: str | None = "churn_label") -> DataFrame:

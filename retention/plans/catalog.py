@@ -54,7 +54,7 @@ def raw(spark: SparkSession, sf: str) -> fx.Tables:
 
 def cleaned(spark: SparkSession, sf: str) -> fx.Tables:
     t = raw(spark, sf)
-    return fx.Tables(t.customers, qual.clean(t.transactions, "transactions"),
+    return fx.Tables(t.customers.distinct(), qual.clean(t.transactions, "transactions"),
                      qual.clean(t.interactions, "interactions"))
 
 
@@ -288,6 +288,55 @@ def q_ingest_dated(spark, sf):
     return tidy(ingest(spark, root, SNAPSHOT)["transactions"], money=["amount"])
 
 
+@query("ingest_dated_customers", tidy_sql(O.with_views("SELECT * FROM customers"), ints=["age"], dates=["join_date"]))
+def q_ingest_dated_customers(spark, sf):
+    """A1: the dated customers table, written and read back."""
+    from retention.session import scratch_path
+    from retention.sources.raw import ingest, write_dated
+    root = scratch_path(spark, "raw")
+    write_dated(raw(spark, sf).as_dict(), root, SNAPSHOT)
+    return tidy(ingest(spark, root, SNAPSHOT)["customers"])
+
+
+@query("ingest_dated_interactions", tidy_sql(O.with_views("SELECT * FROM interactions"), ints=["session_duration"],
+                                             dates=["timestamp"]))
+def q_ingest_dated_interactions(spark, sf):
+    """A3: the dated interactions table, written and read back."""
+    from retention.session import scratch_path
+    from retention.sources.raw import ingest, write_dated
+    root = scratch_path(spark, "raw")
+    write_dated(raw(spark, sf).as_dict(), root, SNAPSHOT)
+    return tidy(ingest(spark, root, SNAPSHOT)["interactions"])
+
+
+def _schema_scan_sql() -> str:
+    from retention.sources.schemas import EXPECTED
+    rows = []
+    for t, declared in EXPECTED.items():
+        for f in declared.fields:
+            rows.append(f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, count(*) AS n_rows, "
+                        f"{'CAST(0 AS BIGINT)' if f.nullable else f'count(*) - count({f.name})'} AS n_missing FROM {t}")
+    return O.with_views(" UNION ALL ".join(rows))
+
+
+@query("schema_scan", tidy_sql(_schema_scan_sql(), ints=["n_rows", "n_missing"]))
+def q_schema_scan(spark, sf):
+    """A5, A6 over the rows: per declared column the rows, and those null where the schema forbids it."""
+    from retention.operators.quality import schema_scan
+    return tidy(schema_scan(raw(spark, sf).as_dict()))
+
+
+@query("export_millis", tidy_sql(O.with_views("SELECT * EXCLUDE (product) REPLACE (date_trunc('millisecond', timestamp) AS timestamp) "
+                                              "FROM transactions"), money=["amount"], dates=["timestamp"]))
+def q_export_millis(spark, sf):
+    """Exported without a column, at millisecond precision, and read back."""
+    from retention.session import scratch_path
+    from retention.sources.raw import export_parquet
+    path = scratch_path(spark, "export")
+    export_parquet(raw(spark, sf).transactions, path, drop=("product",), millis="timestamp")
+    return tidy(spark.read.parquet(path), money=["amount"])
+
+
 def _store(spark):
     from retention.session import scratch_path
     from retention.sources.store import FeatureStore
@@ -303,6 +352,24 @@ def q_store_roundtrip_features(spark, sf):
     return tidy(st.load_features_range("2024-01-08", "2024-01-15"), money=MONEY)
 
 
+@query("store_one_features", tidy_sql(O.with_views(O.snapshot(SNAPSHOT)), money=MONEY, dbl=FEATURE_DBLS, ints=FEATURE_INTS,
+                                      dates=DATES))
+def q_store_one_features(spark, sf):
+    """One date of the feature store."""
+    st = _store(spark)
+    st.store_features(multi_features_df(spark, sf))
+    return tidy(st.load_features(SNAPSHOT), money=MONEY)
+
+
+@query("store_one_labels", tidy_sql(O.with_views(O.churn_labels(SNAPSHOT)), ints=["churn_label"],
+                                    dates=["churned_date", "snapshot_date"]))
+def q_store_one_labels(spark, sf):
+    """A10: one date of the label store."""
+    st = _store(spark)
+    st.store_labels(multi_labels_df(spark, sf))
+    return tidy(st.load_labels(SNAPSHOT))
+
+
 @query("store_range_labels", tidy_sql(
     O.with_views(_union_all([O.churn_labels(s) for s in ("2024-01-01", "2024-01-08", "2024-01-15")])),
     ints=["churn_label"], dates=["churned_date", "snapshot_date"]))
@@ -910,6 +977,81 @@ def q_gbt_tree_shap(spark, sf):
     return tidy(explain(spark, gbt_model(spark, sf), multi_features_df(spark, sf), scratch_path(spark, "treeshap")))
 
 
+@query("gbt_val_scores", tidy_sql(V(
+    f"SELECT customer_id, snapshot_date, churn_label, TRUE AS in_range, TRUE AS class_agrees, TRUE AS reload_equal "
+    f"FROM training WHERE NOT ({SPLIT_SQL}) AND snapshot_date > DATE '{SPLIT_DATE}'"),
+    ints=["churn_label"], dates=["snapshot_date"]))
+def q_gbt_val_scores(spark, sf):
+    """M1-M5, A18, B20, B21 as invariants of every validation row: a probability, a class that agrees with
+    it, and the same score from the model saved and loaded again."""
+    from retention.operators.model import predict
+    from retention.operators.split import split
+    from retention.session import materialize
+    st, keys = _store(spark), ["customer_id", "snapshot_date"]
+    st.save_model(gbt_model(spark, sf), AS_OF)
+    val = materialize(split(training_df(spark, sf), SPLIT_DATE)[1])
+    one = predict(gbt_model(spark, sf), val, AS_OF, keep=("churn_label",))
+    two = predict(st.load_model(AS_OF), val, AS_OF).select(*keys, F.col("churn_probability").alias("_again"))
+    p = F.col("churn_probability")
+    return tidy(one.join(two, keys, "left").select(
+        *keys, "churn_label", p.between(0.0, 1.0).alias("in_range"),
+        ((p > 0.5).cast("int") == F.col("churn_prediction")).alias("class_agrees"),
+        p.eqNullSafe(F.col("_again")).alias("reload_equal")))
+
+
+def _gate_rows() -> str:
+    d = DEFAULT
+    return (f"SELECT * FROM (VALUES ('auc', CAST({d.min_auc_threshold} AS DOUBLE), TRUE, TRUE), ('precision_at_target_recall', "
+            f"CAST({d.min_precision_threshold} AS DOUBLE), TRUE, TRUE)) AS g(metric, minimum, in_range, status_agrees)")
+
+
+@query("gbt_gate", tidy_sql(_gate_rows(), dbl=["minimum"]))
+def q_gbt_gate(spark, sf):
+    """The fitted model's metrics on all labelled rows, gated."""
+    from retention.operators.model import evaluate
+    _, gate = evaluate(gbt_model(spark, sf), multi_features_df(spark, sf), multi_labels_df(spark, sf), AS_OF)
+    low = F.col("value") < F.col("minimum")
+    return tidy(gate.select("metric", "minimum", F.col("value").between(0.0, 1.0).alias("in_range"),
+                            (F.when(low, "warn").otherwise("ok") == F.col("status")).alias("status_agrees")))
+
+
+def _tree_explanations(spark, sf) -> DataFrame:
+    from retention.operators.treeshap import explain
+    from retention.session import materialize, scratch_path
+    feats = materialize(multi_features_df(spark, sf))
+    return materialize(explain(spark, gbt_model(spark, sf), feats, scratch_path(spark, "treeshap")))
+
+
+@query("gbt_shap_additive", tidy_sql(V("SELECT customer_id, snapshot_date, TRUE AS additive FROM features4"),
+                                     dates=["snapshot_date"]))
+def q_gbt_shap_additive(spark, sf):
+    """M13, M14 on trees: for every row the expected value and the attributions sum to the model's margin."""
+    from pyspark.ml.functions import vector_to_array
+    from retention.operators.model import model_columns, prepare
+    model, keys = gbt_model(spark, sf), ["customer_id", "snapshot_date"]
+    explained = _tree_explanations(spark, sf)
+    shap = [c for c in explained.columns if c.startswith("shap_")]
+    total = F.col("expected_value")
+    for c in shap:
+        total = total + F.col(c)
+    margin = model.transform(prepare(multi_features_df(spark, sf), model_columns(model))).select(
+        *keys, vector_to_array("rawPrediction")[1].alias("_margin"))
+    return tidy(explained.select(*keys, total.alias("_sum")).join(margin, keys, "left").select(
+        *keys, (F.abs(F.col("_sum") - F.col("_margin")) <= 1e-6).alias("additive")))
+
+
+@query("gbt_importance", tidy_sql(
+    # the numeric features and the four product flags
+    f"SELECT unnest(range(1, {len(O.NUMERIC_FILL) + 4} + 1)) AS rank, TRUE AS falling", ints=["rank"]))
+def q_gbt_importance(spark, sf):
+    """M15, M16 on trees: every model input has a rank, and importances don't rise with it."""
+    from pyspark.sql import Window
+    from retention.operators.explain import global_importance
+    ranked = global_importance(_tree_explanations(spark, sf))
+    before = F.lag("importance").over(Window.orderBy("rank"))  # a row per feature
+    return tidy(ranked.select("rank", ((F.col("importance") >= 0) & (F.coalesce(before >= F.col("importance"), F.lit(True)))).alias("falling")))
+
+
 # ---------------------------------------------------------------- second tier
 
 _LAG_SQL = """SELECT customer_id, snapshot_date, txn_count_30d AS value,
@@ -961,10 +1103,23 @@ SEGMENT_FEATURES = ["tenure_days", "txn_count_30d", "txn_amount_30d", "login_cou
 @query("segments")
 def q_segments(spark, sf):
     from retention.operators.segments import kmeans_segments, segment_profiles
-    seg = kmeans_segments(training_df(spark, sf), SEGMENT_FEATURES)
+    from retention.session import materialize
+    seg = kmeans_segments(materialize(training_df(spark, sf)), SEGMENT_FEATURES)
     return tidy(segment_profiles(seg, SEGMENT_FEATURES))
 
 
+@query("segment_members", tidy_sql(V("SELECT customer_id, snapshot_date, TRUE AS nearest, (SELECT count(*) FROM training) "
+                                     "AS members FROM training"), ints=["members"], dates=["snapshot_date"]))
+def q_segment_members(spark, sf):
+    """P5, P6 as invariants: each row once, in its nearest centre's segment; the profiles' sizes sum to all rows."""
+    from retention.operators.segments import fit_segments, segment_profiles, with_nearest_check
+    from retention.session import materialize
+    rows = materialize(training_df(spark, sf))
+    seg = with_nearest_check(fit_segments(rows, SEGMENT_FEATURES), rows, SEGMENT_FEATURES)
+    members = segment_profiles(seg, SEGMENT_FEATURES).agg(F.sum("customers")).first()[0]
+    return tidy(seg.select("customer_id", "snapshot_date", "nearest", F.lit(members).alias("members")))
+
+
 def _stream_sql() -> str:
     from retention.operators.scoring import LINEAR_INTERCEPT, LINEAR_WEIGHTS
     z = f"CAST({LINEAR_INTERCEPT} AS DOUBLE)" + "".join(

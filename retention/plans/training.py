@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retention.operators import explain as ex
 from retention.operators import model as mdl
+from retention.operators import ranking
 from retention.operators import split as sp
 from retention.operators import treeshap
 from retention.params import DEFAULT, Params
@@ -26,6 +27,7 @@ class TrainingResult:
     model: PipelineModel
     model_path: str
     validation_metrics: DataFrame
+    gate: DataFrame
     explanations: DataFrame
     importance: DataFrame
 
@@ -39,4 +41,5 @@ def monthly_training(spark: SparkSession, store: FeatureStore, start: str, end:
     path = store.save_model(model, run_date)
     explained = features if explain_rows is None else sp.sample_for_explanation(features, explain_rows)
     explanations = materialize(treeshap.explain(spark, model, explained, scratch_path(spark, "treeshap")))
-    return TrainingResult(model, path, metrics, explanations, ex.global_importance(explanations))
+    gate = ranking.threshold_gate(metrics, p.min_auc_threshold, p.min_precision_threshold)
+    return TrainingResult(model, path, metrics, gate, explanations, ex.global_importance(explanations))
