@@ -54,25 +54,12 @@ def _in_window(facts: DataFrame, dates: list[str], snaps: DataFrame, start_offse
     return j.filter((F.col("_day") < F.col("_hi")) | F.col("_mid")).drop("_day", "_mid", "_lo", "_hi")
 
 
-# Up to this many dates the list is inlined into the plan as a literal array.
-INLINE_DATES = 1_000
-
-
 def eligible_by_snapshot(customers: DataFrame, dates: list[str], p: Params = DEFAULT) -> DataFrame:
-    """B1 for every snapshot: each customer row generates the snapshots it is eligible for.
-
-    Up to ``INLINE_DATES`` dates this is a per-row generator over a literal date
-    list, not a join: output rows are exactly the (customer, snapshot) pairs of
-    the result. Longer lists (still bounded by ``MAX_SNAPSHOT_DATES``) are
-    broadcast and matched by the tenure inequality instead of bloating the plan.
-    """
+    """B1 for every snapshot: a per-row generator over one literal date list, not a join: output rows are
+    exactly the (customer, snapshot) pairs of the result, by the same plan for any number of dates."""
     days = sorted({to_day(d) for d in dates})
-    jd = F.col("join_date")
-    if len(days) > INLINE_DATES:
-        snaps = F.broadcast(snapshot_frame(customers.sparkSession, [d.isoformat() for d in days]))
-        return customers.join(snaps, jd <= F.date_sub(F.col("snapshot_date"), p.minimum_tenure_days))
     arr = F.array(*[F.lit(d.isoformat()).cast("date") for d in days])
-    elig = F.filter(arr, lambda s: jd <= F.date_sub(s, p.minimum_tenure_days))
+    elig = F.filter(arr, lambda s: F.col("join_date") <= F.date_sub(s, p.minimum_tenure_days))
     return customers.withColumn("snapshot_date", F.explode(elig))
 
 

@@ -162,10 +162,7 @@ def margin(trees: list[Tree], X: np.ndarray) -> np.ndarray:
     out = np.zeros(X.shape[0])
     for t in trees:
         node = np.zeros(X.shape[0], dtype=int)
-        for _ in range(64):
-            inner = t.feature[node] >= 0
-            if not inner.any():
-                break
+        while (inner := t.feature[node] >= 0).any():
             f = np.where(inner, t.feature[node], 0)
             go_left = X[np.arange(X.shape[0]), f] <= t.threshold[node]
             node = np.where(inner, np.where(go_left, t.left[node], t.right[node]), node)

@@ -167,14 +167,15 @@ def test_schema_check(spark):
     assert age.present and not age.type_matches
 
 
-def test_eligibility_long_date_list_matches_inline(spark, monkeypatch):
+def test_eligibility_of_a_long_date_list(spark):
     import retention.operators.multisnap as ms
-    c = customers(spark, [("a", date(2023, 10, 1)), ("b", date(2023, 12, 1)), ("n", None)])
-    dates = [(date(2023, 11, 1) + timedelta(days=7 * k)).isoformat() for k in range(12)]
-    inline = sorted(map(tuple, ms.eligible_by_snapshot(c, dates).select("customer_id", "snapshot_date").collect()))
-    monkeypatch.setattr(ms, "INLINE_DATES", 3)
-    joined = sorted(map(tuple, ms.eligible_by_snapshot(c, dates).select("customer_id", "snapshot_date").collect()))
-    assert inline == joined and len(inline) > 0
+    joined = {"a": date(2023, 10, 1), "b": date(2023, 12, 1), "n": None}
+    c = customers(spark, list(joined.items()))
+    days = [date(2021, 1, 1) + timedelta(days=k) for k in range(1100)]
+    got = ms.eligible_by_snapshot(c, [d.isoformat() for d in days])
+    assert sorted(map(tuple, got.select("customer_id", "snapshot_date").collect())) == [
+        (k, d) for k in ("a", "b") for d in days if joined[k] <= d - timedelta(days=60)]
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
 
 
 def test_null_gate_raises_before_fill(spark):

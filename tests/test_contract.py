@@ -17,5 +17,5 @@ def test_oracle_keys_are_queries():
 
 
 def test_rows_only_queries_are_the_non_sql_ones():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"segments", "gbt_train_score", "gbt_tree_shap"}
+    from retention.plans import catalog
+    assert set(catalog.QUERIES) - set(catalog.ORACLE) == {"segments", "gbt_train_score", "gbt_tree_shap"}
