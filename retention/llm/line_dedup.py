@@ -59,12 +59,13 @@ def _lines(stored: DataFrame) -> DataFrame:
     return cut.select("_rk", "doc_id", "pos", _line(F.col("raw")).alias("x")).where(F.length("x") >= MIN_CHARS)
 
 
-def _segments(length: Column, i: int) -> tuple[Column, Column]:
-    """(start from 1, length) of segment i (from 0) of a line: even parts, the last ones longer by one."""
-    parts = EDITS + 1
-    base = F.floor(length / parts).cast("int")
-    longer = length - base * parts
-    return (F.lit(1) + base * i + F.greatest(F.lit(0), longer - (parts - i))).cast("int"), (base + F.when(F.lit(parts - i) <= longer, 1).otherwise(0)).cast("int")
+def _segment(less: int, i: int, shift: int) -> tuple[str, str, str]:
+    """SQL for (length, start from 1, size) of segment i (from 0) of a line shorter by ``less`` than one of
+    n code points, moved by ``shift``: even parts, the last ones longer by one."""
+    length, parts = f"(n - {less})", EDITS + 1
+    start = f"({1 + shift} + ({length} div {parts}) * {i} + greatest(0, {length} % {parts} - {parts - i}))"
+    size = f"(({length} div {parts}) + if({parts - i} <= {length} % {parts}, 1, 0))"
+    return length, f"cast({start} as int)", f"cast({size} as int)"
 
 
 def _cuts() -> list[tuple[int, int, int]]:
@@ -79,16 +80,23 @@ def _cuts() -> list[tuple[int, int, int]]:
     return out
 
 
-def _keys(x: str, under: Column | None = None) -> Column:
-    """Structs of (key, start, size) of a text column; ``under``: the key they refine."""
-    n = F.length(x)
+def _keys(under: str = "") -> list[str]:
+    """SQL for the keys of a text x of n code points; ``under``: a column that they refine."""
+    head = f"{under}, " if under else ""
+    return [f"xxhash64({head}{length}, {i}, substring(x, {start}, {size}))" for length, start, size, i in ((*_segment(less, i, shift), i) for less, i, shift in _cuts())]
+
+
+def _cut_out(under: str = "") -> str:
+    """SQL for an array of (key, x): each key with what is left of the text without its segment."""
     made = []
-    for less, i, shift in _cuts():
-        start, size = _segments(n - less, i)
-        start = start + shift
-        key = F.xxhash64(*([under] if under is not None else []), n - less, F.lit(i), F.substring(F.col(x), start, size))
-        made.append(F.struct(key.alias("key"), start.alias("start"), size.alias("size")))
-    return F.array(*made)
+    for key, (less, i, shift) in zip(_keys(under), _cuts()):
+        _, start, size = _segment(less, i, shift)
+        made.append(f"named_struct('key', {key}, 'x', concat(substring(x, 1, {start} - 1), substring(x, {start} + {size})))")
+    return f"array({', '.join(made)})"
+
+
+def _all_keys(under: str = "") -> str:
+    return f"array({', '.join(_keys(under))})"
 
 
 def _shared(keyed: DataFrame) -> DataFrame:
@@ -122,25 +130,24 @@ def _pairs(rows: DataFrame) -> DataFrame:
 
 def candidates(lines: DataFrame) -> DataFrame:
     """(a, b): ids of lines (id, x) that may be within EDITS edits, a superset of those that are."""
-    # one array of plain hashes: the widest shuffle of the operator, a key and an id a row
-    plain = F.transform(_keys("x"), lambda k: k["key"])
-    shared = materialize(_shared(lines.select("id", F.explode(plain).alias("key")).distinct()))
+    lines = lines.withColumn("n", F.length("x"))
+    # the widest shuffle of the operator: a key and an id a row
+    shared = materialize(_shared(lines.select("id", F.explode(F.expr(_all_keys())).alias("key"))))
     found = _pairs(shared.where(f"n <= {CROWDED}"))
     crowded = shared.where(f"n > {CROWDED}").select("key", "id")
-    rest = None
+    rest, under = lines, ""
     for level in range(LEVELS):
         if crowded.isEmpty():
-            return found
-        source = lines.join(crowded.select("id").distinct(), "id").select("id", F.lit(0).cast("bigint").alias("_under"), "x") if rest is None else rest
-        under = None if rest is None else F.col("_under")
-        cut = source.select("id", "x", F.explode(_keys("x", under)).alias("k")).select("id", F.col("k.key").alias("key"), F.concat(F.expr("substring(x, 1, k.start - 1)"), F.expr("substring(x, k.start + k.size)")).alias("x"))
-        rest = materialize(cut.join(crowded, ["key", "id"], "left_semi").select("id", F.col("key").alias("_under"), "x").distinct())
-        keyed = rest.select("id", class_counts(F.col("x")).alias("counts"), F.explode(F.transform(_keys("x", F.col("_under")), lambda k: k["key"])).alias("key")).distinct()
-        shared = materialize(_shared(keyed))
+            break
+        source = rest.join(crowded.select("id").distinct(), "id", "left_semi")
+        cut = source.select("id", F.explode(F.expr(_cut_out(under))).alias("_k")).select("id", "_k.key", "_k.x")
+        left = materialize(cut.join(crowded, ["key", "id"], "left_semi").distinct())
+        rest, under = left.select("id", F.col("key").alias("above"), "x", F.length("x").alias("n")), "above"
+        shared = materialize(_shared(rest.select("id", class_counts(F.col("x")).alias("counts"), F.explode(F.expr(_all_keys(under))).alias("key"))))
         last = level == LEVELS - 1
         found = found.unionByName(_pairs(shared if last else shared.where(f"n <= {CROWDED}")))
         crowded = shared.where(f"n > {CROWDED}").select("key", "id")
-    return found
+    return found.distinct()
 
 
 def within(a: Column, b: Column, edits: int = EDITS) -> Column:
@@ -148,8 +155,17 @@ def within(a: Column, b: Column, edits: int = EDITS) -> Column:
     2 * edits + 1 diagonals. Bit k of set d says that the characters read so far match those of b up
     to k - edits places further on with at most d errors."""
     width = 2 * edits + 1
-    left, right = F.filter(F.split(a, ""), lambda c: c != ""), F.split(b, "")
-    same = F.transform(left, lambda c, i: sum((F.when(c == F.get(right, i + (k - edits)), 1 << k).otherwise(0) for k in range(1, width)), F.when(c == F.get(right, i - edits), 1).otherwise(0)))
+
+    def masks(left: Column, right: Column) -> Column:
+        """For each character of left, the diagonals on which right has the same."""
+        def mask(c: Column, i: Column) -> Column:
+            out = F.when(c == F.get(right, i - edits), 1).otherwise(0)
+            for k in range(1, width):
+                out = out + F.when(c == F.get(right, i + (k - edits)), 1 << k).otherwise(0)
+            return out
+
+        return F.transform(left, mask)
+
     start = F.struct(*(F.lit(sum(1 << k for k in range(edits, edits + d + 1))).alias(f"r{d}") for d in range(edits + 1)))
 
     def step(s: Column, m: Column) -> Column:
@@ -159,10 +175,26 @@ def within(a: Column, b: Column, edits: int = EDITS) -> Column:
             sets.append(kept.bitwiseAND(F.lit((1 << width) - 1)))
         return F.struct(*(x.alias(f"r{d}") for d, x in enumerate(sets)))
 
-    end = F.length(b) - F.length(a) + edits
-    reached = F.aggregate(same, start, step, lambda s: s[f"r{edits}"])
-    bit = F.call_function("shiftright", reached, F.greatest(end, F.lit(0))).bitwiseAND(F.lit(1))
-    return (F.abs(F.length(a) - F.length(b)) <= edits) & (bit == 1)
+    # only what lies between the common beginning and the common end is compared; lambda variables hold what is used more than once
+    def middle(t: Column, p: Column, q: Column) -> Column:
+        return F.filter(F.split(F.substring(t, p + 1, F.greatest(F.length(t) - p - q, F.lit(0))), ""), lambda c: c != "")
+
+    def reached(sides: Column) -> Column:
+        left, right = sides["l"], sides["r"]
+        end = F.size(right) - F.size(left) + edits
+        bits = F.aggregate(masks(left, right), start, step, lambda s: s[f"r{edits}"])
+        return F.call_function("shiftright", bits, F.greatest(end, F.lit(0))).bitwiseAND(F.lit(1)) == 1
+
+    halves = F.array(*(F.lit(1 << k) for k in range(30, -1, -1)))
+    room = F.least(F.length(a), F.length(b))
+    begin = F.aggregate(halves, F.lit(0), lambda p, s: F.when((s <= room - p) & (F.substring(a, p + 1, s) == F.substring(b, p + 1, s)), p + s).otherwise(p))
+
+    def ends(p: Column) -> Column:
+        q = F.aggregate(halves, F.lit(0), lambda q, s: F.when((s <= room - p - q) & (F.substring(a, F.length(a) - q - s + 1, s) == F.substring(b, F.length(b) - q - s + 1, s)), q + s).otherwise(q))
+        return F.struct(p.alias("p"), q.alias("q"))
+
+    cut = F.transform(F.transform(F.array(begin), ends), lambda e: F.struct(middle(a, e["p"], e["q"]).alias("l"), middle(b, e["p"], e["q"]).alias("r")))
+    return (F.abs(F.length(a) - F.length(b)) <= edits) & F.get(F.transform(cut, reached), 0)
 
 
 def removals(stored: DataFrame) -> DataFrame:
