@@ -183,21 +183,17 @@ def _distances(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> Dat
     return joined.withColumn("_d2", sum(z[1:], z[0]))
 
 
-def _concentrated(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """The estimate from the share of each group that is nearest to the last one."""
+def _concentrated(rows: DataFrame, estimates: DataFrame, few: bool = False) -> DataFrame:
+    """The estimate from the share of each group that is nearest to the last one; ``few``: the groups are
+    few enough to broadcast, so that a large one isn't shuffled to one task."""
     near = _distances(rows, estimates).select("_key", *FEATURES, F.floor(F.log(F.greatest("_d2", F.lit(1e-9))) / LOG_BIN).alias("_bin"), F.lit(0).alias("_f"))
     limit = _quantiles(near, F.col("_bin"), [SUPPORT]).select("_key", F.col("_q0").alias("_limit"), F.col("_all").alias("_size"))
-    inner = near.join(limit, "_key").where(F.col("_bin") <= F.col("_limit"))
+    inner = near.join(F.broadcast(limit) if few else limit, "_key").where(F.col("_bin") <= F.col("_limit"))
     moments = inner.groupBy("_key").agg(F.max("_size").alias("_n"), *(F.avg(f).alias(f"m_{f}") for f in FEATURES), *(F.covar_pop(a, b).alias(f"c_{a}_{b}") for i, a in enumerate(FEATURES) for b in FEATURES[:i + 1]))
     scaled = {f"c_{a}_{b}": F.col(f"c_{a}_{b}") * CONSISTENCY for i, a in enumerate(FEATURES) for b in FEATURES[:i + 1]}
     return _inverted(moments.withColumns(scaled))
 
 
-def _small(groups: DataFrame) -> DataFrame:
-    """Broadcast if it has few rows, else left to a shuffled join."""
-    return F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
-
-
 def judged(docs: DataFrame, carry: bool = False) -> DataFrame:
     """A row per document: its statistics, base_failed, kept, and the squared distance (null where the
     rules failed it or its group is too small); with ``carry`` also _doc, the row as it came."""
@@ -208,13 +204,20 @@ def judged(docs: DataFrame, carry: bool = False) -> DataFrame:
         rows = docs.sparkSession.read.parquet(path)
     else:
         rows = materialize(rows.drop("_doc"))
-    keys = _small(materialize(_group_keys(rows)))
+    keys = materialize(_group_keys(rows))
+    few = keys.count() <= BROADCAST_GROUPS
+
+    def at_hand(groups: DataFrame) -> DataFrame:
+        """Broadcast if the groups are few, else left to a shuffled join, whose skew Spark splits."""
+        return F.broadcast(groups) if few else groups
+
+    keys = at_hand(keys)
     keyed = rows.alias("r").join(keys, F.col("r.lang").eqNullSafe(F.col("_lang")) & F.col("r.source").eqNullSafe(F.col("_source")), "left").select("r.*", "_key")
     passed = keyed.where(~F.col("base_failed")).select("_key", *FEATURES)
     estimates = materialize(_start(passed))
     for _ in range(ROUNDS):
-        estimates = materialize(_concentrated(passed, _small(estimates)))
-    scored = _distances(keyed, _small(estimates), "left")
+        estimates = materialize(_concentrated(passed, at_hand(estimates), few))
+    scored = _distances(keyed, at_hand(estimates), "left")
     far = F.when(~F.col("base_failed") & (F.col("_n") >= MIN_GROUP), F.col("_d2"))
     return scored.withColumn("distance", far).withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF))
 
