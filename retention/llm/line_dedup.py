@@ -128,18 +128,20 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return left.join(right, on).select("a", "b").distinct()
 
 
-def candidates(lines: DataFrame) -> DataFrame:
-    """(a, b): ids of lines (id, x) that may be within EDITS edits, a superset of those that are."""
+def candidates(lines: DataFrame, fetch=None) -> DataFrame:
+    """(a, b): ids of lines (id, x) that may be within EDITS edits, a superset of those that are.
+    ``fetch`` gives the lines of a frame of ids without moving the others."""
+    fetch = fetch or (lambda ids: lines.join(ids, "id", "left_semi"))
     lines = lines.withColumn("n", F.length("x"))
     # the widest shuffle of the operator: a key and an id a row
     shared = materialize(_shared(lines.select("id", F.explode(F.expr(_all_keys())).alias("key"))))
     found = _pairs(shared.where(f"n <= {CROWDED}"))
     crowded = shared.where(f"n > {CROWDED}").select("key", "id")
-    rest, under = lines, ""
+    rest, under = None, ""
     for level in range(LEVELS):
         if crowded.isEmpty():
             break
-        source = rest.join(crowded.select("id").distinct(), "id", "left_semi")
+        source = rest if level else fetch(crowded.select("id").distinct()).withColumn("n", F.length("x"))
         cut = source.select("id", F.explode(F.expr(_cut_out(under))).alias("_k")).select("id", "_k.key", "_k.x")
         left = materialize(cut.join(crowded, ["key", "id"], "left_semi").distinct())
         rest, under = left.select("id", F.col("key").alias("above"), "x", F.length("x").alias("n")), "above"
@@ -210,9 +212,12 @@ def removals(stored: DataFrame) -> DataFrame:
         cut = stored.select("_rk", F.split("_doc.text", "\n").alias("_l")).join(marked, "_rk")
         return cut.select(F.explode(F.transform("_at", lambda p: F.struct(p.id.alias("id"), p.first.alias("first"), _line(F.get("_l", p.pos)).alias("x")))).alias("_x")).select("_x.*")
 
-    pairs = materialize(candidates(texts(where).select("id", "x")))
+    def fetch(ids: DataFrame) -> DataFrame:
+        return texts(where.join(ids, "id").select("_rk", "pos", "id", "first"))
+
+    pairs = materialize(candidates(texts(where).select("id", "x"), lambda ids: fetch(ids).select("id", "x")))
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    known = materialize(texts(where.join(wanted, "id").select("_rk", "pos", "id", "first")))
+    known = materialize(fetch(wanted))
     left = known.select(F.col("id").alias("a"), F.col("first").alias("u"), F.col("x").alias("_x"))
     right = known.select(F.col("id").alias("b"), F.col("first").alias("v"), F.col("x").alias("_y"))
     near = pairs.join(left, "a").join(right, "b").where(_apart(class_counts(F.col("_x")), class_counts(F.col("_y"))) <= 2 * EDITS).where(within(F.col("_x"), F.col("_y")))
