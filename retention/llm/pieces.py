@@ -1,8 +1,10 @@
 """Splitting texts for byte-level BPE vocabularies, with a cache of repeated stretches.
 
 ``public_tokenizers.PATTERN`` never lets a piece span a single space between two characters that
-aren't white space, so a text may be cut before each such space and the cuts handled alone. Most
-cuts are a space and a word, which repeat: their results are kept in a bounded dict per worker.
+aren't white space, nor a single line break between such, nor the end of a word before white space.
+So a text may be cut before each such space, on both sides of such a break and before its trailing
+white space, and the cuts handled alone. Most are a space and a word, which repeat: their results
+are kept in a bounded cache per worker.
 """
 
 from __future__ import annotations
@@ -12,10 +14,12 @@ from collections.abc import Callable, Iterator
 
 #: Cut points that hold for any text (``\s`` here covers the pattern's ``\s``).
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: White space beside white space: not every space or break is a cut point then.
+_LOOSE = re.compile(r"\s\s")
 #: Code points of a block, and of the blocks that are resolved together.
 BLOCK = 1 << 20
-#: Entries of a worker's cache; beyond it the cache is emptied, which changes no result.
-CACHE_ENTRIES = 600_000
+#: Entries of each of the cache's two generations.
+CACHE_ENTRIES = 500_000
 
 
 def blocks(text: str, size: int = BLOCK) -> Iterator[str]:
@@ -27,44 +31,46 @@ def blocks(text: str, size: int = BLOCK) -> Iterator[str]:
     yield text[at:]
 
 
-def _loose(part: str) -> bool:
-    """The part touches white space at a cut, so the cut isn't a safe one."""
-    return part == " " or part[-1:].isspace() or (part[:1] == " " and part[1:2].isspace())
-
-
-def cuts(text: str, known: dict) -> tuple[list[str], str]:
-    """(stretches, trailing white space) of a text; ``known``: stretches already seen to be safe."""
+def cuts(text: str) -> list[str]:
+    """The stretches of a text that can be handled alone."""
     body = text.rstrip(" \t\n\r")
+    if body[-1:].isspace():
+        body = text
     tail = text[len(body):]
-    if not body:
-        return [], tail
-    parts = [] if "\0" in body else body.replace(" ", "\0 ").split("\0")
-    if not parts or (parts[0] and _loose(parts[0])) or any(p and _loose(p) for p in set(parts[1:]).difference(known)):
+    if "\0" in body or _LOOSE.search(body):
         at = [0, *(m.start() for m in _CUT.finditer(body)), len(body)]
         parts = [body[i:j] for i, j in zip(at, at[1:])]
-    return (parts if parts[0] else parts[1:]), tail
+    else:
+        parts = body.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+    if not parts[0]:
+        del parts[0]
+    if tail:
+        parts.append(tail)
+    return parts
 
 
 class Cached:
-    """Applies ``resolve`` (distinct pieces -> a value each) to whole texts. ``split`` cuts a stretch
-    into pieces, ``join`` puts the values of its pieces together."""
+    """Applies ``resolve`` (distinct pieces -> a value each) to whole texts. ``split`` cuts a stretch into
+    pieces (None: a stretch is one piece), ``join`` puts the values of its pieces together. The cache
+    has two generations: when the young one is full it becomes the old one, and what is used of that
+    moves on, so that frequent stretches stay. Results don't depend on it."""
 
-    def __init__(self, split: Callable[[str], list[str]], resolve: Callable[[list[str]], list], join: Callable, special: str | None = None):
+    def __init__(self, split: Callable[[str], list[str]] | None, resolve: Callable[[list[str]], list], join: Callable, special: str | None = None):
         self.split, self.resolve, self.join, self.special = split, resolve, join, special
         self.store: dict = {}
-        self.tails: dict = {}
+        self.old: dict = {}
 
     def feed(self, texts: Iterator[tuple[int, str]], take: Callable[[int, Iterator | None], None]) -> None:
         """For each (key, text), calls ``take(key, values)`` once per block in order, and
         ``take(key, None)`` for each occurrence of the special string."""
-        held: list[tuple[int, list[str] | None, str]] = []
+        held: list[tuple[int, list[str] | None]] = []
         size = 0
         for key, text in texts:
             for n, segment in enumerate(text.split(self.special) if self.special else (text,)):
                 if n:
-                    held.append((key, None, ""))
+                    held.append((key, None))
                 for block in blocks(segment) if segment else ():
-                    held.append((key, *cuts(block, self.store)))
+                    held.append((key, cuts(block)))
                     size += len(block)
                     if size >= BLOCK:
                         self._flush(held, take)
@@ -72,24 +78,28 @@ class Cached:
         self._flush(held, take)
 
     def _flush(self, held, take) -> None:
-        fresh = {p for _, parts, _ in held for p in parts or ()}.difference(self.store)
-        tails = {t for *_, t in held if t}.difference(self.tails)
-        cut = {s: self.split(s) for s in (*fresh, *tails)}
-        pieces = list({p for ps in cut.values() for p in ps}.difference(self.store))
-        value = dict(zip(pieces, self.resolve(pieces)))
-        self.store.update((p, v) for p, v in value.items() if p[0] == " " and not _loose(p))
-        for s, ps in cut.items():
-            got = value[s] if len(ps) == 1 and s in value else self.join([value[p] if p in value else self.store[p] for p in ps])
-            (self.store if s in fresh else self.tails)[s] = got
-            if s in fresh and s in tails:
-                self.tails[s] = got
-        for key, parts, tail in held:
-            if parts is None:
-                take(key, None)
-                continue
-            take(key, map(self.store.__getitem__, parts))
-            if tail:
-                take(key, iter((self.tails[tail],)))
-        if len(self.store) + len(self.tails) > CACHE_ENTRIES:
-            self.store.clear()
-            self.tails.clear()
+        store = self.store
+        self._add(set().union(*(parts for _, parts in held if parts)).difference(store))
+        for key, parts in held:
+            take(key, None if parts is None else map(store.__getitem__, parts))
+        if len(store) > CACHE_ENTRIES:
+            self.store, self.old = {}, store
+
+    def _known(self, stretches: set[str]) -> set[str]:
+        """Takes what the old generation has; returns the others."""
+        old = self.old
+        kept = [s for s in stretches if s in old]
+        self.store.update(zip(kept, map(old.__getitem__, kept)))
+        return stretches.difference(kept)
+
+    def _add(self, stretches: set[str]) -> None:
+        stretches = self._known(stretches)
+        if self.split is None:
+            fresh = list(stretches)
+            self.store.update(zip(fresh, self.resolve(fresh)))
+            return
+        cut = {s: self.split(s) for s in stretches}
+        fresh = list(self._known(set().union(*cut.values()).difference(self.store)))
+        self.store.update(zip(fresh, self.resolve(fresh)))
+        get = self.store.__getitem__
+        self.store.update([(s, self.join(map(get, ps))) for s, ps in cut.items() if len(ps) > 1])
