@@ -8,8 +8,9 @@ records that refer to it; smaller payloads are all responses. A record is rebuil
 header with its payload; every payload's digest is computed anew when it is read, and a mismatch
 or a payload that is missing is an error.
 
-Only digests are grouped (combined before the shuffle); payload bytes move once to be stored and
-once to be joined, and a payload that many pages share is a skewed inner join that Spark splits.
+Payloads are grouped by digest, one of equal ones leaving each task, and stored in a table bucketed by
+digest, so payload bytes move once. Records meet them there; those of a payload with more than
+``MANY_COPIES`` records meet it in ``SALTS`` parts instead, so that it is no hot task.
 
 Defined cases: null html: an empty payload; null url: an empty target; line breaks in a url are
 written %0D and %0A; rows that share the smallest page_id of a payload are all responses; null
@@ -19,6 +20,7 @@ table: an empty archive.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,15 +29,19 @@ from pyspark.sql import functions as F
 from retention.session import scratch_path
 
 MIN_REVISIT = 100
+#: Records of a payload beyond which they are joined in so many parts.
+MANY_COPIES, SALTS = 1_000, 32
 CRLF = "\r\n"
+PAYLOADS = "digest string, size bigint, first bigint, copies bigint, payload binary"
 
 
 @dataclass(frozen=True)
 class Archive:
-    """Paths of the two tables."""
+    """Paths of the two tables, and the second one's name in the session's catalog, if it is there."""
 
     records: str
     payloads: str
+    table: str | None = None
 
 
 def _lines(*parts: Column | str) -> Column:
@@ -58,36 +64,42 @@ def _headers() -> Column:
 
 def write_archive(pages: DataFrame, folder: str, min_revisit: int = MIN_REVISIT) -> Archive:
     """Writes a record for each row of ``pages`` (page_id, url, html)."""
-    archive = Archive(f"{folder}/records", f"{folder}/payloads")
+    archive = Archive(f"{folder}/records", f"{folder}/payloads", f"payloads_{uuid.uuid4().hex[:12]}")
     rows = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.select("page_id", "url", F.sha2("payload", 256).alias("digest"), F.octet_length("payload").cast("bigint").alias("size"), "payload")
-    firsts = rows.groupBy("digest", "size").agg(F.min("page_id").alias("_first"))
     spark = pages.sparkSession
-    firsts.write.parquet(f"{folder}/firsts")
-    firsts = spark.read.parquet(f"{folder}/firsts")
+    distinct = rows.groupBy("digest").agg(F.first("size").alias("size"), F.min("page_id").alias("first"), F.count("*").alias("copies"), F.first("payload").alias("payload"))
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    distinct.write.bucketBy(buckets, "digest").option("path", archive.payloads).option("compression", "zstd").saveAsTable(archive.table)
+    # read without its buckets: both sides of this light join are shuffled, so Spark can split a frequent digest
+    firsts = spark.read.schema(PAYLOADS).parquet(archive.payloads).select("digest", "first", "copies")
 
-    again = (F.col("size") >= min_revisit) & ~F.col("page_id").eqNullSafe(F.col("_first"))
+    again = (F.col("size") >= min_revisit) & ~F.col("page_id").eqNullSafe(F.col("first"))
     records = (
-        rows.drop("payload").join(firsts, ["digest", "size"])
+        rows.drop("payload").join(firsts, "digest")
         .withColumn("record_type", F.when(again, "revisit").otherwise("response"))
-        .withColumn("refers_to", F.when(again, F.col("_first")))
-        .select(_headers().cast("binary").alias("header"), "digest", "size")
+        .withColumn("refers_to", F.when(again, F.col("first")))
+        .select(_headers().cast("binary").alias("header"), "digest", "copies")
     )
     records.write.parquet(archive.records)
-    # one row of each digest holds the payload; rows that share the id as well are dropped where they meet
-    held = rows.alias("r").join(firsts.alias("f"), (F.col("r.digest") == F.col("f.digest")) & F.col("r.page_id").eqNullSafe(F.col("f._first"))).select("r.digest", "r.size", "r.page_id", "r.payload")
-    held.dropDuplicates(["digest", "page_id"]).select("digest", "size", "payload").write.parquet(archive.payloads)
     return archive
 
 
 def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
     """(header, payload, digest): the original records rebuilt; raises on a payload that doesn't have
     its digest or isn't there."""
-    stored = spark.read.parquet(archive.payloads)
-    checked = stored.select("digest", F.when((F.sha2("payload", 256) == F.col("digest")) & (F.octet_length("payload") == F.col("size")), F.col("payload")).otherwise(F.raise_error(F.concat(F.lit("payload is damaged: "), F.col("digest")))).alias("payload"))
-    records = spark.read.parquet(archive.records).drop("size")
-    joined = records.join(checked, "digest", "left")
-    return joined.select("header", F.when(F.col("payload").isNotNull(), F.col("payload")).otherwise(F.raise_error(F.concat(F.lit("payload is missing: "), F.col("digest")))).alias("payload"), "digest")
+    stored = spark.table(archive.table) if archive.table else spark.read.schema(PAYLOADS).parquet(archive.payloads)
+    damaged = F.raise_error(F.concat(F.lit("payload is damaged: "), F.col("digest")))
+    whole = (F.sha2("payload", 256) == F.col("digest")) & (F.octet_length("payload") == F.col("size"))
+    checked = stored.select("digest", "copies", F.when(whole, F.col("payload")).otherwise(damaged).alias("payload"))
+    records = spark.read.parquet(archive.records)
+    many = F.col("copies") > MANY_COPIES
+    few = records.where(~many).drop("copies").join(checked.where(~many).drop("copies"), "digest", "left")
+    salted = records.where(many).drop("copies").withColumn("_salt", F.pmod(F.xxhash64("header"), F.lit(SALTS)).cast("int"))
+    parts = checked.where(many).drop("copies").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = few.unionByName(salted.join(parts, ["digest", "_salt"], "left").drop("_salt"))
+    missing = F.raise_error(F.concat(F.lit("payload is missing: "), F.col("digest")))
+    return joined.select("header", F.when(F.col("payload").isNotNull(), F.col("payload")).otherwise(missing).alias("payload"), "digest")
 
 
 def record_bytes(records: DataFrame) -> DataFrame:

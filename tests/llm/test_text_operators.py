@@ -182,7 +182,9 @@ def test_word_blocks_join_to_the_text(monkeypatch):
         assert [w for b in simhash.word_blocks(data) for w in b] == data.split()
 
 
-def test_archive_round_trip(spark, empty):
+@pytest.mark.parametrize("many", [1_000, 1])
+def test_archive_round_trip(spark, monkeypatch, many):
+    monkeypatch.setattr(warc, "MANY_COPIES", many)
     shared = "<p>" + "é" * 80
     pages = spark.createDataFrame([(5, "http://a/\r\nX: y", shared, "x"), (3, None, shared, "x"), (9, "u", "tiny", "x"), (8, "u", "tiny", "x"), (7, "u", None, "x"), (None, "u", shared, "x"), (3, "again", shared, "x"), (11, "u", "\r\n\r\nWARC-Type: response\r\n" + "z" * 100, "x")], "page_id bigint, url string, html string, payload string")
     rows = {(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.archive_round_trip(pages).collect()}
