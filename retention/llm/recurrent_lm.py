@@ -37,7 +37,7 @@ from retention.session import scratch_path
 
 #: Bound of the broadcast table, languages told apart, bands of a language's words.
 TABLE, LANGUAGES, BANDS = 1 << 17, 7, 8
-HIDDEN, ROUNDS, RATE = 24, 3, 0.02
+HIDDEN, ROUNDS, RATE = 16, 3, 0.02
 #: Code points of the documents that run through the network together; distinct words a task holds.
 GROUP_CHARS, HELD_WORDS = 6_000_000, 400_000
 #: Bins of a doubling in which words are counted by their count.
