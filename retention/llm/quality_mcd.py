@@ -151,36 +151,23 @@ def _start(rows: DataFrame) -> DataFrame:
 def _inverted(estimates: DataFrame) -> DataFrame:
     """(_key, _n, m_*, w_*): means, and the inverse of the Cholesky factor of each covariance (c_*) with
     the floors on its diagonal."""
-    out = estimates.withColumns({f"c_{f}_{f}": F.col(f"c_{f}_{f}") + FLOOR[f] ** 2 for f in FEATURES})
+    # as SQL texts: a step for each entry, since each needs those before it
+    out = estimates.withColumns({f"c_{f}_{f}": F.expr(f"c_{f}_{f} + {FLOOR[f] ** 2!r}D") for f in FEATURES})
     for i, a in enumerate(FEATURES):
         for j, b in enumerate(FEATURES[:i + 1]):
-            rest = F.col(f"c_{a}_{b}")
-            for k in FEATURES[:j]:
-                rest = rest - F.col(f"l_{a}_{k}") * F.col(f"l_{b}_{k}")
-            out = out.withColumn(f"l_{a}_{b}", F.sqrt(rest) if i == j else rest / F.col(f"l_{b}_{b}"))
+            rest = " - ".join([f"c_{a}_{b}", *(f"l_{a}_{k} * l_{b}_{k}" for k in FEATURES[:j])])
+            out = out.withColumn(f"l_{a}_{b}", F.expr(f"sqrt({rest})" if i == j else f"({rest}) / l_{b}_{b}"))
     for j, b in enumerate(FEATURES):
         for i, a in enumerate(FEATURES[j:], j):
-            if i == j:
-                w = 1 / F.col(f"l_{a}_{a}")
-            else:
-                total = F.lit(0.0)
-                for k in FEATURES[j:i]:
-                    total = total + F.col(f"l_{a}_{k}") * F.col(f"w_{k}_{b}")
-                w = -total / F.col(f"l_{a}_{a}")
-            out = out.withColumn(f"w_{a}_{b}", w)
+            total = " + ".join(f"l_{a}_{k} * w_{k}_{b}" for k in FEATURES[j:i])
+            out = out.withColumn(f"w_{a}_{b}", F.expr(f"1 / l_{a}_{a}" if i == j else f"-({total}) / l_{a}_{a}"))
     return out.select("_key", "_n", *(f"m_{f}" for f in FEATURES), *(f"w_{a}_{b}" for i, a in enumerate(FEATURES) for b in FEATURES[:i + 1]))
 
 
 def _distances(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
     """Adds _d2, the squared Mahalanobis distance from the group's estimate."""
-    joined = rows.join(estimates, "_key", how)
-    z = []
-    for i, a in enumerate(FEATURES):
-        total = F.lit(0.0)
-        for b in FEATURES[:i + 1]:
-            total = total + F.col(f"w_{a}_{b}") * (F.col(b) - F.col(f"m_{b}"))
-        z.append(total * total)
-    return joined.withColumn("_d2", sum(z[1:], z[0]))
+    z = ["(" + " + ".join(f"w_{a}_{b} * ({b} - m_{b})" for b in FEATURES[:i + 1]) + ")" for i, a in enumerate(FEATURES)]
+    return rows.join(estimates, "_key", how).withColumn("_d2", F.expr(" + ".join(f"power({x}, 2)" for x in z)))
 
 
 def _concentrated(rows: DataFrame, estimates: DataFrame, few: bool = False) -> DataFrame:
