@@ -245,6 +245,24 @@ def test_near_duplicates_of_the_table(spark):
     assert sorted(x.doc_id for x in near_dedup.without_near_duplicates(docs).select("doc_id").collect()) == want
 
 
+def test_a_drifting_chain_in_one_crowded_mark_is_one_component(spark):
+    """Each copy is linked to the one before and after it only; two chains, all under one mark."""
+    r = random.Random(9)
+    size, step, many = 100, 10, 35
+    rows = []
+    for chain in range(2):
+        words = ["".join(r.choices("abcdefgh", k=6)) for _ in range(size + step * many)]
+        rows += [(chain * many + k, " ".join(words[k * step:k * step + size])) for k in range(many)]
+    order = list(range(len(rows)))
+    r.shuffle(order)  # the leaders aren't a chain's ends
+    sets = {order[k]: set(near_dedup.shingle_set(t).tolist()) for k, t in rows}
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len(want) == 2 * (many - 1)
+    stored = spark.createDataFrame([(order[k], (t,)) for k, t in rows], "_rk bigint, _doc struct<text: string>")
+    classes = spark.createDataFrame([(k, len(s), [7]) for k, s in sets.items()], "_rk bigint, n bigint, marks array<bigint>")
+    assert {tuple(x) for x in near_dedup.links(stored, classes, 80).collect()} == want
+
+
 # language model
 
 
