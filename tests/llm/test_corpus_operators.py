@@ -91,6 +91,30 @@ def test_outliers_of_a_group_go_and_the_others_stay(spark):
     assert quality_mcd.kept_documents(docs).columns == docs.columns
 
 
+def test_each_feature_rejects_on_its_own(spark):
+    r = random.Random(12)
+
+    def words(n, low=2, high=8):
+        return ["".join(r.choices("abcdefghij", k=r.randint(low, high))) for _ in range(n)]
+
+    rows = [(i, "\n".join(" ".join(words(10)) for _ in range(r.randint(8, 40)))) for i in range(400)]
+    phrase = words(3, 6, 8)
+    planted = {
+        "x_words": " ".join(words(20_000)),
+        "x_length": " ".join(words(200, 11, 14)),
+        "x_symbols": " ".join(w + "#" * (i % 2) * 3 for i, w in enumerate(words(200))),
+        "x_repeats": " ".join(x for i in range(30) for x in phrase + words(4)),  # 90 of 210 words
+        "x_lines": "\n".join(x for w in words(100) for x in (w, "abcde")),
+    }
+    rows += [(1000 + i, t) for i, t in enumerate(planted.values())]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source")
+    judged = {x.doc_id: x for x in quality_mcd.judged(docs).collect()}
+    for i, name in enumerate(planted):
+        x = judged[1000 + i]
+        assert not x.base_failed and not x.kept, (name, x.distance)
+    assert all(judged[i].kept for i in range(400))
+
+
 def test_estimate_equals_numpy(spark):
     """One concentration step, written out in numpy."""
     r = np.random.default_rng(3)
