@@ -76,61 +76,89 @@ def _sigmoid(x):
 def forward(p, inputs, begins, h):
     """States after each step of a window (time, lane, hidden), and what going back needs."""
     n_h = p["U"].shape[0]
-    steps, kept = [], []
-    for x, b in zip(inputs, begins):
+    steps, kept = np.empty((*inputs.shape, n_h), h.dtype), []
+    rows = p["G"][inputs]
+    for t, b in enumerate(begins):
         if b.any():
             h = np.where(b[:, None], h.dtype.type(0), h)
-        g, a = p["G"][x], h @ p["U"]
+        g, a = rows[t], h @ p["U"]
         rz = _sigmoid(g[:, :2 * n_h] + a[:, :2 * n_h])
         r, z = rz[:, :n_h], rz[:, n_h:]
         inner = a[:, 2 * n_h:] + p["b"]
         n = np.tanh(g[:, 2 * n_h:] + r * inner)
         kept.append((h, r, z, n, inner))
         h = n + z * (h - n)
-        steps.append(h)
-    return np.stack(steps), kept
+        steps[t] = h
+    return steps, kept
+
+
+def _logits(p, states):
+    """Logits of all classes (rows: flattened states), the largest of each row 0."""
+    logits = states.reshape(-1, states.shape[-1]) @ p["W"]
+    logits += p["c"]
+    logits -= logits.max(axis=1, keepdims=True)
+    return logits
 
 
 def log_softmax(p, states):
     """Log probabilities of all classes (rows: flattened states)."""
-    logits = states.reshape(-1, states.shape[-1]) @ p["W"] + p["c"]
-    logits -= logits.max(axis=1, keepdims=True)
+    logits = _logits(p, states)
     logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
     return logits
 
 
+def log_of(p, states, targets):
+    """Log probabilities of the targets only."""
+    logits = _logits(p, states)
+    own = logits[np.arange(len(logits)), targets.ravel()]
+    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+
+def _sums(values, rows, n):
+    """Sums of the rows of ``values`` by their numbers below n: rows in order of number, then by segment."""
+    order = np.argsort(rows.astype(np.uint8 if n <= 256 else np.int64), kind="stable")
+    sizes = np.bincount(rows, minlength=n)
+    some = np.flatnonzero(sizes)
+    out = np.zeros((n, values.shape[1]), values.dtype)
+    out[some] = np.add.reduceat(values[order], (np.cumsum(sizes) - sizes)[some], axis=0)
+    return out
+
+
 def gradients(p, targets, inputs, begins, mask, h):
     """(loss a token, gradients, last state) of one window; lanes behind the mask don't count."""
     states, kept = forward(p, inputs, begins, h)
     n_h, weight = p["U"].shape[0], mask.reshape(-1, 1).astype(states.dtype) / max(1, int(mask.sum()))
-    logs = log_softmax(p, states)
-    rows = np.arange(len(logs))
-    loss = -float((logs[rows, targets.ravel()] * weight[:, 0]).sum())
-    d = np.exp(logs)
-    d[rows, targets.ravel()] -= 1
-    d *= weight
+    d = _logits(p, states)
+    rows = np.arange(len(d))
+    own = d[rows, targets.ravel()]
+    total = np.exp(d, out=d).sum(axis=1, keepdims=True)
+    loss = -float(((own - np.log(total[:, 0])) * weight[:, 0]).sum())
+    d *= weight / total
+    d[rows, targets.ravel()] -= weight[:, 0]
     flat_states = states.reshape(-1, n_h)
-    grads = {"W": flat_states.T @ d, "c": d.sum(axis=0), "U": np.zeros_like(p["U"]), "b": np.zeros_like(p["b"])}
+    grads = {"W": flat_states.T @ d, "c": d.sum(axis=0)}
     back = (d @ p["W"].T).reshape(states.shape)
+    # of each step: what goes to the input rows, and to the products with the state
     to_input = np.empty((*inputs.shape, 3 * n_h), states.dtype)
+    to_state = np.empty_like(to_input)
     dh = np.zeros_like(states[0])
+    to_before = np.ascontiguousarray(p["U"].T)
     for t in range(len(inputs) - 1, -1, -1):
         before, r, z, n, inner = kept[t]
         dh = dh + back[t]
         dn = dh * (1 - z) * (1 - n * n)
-        dz = dh * (before - n) * z * (1 - z)
-        d_inner = dn * r
-        dr = dn * inner * r * (1 - r)
-        da = np.concatenate([dr, dz, d_inner], axis=1)
-        to_input[t, :, :n_h], to_input[t, :, n_h:2 * n_h], to_input[t, :, 2 * n_h:] = dr, dz, dn
-        grads["U"] += before.T @ da
-        grads["b"] += d_inner.sum(axis=0)
-        dh = dh * z + da @ p["U"].T
+        x, da = to_input[t], to_state[t]
+        da[:, :n_h] = dn * inner * r * (1 - r)
+        da[:, n_h:2 * n_h] = dh * (before - n) * z * (1 - z)
+        da[:, 2 * n_h:] = dn * r
+        x[:, :2 * n_h], x[:, 2 * n_h:] = da[:, :2 * n_h], dn
+        dh = dh * z + da @ to_before
         if begins[t].any():
             dh[begins[t]] = 0
-    one_hot = np.zeros((inputs.size, len(p["G"])), states.dtype)
-    one_hot[rows, inputs.ravel()] = 1
-    grads["G"] = one_hot.T @ to_input.reshape(-1, 3 * n_h)
+    flat_state = to_state.reshape(-1, 3 * n_h)
+    grads["U"] = np.concatenate([k[0] for k in kept]).T @ flat_state
+    grads["b"] = flat_state[:, 2 * n_h:].sum(axis=0)
+    grads["G"] = _sums(to_input.reshape(-1, 3 * n_h), inputs.ravel(), len(p["G"]))
     return loss, grads, states[-1]
 
 
@@ -167,7 +195,7 @@ def log10_likelihood(p, sequences: list[np.ndarray], end_class: int) -> np.ndarr
     h = np.zeros((len(lanes.sizes), p["U"].shape[0]), np.float32)
     for targets, inputs, begins, mask, owner in lanes.windows(end_class):
         states, _ = forward(p, inputs, begins, h[:targets.shape[1]])
-        logs = log_softmax(p, states)[np.arange(targets.size), targets.ravel()].astype(np.float64)
+        logs = log_of(p, states, targets).astype(np.float64)
         out += np.bincount(owner.ravel(), weights=logs * mask.ravel(), minlength=lanes.sequences)
         h = states[-1]
     return out / np.log(10)

@@ -8,11 +8,13 @@ mass; one class holds the end of a document and one all other words, known and u
 known words have discounted counts, and the discounts' mass is the unknown word's.
 
 1. Words are counted over all training documents: in each task, then combined by word.
-2. The network is trained on all of them in ``ROUNDS`` rounds: each task takes the last round's
+2. One pass over all documents finds each token's class and the sums of the count scores. The table of
+   frequent words has a fixed bound and is broadcast; other words leave the pass as (row, word, times)
+   and meet their counts in a join.
+3. The network is trained on the classes of all training documents in ``ROUNDS`` rounds: each task takes the last round's
    parameters through its documents of the round (truncated backpropagation), and the tasks'
    parameters are averaged by their tokens, an aggregate over parameter numbers.
-3. One pass scores all documents. The table of frequent words has a fixed bound and is broadcast;
-   other words leave the pass as (row, word, times) and meet their counts in a join.
+4. It scores the classes of all documents.
 
 Defined cases: null text: empty, so only the end is scored; null doc_id: remainder of the empty text,
 0; no training documents: both scores are those of uniform counts; repeated rows: scored each; empty
@@ -37,7 +39,7 @@ from retention.session import scratch_path
 
 #: Bound of the broadcast table, languages told apart, bands of a language's words.
 TABLE, LANGUAGES, BANDS = 1 << 17, 7, 8
-HIDDEN, ROUNDS, RATE = 16, 3, 0.02
+HIDDEN, ROUNDS, RATE = 24, 3, 0.02
 #: Code points of the documents that run through the network together; distinct words a task holds.
 GROUP_CHARS, HELD_WORDS = 6_000_000, 400_000
 #: Bins of a doubling in which words are counted by their count.
@@ -138,7 +140,7 @@ def _groups(source):
     held, size = [], 0
     for r in source:
         held.append(r)
-        size += len(r["text"]) + 1000
+        size += r["chars"] + 1000
         if size >= GROUP_CHARS:
             yield held
             held, size = [], 0
@@ -146,24 +148,29 @@ def _groups(source):
         yield held
 
 
-def train(training: DataFrame, vocabulary, like: dict[str, np.ndarray], rounds: int = ROUNDS) -> np.ndarray:
+def _classes(kept: bytes) -> np.ndarray:
+    """A document's classes as the first pass wrote them: there are at most BANDS for each of LANGUAGES + 1
+    groups, and two, so a byte holds one."""
+    return np.frombuffer(kept, np.uint8).astype(np.int64)
+
+
+def train(training: DataFrame, like: dict[str, np.ndarray], rounds: int = ROUNDS) -> np.ndarray:
     """Parameters averaged over the tasks, round by round; every training document is used once."""
     values = gru.flat(like)
     for k in range(rounds):
         start, rate = values, RATE / 2**k
 
         def rows(source, start=start, rate=rate):
-            v = vocabulary.value
             adam, n = gru.Adam(gru.shaped(start, like), rate), 0
             for group in _groups(source):
-                sequences = [v.klass[_encoded(v, r["text"])[0]] for r in group]
+                sequences = [_classes(r["classes"]) for r in group]
                 gru.train(adam, sequences, END)
                 n += sum(map(len, sequences))
             if n:
                 for i, x in enumerate(gru.flat(adam.p).tolist()):
                     yield i, n * x, n
 
-        own = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == k).select("text")
+        own = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == k).select("classes", "chars")
         moved = map_rows(own, rows, "i int, x double, n bigint").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x"))
         got = moved.collect()  # one row per parameter
         if got:
@@ -203,24 +210,32 @@ def score_documents(docs: DataFrame) -> DataFrame:
     discount = once / (once + 2 * twice) if once + twice else 0.5
     discount = min(max(discount, 0.05), 0.95)
 
-    like = gru.fresh(v.classes, HIDDEN, v.bias)
-    params = gru.shaped(train(training, vocabulary, like), like)
-
     def rows(source):
         v = vocabulary.value
-        for group in _groups(source):
-            encoded = [_encoded(v, r["text"]) for r in group]
-            scores = gru.log10_likelihood(params, [v.klass[ids] for ids, _ in encoded], END)
-            for r, (ids, rare), score in zip(group, encoded, scores.tolist()):
-                known = len(ids) - sum(rare.values()) - (v.ends == 0)
-                yield r["_rk"], r["doc_id"], r["part"] == 1, len(ids), known, float(v.base[ids].sum()), score + float(v.within[ids].sum()), None, None
-                for w, n in rare.items():
-                    yield r["_rk"], None, None, 0, 0, 0.0, 0.0, w.decode(), n
-
-    passed = map_rows(rows_in.select("doc_id", "text", "part", F.monotonically_increasing_id().alias("_rk")), rows, "_rk bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, word string, times bigint")
+        for r in source:
+            ids, rare = _encoded(v, r["text"])
+            known = len(ids) - sum(rare.values()) - (v.ends == 0)
+            classes = v.klass[ids].astype(np.uint8).tobytes()
+            yield r["_rk"], r["doc_id"], r["part"], len(ids), known, float(v.base[ids].sum()), float(v.within[ids].sum()), classes, len(r["text"]), None, None
+            for w, n in rare.items():
+                yield r["_rk"], None, None, 0, 0, 0.0, 0.0, None, None, w.decode(), n
+
+    passed = map_rows(rows_in.select("doc_id", "text", "part", F.monotonically_increasing_id().alias("_rk")), rows, "_rk bigint, doc_id bigint, part int, n_tokens bigint, n_known bigint, base_score double, score double, classes binary, chars bigint, word string, times bigint")
     path = scratch_path(spark, "lm-pass")
     passed.write.parquet(path)
     passed = spark.read.parquet(path)
+    encoded = passed.where("word is null")
+
+    like = gru.fresh(v.classes, HIDDEN, v.bias)
+    params = gru.shaped(train(encoded.where("part <> 1"), like), like)
+
+    def scores(source):
+        for group in _groups(source):
+            found = gru.log10_likelihood(params, [_classes(r["classes"]) for r in group], END)
+            for r, score in zip(group, found.tolist()):
+                yield r["_rk"], r["doc_id"], r["part"] == 1, r["n_tokens"], r["n_known"], r["base_score"], r["score"] + score
+
+    scored = map_rows(encoded.drop("word", "times"), scores, "_rk bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
     met = passed.where("word is not null").select("_rk", "word", "times").join(counts.select("word", "c"), "word", "left")
     c, times = F.coalesce("c", F.lit(0)), F.col("times")
     base = times * F.log10((c + 0.5) / (tokens + 0.5 * (types + 1)))
@@ -230,6 +245,6 @@ def score_documents(docs: DataFrame) -> DataFrame:
         within = F.lit(0.0)
     none = lambda kind: F.lit(None).cast(kind)
     more = met.select("_rk", none("bigint").alias("doc_id"), none("boolean").alias("held_out"), F.lit(0).cast("bigint").alias("n_tokens"), F.when(c > 0, times).otherwise(0).alias("n_known"), base.alias("base_score"), (times * within).alias("score"))
-    both = passed.where("word is null").drop("word", "times").unionByName(more)
+    both = scored.unionByName(more)
     summed = both.groupBy("_rk").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), *(F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base_score", "score")))
     return summed.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("bigint").alias("train_tokens"), "base_score", "score")

@@ -308,6 +308,17 @@ def test_gradients():
             assert (loss[0] - loss[1]) / 2e-6 == pytest.approx(grads[k][at], abs=1e-6)
 
 
+def test_state_and_segment_sums():
+    """The model's size is no means to a time; sums by segment equal the product with a one-hot matrix."""
+    assert recurrent_lm.HIDDEN >= 24
+    r = np.random.default_rng(3)
+    values, rows = r.normal(size=(200, 7)), r.choice([0, 2, 3, 8], 200)
+    assert np.allclose(gru._sums(values, rows, 10), np.eye(10)[rows].T @ values)
+    p = gru.fresh(10, 4, np.zeros(10))
+    states, targets = r.normal(size=(20, 10, 4)), r.integers(0, 10, (20, 10))
+    assert np.allclose(gru.log_of(p, states, targets), gru.log_softmax(p, states)[np.arange(200), targets.ravel()])
+
+
 def test_likelihood_carries_the_state_through_whole_sequences():
     r = np.random.default_rng(2)
     p = gru.fresh(6, 5, np.zeros(6))
