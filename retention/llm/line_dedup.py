@@ -9,7 +9,10 @@ segments and for the substrings of the line that may equal a segment of a line a
 distance from below, and a banded bit-parallel automaton verifies it.
 
 A key that more than ``CROWDED`` lines share doesn't emit their pairs: the segment is cut out and
-what is left of each line is segmented again under that key, up to ``LEVELS`` times.
+what is left of each line is segmented again under that key, until keys aren't crowded or at most
+``SHORT`` code points are left. Then lines meet by their variants with up to ``EDITS`` of these deleted or
+blanked: an equal variant proves the link, so more than ``STARRED`` of one are linked by a star. No key
+emits more than ``CROWDED`` or ``STARRED`` lines' pairs.
 
 Of each component of lines (equal, or linked by verified pairs) the first line stays: the smallest
 doc_id, then the place in the document. The others are removed from their documents.
@@ -34,7 +37,9 @@ from retention.llm.graph import components
 from retention.session import materialize, scratch_path
 
 MIN_CHARS, EDITS = 32, 2
-CROWDED, LEVELS = 64, 2
+CROWDED, SHORT, STARRED = 64, 12, 64
+#: One of so many lines is looked at for frequent keys; a key of more than CROWDED of these is one.
+SAMPLED = 64
 #: Letter classes whose counts bound the edit distance from below.
 CLASSES = ["aäàáâãå", "eéèêë", "iíìîïjy", "oöóòôuüúùû", "nñmlr", "stzßcç", "dbpgkq", "hwfvx"]
 
@@ -87,25 +92,48 @@ def _keys(under: str = "") -> list[str]:
 
 
 def _cut_out(under: str = "") -> str:
-    """SQL for an array of (key, x): each key with what is left of the text without its segment."""
+    """SQL for an array of (key, own, x, at): each key with what is left of the text without its segment
+    and the places of that in the line."""
     made = []
     for key, (less, i, shift) in zip(_keys(under), _cuts()):
         _, start, size = _segment(less, i, shift)
-        made.append(f"named_struct('key', {key}, 'x', concat(substring(x, 1, {start} - 1), substring(x, {start} + {size})))")
+        x = f"concat(substring(x, 1, {start} - 1), substring(x, {start} + {size}))"
+        at = f"concat(slice(at, 1, {start} - 1), slice(at, {start} + {size}, n))"
+        made.append(f"named_struct('key', {key}, 'own', {_own(less, shift)}, 'x', {x}, 'at', {at})")
     return f"array({', '.join(made)})"
 
 
-def _all_keys(under: str = "") -> str:
-    return f"array({', '.join(_keys(under))})"
+def _own(less: int, shift: int) -> str:
+    """SQL for whether a cut is the line's own segment. Of two near lines, one has the key as its own."""
+    return "true" if less == shift == 0 else "false"
 
 
-def _shared(keyed: DataFrame) -> DataFrame:
-    """(key, id, n, ...): the rows whose key belongs to two lines or more; n counts its rows."""
+def _all_keys() -> str:
+    return f"array({', '.join(_keys())})"
+
+
+def _posts(under: str) -> str:
+    """SQL for an array of (key, own)."""
+    return f"array({', '.join(f'named_struct({chr(39)}key{chr(39)}, {key}, {chr(39)}own{chr(39)}, {_own(less, shift)})' for key, (less, _, shift) in zip(_keys(under), _cuts()))})"
+
+
+def _met(keyed: DataFrame) -> DataFrame:
+    """(key, own, id, n, ...): the rows whose key belongs to two lines or more, one of them with a segment of
+    its own; n counts its rows. Counts are combined before the shuffle; Spark splits a frequent key's join."""
+    of_key = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("_a"), F.max("id").alias("_b"), F.max("own").alias("_own"))
+    return keyed.join(of_key.where("_a != _b and _own").select("key", "n"), "key")
+
+
+def _shared(keyed: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(key, id, n): the rows whose key belongs to two lines or more; n counts its rows. The rows of
+    ``frequent`` keys, crowded anyway, are spread instead of counted: no key goes to one task."""
     from pyspark.sql import Window
 
-    of_key = Window.partitionBy("key")
-    seen = keyed.withColumns({"n": F.count("*").over(of_key), "_a": F.min("id").over(of_key), "_b": F.max("id").over(of_key)})
-    return seen.where("_a != _b").drop("_a", "_b")
+    rows = keyed.join(F.broadcast(frequent.withColumn("_often", F.lit(True))), "key", "left")
+    rows = rows.withColumn("_salt", F.when(F.col("_often"), F.pmod(F.xxhash64("id"), F.lit(1 << 16))).otherwise(-1))
+    of_key = Window.partitionBy("key", "_salt")
+    seen = rows.withColumns({"n": F.count("*").over(of_key), "_a": F.min("id").over(of_key), "_b": F.max("id").over(of_key)})
+    return seen.where("_a != _b or _salt >= 0").select("key", "id", F.when(F.col("_salt") < 0, F.col("n")).otherwise(CROWDED + 1).alias("n"))
 
 
 def class_counts(x: Column) -> Column:
@@ -117,38 +145,79 @@ def _apart(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
 
 
+def _sampled(name: str) -> Column:
+    return F.pmod(F.col(name), F.lit(SAMPLED)) == 0
+
+
 def _pairs(rows: DataFrame) -> DataFrame:
-    """Distinct pairs of ids that share a key; rows with counts are held apart by them as they join."""
+    """Distinct pairs of ids that share a key; rows with counts are held apart by them as they join, and of
+    rows that say so one is a segment of its line's own."""
     columns = [c for c in ("counts",) if c in rows.columns]
-    left = rows.select("key", F.col("id").alias("a"), *(F.col(c).alias("_ca") for c in columns))
+    own = "own" in rows.columns
+    left = (rows.where("own") if own else rows).select("key", F.col("id").alias("a"), *(F.col(c).alias("_ca") for c in columns))
     right = rows.select("key", F.col("id").alias("b"), *(F.col(c).alias("_cb") for c in columns))
-    on = (left["key"] == right["key"]) & (F.col("a") < F.col("b"))
+    on = (left["key"] == right["key"]) & ((F.col("a") != F.col("b")) if own else (F.col("a") < F.col("b")))
     if columns:
         on &= _apart(F.col("_ca"), F.col("_cb")) <= 2 * EDITS
-    return left.join(right, on).select("a", "b").distinct()
-
-
-def candidates(lines: DataFrame, fetch=None) -> DataFrame:
-    """(a, b): ids of lines (id, x) that may be within EDITS edits, a superset of those that are.
-    ``fetch`` gives the lines of a frame of ids without moving the others."""
+    return left.join(right, on).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _by_variants(left: DataFrame, fetch) -> DataFrame:
+    """(a, b): links between lines that differ only in places (id, at) that are left, by equal variants of
+    the whole lines. Lines of equal length share one with two places blanked, or with one deleted each; of
+    others, the longer has one more deleted than the shorter. A variant of the first kinds proves a link
+    between any two that share it, one of the others between a shorter line and any."""
+    one = "transform(at, i -> named_struct('i', i, 'j', 0))"
+    two = "flatten(transform(at, i -> transform(filter(at, j -> j > i), j -> named_struct('i', i, 'j', j))))"
+    places = left.select("id", F.explode(F.expr(f"concat({one}, {two}, array(named_struct('i', 0, 'j', 0)))")).alias("_p")).select("id", "_p.i", "_p.j").distinct()
+    blank, gone = "'\\n'", "''"  # a line has no line break
+
+    def variant(tag: str, at_i: str, at_j: str | None, short: str) -> str:
+        tail = "substring(x, i + 1)" if at_j is None else f"substring(x, i + 1, j - i - 1), {at_j}, substring(x, j + 1)"
+        return f"named_struct('key', xxhash64('{tag}', concat(substring(x, 1, i - 1), {at_i}, {tail})), 'own', {short})"
+
+    singles = [variant("deleted", gone, None, "true"), variant("longer", gone, None, "false"), variant("mixed", blank, None, "true")]
+    doubles = [variant("blanked", blank, blank, "true"), variant("longer", gone, gone, "false"), variant("mixed", blank, gone, "false"), variant("mixed", gone, blank, "false")]
+    whole = "named_struct('key', xxhash64('longer', x), 'own', true)"
+    made = F.expr(f"case when i = 0 then array({whole}) when j = 0 then array({', '.join(singles)}) else array({', '.join(doubles)}) end")
+    lines = fetch(left.select("id").distinct())
+    keyed = materialize(places.join(lines.select("id", "x"), "id").select("id", F.explode(made).alias("_v")).select("id", "_v.key", "_v.own").distinct())
+    met = materialize(_met(keyed))
+    crowded = met.where(f"n > {STARRED}")
+    least = crowded.where("own").groupBy("key").agg(F.min("id").alias("_c"))
+    stars = crowded.join(least, "key").where("id != _c").select(F.least("id", "_c").alias("a"), F.greatest("id", "_c").alias("b"))
+    return materialize(_pairs(met.where(f"n <= {STARRED}")).unionByName(stars).distinct())
+
+
+def candidates(lines: DataFrame, fetch=None, sample: DataFrame | None = None) -> DataFrame:
+    """(a, b): ids of lines (id, x) that may be within EDITS edits: all pairs that are, but for those of
+    crowded variants, where a star stands for them. ``fetch`` gives the lines of a frame of ids without
+    moving the others, ``sample`` one of SAMPLED of all."""
     fetch = fetch or (lambda ids: lines.join(ids, "id", "left_semi"))
     lines = lines.withColumn("n", F.length("x"))
+    keys = lambda of: of.select("id", F.explode(F.expr(_all_keys())).alias("key"))
+    some = lines.where(_sampled("id")) if sample is None else sample.withColumn("n", F.length("x"))
+    frequent = materialize(keys(some).groupBy("key").agg(F.count("*").alias("_c")).where(f"_c > {CROWDED}").select("key"))
     # the widest shuffle of the operator: a key and an id a row
-    shared = materialize(_shared(lines.select("id", F.explode(F.expr(_all_keys())).alias("key"))))
+    shared = materialize(_shared(keys(lines), frequent))
     found = _pairs(shared.where(f"n <= {CROWDED}"))
-    crowded = shared.where(f"n > {CROWDED}").select("key", "id")
+    crowded = shared.where(f"n > {CROWDED}").select("key", "id").distinct()
     rest, under = None, ""
-    for level in range(LEVELS):
-        if crowded.isEmpty():
-            break
-        source = rest if level else fetch(crowded.select("id").distinct()).withColumn("n", F.length("x"))
-        cut = source.select("id", F.explode(F.expr(_cut_out(under))).alias("_k")).select("id", "_k.key", "_k.x")
-        left = materialize(cut.join(crowded, ["key", "id"], "left_semi").distinct())
-        rest, under = left.select("id", F.col("key").alias("above"), "x", F.length("x").alias("n")), "above"
-        shared = materialize(_shared(rest.select("id", class_counts(F.col("x")).alias("counts"), F.explode(F.expr(_all_keys(under))).alias("key"))))
-        last = level == LEVELS - 1
-        found = found.unionByName(_pairs(shared if last else shared.where(f"n <= {CROWDED}")))
-        crowded = shared.where(f"n > {CROWDED}").select("key", "id")
+    while not crowded.isEmpty():
+        source = rest if rest is not None else fetch(crowded.select("id").distinct()).select("id", "x", F.length("x").alias("n"), F.expr("sequence(1, length(x))").alias("at"))
+        cut = source.select("id", F.explode(F.expr(_cut_out(under))).alias("_k")).select("id", "_k.*")
+        left = cut.join(crowded, ["key", "id"], "left_semi")
+        left = materialize(left.groupBy("id", "key", "x", "at").agg(F.max("own").alias("own")))
+        owned = left.where("own").select("key").distinct()
+        left = materialize(left.join(owned, "key", "left_semi").select("id", F.col("key").alias("above"), "x", "at", F.length("x").alias("n")))
+        ended = left.where(f"n <= {SHORT}")
+        if not ended.isEmpty():
+            found = found.unionByName(_by_variants(ended.select("id", "at").distinct(), fetch))
+        rest, under = left.where(f"n > {SHORT}"), "above"
+        keyed = rest.select("id", class_counts(F.col("x")).alias("counts"), F.explode(F.expr(_posts(under))).alias("_k")).select("id", "counts", "_k.*")
+        shared = materialize(_met(keyed))
+        found = found.unionByName(_pairs(shared.where(f"n <= {CROWDED}")))
+        crowded = shared.where(f"n > {CROWDED}").select("key", "id").distinct()
     return found.distinct()
 
 
@@ -215,7 +284,7 @@ def removals(stored: DataFrame) -> DataFrame:
     def fetch(ids: DataFrame) -> DataFrame:
         return texts(where.join(ids, "id").select("_rk", "pos", "id", "first"))
 
-    pairs = materialize(candidates(texts(where).select("id", "x"), lambda ids: fetch(ids).select("id", "x")))
+    pairs = materialize(candidates(texts(where).select("id", "x"), lambda ids: fetch(ids).select("id", "x"), texts(where.where(_sampled("id"))).select("id", "x")))
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     known = materialize(fetch(wanted))
     left = known.select(F.col("id").alias("a"), F.col("first").alias("u"), F.col("x").alias("_x"))

@@ -165,6 +165,35 @@ def test_candidates_hold_every_near_pair(spark, monkeypatch, crowded):
     assert want <= got and len(want) > 100
 
 
+@pytest.mark.parametrize("sampled", [64, 1])
+def test_lines_of_one_template_do_not_emit_all_pairs(spark, monkeypatch, sampled):
+    """Far fewer candidates than pairs, and every near pair's lines in one component of the true links;
+    with frequent keys counted, and spread."""
+    monkeypatch.setattr(line_dedup, "SAMPLED", sampled)
+    r = random.Random(13)
+    ids = sorted({"".join(r.choices("0123456789", k=10)) for _ in range(1500)} | {f"77777{k:05d}" for k in range(100)})
+    lines = [f"see the page number {x} of our list" for x in ids]
+    got = [tuple(p) for p in line_dedup.candidates(spark.createDataFrame(list(enumerate(lines)), "id bigint, x string")).collect()]
+    assert len(got) < len(lines) ** 2 / 20
+    root = list(range(len(lines)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in got:
+        if find(a) != find(b) and edit_distance(ids[a], ids[b]) <= 2:
+            root[find(a)] = find(b)
+    blanked, deleted = {}, {}
+    for i, x in enumerate(ids):
+        for j in range(10):
+            deleted.setdefault(x[:j] + x[j + 1:], []).append(i)
+            for k in range(j):
+                blanked.setdefault(x[:k] + "_" + x[k + 1:j] + "_" + x[j + 1:], []).append(i)
+    assert all(find(i) == find(same[0]) for group in (blanked, deleted) for same in group.values() for i in same)
+
+
 def removed_by_brute_force(docs):
     every = [((d[0] is not None, d[0] or 0), k, p, x.strip(" ")) for k, d in enumerate(docs) if d[1] is not None for p, x in enumerate(d[1].split("\n")) if len(x.strip(" ")) >= 32]
     every.sort()
