@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retention.llm import bpe_fst, chat, ctph, line_dedup, packing, quality_mcd, recurrent_lm, simhash, token_counts, warc
+from retention.llm import bpe_fst, chat, ctph, line_dedup, mixing, packing, quality_mcd, recurrent_lm, simhash, token_counts, warc
 from retention.llm.common import table
 
 
@@ -67,11 +67,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_lm_score, op3_token_counts, op4_quality_rules, op5_simhash, op6_best_fit_packing, op7_warc, op8_bpe_round_trip, op9_fingerprints, op10_line_dedup,
+    op13_source_mixing,
 )}
 
 ORACLE: dict[str, str] = {
     "op1_chat_format": chat.ORACLE_SQL,
     "op7_warc": warc.ORACLE_SQL,
+    "op13_source_mixing": mixing.ORACLE_SQL,
 }
