@@ -7,9 +7,10 @@ import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import numpy as np
 import pytest
 
-from retention.llm import mixing
+from retention.llm import fm_index, mixing, phrases
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, size string, target string"
@@ -81,3 +82,81 @@ def test_sources_are_ranked_by_code_point(spark):
     names = ["b", "a", None, "é", "Z", "", "日本", "\U0001f600", "￿"] + [f"s{i:03}" for i in range(100)]
     got = {r.source: r.w for r in mixing.weighted(spark.createDataFrame([(n, 1) for n in names], "source string, source_size bigint")).collect()}
     assert got == {s: i % 3 + 1 for i, s in enumerate(sorted(names, key=lambda s: (s is None, s or "")))}
+
+
+def brute_phrases(rows):
+    """(lang -> phrase -> count) of 1 to 4 words, and each language's first phrases, by the definitions."""
+    counts = defaultdict(Counter)
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for text, lang in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(lower)):
+            ws = re.findall(r"[^\x20\x09]+", piece)
+            for k in range(1, 5):
+                counts["und" if lang is None else lang].update(tuple(ws[i:i + k]) for i in range(len(ws) - k + 1))
+    out = []
+    for lang, f in counts.items():
+        n = sum(c for p, c in f.items() if len(p) == 1)
+        cand = {p: c for p, c in f.items() if len(p) > 1 and c >= 30}
+        inside = defaultdict(int)
+        for p, c in cand.items():
+            for k in range(2, len(p)):
+                for i in range(len(p) - k + 1):
+                    inside[p[i:i + k]] = max(inside[p[i:i + k]], c)
+        rows = []
+        for p, a in cand.items():
+            if 100 * inside[p] >= 80 * a:
+                continue
+            score, _, left, right = min((2000000 * a // (f[p[:k]] + f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p)))
+            rows.append((" ".join(p), a, left, right, n, score))
+        rows.sort(key=lambda r: (-r[5], -r[1], r[0].encode()))
+        out += [(lang, i + 1, *r) for i, r in enumerate(rows[:2000])]
+    return sorted(out)
+
+
+def phrase_rows():
+    r = random.Random(7)
+    vocab = ["the", "The", "of", "a", "ÀB", "日本", "x\xa0y", "it's", "#", "\x00", "z\x1cz", "und"] + [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(500):
+        parts = []
+        for _ in range(r.randint(0, 30)):
+            parts.append(r.choice(["new york city hall", "ad hoc", "to be or not", " ".join(r.choices(vocab, k=r.randint(1, 6)))]))
+            parts.append(r.choice([" ", "\t", "  ", ".", ",", ";\n", "\x0b", "\r", "\x0c", "! ", "?", ":"]))
+        rows.append(("".join(parts), r.choice(["en", "en", "en", "de", None, "und", ""])))
+    rows += [(None, "en"), ("", "en"), (" \t ", None), ("lone", "fr")] + [("same row of five words", "en")] * 40
+    rows.append((" ".join(r.choices(vocab[:20], k=60_000)), "long"))
+    return rows
+
+
+def test_collocations_equal_brute_force(spark, monkeypatch):
+    rows = phrase_rows()
+    docs = spark.createDataFrame([(None if i % 50 == 0 else i, t, lang, "x", "y", "z") for i, (t, lang) in enumerate(rows)], DOCS)
+    want = brute_phrases(rows)
+    assert len({r[0] for r in want}) >= 4
+    for parts, shard in ((1, phrases.SHARD_BYTES), (7, 4000)):
+        monkeypatch.setattr(phrases, "SHARD_BYTES", shard)
+        assert sorted(map(tuple, phrases.collocations(docs.repartition(parts)).collect())) == want
+    assert phrases.collocations(docs.limit(0)).collect() == []
+
+
+def test_collocations_keep_the_first_of_each_language(spark):
+    docs = spark.createDataFrame([(i, t, lang, None, None, None) for i, (t, lang) in enumerate(phrase_rows())], DOCS)
+    want = [r for r in brute_phrases(phrase_rows()) if r[1] <= 5]
+    assert sorted(map(tuple, phrases.collocations(docs, top=5).collect())) == want
+
+
+def test_index_extends_both_ways():
+    """Every pattern's interval begins where its suffixes do, in the index and in the reversed one."""
+    r = np.random.default_rng(3)
+    x = np.append(r.integers(0, 5, 700), 0).astype(np.int32)
+    index = fm_index.Bidirectional(x, 4)
+    text = x.tolist()
+    for k, found in enumerate(index.grams(4), start=2):
+        grams = Counter(tuple(text[i:i + k]) for i in range(len(text) - k + 1) if 0 not in text[i:i + k])
+        got = {tuple(int(c) for c in p): int(n) for *p, n in zip(*found.words, found.count)}
+        assert got == grams
+        for t, low in ((text, found.low), (text[::-1], found.low_back)):
+            starts = sorted((t + t)[i:i + k] for i in range(len(t)))
+            for p, at in zip(zip(*found.words), low):
+                p = [int(c) for c in p]
+                assert starts.index(p if t is text else p[::-1]) == at
