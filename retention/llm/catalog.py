@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retention.llm import bpe_fst, chat, ctph, line_dedup, mixing, packing, phrases, quality_mcd, recurrent_lm, simhash, token_counts, warc
+from retention.llm import bpe_fst, chat, ctph, line_dedup, mixing, packing, phrases, prefix_trie, quality_mcd, recurrent_lm, simhash, token_counts, warc
 from retention.llm.common import table
 
 
@@ -71,18 +71,23 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_lm_score, op3_token_counts, op4_quality_rules, op5_simhash, op6_best_fit_packing, op7_warc, op8_bpe_round_trip, op9_fingerprints, op10_line_dedup,
-    op11_phrase_collocations, op13_source_mixing,
+    op11_phrase_collocations, op12_prefix_trie, op13_source_mixing,
 )}
 
 ORACLE: dict[str, str] = {
     "op1_chat_format": chat.ORACLE_SQL,
     "op7_warc": warc.ORACLE_SQL,
     "op11_phrase_collocations": phrases.ORACLE_SQL,
+    "op12_prefix_trie": prefix_trie.ORACLE_SQL,
     "op13_source_mixing": mixing.ORACLE_SQL,
 }
