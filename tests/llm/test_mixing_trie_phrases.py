@@ -10,7 +10,8 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
-from retention.llm import fm_index, mixing, phrases
+from retention.llm import fm_index, mixing, phrases, prefix_trie
+from retention.llm.ternary_trie import TernaryTree
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, size string, target string"
@@ -160,3 +161,78 @@ def test_index_extends_both_ways():
             for p, at in zip(zip(*found.words), low):
                 p = [int(c) for c in p]
                 assert starts.index(p if t is text else p[::-1]) == at
+
+
+TURNS = "conv_id bigint, turn bigint, role string, text string, ends string, key string"
+
+
+def brute_trie(rows):
+    """The contract's rows, prefix by prefix. ``rows`` are (conv_id, turn, role, text)."""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", hashlib.sha256(f"{len(role or '')}:{role or ''}{text or ''}".encode()).digest(), text or ""))
+    own = {c: [(r, t) for _, _, r, _, t in sorted(turns)] for c, turns in own.items()}
+    members, ends = defaultdict(list), defaultdict(list)
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 6
+        seq = tuple(own.get(c - c % 100, [])[:h] + own[c][h:])
+        for d in range(len(seq) + 1):
+            members[seq[:d]].append(c)
+        ends[seq].append(c)
+    children = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, m in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not children[p]
+            saved[p[:d]] += (len(m) - 1) * len(p[-1][1]) if p else 0
+    return sorted(
+        ((min(m), len(p), min(members[p[:-1]]) if p else None, len(m), children[p], leaves[p], saved[p],
+          hashlib.sha256(",".join(map(str, sorted(ends[p]))).encode()).hexdigest()) for p, m in members.items()), key=str)
+
+
+def trie_rows():
+    r = random.Random(11)
+    texts = ["", "hello", "日本語", "\x00", "a:b", "hello", None, "x" * 5000]
+    rows = []
+    for c in [*range(0, 260), 1000, 1001, 1100, 99_999_999_999]:
+        for turn in range(r.choice([0, 1, 1, 2, 3, 5, 9])):
+            rows.append((c, turn, r.choice(["user", "assistant", None]), r.choice(texts)))
+    for c in range(300, 400):  # one conversation that many have
+        rows += [(c, t, "user", f"same {t}") for t in range(6)]
+    rows += [(500 + i, t, "user", "deep" if t < 300 else f"{i % 3}") for i in range(4) for t in range(400)]
+    rows += [(700, None, "user", "null turn"), (700, None, "user", "null turn"), (700, 3, "a", "tie"), (700, 3, "b", "tie"), (700, 3, "a", "other")]
+    return [*rows, (None, 1, "user", "no conversation"), (None, None, None, None), rows[5], rows[5]]
+
+
+def test_trie_equals_brute_force_in_any_shards(spark, monkeypatch):
+    rows = trie_rows()
+    turns = spark.createDataFrame([(*x, "a", "b") for x in rows], TURNS)
+    want = brute_trie(rows)
+    for size in (prefix_trie.SHARD_TURNS, 25):
+        monkeypatch.setattr(prefix_trie, "SHARD_TURNS", size)
+        got = prefix_trie.conversation_trie(turns.repartition(5))
+        assert got.columns == prefix_trie.OUT
+        assert sorted(map(tuple, got.collect()), key=str) == want
+    assert prefix_trie.conversation_trie(turns.limit(0)).collect() == []
+
+
+def test_trie_of_turnless_conversations(spark):
+    """All of 1's turns may give way to those of a conversation that isn't there."""
+    bare = [c for c in range(1, 100) if zlib.crc32(str(c).encode()) % 6 > 1][:3]
+    rows = [(c, 0, "user", "hi") for c in bare]
+    got = [tuple(r) for r in prefix_trie.conversation_trie(spark.createDataFrame([(*x, "", "") for x in rows], TURNS)).collect()]
+    assert got == [(bare[0], 0, None, 3, 0, 1, 0, hashlib.sha256(",".join(map(str, bare)).encode()).hexdigest())]
+
+
+def test_tree_by_medians_is_balanced():
+    rows = [((i, 1), (1, 1), 1, i, None) for i in range(1023)]
+    tree = TernaryTree()
+    assert [tree.depth[n] for n in tree.insert_sorted(rows)] == [2] * 1023
+    deepest, stack = 0, [(tree.first[0], 1)]
+    while stack:
+        node, d = stack.pop()
+        if node:
+            deepest = max(deepest, d)
+            stack += [(tree.smaller[node], d + 1), (tree.larger[node], d + 1)]
+    assert deepest == 10 and len(tree.order()) == 2047
