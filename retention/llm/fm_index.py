@@ -63,6 +63,9 @@ class Patterns:
     low: np.ndarray
     low_back: np.ndarray
 
+    def where(self, kept: np.ndarray) -> Patterns:
+        return Patterns([w[kept] for w in self.words], self.count[kept], self.low[kept], self.low_back[kept])
+
 
 class Bidirectional:
     def __init__(self, x: np.ndarray, depth: int):
@@ -84,9 +87,11 @@ class Bidirectional:
         owner, symbol, n, smaller = self.back.before(p.low_back, p.count)
         return Patterns([*(w[owner] for w in p.words), symbol], n, p.low[owner] + smaller, self.back.step(symbol, p.low_back[owner]))
 
-    def grams(self, most: int):
-        """Patterns of 2 to ``most`` symbols, each once: extended to the right and to the left by turns."""
+    def grams(self, most: int, kept=None):
+        """Patterns of 2 to ``most`` symbols, each once: extended to the right and to the left by turns. Those
+        that ``kept`` (a mask from their symbols' columns) leaves out aren't extended either."""
         found = self.words()
         for k in range(2, most + 1):
             found = self.extend_right(found) if k % 2 == 0 else self.extend_left(found)
+            found = found.where(kept(found.words)) if kept else found
             yield found

@@ -1,19 +1,20 @@
 """Phrase collocations from an FM-index per shard.
 
 1. A task writes its texts as shards: word ids (0 breaks the text at punctuation and between
-   documents) and the shard's words. It also counts words and word pairs by hash buckets, in two
-   tables of fixed size.
-2. The tables are summed. A bucket below the least count holds no frequent word or pair; the
-   others, 2.5 MB of bits whatever the corpus, are broadcast.
+   documents) and the shard's words. It also counts words and word pairs by hash buckets, in tables
+   of fixed size.
+2. The tables are summed. A bucket below the least count holds no frequent word or pair. What is left
+   is counted once more, by buckets of three and four words, and its words are marked. The bits of all
+   tables, 13 MB whatever the corpus, are broadcast.
 3. A shard's text is broken wherever a word or pair is certainly rare, as no candidate runs across
    it; the FM-index of what is left (``fm_index``) enumerates its phrases of up to four words with
-   their counts in the shard.
+   their counts in the shard, leaving out those that are certainly rare.
 4. Counts are summed over the shards. What follows works on phrases of at least the least count:
    extensions to the left and right, cuts, scores and ranks.
 
 A one-word extension of a phrase is at least as frequent as any longer one around it, so the drop
 rule needs the extensions by one word only. At corpora so large that every bucket is full, raise
-``WORD_BITS`` and ``PAIR_BITS``: results are the same for any, only the rows of step 3 change.
+``BITS``: results are the same for any, only the rows of step 3 change.
 """
 
 from __future__ import annotations
@@ -27,8 +28,11 @@ from retention.llm.fm_index import Bidirectional
 from retention.session import materialize, ship_package
 
 LEAST, LONGEST, TOP, SCALE, DROP_PERCENT = 30, 4, 2000, 2_000_000, 80
-#: Hash buckets for words and for pairs (as powers of two), and buckets in a block of a table.
-WORD_BITS, PAIR_BITS, BLOCK_BITS = 22, 24, 16
+#: Hash buckets for phrases of one to four words (as powers of two), and buckets in a block of a table.
+BITS, BLOCK_BITS = {1: 21, 2: 24, 3: 24, 4: 24}, 16
+#: Each phrase has a bucket in each of two tables, by one of these factors. Table 0 is of the words of frequent pairs.
+FACTORS = (0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)
+NEEDED = 0
 #: Bytes of text in a shard, bytes of text that a task holds for all its languages, bytes split at once.
 SHARD_BYTES, HELD_BYTES, SPLIT_BYTES = 8 << 20, 16 << 20, 2 << 20
 #: Rows in a batch that a task writes at once.
@@ -40,6 +44,7 @@ BREAK = b"."
 _SAME = bytes(range(256)).translate(bytes.maketrans(b",;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"......... abcdefghijklmnopqrstuvwxyz"))
 
 SHARDS = "lang string, words binary, ids binary, kind int, block int, counts binary"
+BLOCKS = "kind int, block int, counts binary"
 FOUND = "lang string, words int, phrase string, f bigint"
 
 
@@ -74,14 +79,73 @@ def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(head + w) for w in words), np.uint64, len(words))
 
 
-def pair_buckets(h: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The bucket of each pair of neighbours."""
-    mixed = (h[ids[:-1]] * np.uint64(0x9E3779B97F4A7C15)) ^ h[ids[1:]]
-    return (mixed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - PAIR_BITS)
+def gram_hashes(h: list[np.ndarray]) -> np.ndarray:
+    """A hash of each phrase; ``h`` has its words' hashes, an array for each place."""
+    mixed = h[0]
+    for after in h[1:]:
+        mixed = (mixed * np.uint64(0x9E3779B97F4A7C15)) ^ after
+    return mixed
 
 
-def word_buckets(h: np.ndarray) -> np.ndarray:
-    return h >> np.uint64(64 - WORD_BITS)
+def text_hashes(h: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """The hash of the ``k`` words from each place of a text."""
+    at = h[ids]
+    return gram_hashes([at[i:len(at) - k + 1 + i] for i in range(k)])
+
+
+def buckets(hashes: np.ndarray, k: int, side: int) -> np.ndarray:
+    return (hashes * np.uint64(FACTORS[side])) >> np.uint64(64 - BITS[max(k, 1)])
+
+
+class Counts:
+    """Counts by bucket, no higher than ``LEAST``, of phrases of ``k`` words for each ``k`` given."""
+
+    def __init__(self, sizes: list[int]):
+        self.tables = {(k, side): np.zeros(1 << BITS[max(k, 1)], np.uint16) for k in sizes for side in (0, 1)}
+
+    def add(self, k: int, hashes: np.ndarray, n: np.ndarray | None = None) -> None:
+        """Adds phrases, each as often as it stands there, or distinct ones with their counts."""
+        if n is None:
+            hashes, n = np.unique(hashes, return_counts=True)
+        n = np.minimum(n, LEAST).astype(np.uint16)
+        for side in (0, 1):
+            table, at = self.tables[k, side], buckets(hashes, k, side)
+            for some in range(0, len(at), 1 << 10):  # a bucket's count stays below 2^16 until it is cut
+                here = at[some:some + (1 << 10)]
+                np.add.at(table, here, n[some:some + (1 << 10)])
+                table[here] = np.minimum(table[here], LEAST)
+
+    def blocks(self):
+        """(k, block, places and counts) of each block that has any; the second table's blocks follow the first's."""
+        for (k, side), table in self.tables.items():
+            count = len(table) >> BLOCK_BITS
+            for block in range(count):
+                here = table[block << BLOCK_BITS:(block + 1) << BLOCK_BITS]
+                used = np.flatnonzero(here)
+                if len(used):
+                    yield k, side * count + block, used.astype(np.uint16).tobytes() + here[used].astype(np.uint8).tobytes()
+
+
+class Frequent:
+    """Bits of the buckets that reach ``LEAST``, two tables in a row for each number of words."""
+
+    def __init__(self):
+        self.bits: dict[int, np.ndarray] = {}
+
+    def has(self, hashes: np.ndarray, k: int) -> np.ndarray:
+        """Whether each phrase of ``k`` words may be frequent: both its buckets are."""
+        found = np.ones(len(hashes), bool)
+        for side in (0, 1):
+            at = buckets(hashes, k, side) + np.uint64(side << BITS[max(k, 1)])
+            found &= (self.bits[k][at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 > 0
+        return found
+
+
+def pairs_kept(h: np.ndarray, ids: np.ndarray, frequent: Frequent) -> np.ndarray:
+    """Whether each word and the next may be a frequent pair of frequent words."""
+    known = frequent.has(h, 1)
+    known[0] = False
+    return known[ids[:-1]] & known[ids[1:]] & frequent.has(text_hashes(h, ids, 2), 2)
 
 
 def _batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
@@ -97,17 +161,15 @@ def _arrow(fields):
 def _write_shards(fields):
     def run(batches):
         schema = _arrow(fields)
-        tables = [np.zeros(1 << WORD_BITS, np.uint32), np.zeros(1 << PAIR_BITS, np.uint32)]
+        counts = Counts([1, 2])
         held, size = {}, {}
 
         def shard(lang):
             ids, words = word_ids(held.pop(lang))
             size.pop(lang)
             h = word_hashes(lang, words)
-            counts = np.bincount(ids, minlength=len(words))
-            np.add.at(tables[0], word_buckets(h[1:]), counts[1:].astype(np.uint32))
-            both = (ids[:-1] > 0) & (ids[1:] > 0)
-            np.add.at(tables[1], pair_buckets(h, ids)[both], np.uint32(1))
+            counts.add(1, h[1:], np.bincount(ids, minlength=len(words))[1:])
+            counts.add(2, text_hashes(h, ids, 2)[(ids[:-1] > 0) & (ids[1:] > 0)])
             return _batch(schema, [[lang], [b"\n".join(words)], [ids.tobytes()], [None], [None], [None]])
 
         for b in batches:
@@ -123,13 +185,36 @@ def _write_shards(fields):
                         yield shard(max(size, key=size.get))
         for lang in list(held):
             yield shard(lang)
-        for kind, counts in enumerate(tables):
-            for block in range(len(counts) >> BLOCK_BITS):
-                here = counts[block << BLOCK_BITS:(block + 1) << BLOCK_BITS]
-                used = np.flatnonzero(here)
-                if len(used):
-                    full = np.minimum(here[used], LEAST).astype(np.uint8)
-                    yield _batch(schema, [[None], [None], [None], [kind], [block], [used.astype(np.uint16).tobytes() + full.tobytes()]])
+        for k, block, data in counts.blocks():
+            yield _batch(schema, [[None], [None], [None], [k], [block], [data]])
+
+    return run
+
+
+def _shards(batches):
+    """(lang, words, ids) of each shard."""
+    for b in batches:
+        for row in range(b.num_rows):
+            lang, words, ids = (b.column(i)[row].as_py() for i in range(3))
+            yield lang, words.split(b"\n"), np.frombuffer(ids, np.int32)
+
+
+def _count_longer(fields, bits):
+    """Counts by bucket of the phrases of three and four words whose pairs may be frequent; marks the words of these pairs."""
+
+    def run(batches):
+        schema = _arrow(fields)
+        counts = Counts([NEEDED, 3, 4])
+        for lang, words, ids in _shards(batches):
+            h = word_hashes(lang, words)
+            pair = pairs_kept(h, ids, bits.value)
+            for k in (3, 4):
+                inside = np.logical_and.reduce([pair[i:len(pair) - k + 2 + i] for i in range(k - 1)])
+                counts.add(k, text_hashes(h, ids, k)[inside])
+            words = np.unique(kept_text(ids, pair))
+            counts.add(NEEDED, h[words[words > 0]], np.full(int((words > 0).sum()), LEAST))
+        for block in counts.blocks():
+            yield _batch(schema, [[x] for x in block])
 
     return run
 
@@ -150,20 +235,13 @@ def _sum_blocks(fields):
     return run
 
 
-def frequent_buckets(shards: DataFrame) -> list[np.ndarray]:
-    """A bit for each bucket of words and of pairs: whether its count reaches ``LEAST``."""
-    spark = shards.sparkSession
-    fields = spark.createDataFrame([], "kind int, block int, bits binary").schema
-    rows = shards.where("kind is not null").select("kind", "block", "counts").repartition("kind", "block")
-    tables = [np.zeros(1 << bits >> 3, np.uint8) for bits in (WORD_BITS, PAIR_BITS)]
+def read_frequent(blocks: DataFrame, sizes: list[int], into: Frequent) -> None:
+    """Adds the bits of the phrases of each number of words in ``sizes``."""
+    fields = blocks.sparkSession.createDataFrame([], "kind int, block int, bits binary").schema
+    into.bits |= {k: np.zeros(2 << BITS[max(k, 1)] >> 3, np.uint8) for k in sizes}
     width = 1 << BLOCK_BITS >> 3
-    for r in rows.mapInArrow(_sum_blocks(fields), fields).collect():  # 320 rows of 8 KB
-        tables[r.kind][r.block * width:(r.block + 1) * width] = np.frombuffer(r.bits, np.uint8)
-    return tables
-
-
-def _has(bits: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-    return (bits[bucket >> np.uint64(3)] >> (np.uint64(7) - (bucket & np.uint64(7))).astype(np.uint8)) & 1 > 0
+    for r in blocks.repartition("kind", "block").mapInArrow(_sum_blocks(fields), fields).collect():  # at most 1088 rows of 8 KB
+        into.bits[r.kind][r.block * width:(r.block + 1) * width] = np.frombuffer(r.bits, np.uint8)
 
 
 def kept_text(ids: np.ndarray, pair: np.ndarray) -> np.ndarray:
@@ -182,46 +260,49 @@ def _phrases_of(fields, bits):
     def run(batches):
         import pyarrow.compute as pc
 
-        schema = _arrow(fields)
-        word_bits, pair_bits = bits.value
-        for b in batches:
-            for row in range(b.num_rows):
-                lang, words, ids = (b.column(i)[row].as_py() for i in range(3))
-                words, ids = words.split(b"\n"), np.frombuffer(ids, np.int32)
-                h = word_hashes(lang, words)
-                names = pa.array([w.decode() for w in words])
-                counts = np.bincount(ids, minlength=len(words))
-                known = _has(word_bits, word_buckets(h))
-                known[0] = False
-                common = np.flatnonzero(known)
-                yield _batch(schema, [[lang], [0], [""], [int(counts[1:].sum())]])
-                for at in range(0, len(common), OUT_ROWS):
-                    some = common[at:at + OUT_ROWS]
-                    yield _batch(schema, [[lang] * len(some), [1] * len(some), names.take(pa.array(some)), counts[some]])
-                pair = known[ids[:-1]] & known[ids[1:]] & _has(pair_bits, pair_buckets(h, ids))
-                text = kept_text(ids, pair)
-                if not len(text):
-                    continue
-                used, dense = np.unique(text, return_inverse=True)
-                for p in Bidirectional(dense.astype(np.int32), LONGEST).grams(LONGEST):
-                    for at in range(0, len(p.count), OUT_ROWS):
-                        count = p.count[at:at + OUT_ROWS]
-                        columns = [names.take(pa.array(used[w[at:at + OUT_ROWS]])) for w in p.words]
-                        yield _batch(schema, [[lang] * len(count), [len(columns)] * len(count), pc.binary_join_element_wise(*columns, " "), count])
+        schema, frequent = _arrow(fields), bits.value
+        for lang, words, ids in _shards(batches):
+            h = word_hashes(lang, words)
+            names = pa.array([w.decode() for w in words])
+            counts = np.bincount(ids, minlength=len(words))
+            yield _batch(schema, [[lang], [0], [""], [int(counts[1:].sum())]])
+            common = np.flatnonzero(frequent.has(h[1:], NEEDED) & frequent.has(h[1:], 1)) + 1
+            for at in range(0, len(common), OUT_ROWS):
+                some = common[at:at + OUT_ROWS]
+                yield _batch(schema, [[lang] * len(some), [1] * len(some), names.take(pa.array(some)), counts[some]])
+            text = kept_text(ids, pairs_kept(h, ids, frequent))
+            if not len(text):
+                continue
+            used, dense = np.unique(text, return_inverse=True)
+            hashes = h[used]
+
+            def kept(columns):
+                return frequent.has(gram_hashes([hashes[w] for w in columns]), len(columns))
+
+            for p in Bidirectional(dense.astype(np.int32), LONGEST).grams(LONGEST, kept):
+                for at in range(0, len(p.count), OUT_ROWS):
+                    count = p.count[at:at + OUT_ROWS]
+                    columns = [names.take(pa.array(used[w[at:at + OUT_ROWS]])) for w in p.words]
+                    yield _batch(schema, [[lang] * len(count), [len(columns)] * len(count), pc.binary_join_element_wise(*columns, " "), count])
 
     return run
 
 
 def frequent_phrases(docs: DataFrame) -> DataFrame:
-    """(lang, words, phrase, f): every phrase of 1 to 4 words with f >= ``LEAST`` and its exact count; a row
-    of 0 words has the count of all words. Materialised."""
+    """(lang, words, phrase, f): every phrase of 2 to 4 words with f >= ``LEAST``, every word of these, and
+    their exact counts; a row of 0 words has the count of all words. Materialised."""
     spark = docs.sparkSession
     ship_package(spark)
-    schema = {text: spark.createDataFrame([], text).schema for text in (SHARDS, FOUND)}
+    schema = {text: spark.createDataFrame([], text).schema for text in (SHARDS, BLOCKS, FOUND)}
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    shards = materialize(texts.mapInArrow(_write_shards(schema[SHARDS]), schema[SHARDS]))
-    bits = spark.sparkContext.broadcast(frequent_buckets(shards))
-    found = shards.where("kind is null").select("lang", "words", "ids").mapInArrow(_phrases_of(schema[FOUND], bits), schema[FOUND])
+    written = materialize(texts.mapInArrow(_write_shards(schema[SHARDS]), schema[SHARDS]))
+    shards = written.where("kind is null").select("lang", "words", "ids")
+    frequent = Frequent()
+    read_frequent(written.where("kind is not null").select("kind", "block", "counts"), [1, 2], frequent)
+    counted = shards.mapInArrow(_count_longer(schema[BLOCKS], spark.sparkContext.broadcast(frequent)), schema[BLOCKS])
+    read_frequent(counted, [NEEDED, 3, 4], frequent)
+    bits = spark.sparkContext.broadcast(frequent)
+    found = shards.mapInArrow(_phrases_of(schema[FOUND], bits), schema[FOUND])
     return materialize(found.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where(f"words = 0 or f >= {LEAST}"))
 
 
