@@ -1,11 +1,10 @@
 """Many snapshots in one plan (D4 over a date list, L2 backfill).
 
 The reference builds one snapshot per call and loops on the driver, scanning
-the fact tables once per date. Here each fact row is matched to every
-snapshot whose window holds it by a bucketed range join against the small
-snapshot list, then one ``groupBy(customer_id, snapshot_date)`` computes the
-same conditional aggregates for all dates at once (partial aggregation before
-the shuffle, so hot customers stay split across tasks).
+the fact tables once per date. Here both fact tables are read once and combined
+to a state a customer and day (``daystate``); only these rows meet the snapshots
+whose windows hold their day, by a bucketed range join against the small
+snapshot list, and one ``groupBy(customer_id, snapshot_date)`` merges them.
 """
 
 from __future__ import annotations
@@ -13,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retention.functions.timewin import is_midnight, shift, to_day, ts_between_midnights
+from retention.functions.timewin import shift, to_day, ts_between_midnights
 from retention.operators import features as feat
+from retention.operators.daystate import DAY, active_days, day_states, measure_over
 from retention.operators.labels import labels_from_flags
 from retention.operators.rangejoin import day_number, range_join
 from retention.params import DEFAULT, Params
@@ -35,23 +35,20 @@ def snapshot_frame(spark: SparkSession, dates: list[str]) -> DataFrame:
     return spark.createDataFrame([(d,) for d in rows], "snapshot_date date")
 
 
-def _in_window(facts: DataFrame, dates: list[str], snaps: DataFrame, start_offset: int,
-               end_offset: int) -> DataFrame:
-    """Pair each fact with each snapshot S where ``S+start 00:00 <= ts <= S+end 00:00``.
-
-    On the last day only rows at exactly midnight qualify. Facts are first cut to
-    the span of all windows, a plain range test that reaches the parquet scan
-    (below any dedupe), so history outside every window is never read.
-    """
+def _in_span(facts: DataFrame, dates: list[str], start_offset: int, end_offset: int) -> DataFrame:
+    """Facts within the span of all windows, a plain range test that reaches the parquet scan (below any
+    dedupe), so history outside every window is never read."""
     days = sorted(to_day(d) for d in dates)
-    facts = facts.filter(ts_between_midnights(F.col("timestamp"), shift(days[0], start_offset),
-                                              shift(days[-1], end_offset)))
+    return facts.filter(ts_between_midnights(F.col("timestamp"), shift(days[0], start_offset), shift(days[-1], end_offset)))
+
+
+def _by_window(days: DataFrame, snaps: DataFrame, start_offset: int, end_offset: int) -> DataFrame:
+    """Pair each row of a customer's day with each snapshot S whose window ``S+start .. S+end`` holds the day;
+    ``_last`` marks the window's last day, of which only midnight counts."""
     s = F.col("snapshot_date")
     ranges = snaps.select(s, (day_number(s) + start_offset).alias("_lo"), (day_number(s) + end_offset).alias("_hi"))
-    pts = facts.withColumns({"_day": day_number(F.col("timestamp")), "_mid": is_midnight(F.col("timestamp"))})
-    j = range_join(pts, F.col("_day"), ranges, F.col("_lo"), F.col("_hi"), end_offset - start_offset + 1,
-                   broadcast_ranges=True)
-    return j.filter((F.col("_day") < F.col("_hi")) | F.col("_mid")).drop("_day", "_mid", "_lo", "_hi")
+    j = range_join(days, F.col(DAY), ranges, F.col("_lo"), F.col("_hi"), end_offset - start_offset + 1, broadcast_ranges=True)
+    return j.withColumn("_last", F.col(DAY) == F.col("_hi")).drop("_lo", "_hi")
 
 
 def eligible_by_snapshot(customers: DataFrame, dates: list[str], p: Params = DEFAULT) -> DataFrame:
@@ -66,18 +63,15 @@ def eligible_by_snapshot(customers: DataFrame, dates: list[str], p: Params = DEF
 def multi_snapshot_features(spark: SparkSession, customers: DataFrame, transactions: DataFrame,
                             interactions: DataFrame, dates: list[str], p: Params = DEFAULT) -> DataFrame:
     """D4 for a list of snapshot dates; equal to the union of single-date snapshots."""
-    snaps = snapshot_frame(spark, dates)
     s = F.col("snapshot_date")
     keys = ["customer_id", "snapshot_date"]
-    tx = _in_window(transactions, dates, snaps, -p.feature_window_days, 0)
-    tx_days = F.datediff(s, F.col("timestamp").cast("date"))
-    txf = feat.with_txn_trend(tx.groupBy(*keys).agg(*feat.txn_aggregates(tx_days)))
-    it = _in_window(interactions, dates, snaps, -p.feature_window_days, 0)
-    it_days = F.datediff(s, F.col("timestamp").cast("date"))
-    itf = feat.with_interaction_trends(it.groupBy(*keys).agg(*feat.interaction_aggregates(it_days)))
+    states = day_states(_in_span(transactions, dates, -p.feature_window_days, 0),
+                        _in_span(interactions, dates, -p.feature_window_days, 0))
+    seen = _by_window(states, snapshot_frame(spark, dates), -p.feature_window_days, 0)
+    age = day_number(s) - F.col(DAY)
+    merged = feat.with_all_ratios(seen.groupBy(*keys).agg(*(measure_over(m, fact, age) for m, fact in feat.MEASURES)), *keys)
     base = feat.demographic_features(eligible_by_snapshot(customers, dates, p), s)
-    joined = base.join(txf, keys, "left").join(itf, keys, "left")
-    out = feat.derived_features(joined)
+    out = feat.derived_features(base.join(merged, keys, "left"))
     return out.select(*[c for c in out.columns if c != "snapshot_date"], "snapshot_date")
 
 
@@ -111,13 +105,9 @@ def backfill_labels(historical: DataFrame, customers: DataFrame, transactions: D
 def labels_for_dates(spark: SparkSession, customers: DataFrame, transactions: DataFrame,
                      interactions: DataFrame, dates: list[str], p: Params = DEFAULT) -> DataFrame:
     """L1 for a list of snapshot dates in one plan; equal to the union of single-date labels."""
-    snaps = snapshot_frame(spark, dates)
     keys = ["customer_id", "snapshot_date"]
-    # Only (customer, time) matters for activity: a distinct on that projection lets
-    # Catalyst drop the cleaning step's whole-row dedupe beneath it.
-    tx = _in_window(transactions.select("customer_id", "timestamp").distinct(), dates, snaps, 1,
-                    p.churn_horizon_days)
-    it = _in_window(interactions.filter(F.col("session_duration") > 0).select("customer_id", "timestamp").distinct(),
-                    dates, snaps, 1, p.churn_horizon_days)
+    active = active_days(_in_span(transactions, dates, 1, p.churn_horizon_days),
+                         _in_span(interactions, dates, 1, p.churn_horizon_days))
+    seen = _by_window(active, snapshot_frame(spark, dates), 1, p.churn_horizon_days)
     elig = eligible_by_snapshot(customers.select("customer_id", "join_date"), dates, p)
-    return labels_from_flags(elig, tx.select(*keys).union(it.select(*keys)), keys)
+    return labels_from_flags(elig, seen.filter(~F.col("_last") | F.col("at_midnight")).select(*keys), keys)

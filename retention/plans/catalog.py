@@ -257,6 +257,42 @@ def _union_all(parts: list[str]) -> str:
     return " UNION ALL ".join(f"SELECT * FROM ({q})" for q in parts)
 
 
+def _day_states_sql() -> str:
+    from retention.operators.daystate import AT_MIDNIGHT, STATES
+    table = {"t": "transactions_clean", "i": "interactions_clean"}
+
+    def columns(fact: str) -> str:
+        out = []
+        for s in STATES:
+            for name, more in ((s.name, ""), (s.name + AT_MIDNIGHT, " AND timestamp = date_trunc('day', timestamp)")):
+                if s.fact != fact:
+                    out.append(f"{'0' if s.how == 'count' else 'NULL'} AS {name}")
+                    continue
+                test = "TRUE" + (f" AND {s.where[0]} = '{s.where[1]}'" if s.where else "") + (f" AND {s.of} > 0" if s.positive else "") + more
+                inner = "*" if s.how == "count" and s.of is None else s.of
+                out.append(f"{s.how}({inner}) FILTER (WHERE {test}) AS {name}")
+        return ", ".join(out)
+
+    both = " UNION ALL ".join(f"SELECT customer_id, CAST(timestamp AS DATE) AS day, {columns(f)} FROM {t} GROUP BY 1, 2" for f, t in table.items())
+    merged = ", ".join(f"{'max' if s.how == 'max' else 'sum'}({n}) AS {n}" for s in STATES for n in (s.name, s.name + AT_MIDNIGHT))
+    return O.with_views(f"SELECT customer_id, date_diff('day', DATE '1970-01-01', day) AS day, {merged} FROM ({both}) GROUP BY 1, 2")
+
+
+def _day_states_types() -> dict:
+    from retention.operators.daystate import AT_MIDNIGHT, STATES
+    names = [(s, n) for s in STATES for n in (s.name, s.name + AT_MIDNIGHT)]
+    return {"dbl": [n for s, n in names if s.how == "sum" and s.of == "amount"],
+            "ints": ["day"] + [n for s, n in names if not (s.how == "sum" and s.of == "amount")]}
+
+
+@query("customer_day_states", tidy_sql(_day_states_sql(), **_day_states_types()))
+def q_customer_day_states(spark, sf):
+    """The mergeable pre-aggregate that the features of any window are summed from."""
+    from retention.operators.daystate import day_states
+    t = cleaned(spark, sf)
+    return tidy(day_states(t.transactions, t.interactions))
+
+
 @query("multi_snapshot_features", tidy_sql(O.with_views(_union_all([O.snapshot(s) for s in WEEKLY])),
                                            money=MONEY, dbl=FEATURE_DBLS, ints=FEATURE_INTS, dates=DATES))
 def q_multi_snapshot_features(spark, sf):
