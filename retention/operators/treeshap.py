@@ -2,18 +2,22 @@
 
 The tree ensemble (at most ``maxIter * (2^(maxDepth+1) - 1)`` nodes, bounded by
 the model's parameters, not the data) is read from the saved model, turned into
-NumPy arrays and broadcast. ``mapInPandas`` then explains each Arrow batch.
-
-The algorithm is Lundberg, Erion & Lee (2018), "Consistent Individualized
-Feature Attribution for Tree Ensembles", Algorithm 2, vectorised over the rows
-of a batch: the recursion visits every node of a tree for every row, and only
-the "one fractions" (whether a row follows a branch) differ between rows, so
-they are carried as arrays while the tree walk itself runs once per batch.
+leaf tables and broadcast. ``mapInPandas`` then explains each Arrow batch.
+
+A leaf's part in the attributions of a row depends only on which features of its
+path the row satisfies: a feature that splits the path more than once is
+satisfied if all its splits are. So each leaf has a table with the attributions
+of its d features for each of the 2^d subsets (Shapley values of the game "a
+known feature follows the row, an unknown one its share of the training rows",
+after Lundberg, Erion & Lee 2018), and a row's subset is a bit mask gathered on
+the way down the tree. Rows cost one comparison a node and one lookup a leaf and
+feature, for a whole batch at a time.
 Attributions are in margin space; ``expected_value + sum(phi) = margin``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -79,83 +83,101 @@ def expected_value(trees: list[Tree]) -> float:
     return total
 
 
-# ---- the path algebra (one path element = feature, zero fraction, one fraction[rows], weight[rows])
-
-def _extend(path, pz, po, pi, n):
-    depth = len(path)
-    path = [list(e) for e in path]
-    path.append([pi, pz, po, np.ones(n) if depth == 0 else np.zeros(n)])
-    for i in range(depth - 1, -1, -1):
-        path[i + 1][3] = path[i + 1][3] + po * path[i][3] * (i + 1) / (depth + 1)
-        path[i][3] = pz * path[i][3] * (depth - i) / (depth + 1)
-    return path
-
-
-def _unwind(path, idx):
-    depth = len(path) - 1
-    o, z = path[idx][2], path[idx][1]
-    nxt = path[depth][3]
-    out = [list(e) for e in path[:-1]]
-    safe_o = np.where(o != 0, o, 1.0)
-    for i in range(depth - 1, -1, -1):
-        w_one = nxt * (depth + 1) / ((i + 1) * safe_o)
-        w_zero = (path[i][3] * (depth + 1)) / (z * (depth - i)) if z != 0 else np.zeros_like(nxt)
-        new_w = np.where(o != 0, w_one, w_zero)
-        nxt = np.where(o != 0, path[i][3] - w_one * z * (depth - i) / (depth + 1), nxt)
-        out[i][3] = new_w
-    for i in range(idx, depth):
-        out[i][0], out[i][1], out[i][2] = path[i + 1][0], path[i + 1][1], path[i + 1][2]
+#: Distinct features on one path; a leaf's table has 2^d rows.
+MAX_PATH = 16
+
+
+@dataclass
+class LeafTables:
+    """A tree with, at each leaf, the features of its path and their attributions by subset (d x 2^d)."""
+
+    tree: Tree
+    features: dict[int, list[int]]
+    tables: dict[int, np.ndarray]
+
+
+def _subset_attributions(z: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """(leaves, d, 2^d): Shapley values of each feature of each leaf for each set of satisfied features.
+
+    ``z`` (leaves x d) has the shares of training rows that follow the path at each feature, ``value`` what
+    the leaves add. The sum over coalitions is a polynomial in the coalition's size: a satisfied feature is
+    in it (one up) or left out (its share); one that isn't satisfied must be left out."""
+    leaves, d = z.shape
+    on = (np.arange(1 << d)[:, None] >> np.arange(d)) & 1
+    orders = np.array([math.factorial(s) * math.factorial(d - 1 - s) / math.factorial(d) for s in range(d)])
+    out = np.empty((leaves, d, 1 << d))
+    for j in range(d):
+        by_size = np.zeros((leaves, 1 << d, d))
+        by_size[..., 0] = 1.0
+        for k in range(d):
+            if k != j:
+                joined = np.zeros_like(by_size)
+                joined[..., 1:] = by_size[..., :-1] * on[None, :, k, None]
+                by_size = joined + by_size * z[:, None, None, k]
+        out[:, j] = value[:, None] * (on[None, :, j] - z[:, None, j]) * (by_size @ orders)
     return out
 
 
-def _unwound_sum(path, idx):
-    depth = len(path) - 1
-    o, z = path[idx][2], path[idx][1]
-    safe_o = np.where(o != 0, o, 1.0)
-    nxt = path[depth][3]
-    total_one = np.zeros_like(nxt)
-    total_zero = np.zeros_like(nxt)
-    for i in range(depth - 1, -1, -1):
-        tmp = nxt / ((i + 1) * safe_o)
-        total_one = total_one + tmp
-        nxt = path[i][3] - tmp * z * (depth - i)
-        if z != 0:
-            total_zero = total_zero + path[i][3] / ((depth - i) * z)
-    return np.where(o != 0, total_one, total_zero) * (depth + 1)
-
-
-def tree_shap(t: Tree, X: np.ndarray, phi: np.ndarray) -> None:
-    """Add ``t.weight *`` the path-dependent SHAP values of tree ``t`` for all rows of ``X`` to ``phi``."""
-    n = X.shape[0]
-
-    def recurse(node, path, pz, po, pi):
-        path = _extend(path, pz, po, pi, n)
-        if t.feature[node] < 0:
-            for i in range(1, len(path)):
-                w = _unwound_sum(path, i)
-                f, z, o = path[i][0], path[i][1], path[i][2]
-                phi[:, f] += t.weight * w * (o - z) * t.value[node]
-            return
-        d = t.feature[node]
-        go_left = (X[:, d] <= t.threshold[node]).astype(float)
-        iz, io = 1.0, np.ones(n)
-        k = next((j for j in range(len(path)) if path[j][0] == d), None)
-        if k is not None:
-            iz, io = path[k][1], path[k][2]
-            path = _unwind(path, k)
-        cov = t.cover[node]
-        lft, rgt = t.left[node], t.right[node]
-        recurse(lft, path, iz * t.cover[lft] / cov, io * go_left, d)
-        recurse(rgt, path, iz * t.cover[rgt] / cov, io * (1.0 - go_left), d)
-
-    recurse(0, [], 1.0, np.ones(n), -1)
+def leaf_tables(t: Tree) -> LeafTables:
+    """The paths of a tree's leaves, features in the order in which they first come, and their tables."""
+    found = LeafTables(t, {}, {})
+    by_length: dict[int, list[tuple[int, list[float]]]] = {}
+    stack = [(0, [], [])]
+    while stack:
+        node, features, shares = stack.pop()
+        f = int(t.feature[node])
+        if f < 0:
+            found.features[node] = features
+            by_length.setdefault(len(features), []).append((node, shares))
+            continue
+        for child in (int(t.left[node]), int(t.right[node])):
+            share = t.cover[child] / t.cover[node]
+            if f in features:
+                at = features.index(f)
+                stack.append((child, features, [s * share if i == at else s for i, s in enumerate(shares)]))
+            else:
+                stack.append((child, [*features, f], [*shares, share]))
+    for d, leaves in by_length.items():
+        if d > MAX_PATH:
+            raise ValueError(f"a path of {d} features; at most {MAX_PATH} are supported")
+        if d:
+            nodes = [n for n, _ in leaves]
+            tables = _subset_attributions(np.array([s for _, s in leaves]), t.weight * t.value[nodes])
+            found.tables.update(zip(nodes, tables))
+    return found
+
+
+def add_attributions(leaves: LeafTables, X: np.ndarray, phi: np.ndarray) -> None:
+    """Add a tree's attributions of all rows. ``X`` and ``phi`` have a row a feature."""
+    t = leaves.tree
+    stack = [(0, [], np.zeros(X.shape[1], np.uint16))]
+    while stack:
+        node, features, mask = stack.pop()
+        f = int(t.feature[node])
+        if f < 0:
+            for feature, by_subset in zip(features, leaves.tables.get(node, ())):
+                phi[feature] += by_subset[mask]
+            continue
+        goes_left = X[f] <= t.threshold[node]
+        for child, goes in ((int(t.left[node]), goes_left), (int(t.right[node]), ~goes_left)):
+            if f in features:
+                bit = np.uint16(1 << features.index(f))
+                stack.append((child, features, mask & (goes * bit | ~bit)))
+            else:
+                stack.append((child, [*features, f], mask | goes * np.uint16(1 << len(features))))
+
+
+def attributions(tables: list[LeafTables], X: np.ndarray) -> np.ndarray:
+    """SHAP values of the rows of ``X`` under the sum of all trees."""
+    columns = np.ascontiguousarray(X.T)
+    phi = np.zeros_like(columns)
+    for leaves in tables:
+        add_attributions(leaves, columns, phi)
+    return phi.T
 
 
 def shap_values(trees: list[Tree], X: np.ndarray) -> np.ndarray:
-    phi = np.zeros((X.shape[0], X.shape[1]))
-    for t in trees:
-        tree_shap(t, X, phi)
-    return phi
+    return attributions([leaf_tables(t) for t in trees], X)
 
 
 def margin(trees: list[Tree], X: np.ndarray) -> np.ndarray:
@@ -170,38 +192,39 @@ def margin(trees: list[Tree], X: np.ndarray) -> np.ndarray:
     return out
 
 
-def explain(spark: SparkSession, model, sample: DataFrame, scratch: str,
-            keys: tuple[str, ...] = ("customer_id", "snapshot_date")) -> DataFrame:
-    """M13 + M14: ``keys, expected_value, shap_<feature>...`` for every row of ``sample``.
+def explain_rows(spark: SparkSession, trees: list[Tree], rows: DataFrame, columns: list[str],
+                 keys: tuple[str, ...] = ("customer_id", "snapshot_date")) -> DataFrame:
+    """M13 + M14 for trees over ``columns``: ``keys, expected_value, shap_<feature>...`` for every row.
 
-    ``model`` is the fitted ``PipelineModel`` (assembler + GBT). Rows keep their
-    ids; the work runs batch by batch on the executors.
-    """
-    from retention.operators.model import model_columns, prepare
+    The work is in Python and heavy for its bytes, so rows are dealt to as many partitions as the session
+    shuffles to (or has cores), not by their size."""
     from retention.session import ship_package
     ship_package(spark)
-    cols = model_columns(model)
-    trees = load_trees(spark, model.stages[-1], scratch)
     ev = expected_value(trees)
-    bc = spark.sparkContext.broadcast(trees)
-    prepared = prepare(sample, cols).select(*keys, *cols)
-    key_fields = [prepared.schema[k] for k in keys]
+    bc = spark.sparkContext.broadcast([leaf_tables(t) for t in trees])
+    key_fields = [rows.schema[k] for k in keys]
     out_schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields]
-                           + ["expected_value double"] + [f"`{shap_name(c)}` double" for c in cols])
+                           + ["expected_value double"] + [f"`{shap_name(c)}` double" for c in columns])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ts = bc.value
+        tables = bc.value
         for pdf in batches:
             if pdf.empty:
                 continue
-            X = pdf[cols].to_numpy(dtype=float)
-            phi = shap_values(ts, X)
-            res = pdf[list(keys)].copy()
-            res["expected_value"] = ev
-            for j, c in enumerate(cols):
-                res[shap_name(c)] = phi[:, j]
+            phi = attributions(tables, pdf[columns].to_numpy(dtype=float))
+            res = pd.DataFrame(phi, columns=[shap_name(c) for c in columns])
+            res.insert(0, "expected_value", ev)
+            for i, k in enumerate(keys):
+                res.insert(i, k, pdf[k].to_numpy())
             yield res
 
-    return prepared.mapInPandas(run, out_schema)
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.select(*keys, *columns).repartition(parts).mapInPandas(run, out_schema)
 
 
+def explain(spark: SparkSession, model, sample: DataFrame, scratch: str,
+            keys: tuple[str, ...] = ("customer_id", "snapshot_date")) -> DataFrame:
+    """M13 + M14 for the fitted ``PipelineModel`` (assembler + GBT)."""
+    from retention.operators.model import model_columns, prepare
+    columns = model_columns(model)
+    return explain_rows(spark, load_trees(spark, model.stages[-1], scratch), prepare(sample, columns), columns, keys)
