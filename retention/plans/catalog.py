@@ -695,12 +695,12 @@ def q_drift(spark, sf):
 
 def _shap_sql() -> str:
     from retention.operators.scoring import LINEAR_INTERCEPT, LINEAR_WEIGHTS
-    means = ", ".join(f"avg(CAST({n} AS DOUBLE)) AS m_{n}" for n, _ in LINEAR_WEIGHTS)
+    means = ", ".join(f"avg(CAST({n} AS DOUBLE)) OVER () AS m_{n}" for n, _ in LINEAR_WEIGHTS)
     ev = f"CAST({LINEAR_INTERCEPT} AS DOUBLE)" + "".join(
         f" + CAST({w} AS DOUBLE) * m_{n}" for n, w in LINEAR_WEIGHTS)
     cols = ", ".join(f"CAST({w} AS DOUBLE) * (CAST({n} AS DOUBLE) - m_{n}) AS shap_{n}" for n, w in LINEAR_WEIGHTS)
     return (f"SELECT customer_id, snapshot_date, {ev} AS expected_value, {cols} "
-            f"FROM features4 s, (SELECT {means} FROM features4) m")
+            f"FROM (SELECT *, {means} FROM features4)")
 
 
 def shap_df(spark, sf) -> DataFrame:
@@ -1088,6 +1088,103 @@ def q_gbt_importance(spark, sf):
     return tidy(ranked.select("rank", ((F.col("importance") >= 0) & (F.coalesce(before >= F.col("importance"), F.lit(True)))).alias("falling")))
 
 
+# ---------------------------------------------------------------- histogram boosting (M1 as the reference sets it, M2, M10, M11)
+
+#: Candidate thresholds of the queries whose trees SQL grows as well.
+BOOST_CUTS = {"txn_count_30d": [0, 1, 2, 4], "login_count_30d": [0, 1, 2], "days_since_last_txn": [0, 10, 30, 60],
+              "tenure_days": [200, 600, 1200, 2000]}
+BOOST_ROUNDS = 2
+
+
+def _boost_params():
+    from retention.operators.boosting import BoostParams
+    return BoostParams(rounds=BOOST_ROUNDS, max_depth=2, row_sample=1.0, column_sample=1.0)
+
+
+def small_boost(spark, sf):
+    """Two trees of depth 2 over four features, on all training rows."""
+    from retention.operators import boosting
+    from retention.session import materialize
+    rows = materialize(training_df(spark, sf))
+    return boosting.fit(rows, list(BOOST_CUTS), p=_boost_params(), cuts=[list(map(float, c)) for c in BOOST_CUTS.values()]), rows
+
+
+def _boost_ctes() -> list[str]:
+    """CTEs that grow the trees by trying every threshold: ``t<round>_<level>`` has each row's node (as in a
+    heap), ``best<round>_<level>`` the cut of each node, ``r<round>`` the margins after the round."""
+    p = _boost_params()
+    one = float(1 << 26)
+
+    def score(g, h):
+        return f"(({g}) / {one}) * (({g}) / {one}) / (({h}) / {one} + {p.reg_lambda})"
+
+    cut_rows = [(f, j, name, cut) for f, (name, cuts) in enumerate(BOOST_CUTS.items()) for j, cut in enumerate(cuts)]
+    out = [f"r0 AS (SELECT customer_id, snapshot_date, churn_label, {', '.join(f'CAST({n} AS DOUBLE) AS {n}' for n in BOOST_CUTS)}, "
+           "CAST(0 AS DOUBLE) AS m FROM training)"]
+    for k in range(BOOST_ROUNDS):
+        prob = "(1.0::DOUBLE / (1.0::DOUBLE + exp(-m)))"
+        out.append(f"t{k}_0 AS MATERIALIZED (SELECT *, round(({prob} - churn_label) * {one}) AS g, round({prob} * (1.0::DOUBLE - {prob}) * {one}) AS h, 0 AS node FROM r{k})")
+        for level in range(p.max_depth):
+            tries = " UNION ALL ".join(
+                f"SELECT node, {f} AS f, {j} AS c, sum(g) AS g, sum(h) AS h, sum(CASE WHEN {name} <= {cut} THEN g ELSE 0 END) AS gl, "
+                f"sum(CASE WHEN {name} <= {cut} THEN h ELSE 0 END) AS hl FROM t{k}_{level} WHERE node >= {2**level - 1} GROUP BY node"
+                for f, j, name, cut in cut_rows)
+            gain = f"{score('gl', 'hl')} + {score('g - gl', 'h - hl')} - {score('g', 'h')}"
+            out.append(f"best{k}_{level} AS MATERIALIZED (SELECT * FROM (SELECT *, CASE WHEN hl >= {one} AND h - hl >= {one} THEN {gain} ELSE 0 END AS gain "
+                       f"FROM ({tries})) QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, c) = 1)")
+            side = "CASE " + " ".join(f"WHEN b.f = {f} AND b.c = {j} THEN CASE WHEN t.{name} <= {cut} THEN 1 ELSE 2 END" for f, j, name, cut in cut_rows) + " END"
+            out.append(f"t{k}_{level + 1} AS MATERIALIZED (SELECT t.* REPLACE (CASE WHEN b.gain > 1e-12 THEN 2 * t.node + {side} ELSE t.node END AS node) "
+                       f"FROM t{k}_{level} t LEFT JOIN best{k}_{level} b USING (node))")
+        out.append(f"w{k} AS MATERIALIZED (SELECT node, -(sum(g) / {one}) / (sum(h) / {one} + {p.reg_lambda}) AS value FROM t{k}_{p.max_depth} GROUP BY node)")
+        out.append(f"r{k + 1} AS MATERIALIZED (SELECT t.* EXCLUDE (g, h, node) REPLACE (t.m + {p.learning_rate} * w.value AS m) FROM t{k}_{p.max_depth} t JOIN w{k} w USING (node))")
+    return out
+
+
+def _with_ctes(ctes: list[str], body: str) -> str:
+    return V(f"SELECT * FROM (WITH {', '.join(ctes)} {body})")
+
+
+def _boost_trees_sql() -> str:
+    names = "CASE f " + " ".join(f"WHEN {f} THEN '{n}'" for f, n in enumerate(BOOST_CUTS)) + " END"
+    cuts = "CASE " + " ".join(f"WHEN f = {f} AND c = {j} THEN {cut}" for f, cs in enumerate(BOOST_CUTS.values()) for j, cut in enumerate(cs)) + " END"
+    parts = []
+    for k in range(BOOST_ROUNDS):
+        parts += [f"SELECT {k} AS tree, node, {names} AS feature, CAST({cuts} AS DOUBLE) AS threshold, CAST(NULL AS DOUBLE) AS value FROM best{k}_{level} WHERE gain > 1e-12"
+                  for level in range(_boost_params().max_depth)]
+        parts.append(f"SELECT {k}, node, NULL, NULL, value FROM w{k}")
+    return _with_ctes(_boost_ctes(), " UNION ALL ".join(parts))
+
+
+@query("boost_trees", tidy_sql(_boost_trees_sql(), dbl=["threshold", "value"], ints=["tree", "node"]))
+def q_boost_trees(spark, sf):
+    """M1: the trees of two rounds of histogram boosting, node by node (children of n are 2n + 1 and 2n + 2)."""
+    model, _ = small_boost(spark, sf)
+    rows = []
+    for k, t in enumerate(model.trees):
+        stack = [(0, 0)]
+        while stack:
+            node, name = stack.pop()
+            if t.feature[node] < 0:
+                rows.append((k, name, None, None, float(t.value[node])))
+            else:
+                rows.append((k, name, model.columns[t.feature[node]], float(t.threshold[node]), None))
+                stack += [(t.left[node], 2 * name + 1), (t.right[node], 2 * name + 2)]
+    return tidy(spark.createDataFrame(rows, "tree int, node int, feature string, threshold double, value double"))
+
+
+@query("boost_scores", tidy_sql(_with_ctes(_boost_ctes(), f"SELECT customer_id, snapshot_date, churn_label, 1 / (1 + exp(-m)) AS churn_probability, "
+                                           f"CAST(1 / (1 + exp(-m)) > 0.5 AS INTEGER) AS churn_prediction FROM r{BOOST_ROUNDS}"),
+                                dbl=["churn_probability"], ints=["churn_label", "churn_prediction"], dates=["snapshot_date"]))
+def q_boost_scores(spark, sf):
+    """Every training row's probability under the two trees, saved and loaded again."""
+    from retention.operators import boosting
+    from retention.session import scratch_path
+    model, rows = small_boost(spark, sf)
+    path = scratch_path(spark, "boosted")
+    boosting.save(spark, model, path)
+    return tidy(boosting.predict(boosting.load(spark, path), rows, AS_OF, keep=("churn_label",)).drop("prediction_date"))
+
+
 # ---------------------------------------------------------------- second tier
 
 _LAG_SQL = """SELECT customer_id, snapshot_date, txn_count_30d AS value,
