@@ -63,10 +63,15 @@ def eligible_by_snapshot(customers: DataFrame, dates: list[str], p: Params = DEF
 def multi_snapshot_features(spark: SparkSession, customers: DataFrame, transactions: DataFrame,
                             interactions: DataFrame, dates: list[str], p: Params = DEFAULT) -> DataFrame:
     """D4 for a list of snapshot dates; equal to the union of single-date snapshots."""
-    s = F.col("snapshot_date")
-    keys = ["customer_id", "snapshot_date"]
     states = day_states(_in_span(transactions, dates, -p.feature_window_days, 0),
                         _in_span(interactions, dates, -p.feature_window_days, 0))
+    return features_from_states(spark, customers, states, dates, p)
+
+
+def features_from_states(spark: SparkSession, customers: DataFrame, states: DataFrame, dates: list[str], p: Params = DEFAULT) -> DataFrame:
+    """D4 for a list of snapshot dates from customer-day states (a row a customer and day)."""
+    s = F.col("snapshot_date")
+    keys = ["customer_id", "snapshot_date"]
     seen = _by_window(states, snapshot_frame(spark, dates), -p.feature_window_days, 0)
     age = day_number(s) - F.col(DAY)
     merged = feat.with_all_ratios(seen.groupBy(*keys).agg(*(measure_over(m, fact, age) for m, fact in feat.MEASURES)), *keys)

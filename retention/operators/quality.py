@@ -35,14 +35,18 @@ def clamp_session(c: Column) -> Column:
     return F.when(c < 0, F.lit(0)).otherwise(c)
 
 
-def clean(df: DataFrame, table: str) -> DataFrame:
-    """Dedupe, then B6 (transactions: amount > 0) or B7 (interactions: clamp)."""
-    out = dedupe(df, table)
+def row_rules(df: DataFrame, table: str) -> DataFrame:
+    """B6 (transactions: amount > 0) or B7 (interactions: clamp)."""
     if table == "transactions":
-        out = out.filter(F.col("amount") > 0)
-    elif table == "interactions":
-        out = out.withColumn("session_duration", clamp_session(F.col("session_duration")))
-    return out
+        return df.filter(F.col("amount") > 0)
+    if table == "interactions":
+        return df.withColumn("session_duration", clamp_session(F.col("session_duration")))
+    return df
+
+
+def clean(df: DataFrame, table: str) -> DataFrame:
+    """Dedupe, then the table's row rules."""
+    return row_rules(dedupe(df, table), table)
 
 
 def elapsed_days(as_of: str, ts: Column) -> Column:

@@ -1253,6 +1253,40 @@ def q_segment_members(spark, sf):
     return tidy(seg.select("customer_id", "snapshot_date", "nearest", F.lit(members).alias("members")))
 
 
+#: Ends of the parts in which the stand-in's events arrive.
+ARRIVALS = ["2023-11-15", "2023-12-20", "2024-01-08", "2024-01-16"]
+
+
+def arrived_events(spark, sf, folder: str):
+    """The raw fact tables as files that came one after another, by time; then the streams over them."""
+    from retention.operators.features import historical
+    from retention.streaming.events import event_stream
+    t = raw(spark, sf)
+    out = []
+    for name, table in (("transactions", t.transactions), ("interactions", t.interactions)):
+        begin = None
+        for end in ARRIVALS:
+            ts = F.col("timestamp")
+            part = historical(table, SNAPSHOT).filter(ts < F.lit(f"{end} 00:00:00").cast("timestamp_ntz"))
+            if begin is not None:
+                part = part.filter(ts >= F.lit(f"{begin} 00:00:00").cast("timestamp_ntz"))
+            part.coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+            begin = end
+        out.append(event_stream(spark, f"{folder}/{name}", table.schema))
+    return out
+
+
+@query("stream_event_features", tidy_sql(O.with_views(O.snapshot(SNAPSHOT)), money=MONEY, dbl=FEATURE_DBLS, ints=FEATURE_INTS, dates=DATES))
+def q_stream_event_features(spark, sf):
+    """P8 over events, E1 on a stream: events arrive in four parts; the state they leave gives the weekly snapshot."""
+    from retention.session import scratch_path
+    from retention.streaming.events import EventFeatures
+    folder = scratch_path(spark, "events")
+    events = EventFeatures(spark, f"{folder}/state")
+    events.start(*arrived_events(spark, sf, folder)).awaitTermination()
+    return tidy(events.features(cleaned(spark, sf).customers, SNAPSHOT), money=MONEY)
+
+
 def _stream_sql() -> str:
     from retention.operators.scoring import LINEAR_INTERCEPT, LINEAR_WEIGHTS
     z = f"CAST({LINEAR_INTERCEPT} AS DOUBLE)" + "".join(
