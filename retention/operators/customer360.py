@@ -52,6 +52,15 @@ def order_products(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(*cols, F.when(status == "F", "prior").when(status == "O", "train").otherwise("other").alias("eval_set"))
 
 
+def concat_sets(**sets: DataFrame) -> DataFrame:
+    """Frames of order lines under each other, each row with its frame's name; columns by name."""
+    out = None
+    for name, df in sets.items():
+        named = df.withColumn("eval_set", F.lit(name))
+        out = named if out is None else out.unionByName(named)
+    return out
+
+
 def basket_join(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Orders x order lines x products, inner on order id and product id.
 
@@ -89,6 +98,6 @@ def customer_360(demographics: DataFrame, behavioral: DataFrame, events_pivot: D
     return fill_zero_if_present(out, [*EVENT_TYPES, OTHER_EVENTS])
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """the first rows for a look (a limit is the feature here)."""
-    return df.limit(n)
+def preview(df: DataFrame, *order: str, n: int = 5) -> DataFrame:
+    """the first rows by ``order`` for a look (a limit is the feature here)."""
+    return df.orderBy(*order).limit(n)

@@ -313,6 +313,15 @@ def q_backfill_labels(spark, sf):
     return tidy(backfill_labels(hist, t.customers, t.transactions, t.interactions, AS_OF))
 
 
+@query("backfill_none", tidy_sql(O.with_views(f"SELECT * FROM ({O.churn_labels(WEEKLY[0])}) WHERE FALSE"),
+                                 ints=["churn_label"], dates=["churned_date", "snapshot_date"]))
+def q_backfill_none(spark, sf):
+    """No snapshot has matured, so no rows, with the columns of labels."""
+    from retention.operators.multisnap import backfill_labels
+    t = cleaned(spark, sf)
+    return tidy(backfill_labels(multi_features_df(spark, sf), t.customers, t.transactions, t.interactions, WEEKLY[0]))
+
+
 # ---------------------------------------------------------------- sources and store
 
 @query("ingest_dated", tidy_sql(O.with_views("SELECT * FROM transactions"), money=["amount"], dates=["timestamp"]))
@@ -373,6 +382,17 @@ def q_export_millis(spark, sf):
     return tidy(spark.read.parquet(path), money=["amount"])
 
 
+@query("export_millis_interactions", tidy_sql(O.with_views("SELECT * REPLACE (date_trunc('millisecond', timestamp) AS timestamp) FROM interactions"),
+                                              ints=["session_duration"], dates=["timestamp"]))
+def q_export_millis_interactions(spark, sf):
+    """B24 on timestamps with microseconds."""
+    from retention.session import scratch_path
+    from retention.sources.raw import export_parquet
+    path = scratch_path(spark, "export")
+    export_parquet(raw(spark, sf).interactions, path, millis="timestamp")
+    return tidy(spark.read.parquet(path))
+
+
 def _store(spark):
     from retention.session import scratch_path
     from retention.sources.store import FeatureStore
@@ -425,6 +445,16 @@ def q_csv_scan(spark, sf):
     return tidy(read_csv(spark, path, part.schema))
 
 
+@query("csv_scan_inferred", tidy_sql("SELECT * FROM orders", dbl=["o_totalprice"], ints=["o_orderkey", "o_custkey"], dates=["o_orderdate"]))
+def q_csv_scan_inferred(spark, sf):
+    """Types found by one aggregate over gzip files, then a typed scan."""
+    from retention.session import scratch_path
+    from retention.sources.raw import read_csv_inferred, write_csv_gz
+    path = scratch_path(spark, "csv")
+    write_csv_gz(fx.read_table(spark, sf, "orders"), path)
+    return tidy(read_csv_inferred(spark, path))
+
+
 # ---------------------------------------------------------------- training set and split
 
 SPLIT_DATE = "2024-01-08"
@@ -960,15 +990,15 @@ def q_basket_join(spark, sf):
     return tidy(basket_join(r("orders"), r("lineitem"), r("part")))
 
 
-def _c360_sql() -> str:
+def _c360_body() -> str:
     fills = ", ".join(f"coalesce({e}, 0) AS {e}" for e in _event_ints())
-    return O.with_views(
+    return (
         f"SELECT * REPLACE ({fills}) FROM customers LEFT JOIN ({TXN_STATS_SQL}) b USING (customer_id) "
         f"LEFT JOIN ({_pivot_sql()}) e USING (customer_id) "
         f"LEFT JOIN (SELECT * EXCLUDE (recency_days) FROM ({LIFE_SQL})) l USING (customer_id)")
 
 
-@query("customer_360", tidy_sql(_c360_sql(), dbl=["txn_sum", "txn_mean", "txn_std"],
+@query("customer_360", tidy_sql(O.with_views(_c360_body()), dbl=["txn_sum", "txn_mean", "txn_std"],
                                 ints=["age", "txn_count"] + _event_ints(),
                                 dates=["join_date", "first_txn", "last_txn"]))
 def q_customer_360(spark, sf):
@@ -978,6 +1008,58 @@ def q_customer_360(spark, sf):
     return tidy(customer_360(t.customers, txn_stats(t.transactions), pivot_df(spark, sf), life_df(spark, sf)))
 
 
+_OFFERS_SQL = ("SELECT CAST(user_id AS VARCHAR) AS customer_id, count(*) FILTER (WHERE event_type = 'view') AS offers_viewed, "
+               "count(*) FILTER (WHERE event_type = 'purchase') AS offers_taken FROM events GROUP BY 1")
+
+
+def offers_df(spark, sf) -> DataFrame:
+    """Stand-in for the offers table: views and purchases of each customer."""
+    kind = F.col("event_type")
+    return fx.read_table(spark, sf, "events").groupBy(F.col("user_id").cast("string").alias("customer_id")).agg(
+        F.count_if(kind == "view").alias("offers_viewed"), F.count_if(kind == "purchase").alias("offers_taken"))
+
+
+def c360_offers_df(spark, sf) -> DataFrame:
+    from retention.operators.customer360 import customer_360
+    from retention.operators.profile import txn_stats
+    t = raw(spark, sf)
+    return customer_360(t.customers, txn_stats(t.transactions), pivot_df(spark, sf), life_df(spark, sf), offers_df(spark, sf))
+
+
+def _c360_offers_sql() -> str:
+    return f"SELECT * FROM ({_c360_body()}) LEFT JOIN ({_OFFERS_SQL}) o USING (customer_id)"
+
+
+def _c360_types() -> dict:
+    return {"dbl": ["txn_sum", "txn_mean", "txn_std"], "ints": ["age", "txn_count", "offers_viewed", "offers_taken"] + _event_ints(),
+            "dates": ["join_date", "first_txn", "last_txn"]}
+
+
+@query("customer_360_offers", tidy_sql(O.with_views(_c360_offers_sql()), **_c360_types()))
+def q_customer_360_offers(spark, sf):
+    """C8 with its offers join."""
+    return tidy(c360_offers_df(spark, sf))
+
+
+@query("customer_360_preview", tidy_sql(O.with_views(f"SELECT * FROM ({_c360_offers_sql()}) ORDER BY customer_id LIMIT 5"), **_c360_types()))
+def q_customer_360_preview(spark, sf):
+    """the first customers of the joined view."""
+    from retention.operators.customer360 import preview
+    return tidy(preview(c360_offers_df(spark, sf), "customer_id"))
+
+
+@query("order_sets_concat", tidy_sql(
+    "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, 'prior' AS eval_set FROM lineitem WHERE l_linestatus = 'F' UNION ALL "
+    "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, 'train' FROM lineitem WHERE l_linestatus = 'O'",
+    dbl=["l_quantity"], ints=["l_orderkey", "l_partkey", "l_linenumber"]))
+def q_order_sets_concat(spark, sf):
+    """Two frames of order lines, finished and open ones, under each other with their set's name."""
+    from retention.operators.customer360 import concat_sets
+    lines = fx.read_table(spark, sf, "lineitem")
+    part = lambda status: lines.filter(F.col("l_linestatus") == status).select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    return tidy(concat_sets(prior=part("F"), train=part("O")))
+
+
 # ---------------------------------------------------------------- Spark ML (M1-M5, M11, M13 trees, A18)
 
 _MODELS: dict[tuple[str, str], object] = {}
@@ -1185,6 +1267,81 @@ def q_boost_scores(spark, sf):
     return tidy(boosting.predict(boosting.load(spark, path), rows, AS_OF, keep=("churn_label",)).drop("prediction_date"))
 
 
+def _boost_views() -> dict[str, str]:
+    """The usual views, the scores being those of the two trees."""
+    scores = (f"SELECT customer_id, snapshot_date, churn_label, 1.0::DOUBLE / (1.0::DOUBLE + exp(-m)) AS churn_probability, "
+              f"CAST(1.0::DOUBLE / (1.0::DOUBLE + exp(-m)) > 0.5 AS INTEGER) AS churn_prediction, DATE '{AS_OF}' AS prediction_date FROM r{BOOST_ROUNDS}")
+    return _base_views() | {"scored": f"SELECT * FROM (WITH {', '.join(_boost_ctes())} {scores})"}
+
+
+@query("boost_gate", tidy_sql(O.with_views(_GATE_SQL, _boost_views()), dbl=["value", "minimum"]))
+def q_boost_gate(spark, sf):
+    """A fitted model's AUC and precision at the target recall, and whether they pass."""
+    from retention.operators import boosting
+    from retention.operators.ranking import metrics, threshold_gate
+    model, rows = small_boost(spark, sf)
+    scored = metrics(boosting.predict(model, rows, AS_OF, keep=("churn_label",)), DEFAULT.target_recall)
+    return tidy(threshold_gate(scored, DEFAULT.min_auc_threshold, DEFAULT.min_precision_threshold))
+
+
+@query("boost_metrics", tidy_sql(O.with_views(_METRICS_SQL, _boost_views()), dbl=["auc", "precision", "recall", "f1", "precision_at_target_recall"],
+                                 ints=["n_rows", "n_unscored"]))
+def q_boost_metrics(spark, sf):
+    """The metrics that training reports."""
+    from retention.operators import boosting
+    from retention.operators.ranking import metrics
+    model, rows = small_boost(spark, sf)
+    return tidy(metrics(boosting.predict(model, rows, AS_OF, keep=("churn_label",)), DEFAULT.target_recall))
+
+
+def _phi_sql(j: int) -> str:
+    """The attribution of feature j under the first tree by its definition: over all sets of the other
+    features, what knowing j changes in the tree's conditional expectation."""
+    import itertools
+    import math
+    names = list(BOOST_CUTS)
+
+    def expected(known: frozenset, node: int) -> str:
+        """The expected value from heap node ``node`` on; an unknown feature follows the covers."""
+        if node >= 3:
+            return f"v{node}"
+        low, high = expected(known, 2 * node + 1), expected(known, 2 * node + 2)
+        here = " ".join(f"WHEN f{node} = {f} AND c{node} = {c} THEN CASE WHEN {n} <= {cut} THEN {low} ELSE {high} END"
+                        for f, (n, cuts) in enumerate(BOOST_CUTS.items()) if f in known for c, cut in enumerate(cuts))
+        mixed = f"({low} * h{2 * node + 1} + {high} * h{2 * node + 2}) / (h{2 * node + 1} + h{2 * node + 2})"
+        return f"CASE WHEN f{node} IS NULL THEN v{node} {here} ELSE {mixed} END"
+
+    others = [i for i in range(len(names)) if i != j]
+    terms = []
+    for k in range(len(others) + 1):
+        for s in itertools.combinations(others, k):
+            weight = math.factorial(k) * math.factorial(len(others) - k) / math.factorial(len(names))
+            terms.append(f"{weight!r}::DOUBLE * (({expected(frozenset({*s, j}), 0)}) - ({expected(frozenset(s), 0)}))")
+    return " + ".join(terms)
+
+
+def _boost_shap_sql() -> str:
+    p = _boost_params()
+    one = float(1 << 26)
+    value = f"-(g / {one}) / (h / {one} + {p.reg_lambda})"
+    stats = ("stats AS MATERIALIZED (SELECT node, any_value(g) AS g, any_value(h) AS h FROM (SELECT node, sum(g) AS g, sum(h) AS h FROM t0_1 GROUP BY node "
+             "UNION ALL SELECT 0, sum(g), sum(h) FROM t0_0 UNION ALL SELECT node, sum(g), sum(h) FROM t0_2 GROUP BY node) GROUP BY node)")
+    cells = ", ".join(f"max({value}) FILTER (node = {n}) AS v{n}, max(h) FILTER (node = {n}) AS h{n}" for n in range(7))
+    cuts = ", ".join(f"(SELECT {x} FROM best0_{level} WHERE node = {n} AND gain > 1e-12) AS {x}{n}" for n, level in ((0, 0), (1, 1), (2, 1)) for x in "fc")
+    tree = f"tree AS MATERIALIZED (SELECT *, {cuts} FROM (SELECT {cells} FROM stats))"
+    phi = ", ".join(f"{p.learning_rate} * ({_phi_sql(j)}) AS shap_{n}" for j, n in enumerate(BOOST_CUTS))
+    return _with_ctes([*_boost_ctes(), stats, tree], f"SELECT customer_id, snapshot_date, {phi} FROM r0, tree")
+
+
+@query("boost_tree_shap", tidy_sql(_boost_shap_sql(), dbl=[f"shap_{n}" for n in BOOST_CUTS], dates=["snapshot_date"]))
+def q_boost_tree_shap(spark, sf):
+    """M13-M15 on trees: every row's attributions under the first tree."""
+    from retention.operators.model import prepare
+    from retention.operators.treeshap import explain_rows
+    model, rows = small_boost(spark, sf)
+    return tidy(explain_rows(spark, model.trees[:1], prepare(rows, model.columns), model.columns).drop("expected_value"))
+
+
 # ---------------------------------------------------------------- second tier
 
 _LAG_SQL = """SELECT customer_id, snapshot_date, txn_count_30d AS value,

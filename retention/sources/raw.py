@@ -62,3 +62,35 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, partitions: i
     """
     df = spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)
     return df.repartition(partitions) if partitions else df
+
+
+# Types of a CSV column from narrow to wide, each with the test that a value has it. A column has
+# the first that all its values have; where none fits, or there are no values, it is a string.
+_WHOLE = r"^[+-]?[0-9]+$"
+CSV_TYPES: list[tuple[T.DataType, object]] = [
+    (T.IntegerType(), lambda c: c.rlike(_WHOLE) & c.try_cast("int").isNotNull()),
+    (T.LongType(), lambda c: c.rlike(_WHOLE) & c.try_cast("bigint").isNotNull()),
+    (T.DoubleType(), lambda c: ~c.rlike(r"^\s|\s$") & c.try_cast("double").isNotNull()),
+    (T.DateType(), lambda c: c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & c.try_cast("date").isNotNull()),
+    (T.TimestampType(), lambda c: c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9:.]+.*)?$") & c.try_cast("timestamp").isNotNull()),
+    (T.BooleanType(), lambda c: F.lower(c).isin("true", "false")),
+]
+
+
+def infer_csv_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The column types of header CSV files by one aggregate over all rows of all files.
+
+    Each task finds for each column which types all its values have; the flags are merged by AND, so
+    the result doesn't depend on how rows are dealt out. Null and empty values have every type."""
+    text = spark.read.option("header", True).csv(path)
+    held = text.agg(*(F.bool_and(F.when(F.col(f"`{c}`").isNotNull(), test(F.col(f"`{c}`")))).alias(f"{i}_{j}") for i, c in enumerate(text.columns) for j, (_, test) in enumerate(CSV_TYPES))).first()
+    fields = []
+    for i, c in enumerate(text.columns):
+        fits = [kind for j, (kind, _) in enumerate(CSV_TYPES) if held[f"{i}_{j}"]]
+        fields.append(T.StructField(c, fits[0] if fits else T.StringType()))
+    return T.StructType(fields)
+
+
+def read_csv_inferred(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """A13 without a declared schema: types by ``infer_csv_schema``, then one typed scan."""
+    return read_csv(spark, path, infer_csv_schema(spark, path), partitions)
