@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from retention.functions.timewin import date_lit
 
-# Weights of the reference linear scorer (feature, weight), in order.
+# Weights of this library's own linear scorer (feature, weight), in order.
 LINEAR_INTERCEPT = 0.5
 LINEAR_WEIGHTS = [
     ("txn_count_30d", -0.3),

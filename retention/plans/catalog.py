@@ -1065,24 +1065,27 @@ def q_order_sets_concat(spark, sf):
 _MODELS: dict[tuple[str, str], object] = {}
 
 
+def fitted_gbt(spark, sf):
+    from retention.operators.model import GBTParams, train_model
+    return train_model(multi_features_df(spark, sf), multi_labels_df(spark, sf), SPLIT_DATE, AS_OF, gp=GBTParams())[0]
+
+
 def gbt_model(spark, sf):
-    """Fit once per session and scale factor (both GBT queries use the same model)."""
+    """Fit once per session and scale factor (the queries that explain or check the model share it)."""
     from retention.session import app_key
     key = (app_key(spark), sf)
     if key not in _MODELS:
-        from retention.operators.model import GBTParams, train_model
-        _MODELS[key] = train_model(multi_features_df(spark, sf), multi_labels_df(spark, sf), SPLIT_DATE, AS_OF,
-                                   gp=GBTParams())[0]
+        _MODELS[key] = fitted_gbt(spark, sf)
     return _MODELS[key]
 
 
 @query("gbt_train_score")
 def q_gbt_train_score(spark, sf):
-    """Train (reference settings), save and reload the pipeline (A18), score the validation split."""
+    """Train (reference settings, anew each time), save and reload the pipeline (A18), score the validation split."""
     from retention.operators.model import predict
     from retention.operators.split import split
     st = _store(spark)
-    st.save_model(gbt_model(spark, sf), AS_OF)
+    st.save_model(fitted_gbt(spark, sf), AS_OF)
     model = st.load_model(AS_OF)
     val = split(training_df(spark, sf), SPLIT_DATE)[1]
     return tidy(predict(model, val, AS_OF, keep=("churn_label",)))
