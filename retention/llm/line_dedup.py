@@ -8,11 +8,13 @@ segments and for the substrings of the line that may equal a segment of a line a
 ``EDITS`` shorter. Lines that share a key are candidates; a count of letter classes bounds their
 distance from below, and a banded bit-parallel automaton verifies it.
 
-A key that more than ``CROWDED`` lines share doesn't emit their pairs: the segment is cut out and
-what is left of each line is segmented again under that key, until keys aren't crowded or at most
-``SHORT`` code points are left. Then lines meet by their variants with up to ``EDITS`` of these deleted or
-blanked: an equal variant proves the link, so more than ``STARRED`` of one are linked by a star. No key
-emits more than ``CROWDED`` or ``STARRED`` lines' pairs.
+A key that more than ``CROWDED`` lines share doesn't emit their pairs. Its lines are cut again, into
+up to ``FINE`` segments: two near lines agree in all but two of these, the middle ones moved by as much
+as the first of the two allows. Keys are made of all but two segments, so what is left is two short
+windows. A key that is still crowded has its windows cut again under it, until at most ``SHORT`` code
+points are left. Then lines meet by their variants with up to ``EDITS`` of these deleted or blanked: an
+equal variant proves the link, so more than ``STARRED`` of one are linked by a star. No key emits more
+than ``CROWDED`` or ``STARRED`` lines' pairs, and of a pair one line has the key as its own.
 
 Of each component of lines (equal, or linked by verified pairs) the first line stays: the smallest
 doc_id, then the place in the document. The others are removed from their documents.
@@ -37,7 +39,11 @@ from retention.llm.graph import components
 from retention.session import materialize, scratch_path
 
 MIN_CHARS, EDITS = 32, 2
-CROWDED, SHORT, STARRED = 64, 12, 64
+CROWDED, SHORT, STARRED = 32, 12, 64
+#: Most and fewest segments of a text whose keys are crowded, and code points of one in between.
+FINE, COARSE, SEGMENT = 12, 5, 16
+#: Candidate pairs that a task verifies.
+VERIFIED = 2_000
 #: One of so many lines is looked at for frequent keys; a key of more than CROWDED of these is one.
 SAMPLED = 64
 #: Letter classes whose counts bound the edit distance from below.
@@ -85,22 +91,9 @@ def _cuts() -> list[tuple[int, int, int]]:
     return out
 
 
-def _keys(under: str = "") -> list[str]:
-    """SQL for the keys of a text x of n code points; ``under``: a column that they refine."""
-    head = f"{under}, " if under else ""
-    return [f"xxhash64({head}{length}, {i}, substring(x, {start}, {size}))" for length, start, size, i in ((*_segment(less, i, shift), i) for less, i, shift in _cuts())]
-
-
-def _cut_out(under: str = "") -> str:
-    """SQL for an array of (key, own, x, at): each key with what is left of the text without its segment
-    and the places of that in the line."""
-    made = []
-    for key, (less, i, shift) in zip(_keys(under), _cuts()):
-        _, start, size = _segment(less, i, shift)
-        x = f"concat(substring(x, 1, {start} - 1), substring(x, {start} + {size}))"
-        at = f"concat(slice(at, 1, {start} - 1), slice(at, {start} + {size}, n))"
-        made.append(f"named_struct('key', {key}, 'own', {_own(less, shift)}, 'x', {x}, 'at', {at})")
-    return f"array({', '.join(made)})"
+def _keys() -> list[str]:
+    """SQL for the keys of a text x of n code points."""
+    return [f"xxhash64({length}, {i}, substring(x, {start}, {size}))" for length, start, size, i in ((*_segment(less, i, shift), i) for less, i, shift in _cuts())]
 
 
 def _own(less: int, shift: int) -> str:
@@ -108,13 +101,53 @@ def _own(less: int, shift: int) -> str:
     return "true" if less == shift == 0 else "false"
 
 
-def _all_keys() -> str:
-    return f"array({', '.join(_keys())})"
+def _posts() -> str:
+    """SQL for an array of (key, own)."""
+    return f"array({', '.join(f'named_struct({chr(39)}key{chr(39)}, {key}, {chr(39)}own{chr(39)}, {_own(less, shift)})' for key, (less, _, shift) in zip(_keys(), _cuts()))})"
 
 
-def _posts(under: str) -> str:
-    """SQL for an array of (key, own)."""
-    return f"array({', '.join(f'named_struct({chr(39)}key{chr(39)}, {key}, {chr(39)}own{chr(39)}, {_own(less, shift)})' for key, (less, _, shift) in zip(_keys(under), _cuts()))})"
+def _left_out() -> list[tuple[int, int, int, int]]:
+    """(shorter by, first, second, shift): two segments that are left out, by which a line may agree with one
+    shorter by 0 to EDITS, and how far the segments between them are moved. Edits in the first one move
+    those, the rest follows from the lengths; of two lines of equal length, either finds the other."""
+    out = []
+    for less in range(EDITS + 1):
+        for i in range(FINE):
+            for j in range(i + 1, FINE):
+                shifts = [s for s in range(EDITS + 1) if abs(s) + abs(less - s) <= EDITS]
+                out += [(less, i, j, s) for s in (shifts if j > i + 1 else [0])]  # of neighbours, the two are one window
+    return out
+
+
+def _fine(left: DataFrame) -> DataFrame:
+    """(id, key, own, ops): the keys of texts x of n code points under ``above``; ops, with the places of the
+    two windows that a key leaves out, says how to come from the line to them."""
+    parts = F.array(*(F.struct(*(F.lit(v).alias(k) for k, v in zip(("less", "i", "j", "shift"), cut))) for cut in _left_out()))
+    each = left.withColumn("_c", F.explode(parts)).select("id", "above", "ops", "x", "n", "_c.*").withColumn("len", F.col("n") - F.col("less"))
+    # the number of segments follows from the shorter line's length, which both lines know
+    each = each.withColumn("p", F.least(F.lit(FINE), F.greatest(F.lit(COARSE), F.expr(f"cast(len div {SEGMENT} as int)")))).where("j < p")
+
+    def begin(segment: str) -> Column:
+        return F.expr(f"cast(1 + (len div p) * {segment} + greatest(0, len % p - (p - {segment})) as int)")
+
+    each = each.withColumns({"_si": begin("i"), "_ei": begin("(i + 1)"), "_sj": begin("j"), "_ej": begin("(j + 1)")})
+    key = F.expr("xxhash64(above, len, i, j, substring(x, 1, _si - 1), substring(x, _ei + shift, _sj - _ei), substring(x, _ej + less))")
+    each = each.where("_ej + less - _sj - shift >= 0")  # a window can't be shorter than nothing
+    op = F.expr("named_struct('s', _si, 'z', _ei + shift - _si, 't', _sj + shift, 'y', _ej + less - _sj - shift)")
+    return each.select("id", key.alias("key"), ((F.col("less") == 0) & (F.col("shift") == 0)).alias("own"), F.concat("ops", F.array(op)).alias("ops"))
+
+
+NO_OPS = "cast(array() as array<struct<s:int,z:int,t:int,y:int>>)"
+
+
+def _windows(x: Column, ops: Column) -> Column:
+    """The text that is left of a line after each of ``ops``."""
+    return F.aggregate(ops, x, lambda t, o: F.concat(F.substring(t, o.s, o.z), F.substring(t, o.t, o.y)))
+
+
+def _places(x: Column, ops: Column) -> Column:
+    """The places of that text in the line."""
+    return F.aggregate(ops, F.sequence(F.lit(1), F.length(x)), lambda t, o: F.concat(F.slice(t, o.s, o.z), F.slice(t, o.t, o.y)))
 
 
 def _met(keyed: DataFrame) -> DataFrame:
@@ -125,15 +158,18 @@ def _met(keyed: DataFrame) -> DataFrame:
 
 
 def _shared(keyed: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(key, id, n): the rows whose key belongs to two lines or more; n counts its rows. The rows of
-    ``frequent`` keys, crowded anyway, are spread instead of counted: no key goes to one task."""
+    """(key, id, own, n): the rows whose key belongs to two lines or more, one of them with a segment of its
+    own; n counts its rows. The rows of ``frequent`` keys, crowded anyway, are spread instead of counted (key
+    is then a hash of key and id): no key goes to one task. ``how`` is 1 for own segments, 2 for these."""
     from pyspark.sql import Window
 
     rows = keyed.join(F.broadcast(frequent.withColumn("_often", F.lit(True))), "key", "left")
-    rows = rows.withColumn("_salt", F.when(F.col("_often"), F.pmod(F.xxhash64("id"), F.lit(1 << 16))).otherwise(-1))
-    of_key = Window.partitionBy("key", "_salt")
-    seen = rows.withColumns({"n": F.count("*").over(of_key), "_a": F.min("id").over(of_key), "_b": F.max("id").over(of_key)})
-    return seen.where("_a != _b or _salt >= 0").select("key", "id", F.when(F.col("_salt") < 0, F.col("n")).otherwise(CROWDED + 1).alias("n"))
+    how = F.when(F.col("_often"), 2).when(F.col("own"), 1).otherwise(0).cast("tinyint")
+    rows = rows.select(F.when(F.col("_often"), F.xxhash64("key", "id")).otherwise(F.col("key")).alias("key"), "id", how.alias("how"))
+    of_key = Window.partitionBy("key")
+    seen = rows.withColumns({"n": F.count("*").over(of_key), "_a": F.min("id").over(of_key), "_b": F.max("id").over(of_key), "_own": F.max("how").over(of_key)})
+    seen = seen.where("how = 2 or _a != _b and _own > 0")
+    return seen.select("key", "id", (F.col("how") == 1).alias("own"), F.when(F.col("how") < 2, F.col("n")).otherwise(CROWDED + 1).alias("n"))
 
 
 def class_counts(x: Column) -> Column:
@@ -150,15 +186,10 @@ def _sampled(name: str) -> Column:
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
-    """Distinct pairs of ids that share a key; rows with counts are held apart by them as they join, and of
-    rows that say so one is a segment of its line's own."""
-    columns = [c for c in ("counts",) if c in rows.columns]
-    own = "own" in rows.columns
-    left = (rows.where("own") if own else rows).select("key", F.col("id").alias("a"), *(F.col(c).alias("_ca") for c in columns))
-    right = rows.select("key", F.col("id").alias("b"), *(F.col(c).alias("_cb") for c in columns))
-    on = (left["key"] == right["key"]) & ((F.col("a") != F.col("b")) if own else (F.col("a") < F.col("b")))
-    if columns:
-        on &= _apart(F.col("_ca"), F.col("_cb")) <= 2 * EDITS
+    """Distinct pairs of ids that share a key which is a segment of its own line for one of them."""
+    left = rows.where("own").select("key", F.col("id").alias("a"))
+    right = rows.select("key", F.col("id").alias("b"), F.col("own").alias("_both"))
+    on = (left["key"] == right["key"]) & (F.col("a") != F.col("b")) & (~F.col("_both") | (F.col("a") < F.col("b")))
     return left.join(right, on).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -195,29 +226,24 @@ def candidates(lines: DataFrame, fetch=None, sample: DataFrame | None = None) ->
     moving the others, ``sample`` one of SAMPLED of all."""
     fetch = fetch or (lambda ids: lines.join(ids, "id", "left_semi"))
     lines = lines.withColumn("n", F.length("x"))
-    keys = lambda of: of.select("id", F.explode(F.expr(_all_keys())).alias("key"))
+    keys = lambda of: of.select("id", F.explode(F.expr(_posts())).alias("_k")).select("id", "_k.key", "_k.own")
     some = lines.where(_sampled("id")) if sample is None else sample.withColumn("n", F.length("x"))
     frequent = materialize(keys(some).groupBy("key").agg(F.count("*").alias("_c")).where(f"_c > {CROWDED}").select("key"))
-    # the widest shuffle of the operator: a key and an id a row
+    # the widest shuffle of the operator: a key, an id and a flag a row
     shared = materialize(_shared(keys(lines), frequent))
     found = _pairs(shared.where(f"n <= {CROWDED}"))
-    crowded = shared.where(f"n > {CROWDED}").select("key", "id").distinct()
-    rest, under = None, ""
-    while not crowded.isEmpty():
-        source = rest if rest is not None else fetch(crowded.select("id").distinct()).select("id", "x", F.length("x").alias("n"), F.expr("sequence(1, length(x))").alias("at"))
-        cut = source.select("id", F.explode(F.expr(_cut_out(under))).alias("_k")).select("id", "_k.*")
-        left = cut.join(crowded, ["key", "id"], "left_semi")
-        left = materialize(left.groupBy("id", "key", "x", "at").agg(F.max("own").alias("own")))
-        owned = left.where("own").select("key").distinct()
-        left = materialize(left.join(owned, "key", "left_semi").select("id", F.col("key").alias("above"), "x", "at", F.length("x").alias("n")))
-        ended = left.where(f"n <= {SHORT}")
+    # two near lines share a key that isn't crowded, or both have a crowded one
+    texts = materialize(fetch(shared.where(f"n > {CROWDED}").select("id").distinct()).select("id", "x"))
+    rows = texts.select("id", F.lit(0).cast("bigint").alias("above"), F.expr(NO_OPS).alias("ops"))
+    while not rows.isEmpty():
+        left = rows.join(texts, "id").select("id", "above", "ops", F.col("x").alias("_line"), _windows(F.col("x"), F.col("ops")).alias("x"))
+        left = left.withColumn("n", F.length("x"))
+        ended = materialize(left.where(f"n <= {SHORT}").select("id", _places(F.col("_line"), F.col("ops")).alias("at")).distinct())
         if not ended.isEmpty():
-            found = found.unionByName(_by_variants(ended.select("id", "at").distinct(), fetch))
-        rest, under = left.where(f"n > {SHORT}"), "above"
-        keyed = rest.select("id", class_counts(F.col("x")).alias("counts"), F.explode(F.expr(_posts(under))).alias("_k")).select("id", "counts", "_k.*")
-        shared = materialize(_met(keyed))
-        found = found.unionByName(_pairs(shared.where(f"n <= {CROWDED}")))
-        crowded = shared.where(f"n > {CROWDED}").select("key", "id").distinct()
+            found = found.unionByName(_by_variants(ended, fetch))
+        met = materialize(_met(_fine(left.where(f"n > {SHORT}"))))
+        found = found.unionByName(_pairs(met.where(f"n <= {CROWDED}")))
+        rows = met.where(f"n > {CROWDED}").select("id", F.col("key").alias("above"), "ops").distinct()
     return found.distinct()
 
 
@@ -286,10 +312,13 @@ def removals(stored: DataFrame) -> DataFrame:
 
     pairs = materialize(candidates(texts(where).select("id", "x"), lambda ids: fetch(ids).select("id", "x"), texts(where.where(_sampled("id"))).select("id", "x")))
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    known = materialize(fetch(wanted))
+    known = materialize(fetch(wanted).withColumn("counts", class_counts(F.col("x"))))
+    # the class bound needs no texts; what passes it is dealt out by its number, as an automaton is work beyond its bytes
+    close = pairs.join(known.select(F.col("id").alias("a"), F.col("counts").alias("_ca")), "a").join(known.select(F.col("id").alias("b"), F.col("counts").alias("_cb")), "b")
+    close = materialize(close.where(_apart(F.col("_ca"), F.col("_cb")) <= 2 * EDITS).select("a", "b"))
     left = known.select(F.col("id").alias("a"), F.col("first").alias("u"), F.col("x").alias("_x"))
     right = known.select(F.col("id").alias("b"), F.col("first").alias("v"), F.col("x").alias("_y"))
-    near = pairs.join(left, "a").join(right, "b").where(_apart(class_counts(F.col("_x")), class_counts(F.col("_y"))) <= 2 * EDITS).where(within(F.col("_x"), F.col("_y")))
+    near = close.join(left, "a").join(right, "b").repartition(close.count() // VERIFIED + 1, "a", "b").where(within(F.col("_x"), F.col("_y")))
     rooted = components(near.select("u", "v"), "u", "v").select(F.col("node").alias("first"))
     exact = hashed.join(lines.where("n > 1").select("h", "g", "first"), ["h", "g"]).where(F.col("at") != F.col("first"))
     # a line whose class is linked to an earlier one goes with all its copies; the copies go anyway
