@@ -422,7 +422,7 @@ def test_registered_queries():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and set(catalog.ORACLE) <= set(catalog.QUERIES)
 
