@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from retention.llm.common import map_rows, texts_of
 from retention.llm.graph import components
-from retention.session import materialize
+from retention.session import materialize, scratch_path
 
 SEED, RADIUS = 42, 2
 #: Fingerprints in a cell beyond which its pairs aren't emitted.
@@ -85,13 +85,19 @@ def fingerprint(blocks) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed 64-bit integer. A narrow map over whole texts."""
+    return _marked(texts_of(docs), shingle, "doc_id bigint")
+
+
+def _marked(texts: DataFrame, shingle: int, keys: str) -> DataFrame:
+    """The columns ``keys`` of (..., text) and fp."""
+    names = [k.split()[0] for k in keys.split(", ")]
 
     def rows(source):
         for r in source:
             fp = fingerprint(shingle_hashes(r["text"], shingle))
-            yield r["doc_id"], fp - (1 << 64) if fp >> 63 else fp
+            yield *(r[k] for k in names), fp - (1 << 64) if fp >> 63 else fp
 
-    return map_rows(texts_of(docs), rows, "doc_id bigint, fp bigint")
+    return map_rows(texts, rows, f"{keys}, fp bigint")
 
 
 def embedding(fp: Column) -> Column:
@@ -134,11 +140,37 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
     Defined cases: null text: empty; no words: fingerprint zero, linked like any other; null ids count
     only where a component has no others (then its id is null); repeated rows: one row each, in one
-    component; empty table: no rows.
+    component; empty table: no rows; texts of any length are hashed whole, in blocks.
     """
     marked = materialize(fingerprints(docs, shingle))
-    distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("_least")))
-    found = components(links(distinct.select("fp")))
-    rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "_least", F.coalesce("root", "fp").alias("_root"))
+    rooted = _rooted(marked, F.min("doc_id"))
     named = rooted.join(rooted.groupBy("_root").agg(F.min("_least").alias("component_id")), "_root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _rooted(marked: DataFrame, least: Column) -> DataFrame:
+    """(fp, _least, _root): each distinct fingerprint, the least of its documents and its component."""
+    distinct = materialize(marked.groupBy("fp").agg(least.alias("_least")))
+    found = components(links(distinct.select("fp")))
+    return distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "_least", F.coalesce("root", "fp").alias("_root"))
+
+
+def without_near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """One document of each component of ``near_duplicates``: the one with the smallest doc_id. Columns as they came.
+
+    The rows are written once with a row number, so that a lost executor can't number them anew;
+    fingerprints and numbers alone meet, and the texts are read again for those that stay.
+
+    Defined cases: null text, empty text and texts without words are one group; null ids stay only
+    where a component has no others; of equal ids the first in the order in which the rows were written; empty
+    table: no rows; texts of any length are hashed whole, in blocks; columns named like this module's
+    own can't clash, as the row travels as one struct.
+    """
+    path = scratch_path(docs.sparkSession, "near")
+    docs.select(F.struct("*").alias("_doc"), F.monotonically_increasing_id().alias("_rk")).write.option("compression", "zstd").parquet(path)
+    stored = docs.sparkSession.read.parquet(path)
+    texts = stored.select("_rk", F.col("_doc.doc_id").alias("doc_id"), F.coalesce("_doc.text", F.lit("")).alias("text"))
+    marked = materialize(_marked(texts, shingle, "_rk bigint, doc_id bigint"))
+    rooted = _rooted(marked, F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_rk")))
+    stays = rooted.groupBy("_root").agg(F.min("_least").alias("_least")).select("_least._rk")
+    return stored.join(stays, "_rk", "left_semi").select(*(F.col("_doc").getField(c).alias(c) for c in docs.columns))

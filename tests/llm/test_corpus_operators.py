@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from retention.llm import catalog, gru, line_dedup, near_dedup, quality_mcd, recurrent_lm
+from retention.llm import catalog, gru, line_dedup, quality_mcd, recurrent_lm, simhash
 from tests.llm.test_text_operators import packed_right
 
 SMALL = "/root/testdata/sf0.001"
@@ -243,9 +243,17 @@ def test_line_report_and_texts(spark):
 # near dedup
 
 
-def near_groups(rows):
-    """doc ids that stay: the smallest of each component of similarity 0.8 or more."""
-    sets = [set(near_dedup.shingle_set(t or "").tolist()) for _, t in rows]
+def test_one_document_of_each_fingerprint_component_stays(spark):
+    r = random.Random(8)
+    vocabulary = ["".join(r.choices("abcdefgh", k=5)) for _ in range(3000)]
+    base = [" ".join(r.choices(vocabulary, k=r.choice([2, 6, 40, 400]))) for _ in range(50)]
+    texts = base + [b.upper() for b in base[:20]] + [b + " more" for b in base] + [f"{b} {k}" for b in base[-12:] for k in range(4)]
+    texts += ["", None, " \n", "one", "One ", "x" * 300_000 + " y", "word " * 200_000]
+    order = list(range(len(texts)))
+    r.shuffle(order)
+    rows = [(i, t) for i, t in zip(order, texts)] + [(None, base[0]), (None, "only here, with no id"), (order[3], base[3])]
+    docs = spark.createDataFrame([(*x, "x", 1, 2) for x in rows], "doc_id bigint, text string, _rk string, fp bigint, _doc bigint")
+    marks = [simhash.fingerprint(simhash.shingle_hashes(t or "", 3)) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(i):
@@ -253,67 +261,19 @@ def near_groups(rows):
             i = root[i]
         return i
 
-    where = {}
-    for i, s in enumerate(sets):
-        for h in s or {0}:
-            where.setdefault(h, []).append(i)
-    for i, s in enumerate(sets):
-        for j in {j for h in s or {0} for j in where[h] if j < i}:
-            t = sets[j]
-            if len(s & t) * 100 >= 80 * len(s | t):
+    for i, x in enumerate(marks):
+        for j in range(i):
+            if (x ^ marks[j]).bit_count() <= 2:
                 root[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(rows):
-        least[find(i)] = min(d, least.get(find(i), d))
-    return sorted(least.values())
-
-
-@pytest.mark.parametrize("crowded", [48, 6])
-def test_near_duplicates_equal_brute_force(spark, monkeypatch, crowded):
-    monkeypatch.setattr(near_dedup, "CROWDED", crowded)
-    r = random.Random(8)
-    vocabulary = ["".join(r.choices("abcdefgh", k=5)) for _ in range(3000)]
-
-    def changed(text, n):
-        w = text.split()
-        for _ in range(n):
-            w[r.randrange(len(w))] = r.choice(vocabulary)
-        return " ".join(w)
-
-    base = [" ".join(r.choices(vocabulary, k=r.choice([6, 8, 9, 12, 60, 200]))) for _ in range(60)]
-    texts = base + [changed(b, 1 + len(b.split()) // 60) for b in base for _ in range(2)] + [b + " more" for b in base] + [changed(base[5] + " " + " ".join(vocabulary[:150]), k % 4) for k in range(40)]
-    texts += ["", None, " \n", "one", "One ", "one two three four", "a b c d e"] + base[:5]
-    order = list(range(len(texts)))
-    r.shuffle(order)
-    docs = spark.createDataFrame([(i, t, "x") for i, t in zip(order, texts)], "doc_id bigint, text string, _rk string")
-    out = near_dedup.without_near_duplicates(docs)
+        key = (d is None, d or 0)
+        least[find(i)] = min(key, least.get(find(i), key))
+    out = simhash.without_near_duplicates(docs)
     assert out.columns == docs.columns
-    assert sorted(x.doc_id for x in out.collect()) == near_groups(list(zip(order, texts)))
-    assert near_dedup.without_near_duplicates(docs.limit(0)).count() == 0
-
-
-def test_near_duplicates_of_the_table(spark):
-    docs = spark.read.parquet(f"{MID}/documents.parquet")
-    want = near_groups([(x.doc_id, x.text) for x in docs.collect()])
-    assert sorted(x.doc_id for x in near_dedup.without_near_duplicates(docs).select("doc_id").collect()) == want
-
-
-def test_a_drifting_chain_in_one_crowded_mark_is_one_component(spark):
-    """Each copy is linked to the one before and after it only; two chains, all under one mark."""
-    r = random.Random(9)
-    size, step, many = 100, 10, 35
-    rows = []
-    for chain in range(2):
-        words = ["".join(r.choices("abcdefgh", k=6)) for _ in range(size + step * many)]
-        rows += [(chain * many + k, " ".join(words[k * step:k * step + size])) for k in range(many)]
-    order = list(range(len(rows)))
-    r.shuffle(order)  # the leaders aren't a chain's ends
-    sets = {order[k]: set(near_dedup.shingle_set(t).tolist()) for k, t in rows}
-    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
-    assert len(want) == 2 * (many - 1)
-    stored = spark.createDataFrame([(order[k], (t,)) for k, t in rows], "_rk bigint, _doc struct<text: string>")
-    classes = spark.createDataFrame([(k, len(s), [7]) for k, s in sets.items()], "_rk bigint, n bigint, marks array<bigint>")
-    assert {tuple(x) for x in near_dedup.links(stored, classes, 80).collect()} == want
+    got = sorted((x.doc_id is None, x.doc_id or 0) for x in out.collect())
+    assert got == sorted(least.values()) and len(got) < len(rows) - 20
+    assert simhash.without_near_duplicates(docs.limit(0)).count() == 0
 
 
 # language model
@@ -402,6 +362,15 @@ def test_language_model_without_documents(spark):
 # pipeline
 
 
+def test_pipeline_with_clashing_columns(spark):
+    columns = ["_rk", "_doc", "fp", "kept", "distance", "_key", "line", "removed", "n_words"]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in columns})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, stage(spark, docs, SMALL).cache()
+        assert docs.columns == before.columns and 0 < docs.count() <= before.count(), name
+        assert docs.where(" or ".join(f"{c} <> concat('{c}', doc_id)" for c in columns)).count() == 0
+
+
 def test_pipeline(spark):
     from tokenizers import Tokenizer
 
