@@ -2,13 +2,17 @@
 
 Each stage works on all rows that the one before kept; ``run`` applies them one after another, each
 written as Parquet in the shared folder and read again.
+
+Defined cases, in each stage: null texts are empty (the quality rules reject them), repeated rows are
+rows of their own until near dedup keeps one, an empty table gives none, texts of any length are
+read whole, and further columns of any name travel along unchanged up to packing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retention.llm import line_dedup, near_dedup, packing, quality_mcd
+from retention.llm import line_dedup, packing, quality_mcd, simhash
 from retention.session import scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -25,8 +29,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return near_dedup.without_near_duplicates(docs)
+    """One document of each SimHash component (three-word shingles, two bits or fewer) stays."""
+    return simhash.without_near_duplicates(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
