@@ -121,6 +121,43 @@ def test_packing_plan_keeps_every_item():
         assert bins <= -(-sum(lengths) // 1024) * 1.01 + 2 or lengths == [513] * 10 + [511] * 10 and bins == 10 or len(lengths) == 4
 
 
+def test_configurations_are_optimal():
+    """The solution covers the demand, and prices under which no configuration is worth more than one sequence
+    have its total: no other solution of the program has fewer sequences."""
+    r = random.Random(3)
+    for _ in range(5):
+        demand = {n: r.randint(1, 500) for n in r.sample(range(20, 100), 8)}
+        solution = packing.configurations(demand, 100, 1e-7)
+        sizes = sorted(demand, reverse=True)
+        for n in sizes:
+            assert sum(inside.get(n, 0) * x for inside, x in solution) == pytest.approx(demand[n], rel=1e-6)
+        assert all(sum(n * k for n, k in inside.items()) <= 100 for inside, _ in solution)
+        basis = np.array([[inside.get(n, 0) for n in sizes] for inside, _ in solution], float)
+        prices = np.linalg.solve(basis, np.ones(len(sizes)))
+
+        def most(at, room):
+            return 0.0 if at == len(sizes) else max(k * prices[at] + most(at + 1, room - k * sizes[at]) for k in range(room // sizes[at] + 1))
+
+        assert most(0, 100) <= 1 + 1e-6
+        assert sum(x for _, x in solution) == pytest.approx(sum(demand[n] * p for n, p in zip(sizes, prices)), rel=1e-6)
+    assert packing.configurations({}, 100) == []
+
+
+def test_packing_rounds_to_few_sizes(monkeypatch):
+    """Each round solves for at most GROUPS sizes; the plan beats best fit where that is bad."""
+    seen = []
+    solve = packing.configurations
+    monkeypatch.setattr(packing, "configurations", lambda demand, capacity: seen.append(len(demand)) or solve(demand, capacity))
+    lengths = np.random.default_rng(5).integers(129, 500, 200_000)
+    counts = {int(n): int(c) for n, c in zip(*np.unique(lengths, return_counts=True))}
+    plan = packing.make_plan(counts)
+    assert packing.GROUPS <= 64 and max(seen) <= packing.GROUPS < len(counts)
+    simple = packing.Plan(counts, 1024)
+    packing._best_fit(simple, list(counts.items()))
+    bound = -(-int(lengths.sum()) // 1024)
+    assert sum(m for m, _ in plan.batches) <= 1.003 * bound < 1.02 * bound < sum(m for m, _ in simple.batches)
+
+
 def test_simhash_equals_brute_force(spark, odd, empty):
     import xxhash
 
