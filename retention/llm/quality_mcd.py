@@ -5,16 +5,21 @@ repetitive documents. The others are compared with the documents of their langua
 transformed statistics (``FEATURES``) of a group get a minimum-covariance-determinant estimate, and
 a document whose squared Mahalanobis distance exceeds ``CUTOFF`` is rejected.
 
-The estimate starts from the group's coordinate-wise medians and interquartile ranges and takes
-``ROUNDS`` concentration steps over all documents: distances, the half (``SUPPORT``) with the
-smallest ones, its mean and covariance. Each step is a join with the groups' parameters and two
+The estimate has three starts: coordinate-wise medians with interquartile ranges, the classical mean and
+covariance, and the covariance of spatial signs about the medians. Each takes concentration steps over
+all documents: distances, the share ``SUPPORT`` with the smallest ones, its mean and covariance, until the
+determinant falls no more; the start with the lowest determinant gives the group's estimate. Floors
+on the variances are part of the covariance everywhere, so a step can't raise its determinant: the chosen share
+has at most the old mean squared distance, so the trace of the old inverse times the new covariance is
+at most the number of features, and by the means' inequality the ratio of determinants at most 1.
+Each step is a join with the groups' parameters and two
 aggregates that combine before the shuffle, so a group may hold any share of the rows. Quantiles
 come from counts of fixed-width bins, the same under any partitioning. Groups of fewer than
 ``MIN_GROUP`` documents are estimated together with the others of their language, and if these are
 still too few, of all languages; where even these are fewer, nothing is rejected.
 
 Defined cases: null text: no words (fails the rules); null language or source: a value of its own;
-repeated rows count each; empty table: no rows.
+repeated rows count each; empty table: no rows; texts of any length are measured whole, in one row's arrays.
 """
 
 from __future__ import annotations
@@ -29,8 +34,10 @@ from retention.session import materialize, scratch_path
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 MIN_WORDS, MAX_REPEATED = 50, 50
-#: Share of a group that determines its estimate, concentration steps, smallest group.
-SUPPORT, ROUNDS, MIN_GROUP = 0.75, 4, 100
+#: Share of a group that determines its estimate, smallest group.
+SUPPORT, MIN_GROUP = 0.75, 100
+#: The logarithm of a determinant that falls by less than this has stopped falling.
+SETTLED = 1e-4
 #: Groups whose keys and estimates (a few hundred bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_GROUPS = 20_000
 #: Standard deviations added to each feature's spread, so that a feature that is constant in most of a
@@ -131,27 +138,54 @@ def _group_keys(rows: DataFrame) -> DataFrame:
     return keyed.select(F.col("s.lang").alias("_lang"), F.col("s.source").alias("_source"), key.alias("_key"))
 
 
+#: Names of an estimate's columns: pairs of features of a covariance or its factor.
+PAIRS = [(a, b) for i, a in enumerate(FEATURES) for b in FEATURES[:i + 1]]
+
+
 def _quantiles(rows: DataFrame, value: Column, shares: list[float]) -> DataFrame:
-    """Bins of an integer column ``value`` by (_key, _f) below which the shares of rows lie."""
+    """(_key, _f, _q*, _in*, _all): bins of an integer column ``value`` in which the shares of rows end, the part
+    of such a bin's rows that belongs to the share, and the number of rows."""
     binned = rows.groupBy("_key", "_f", value.alias("_bin")).agg(F.count("*").alias("_c"))
     of_key = Window.partitionBy("_key", "_f")
     run = F.sum("_c").over(of_key.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))
     binned = binned.withColumns({"_run": run, "_all": F.sum("_c").over(of_key)})
-    return binned.groupBy("_key", "_f").agg(*(F.min(F.when(F.col("_run") >= F.ceil(F.col("_all") * s), F.col("_bin"))).alias(f"_q{i}") for i, s in enumerate(shares)), F.max("_all").alias("_all"))
+    out = []
+    for i, s in enumerate(shares):
+        want = F.ceil(F.col("_all") * s)
+        end = F.min(F.when(F.col("_run") >= want, F.struct("_bin", ((want - F.col("_run") + F.col("_c")) / F.col("_c")).alias("part"))))
+        out.append(end.alias(f"_e{i}"))
+    found = binned.groupBy("_key", "_f").agg(*out, F.max("_all").alias("_all"))
+    return found.select("_key", "_f", *(x for i in range(len(shares)) for x in (F.col(f"_e{i}._bin").alias(f"_q{i}"), F.col(f"_e{i}.part").alias(f"_in{i}"))), "_all")
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """The first estimate of each group: medians, and a diagonal from interquartile ranges."""
+def _medians(rows: DataFrame) -> DataFrame:
+    """The first start of each group: medians, and a diagonal from interquartile ranges."""
     stacked = rows.select("_key", F.explode(F.array(*(F.struct(F.lit(f).alias("_f"), F.round(F.col(f) / BIN).cast("bigint").alias("_b")) for f in FEATURES))).alias("_x")).select("_key", "_x._f", "_x._b")
     q = _quantiles(stacked, F.col("_b"), [0.25, 0.5, 0.75])
     one = q.groupBy("_key").agg(F.max("_all").alias("_n"), *(F.max(F.when(F.col("_f") == f, F.col("_q1") * BIN)).alias(f"m_{f}") for f in FEATURES), *(F.max(F.when(F.col("_f") == f, (F.col("_q2") - F.col("_q0")) * BIN / 1.349)).alias(f"s_{f}") for f in FEATURES))
-    cov = {f"c_{a}_{b}": (F.pow(F.col(f"s_{a}"), 2) if a == b else F.lit(0.0)) for i, a in enumerate(FEATURES) for b in FEATURES[:i + 1]}
-    return _inverted(one.withColumns(cov))
+    cov = {f"c_{a}_{b}": (F.pow(F.col(f"s_{a}"), 2) if a == b else F.lit(0.0)) for a, b in PAIRS}
+    return _inverted(one.withColumns(cov).withColumn("_f", F.lit(0)))
+
+
+def _starts(rows: DataFrame, medians: DataFrame) -> DataFrame:
+    """All starts of each group: the medians' (0), the classical one (1), and spatial signs (2). ``medians`` is
+    joined by group; both others come from one aggregate."""
+    spread = {f: f"(1 / w_{f}_{f})" for f in FEATURES}
+    away = rows.join(medians, "_key").withColumns({f"z_{f}": F.expr(f"({f} - m_{f}) * w_{f}_{f}") for f in FEATURES})
+    away = away.withColumn("_far", F.expr("greatest(sqrt(" + " + ".join(f"z_{f} * z_{f}" for f in FEATURES) + "), 1e-9D)"))
+    sums = away.groupBy("_key").agg(
+        F.count("*").alias("_n"), *(F.avg(f).alias(f"a_{f}") for f in FEATURES), *(F.covar_pop(a, b).alias(f"c_{a}_{b}") for a, b in PAIRS),
+        *(F.expr(f"avg(z_{a} * z_{b} / (_far * _far))").alias(f"u_{a}_{b}") for a, b in PAIRS),
+        *(F.first(f"m_{f}").alias(f"m_{f}") for f in FEATURES), *(F.first(f"w_{f}_{f}").alias(f"w_{f}_{f}") for f in FEATURES),
+    )
+    classical = sums.select("_key", F.lit(1).alias("_f"), "_n", *(F.col(f"a_{f}").alias(f"m_{f}") for f in FEATURES), *(f"c_{a}_{b}" for a, b in PAIRS))
+    signs = sums.select("_key", F.lit(2).alias("_f"), "_n", *(f"m_{f}" for f in FEATURES), *(F.expr(f"{len(FEATURES)} * u_{a}_{b} * {spread[a]} * {spread[b]}").alias(f"c_{a}_{b}") for a, b in PAIRS))
+    return medians.unionByName(_inverted(classical.unionByName(signs)))
 
 
 def _inverted(estimates: DataFrame) -> DataFrame:
-    """(_key, _n, m_*, w_*): means, and the inverse of the Cholesky factor of each covariance (c_*) with
-    the floors on its diagonal."""
+    """(_key, _f, _n, m_*, w_*, _det): means, the inverse of the Cholesky factor of each covariance (c_*) with
+    the floors on its diagonal, and the logarithm of its determinant."""
     # as SQL texts: a step for each entry, since each needs those before it
     out = estimates.withColumns({f"c_{f}_{f}": F.expr(f"c_{f}_{f} + {FLOOR[f] ** 2!r}D") for f in FEATURES})
     for i, a in enumerate(FEATURES):
@@ -162,24 +196,53 @@ def _inverted(estimates: DataFrame) -> DataFrame:
         for i, a in enumerate(FEATURES[j:], j):
             total = " + ".join(f"l_{a}_{k} * w_{k}_{b}" for k in FEATURES[j:i])
             out = out.withColumn(f"w_{a}_{b}", F.expr(f"1 / l_{a}_{a}" if i == j else f"-({total}) / l_{a}_{a}"))
-    return out.select("_key", "_n", *(f"m_{f}" for f in FEATURES), *(f"w_{a}_{b}" for i, a in enumerate(FEATURES) for b in FEATURES[:i + 1]))
+    det = F.expr("2 * (" + " + ".join(f"ln(l_{f}_{f})" for f in FEATURES) + ")")
+    return out.select("_key", "_f", "_n", *(f"m_{f}" for f in FEATURES), *(f"w_{a}_{b}" for a, b in PAIRS), det.alias("_det"))
 
 
 def _distances(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
-    """Adds _d2, the squared Mahalanobis distance from the group's estimate."""
+    """Adds _d2, the squared Mahalanobis distance from the group's estimate (from each, if it has several)."""
     z = ["(" + " + ".join(f"w_{a}_{b} * ({b} - m_{b})" for b in FEATURES[:i + 1]) + ")" for i, a in enumerate(FEATURES)]
     return rows.join(estimates, "_key", how).withColumn("_d2", F.expr(" + ".join(f"power({x}, 2)" for x in z)))
 
 
 def _concentrated(rows: DataFrame, estimates: DataFrame, few: bool = False) -> DataFrame:
-    """The estimate from the share of each group that is nearest to the last one; ``few``: the groups are
-    few enough to broadcast, so that a large one isn't shuffled to one task."""
-    near = _distances(rows, estimates).select("_key", *FEATURES, F.floor(F.log(F.greatest("_d2", F.lit(1e-9))) / LOG_BIN).alias("_bin"), F.lit(0).alias("_f"))
-    limit = _quantiles(near, F.col("_bin"), [SUPPORT]).select("_key", F.col("_q0").alias("_limit"), F.col("_all").alias("_size"))
-    inner = near.join(F.broadcast(limit) if few else limit, "_key").where(F.col("_bin") <= F.col("_limit"))
-    moments = inner.groupBy("_key").agg(F.max("_size").alias("_n"), *(F.avg(f).alias(f"m_{f}") for f in FEATURES), *(F.covar_pop(a, b).alias(f"c_{a}_{b}") for i, a in enumerate(FEATURES) for b in FEATURES[:i + 1]))
-    scaled = {f"c_{a}_{b}": F.col(f"c_{a}_{b}") * CONSISTENCY for i, a in enumerate(FEATURES) for b in FEATURES[:i + 1]}
-    return _inverted(moments.withColumns(scaled))
+    """The estimates from the share of each group that is nearest to the last ones; of the bin of distances in
+    which the share ends, all rows count in part, so that the share is the same in each step. ``few``: the
+    groups are few enough to broadcast, so that a large one isn't shuffled to one task."""
+    near = _distances(rows, estimates).select("_key", "_f", *(F.expr(f"{f} - m_{f}").alias(f) for f in FEATURES), *(F.col(f"m_{f}") for f in FEATURES), F.floor(F.log(F.greatest("_d2", F.lit(1e-9))) / LOG_BIN).alias("_bin"))
+    limit = _quantiles(near, F.col("_bin"), [SUPPORT]).select("_key", "_f", F.col("_q0").alias("_limit"), F.col("_in0").alias("_part"), F.col("_all").alias("_size"))
+    inner = near.join(F.broadcast(limit) if few else limit, ["_key", "_f"]).where(F.col("_bin") <= F.col("_limit"))
+    inner = inner.withColumn("_w", F.when(F.col("_bin") < F.col("_limit"), 1.0).otherwise(F.col("_part")))
+    sums = inner.groupBy("_key", "_f").agg(
+        F.max("_size").alias("_n"), F.sum("_w").alias("_h"), *(F.first(f"m_{f}").alias(f"m_{f}") for f in FEATURES),
+        *(F.expr(f"sum(_w * {f})").alias(f"d_{f}") for f in FEATURES), *(F.expr(f"sum(_w * {a} * {b})").alias(f"s_{a}_{b}") for a, b in PAIRS),
+    )
+    moments = {f"c_{a}_{b}": F.expr(f"{CONSISTENCY!r}D * (s_{a}_{b} / _h - d_{a} / _h * (d_{b} / _h))") for a, b in PAIRS}
+    return _inverted(sums.withColumns(moments).withColumns({f"m_{f}": F.expr(f"m_{f} + d_{f} / _h") for f in FEATURES}))
+
+
+def estimated(rows: DataFrame, few: bool) -> DataFrame:
+    """(_key, _n, m_*, w_*, _det): each group's minimum-covariance-determinant estimate, of rows (_key and features).
+    Steps go on for the starts whose determinant still falls; a determinant is bounded by the floors
+    below and falls by ``SETTLED`` at least, so they end."""
+
+    def at_hand(groups: DataFrame) -> DataFrame:
+        return F.broadcast(groups) if few else groups
+
+    starts = materialize(_starts(rows, at_hand(materialize(_medians(rows)))))
+    # a start's covariance isn't one of a share of the rows, so its determinant doesn't count
+    last = materialize(_concentrated(rows, at_hand(starts), few))
+    settled = last.limit(0)
+    while not last.isEmpty():
+        new = materialize(_concentrated(rows, at_hand(last), few))  # a filter on _det would be pushed into its long expression
+        new = new.join(last.select("_key", "_f", F.col("_det").alias("_before")), ["_key", "_f"])
+        new = materialize(new.where(F.col("_det") < F.col("_before") - SETTLED).drop("_before"))
+        settled = settled.unionByName(last.join(new.select("_key", "_f"), ["_key", "_f"], "left_anti"))
+        last = new
+    names = [c for c in settled.columns if c not in ("_key", "_f")]
+    best = settled.groupBy("_key").agg(F.min_by(F.struct(*names), F.struct("_det", "_f")).alias("_best"))
+    return materialize(best.select("_key", "_best.*"))
 
 
 def judged(docs: DataFrame, carry: bool = False) -> DataFrame:
@@ -202,9 +265,7 @@ def judged(docs: DataFrame, carry: bool = False) -> DataFrame:
     keys = at_hand(keys)
     keyed = rows.alias("r").join(keys, F.col("r.lang").eqNullSafe(F.col("_lang")) & F.col("r.source").eqNullSafe(F.col("_source")), "left").select("r.*", "_key")
     passed = keyed.where(~F.col("base_failed")).select("_key", *FEATURES)
-    estimates = materialize(_start(passed))
-    for _ in range(ROUNDS):
-        estimates = materialize(_concentrated(passed, at_hand(estimates), few))
+    estimates = estimated(passed, few)
     scored = _distances(keyed, at_hand(estimates), "left")
     far = F.when(~F.col("base_failed") & (F.col("_n") >= MIN_GROUP), F.col("_d2"))
     return scored.withColumn("distance", far).withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF))

@@ -115,25 +115,48 @@ def test_each_feature_rejects_on_its_own(spark):
     assert all(judged[i].kept for i in range(400))
 
 
+def steps_in_numpy(data, mean, cov):
+    """Concentration steps from a start until the determinant stays: (log determinant, mean, covariance)."""
+    floors = np.diag([quality_mcd.FLOOR[f] ** 2 for f in quality_mcd.FEATURES])
+    h, before = int(np.ceil(len(data) * quality_mcd.SUPPORT)), np.inf
+    while True:
+        x = data - mean
+        own = data[np.argsort(np.einsum("ij,jk,ik->i", x, np.linalg.inv(cov), x))[:h]]
+        new = own.mean(axis=0), np.cov(own.T, bias=True) * quality_mcd.CONSISTENCY + floors
+        det = np.linalg.slogdet(new[1])[1]
+        assert det <= before + 1e-9
+        if det > before - 1e-9:
+            return det, mean, cov
+        before, (mean, cov) = det, new
+
+
 def test_estimate_equals_numpy(spark):
-    """One concentration step, written out in numpy."""
+    """Two groups with far rows; the determinant isn't above that of numpy's steps from the classical, the median
+    and many random starts, and the same rows lie beyond the cutoff."""
     r = np.random.default_rng(3)
-    data = r.normal(size=(300, 5)) * [1, 0.2, 0.1, 0.2, 0.2]
-    rows = spark.createDataFrame([("k", *map(float, x)) for x in data], "_key string, " + ", ".join(f"{f} double" for f in quality_mcd.FEATURES))
-    start = quality_mcd._start(rows)
-    got = quality_mcd._concentrated(rows, start).first()
-    s = start.first()
-    w = np.array([[s[f"w_{a}_{b}"] if j <= i else 0.0 for j, b in enumerate(quality_mcd.FEATURES)] for i, a in enumerate(quality_mcd.FEATURES)])
-    m = np.array([s[f"m_{f}"] for f in quality_mcd.FEATURES])
-    d2 = (((data - m) @ w.T) ** 2).sum(axis=1)
-    bins = np.floor(np.log(np.maximum(d2, 1e-9)) / quality_mcd.LOG_BIN)
-    near = data[bins <= np.sort(bins)[int(np.ceil(300 * quality_mcd.SUPPORT)) - 1]]
-    cov = np.cov(near.T, bias=True) * quality_mcd.CONSISTENCY + np.diag([quality_mcd.FLOOR[f] ** 2 for f in quality_mcd.FEATURES])
-    inverse = np.linalg.inv(np.linalg.cholesky(cov))
-    for i, a in enumerate(quality_mcd.FEATURES):
-        assert got[f"m_{a}"] == pytest.approx(near[:, i].mean(), abs=1e-9)
-        for j, b in enumerate(quality_mcd.FEATURES[:i + 1]):
-            assert got[f"w_{a}_{b}"] == pytest.approx(inverse[i, j], rel=1e-6, abs=1e-6)
+    groups = {}
+    for key, far in (("k", 0.0), ("m", 0.2)):
+        data = r.normal(size=(400, 5)) @ r.normal(size=(5, 5)) * [1, 0.2, 0.1, 0.2, 0.2]
+        data[:int(400 * far)] = data[:int(400 * far)] * 0.2 + [9, 2, 1, 2, -2]
+        groups[key] = data
+    rows = spark.createDataFrame([(k, *map(float, x)) for k, data in groups.items() for x in data], "_key string, " + ", ".join(f"{f} double" for f in quality_mcd.FEATURES))
+    got = {x["_key"]: x for x in quality_mcd.estimated(rows, True).collect()}
+    floors = np.diag([quality_mcd.FLOOR[f] ** 2 for f in quality_mcd.FEATURES])
+    for key, data in groups.items():
+        starts = [(data.mean(axis=0), np.cov(data.T) + floors), (np.median(data, axis=0), np.diag(data.var(axis=0)))]
+        for _ in range(50):
+            some = data[r.choice(400, 6, replace=False)]
+            starts.append((some.mean(axis=0), np.cov(some.T) + floors))
+        det, mean, cov = min((steps_in_numpy(data, *s) for s in starts), key=lambda x: x[0])
+        x = got[key]
+        assert x["_n"] == 400 and x["_det"] == pytest.approx(det, abs=0.02)
+        w = np.array([[x[f"w_{a}_{b}"] if j <= i else 0.0 for j, b in enumerate(quality_mcd.FEATURES)] for i, a in enumerate(quality_mcd.FEATURES)])
+        m = np.array([x[f"m_{f}"] for f in quality_mcd.FEATURES])
+        assert x["_det"] == pytest.approx(-2 * np.log(w.diagonal()).sum())
+        d2 = (((data - m) @ w.T) ** 2).sum(axis=1)
+        want = np.einsum("ij,jk,ik->i", data - mean, np.linalg.inv(cov), data - mean)
+        assert ((d2 > quality_mcd.CUTOFF) == (want > quality_mcd.CUTOFF)).all()
+        assert (want > quality_mcd.CUTOFF).sum() >= (80 if key == "m" else 0)
 
 
 # line dedup
