@@ -11,9 +11,12 @@ known words have discounted counts, and the discounts' mass is the unknown word'
 2. One pass over all documents finds each token's class and the sums of the count scores. The table of
    frequent words has a fixed bound and is broadcast; other words leave the pass as (row, word, times)
    and meet their counts in a join.
-3. The network is trained on the classes of all training documents in ``ROUNDS`` rounds: each task takes the last round's
-   parameters through its documents of the round (truncated backpropagation), and the tasks'
-   parameters are averaged by their tokens, an aggregate over parameter numbers.
+3. The network is trained on the classes of all training documents. A hash of a document and its classes deals it to
+   one of about tokens / ``SHARD_TOKENS`` shards (at least ``ROUNDS``), equal rows in turn from there on. The shards
+   go through ``ROUNDS`` rounds, one more for each doubling of their number: each shard takes the last round's
+   parameters through its documents (truncated backpropagation), and the shards' parameters are
+   averaged by their tokens, an aggregate of exact sums over parameter numbers. So files, splits and tasks
+   don't change the model; scores of other partitionings differ by float rounding only.
 4. It scores the classes of all documents.
 
 Defined cases: null text: empty, so only the end is scored; null doc_id: remainder of the empty text,
@@ -29,19 +32,24 @@ from collections import Counter
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retention.llm import gru
 from retention.llm.common import map_rows, texts_of
 from retention.llm.simhash import word_blocks
-from retention.session import scratch_path
+from retention.session import scratch_path, ship_package
 
 #: Bound of the broadcast table, languages told apart, bands of a language's words.
 TABLE, LANGUAGES, BANDS = 1 << 17, 7, 8
 HIDDEN, ROUNDS, RATE = 24, 3, 0.02
 #: Code points of the documents that run through the network together; distinct words a task holds.
 GROUP_CHARS, HELD_WORDS = 6_000_000, 400_000
+#: Tokens of a shard of the training documents, which one step of a round takes a model through.
+SHARD_TOKENS = 1 << 20
+#: Parameters times tokens are added as integers of this fraction, so that a sum has no order.
+FRACTION = float(1 << 40)
 #: Bins of a doubling in which words are counted by their count.
 COUNT_BINS = 32
 END, RARE = 0, 1
@@ -154,29 +162,55 @@ def _classes(kept: bytes) -> np.ndarray:
     return np.frombuffer(kept, np.uint8).astype(np.int64)
 
 
-def train(training: DataFrame, like: dict[str, np.ndarray], rounds: int = ROUNDS) -> np.ndarray:
-    """Parameters averaged over the tasks, round by round; every training document is used once."""
+def shard_numbers(tokens: int) -> tuple[int, int]:
+    """(shards, rounds) for a corpus of so many training tokens."""
+    shards = max(ROUNDS, -(-tokens // SHARD_TOKENS))
+    return shards, ROUNDS + (shards // ROUNDS).bit_length() - 1
+
+
+def sharded(training: DataFrame, shards: int) -> DataFrame:
+    """(shard, place, doc_id, classes, times): equal rows are counted first, then spread over the shards."""
+    one = training.groupBy("doc_id", "classes").agg(F.count("*").alias("n"))
+    place = F.xxhash64("doc_id", "classes")
+    step = F.explode(F.sequence(F.lit(0), F.least(F.col("n"), F.lit(shards)).cast("int") - 1))
+    dealt = one.withColumns({"place": place, "j": step})
+    times = F.floor(F.col("n") / shards) + (F.col("j") < F.col("n") % shards).cast("int")
+    shard = F.pmod(F.pmod("place", F.lit(shards)) + F.col("j"), F.lit(shards))
+    return dealt.select(shard.alias("shard"), "place", "doc_id", "classes", times.cast("int").alias("times"))
+
+
+def _through(start: np.ndarray, like: dict[str, np.ndarray], rate: float):
+    """The pass of a model over a shard, which gives (i, x, n): parameter i afterwards, and the shard's tokens."""
+
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["place", "doc_id"], kind="stable")
+        sequences = [_classes(c) for c, n in zip(rows["classes"], rows["times"]) for _ in range(n)]
+        adam = gru.Adam(gru.shaped(start, like), rate)
+        gru.train(adam, sequences, END)
+        x = gru.flat(adam.p).astype(np.float64)
+        return pd.DataFrame({"i": np.arange(len(x)), "x": x, "n": sum(map(len, sequences))})
+
+    return one
+
+
+def train(training: DataFrame, like: dict[str, np.ndarray], tokens: int) -> np.ndarray:
+    """Parameters averaged over the shards, round by round; every training document is used once."""
+    spark = training.sparkSession
+    ship_package(spark)
+    shards, rounds = shard_numbers(tokens)
+    path = scratch_path(spark, "lm-shards")
+    sharded(training, shards).write.parquet(path)
+    kept = spark.read.parquet(path)
     values = gru.flat(like)
     for k in range(rounds):
-        start, rate = values, RATE / 2**k
-
-        def rows(source, start=start, rate=rate):
-            adam, n = gru.Adam(gru.shaped(start, like), rate), 0
-            for group in _groups(source):
-                sequences = [_classes(r["classes"]) for r in group]
-                gru.train(adam, sequences, END)
-                n += sum(map(len, sequences))
-            if n:
-                for i, x in enumerate(gru.flat(adam.p).tolist()):
-                    yield i, n * x, n
-
-        own = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == k).select("classes", "chars")
-        moved = map_rows(own, rows, "i int, x double, n bigint").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x"))
-        got = moved.collect()  # one row per parameter
+        own = kept.where(F.pmod("shard", F.lit(rounds)) == k)
+        moved = own.groupBy("shard").applyInPandas(_through(values, like, RATE / (1 + k)), "i int, x double, n bigint")
+        exact = F.sum((F.col("x") * F.col("n") * FRACTION).cast("decimal(38,0)"))
+        got = moved.groupBy("i").agg(exact.alias("x"), F.sum("n").alias("n")).collect()  # one row per parameter
         if got:
             values = np.zeros(len(values))
             for r in got:
-                values[r["i"]] = r["x"]
+                values[r["i"]] = float(r["x"]) / FRACTION / r["n"]
     return values
 
 
@@ -227,7 +261,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     encoded = passed.where("word is null")
 
     like = gru.fresh(v.classes, HIDDEN, v.bias)
-    params = gru.shaped(train(encoded.where("part <> 1"), like), like)
+    params = gru.shaped(train(encoded.where("part <> 1"), like, tokens), like)
 
     def scores(source):
         for group in _groups(source):

@@ -374,6 +374,28 @@ def test_language_model_counts_and_held_out_gain(spark, monkeypatch, limit):
     assert all(x.score < 0 for x in got)
 
 
+def test_shards_hold_every_training_row(spark):
+    rows = [(i, bytes([i % 7, 0])) for i in range(50)] + [(7, bytes([9, 9, 0]))] * 40 + [(None, b"\0")] * 11
+    docs = spark.createDataFrame(rows, "doc_id bigint, classes binary")
+    got = recurrent_lm.sharded(docs, 6).collect()
+    assert Counter(x for r in got for x in [(r.doc_id, bytes(r.classes))] * r.times) == Counter(rows)
+    assert all(0 <= r.shard < 6 and r.times > 0 for r in got)
+    assert sorted(r.times for r in got if r.doc_id == 7 and len(r.classes) == 3) == [6, 6, 7, 7, 7, 7]  # copies in all shards
+    assert recurrent_lm.shard_numbers(0) == (3, 3) and recurrent_lm.shard_numbers(recurrent_lm.SHARD_TOKENS * 24) == (24, 6)
+
+
+def test_language_model_is_the_same_under_any_partitioning(spark, monkeypatch):
+    monkeypatch.setattr(recurrent_lm, "SHARD_TOKENS", 5000)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.unionByName(docs.limit(5))
+    found = []
+    for parts in (1, 13):
+        rows = recurrent_lm.score_documents(docs.repartition(parts, F.rand(parts))).collect()
+        found.append(sorted((x.doc_id, x.n_tokens, x.score) for x in rows))
+    assert [x[:2] for x in found[0]] == [x[:2] for x in found[1]]
+    assert [x[2] for x in found[0]] == pytest.approx([x[2] for x in found[1]], rel=1e-4)
+
+
 def test_language_model_without_documents(spark):
     schema = "doc_id bigint, text string, lang string"
     assert recurrent_lm.score_documents(spark.createDataFrame([], schema)).count() == 0
