@@ -29,17 +29,16 @@ from __future__ import annotations
 import math
 import uuid
 from collections import Counter
-from itertools import repeat
+from itertools import groupby, repeat
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retention.llm import gru
 from retention.llm.common import map_rows, texts_of
 from retention.llm.simhash import word_blocks
-from retention.session import scratch_path, ship_package
+from retention.session import scratch_path
 
 #: Bound of the broadcast table, languages told apart, bands of a language's words.
 TABLE, LANGUAGES, BANDS = 1 << 17, 7, 8
@@ -180,31 +179,30 @@ def sharded(training: DataFrame, shards: int) -> DataFrame:
 
 
 def _through(start: np.ndarray, like: dict[str, np.ndarray], rate: float):
-    """The pass of a model over a shard, which gives (i, x, n): parameter i afterwards, and the shard's tokens."""
+    """The pass of a model over each shard, which gives (i, x, n): parameter i afterwards, and the shard's tokens."""
 
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["place", "doc_id"], kind="stable")
-        sequences = [_classes(c) for c, n in zip(rows["classes"], rows["times"]) for _ in range(n)]
-        adam = gru.Adam(gru.shaped(start, like), rate)
-        gru.train(adam, sequences, END)
-        x = gru.flat(adam.p).astype(np.float64)
-        return pd.DataFrame({"i": np.arange(len(x)), "x": x, "n": sum(map(len, sequences))})
+    def rows(source):
+        for _, shard in groupby(source, key=lambda r: r["shard"]):
+            sequences = [x for r in shard for x in [_classes(r["classes"])] * r["times"]]
+            adam = gru.Adam(gru.shaped(start, like), rate)
+            gru.train(adam, sequences, END)
+            n = sum(map(len, sequences))
+            yield from ((i, x, n) for i, x in enumerate(gru.flat(adam.p).tolist()))
 
-    return one
+    return rows
 
 
 def train(training: DataFrame, like: dict[str, np.ndarray], tokens: int) -> np.ndarray:
     """Parameters averaged over the shards, round by round; every training document is used once."""
     spark = training.sparkSession
-    ship_package(spark)
     shards, rounds = shard_numbers(tokens)
     path = scratch_path(spark, "lm-shards")
     sharded(training, shards).write.parquet(path)
     kept = spark.read.parquet(path)
     values = gru.flat(like)
     for k in range(rounds):
-        own = kept.where(F.pmod("shard", F.lit(rounds)) == k)
-        moved = own.groupBy("shard").applyInPandas(_through(values, like, RATE / (1 + k)), "i int, x double, n bigint")
+        own = kept.where(F.pmod("shard", F.lit(rounds)) == k).repartition("shard").sortWithinPartitions("shard", "place", "doc_id")
+        moved = map_rows(own, _through(values, like, RATE / (1 + k)), "i int, x double, n bigint")
         exact = F.sum((F.col("x") * F.col("n") * FRACTION).cast("decimal(38,0)"))
         got = moved.groupBy("i").agg(exact.alias("x"), F.sum("n").alias("n")).collect()  # one row per parameter
         if got:
