@@ -2,16 +2,19 @@
 
 Each report is one aggregate job per table that returns a long table
 ``(table_name, check_name, column_name, value, status)``; gates read that
-small table instead of launching one job per column.
+small table instead of launching one job per column. ``clean_and_report`` and
+``write_with_null_report`` take the same reports as observed metrics of the pass
+that cleans or writes, so the gate has no scan of its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from retention.functions.timewin import date_lit
 from retention.params import DEFAULT, Params
+from retention.session import scratch_path
 from retention.sources.schemas import CRITICAL_COLUMNS, EXPECTED
 
 FACT_TABLES = ("transactions", "interactions")
@@ -61,21 +64,24 @@ def _row(table: str, check: str, column: str | None, value: Column, status: Colu
                     value.cast("bigint").alias("value"), status.alias("status"))
 
 
-def table_report(df: DataFrame, table: str, as_of: str, p: Params = DEFAULT) -> DataFrame:
-    """I1 + I2 + I3 for one table in a single aggregate job.
-
-    Rows are first grouped by all declared columns (the distinct count), and the
-    null counts and latest time ride on the same grouped rows.
-    """
+def _checked(df: DataFrame, table: str) -> tuple[list[str], bool]:
+    """The critical columns that the frame has, and whether its freshness is checked."""
     cols = declared_columns(df, table)
-    crit = [c for c in CRITICAL_COLUMNS.get(table, []) if c in cols]
-    grouped = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    return [c for c in CRITICAL_COLUMNS.get(table, []) if c in cols], table in FACT_TABLES and "timestamp" in cols
+
+
+def _counted(df: DataFrame, table: str) -> DataFrame:
+    """The distinct rows over the declared columns, each with its number ``_n``."""
+    return df.groupBy(*declared_columns(df, table)).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _report_aggregates(crit: list[str], fresh: bool) -> list[Column]:
     aggs = [F.sum("_n").alias("total"), F.count(F.lit(1)).alias("distinct_rows")]
     aggs += [F.sum(F.when(F.col(c).isNull(), F.col("_n"))).alias(f"null_{c}") for c in crit]
-    fresh = table in FACT_TABLES and "timestamp" in cols
-    if fresh:
-        aggs.append(F.max("timestamp").alias("latest"))
-    a = grouped.agg(*aggs)
+    return aggs + ([F.max("timestamp").alias("latest")] if fresh else [])
+
+
+def _report_rows(a: DataFrame, table: str, crit: list[str], fresh: bool, as_of: str, p: Params) -> DataFrame:
     total = F.coalesce(F.col("total"), F.lit(0))
     dups = total - F.col("distinct_rows")
     rows = [
@@ -92,6 +98,39 @@ def table_report(df: DataFrame, table: str, as_of: str, p: Params = DEFAULT) ->
     return a.select(F.inline(F.array(*rows)))
 
 
+def table_report(df: DataFrame, table: str, as_of: str, p: Params = DEFAULT) -> DataFrame:
+    """I1 + I2 + I3 for one table in a single aggregate job.
+
+    Rows are first grouped by all declared columns (the distinct count), and the
+    null counts and latest time ride on the same grouped rows.
+    """
+    crit, fresh = _checked(df, table)
+    a = _counted(df, table).agg(*_report_aggregates(crit, fresh))
+    return _report_rows(a, table, crit, fresh, as_of, p)
+
+
+def _write_observed(df: DataFrame, aggregates: list[Column], path: str, finish=lambda rows: rows) -> DataFrame:
+    """Write ``finish(df)`` to ``path`` and return the aggregates over ``df`` as one row.
+
+    The aggregates are observed in the write's last stage, whose tasks count once each even if some
+    are run again; ``finish`` must not add a shuffle.
+    """
+    spark = df.sparkSession
+    schema = df.limit(0).agg(*aggregates).schema
+    seen = Observation()
+    finish(df.observe(seen, *aggregates)).write.parquet(path)
+    found = seen.get
+    return spark.createDataFrame([tuple(found.get(f.name) for f in schema.fields)], schema)
+
+
+def clean_and_report(df: DataFrame, table: str, as_of: str, path: str, p: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """(cleaned rows, reread from ``path``; the rows of ``table_report``): one scan and one shuffle for both."""
+    crit, fresh = _checked(df, table)
+    a = _write_observed(_counted(df, table), _report_aggregates(crit, fresh), path,
+                        lambda rows: row_rules(rows.drop("_n"), table))
+    return df.sparkSession.read.parquet(path), _report_rows(a, table, crit, fresh, as_of, p)
+
+
 def quality_report(raw: dict[str, DataFrame], as_of: str, p: Params = DEFAULT) -> DataFrame:
     """I8's report half: every check of every table as one long table."""
     out = None
@@ -106,19 +145,39 @@ def perform_quality_checks(raw: dict[str, DataFrame], as_of: str, p: Params = DE
     """I8: report (collected: a handful of rows), raise on critical nulls, return cleaned tables."""
     report = quality_report(raw, as_of, p).cache()
     if raise_on_error:
-        bad = report.filter(F.col("status") == "error").collect()
-        if bad:
-            desc = ", ".join(f"{r.table_name}.{r.column_name}={r.value}" for r in bad)
-            raise ValueError(f"Critical columns have null values: {desc}")
+        raise_on_critical_nulls(report)
     return report, {name: clean(df, name) for name, df in raw.items()}
 
 
-def null_report(df: DataFrame, p: Params = DEFAULT,
-                skip: tuple[str, ...] = ("customer_id", "snapshot_date")) -> DataFrame:
-    """D9 + I4: null ratio of every feature column in one job, status error/warn/ok."""
+def clean_with_gates(raw: dict[str, DataFrame], as_of: str, p: Params = DEFAULT,
+                     raise_on_error: bool = True) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """I8 as ``perform_quality_checks``, each table read once: its checks are observed while it is cleaned.
+
+    The cleaned tables are Parquet in the shared folder; with critical nulls none is returned.
+    """
+    report, clean_tables = None, {}
+    for name, df in raw.items():
+        path = scratch_path(df.sparkSession, f"clean-{name}")
+        clean_tables[name], rows = clean_and_report(df, name, as_of, path, p)
+        report = rows if report is None else report.unionByName(rows)
+    if raise_on_error:
+        raise_on_critical_nulls(report)
+    return report, clean_tables
+
+
+def raise_on_critical_nulls(report: DataFrame) -> None:
+    bad = report.filter(F.col("status") == "error").collect()
+    if bad:
+        desc = ", ".join(f"{r.table_name}.{r.column_name}={r.value}" for r in bad)
+        raise ValueError(f"Critical columns have null values: {desc}")
+
+
+def _null_aggregates(df: DataFrame, skip: tuple[str, ...]) -> tuple[list[str], list[Column]]:
     cols = [c for c in df.columns if c not in skip]
-    a = df.agg(F.count(F.lit(1)).alias("_total"),
-               *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    return cols, [F.count(F.lit(1)).alias("_total"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols]]
+
+
+def _null_rows(a: DataFrame, cols: list[str], p: Params) -> DataFrame:
     stacked = a.select(
         F.col("_total").alias("total_rows"),
         F.inline(F.array(*[F.struct(F.lit(c).alias("feature_name"), F.col(c).alias("null_count"))
@@ -128,6 +187,21 @@ def null_report(df: DataFrame, p: Params = DEFAULT,
     return stacked.withColumns({"null_ratio": ratio, "status": status})
 
 
+def null_report(df: DataFrame, p: Params = DEFAULT,
+                skip: tuple[str, ...] = ("customer_id", "snapshot_date")) -> DataFrame:
+    """D9 + I4: null ratio of every feature column in one job, status error/warn/ok."""
+    cols, aggs = _null_aggregates(df, skip)
+    return _null_rows(df.agg(*aggs), cols, p)
+
+
+def write_with_null_report(df: DataFrame, path: str, p: Params = DEFAULT,
+                           skip: tuple[str, ...] = ("customer_id", "snapshot_date")) -> tuple[DataFrame, DataFrame]:
+    """(the rows, reread from ``path``; their ``null_report``): the counts are observed while the rows are written."""
+    cols, aggs = _null_aggregates(df, skip)
+    a = _write_observed(df, aggs, path)
+    return df.sparkSession.read.parquet(path), _null_rows(a, cols, p)
+
+
 def enforce_null_report(report: DataFrame) -> None:
     """Raise like the reference when any feature is more than half null."""
     bad = report.filter(F.col("status") == "error").select("feature_name", "null_ratio").collect()
@@ -181,5 +255,3 @@ def validate_schemas(raw: dict[str, DataFrame], check_types: bool = False) -> No
             wrong = [f.name for f in EXPECTED[name].fields if actual[f.name] != f.dataType]
             if wrong:
                 raise ValueError(f"Wrong types in {name}: {set(wrong)}")
-
-

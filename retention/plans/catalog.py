@@ -125,6 +125,12 @@ def q_quality_report(spark, sf):
     return tidy(qual.quality_report(raw(spark, sf).as_dict(), AS_OF))
 
 
+@query("quality_report_observed", _quality_report_sql())
+def q_quality_report_observed(spark, sf):
+    """I1-I3, D5-D7 as metrics of the pass that cleans each table."""
+    return tidy(qual.clean_with_gates(raw(spark, sf).as_dict(), AS_OF, raise_on_error=False)[0])
+
+
 def _schema_check_sql() -> str:
     from retention.sources.schemas import EXPECTED
     declared = ", ".join(f"('{t}', '{f.name}', '{f.dataType.simpleString()}')"
@@ -206,6 +212,14 @@ def q_feature_null_report(spark, sf):
     return tidy(qual.null_report(snapshot_df(spark, sf)))
 
 
+@query("feature_null_report_observed", tidy_sql(O.with_views(_null_report_sql(O.snapshot(SNAPSHOT))),
+                                                dbl=["null_ratio"], ints=["total_rows", "null_count"]))
+def q_feature_null_report_observed(spark, sf):
+    """D9, I4 as metrics of the pass that writes the snapshot."""
+    from retention.session import scratch_path
+    return tidy(qual.write_with_null_report(snapshot_df(spark, sf), scratch_path(spark, "snapshot"))[1])
+
+
 # ---------------------------------------------------------------- labels
 
 @query("qualifying_activity", O.with_views(O.qualifying_activity(SNAPSHOT)))
@@ -1413,6 +1427,74 @@ def q_segment_members(spark, sf):
     return tidy(seg.select("customer_id", "snapshot_date", "nearest", F.lit(members).alias("members")))
 
 
+def _segment_tree(spark, sf):
+    """The segmented training rows, the tree that explains their segments, and its rules."""
+    from retention.operators.segments import fit_segment_tree, kmeans_segments, leaf_rules
+    from retention.session import materialize, scratch_path
+    seg = materialize(kmeans_segments(materialize(training_df(spark, sf)), SEGMENT_FEATURES))
+    tree = fit_segment_tree(seg, SEGMENT_FEATURES)
+    return seg, tree, leaf_rules(tree, SEGMENT_FEATURES, scratch_path(spark, "segment-tree"))
+
+
+@query("segment_rules")
+def q_segment_rules(spark, sf):
+    """The segments explained by the leaves of a tree, with support, purity and coverage."""
+    from retention.operators.segments import rule_report
+    seg, _, rules = _segment_tree(spark, sf)
+    return tidy(rule_report(seg, rules))
+
+
+@query("segment_rule_members", tidy_sql(V("SELECT customer_id, snapshot_date, 1 AS rules_held, TRUE AS as_the_tree, "
+                                          "(SELECT count(*) FROM training) AS members FROM training"),
+                                        ints=["rules_held", "members"], dates=["snapshot_date"]))
+def q_segment_rule_members(spark, sf):
+    """P5 as invariants: for each row exactly one rule holds, whose most frequent segment is what the fitted tree
+    predicts; the rules' supports sum to all rows."""
+    from pyspark.ml.functions import array_to_vector
+
+    from retention.operators.segments import rule_report, with_rule
+    seg, tree, rules = _segment_tree(spark, sf)
+    report = rule_report(seg, rules)
+    x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in SEGMENT_FEATURES])
+    told = tree.transform(with_rule(seg, rules).withColumn("_features", array_to_vector(x)))
+    held = sum((F.expr(r).cast("int") for r in rules), F.lit(0))
+    rows = told.join(F.broadcast(report.select("rule_id", F.col("segment").alias("_told"))), "rule_id", "left")  # at most 2^depth rules
+    members = report.agg(F.sum("support")).first()[0]
+    return tidy(rows.select("customer_id", "snapshot_date", held.alias("rules_held"),
+                            (F.col("prediction") == F.col("_told")).alias("as_the_tree"), F.lit(members).alias("members")))
+
+
+def _segment_effects_sql() -> str:
+    parts = []
+    for c in SEGMENT_FEATURES:
+        x = f"CAST(t.{c} AS DOUBLE)"
+        own, rest = "t.churn_label = s.segment", "t.churn_label <> s.segment"
+        n, m = f"count({x}) FILTER (WHERE {own})", f"count({x}) FILTER (WHERE {rest})"
+        inside, outside = f"avg({x}) FILTER (WHERE {own})", f"avg({x}) FILTER (WHERE {rest})"
+        squares = f"({n} * var_pop({x}) FILTER (WHERE {own}) + {m} * var_pop({x}) FILTER (WHERE {rest}))"
+        parts.append(f"SELECT s.segment, '{c}' AS feature, count(*) FILTER (WHERE {own}) AS customers, {inside} AS mean_inside, "
+                     f"{outside} AS mean_outside, ({inside} - {outside}) / nullif(sqrt({squares} / ({n} + {m} - 2)), 0) AS effect_size "
+                     "FROM (SELECT DISTINCT churn_label AS segment FROM training) s, training t GROUP BY s.segment")
+    return V(" UNION ALL ".join(parts))
+
+
+@query("segment_effects", tidy_sql(_segment_effects_sql(), dbl=["mean_inside", "mean_outside", "effect_size"], ints=["segment", "customers"]))
+def q_segment_effects(spark, sf):
+    """Feature means and effect sizes per segment; the segments are those of the label, so that SQL can name them."""
+    from retention.operators.segments import segment_effects
+    return tidy(segment_effects(training_df(spark, sf).withColumn("segment", F.col("churn_label")), SEGMENT_FEATURES))
+
+
+@query("segment_profile_means", tidy_sql(V("SELECT churn_label AS segment, count(*) AS customers, avg(churn_label) AS churn_rate, "
+                                           + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS mean_{c}" for c in SEGMENT_FEATURES)
+                                           + " FROM training GROUP BY churn_label"),
+                                         dbl=["churn_rate"] + [f"mean_{c}" for c in SEGMENT_FEATURES], ints=["segment", "customers"]))
+def q_segment_profile_means(spark, sf):
+    """Size, churn rate and feature means, of the label's segments as in ``segment_effects``."""
+    from retention.operators.segments import segment_profiles
+    return tidy(segment_profiles(training_df(spark, sf).withColumn("segment", F.col("churn_label")), SEGMENT_FEATURES))
+
+
 #: Ends of the parts in which the stand-in's events arrive.
 ARRIVALS = ["2023-11-15", "2023-12-20", "2024-01-08", "2024-01-16"]
 

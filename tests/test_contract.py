@@ -18,4 +18,4 @@ def test_oracle_keys_are_queries():
 
 def test_rows_only_queries_are_the_non_sql_ones():
     from retention.plans import catalog
-    assert set(catalog.QUERIES) - set(catalog.ORACLE) == {"segments", "gbt_train_score", "gbt_tree_shap"}
+    assert set(catalog.QUERIES) - set(catalog.ORACLE) == {"segments", "segment_rules", "gbt_train_score", "gbt_tree_shap"}
