@@ -5,16 +5,17 @@ Lines of at least ``MIN_CHARS`` code points (trimmed of spaces) take part. Equal
 segments; two lines within ``EDITS`` edits share a segment of the shorter one, at a place that its
 length bounds. Keys (length, segment number, hash of the segment) are made for the line's own
 segments and for the substrings of the line that may equal a segment of a line as long or up to
-``EDITS`` shorter. Lines that share a key are candidates; a count of letter classes bounds their
-distance from below, and a banded bit-parallel automaton verifies it.
+``EDITS`` shorter. Lines that share a key are a group. Within a group, a count of letter classes bounds
+the distance of two lines from below, and a banded bit-parallel automaton verifies it, unless links found
+before join them already: a group gives fewer links than it has lines, and components are the same.
 
-A key that more than ``CROWDED`` lines share doesn't emit their pairs. Its lines are cut again, into
+A key that more than ``CROWDED`` lines share is no group. Its lines are cut again, into
 up to ``FINE`` segments: two near lines agree in all but two of these, the middle ones moved by as much
 as the first of the two allows. Keys are made of all but two segments, so what is left is two short
 windows. A key that is still crowded has its windows cut again under it, until at most ``SHORT`` code
 points are left. Then lines meet by their variants with up to ``EDITS`` of these deleted or blanked: an
-equal variant proves the link, so more than ``STARRED`` of one are linked by a star. No key emits more
-than ``CROWDED`` or ``STARRED`` lines' pairs, and of a pair one line has the key as its own.
+equal variant proves the link, so a star links the lines of one. (``candidates`` gives the pairs instead, of
+keys and variants that at most ``CROWDED`` or ``STARRED`` lines share.)
 
 Of each component of lines (equal, or linked by verified pairs) the first line stays: the smallest
 doc_id, then the place in the document. The others are removed from their documents.
@@ -30,6 +31,7 @@ own; null doc_ids come first; empty table: no rows.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +44,6 @@ MIN_CHARS, EDITS = 32, 2
 CROWDED, SHORT, STARRED = 32, 12, 64
 #: Most and fewest segments of a text whose keys are crowded, and code points of one in between.
 FINE, COARSE, SEGMENT = 12, 5, 16
-#: Candidate pairs that a task verifies.
-VERIFIED = 2_000
 #: One of so many lines is looked at for frequent keys; a key of more than CROWDED of these is one.
 SAMPLED = 64
 #: Letter classes whose counts bound the edit distance from below.
@@ -64,6 +64,13 @@ def store_rows(docs: DataFrame, what: str) -> DataFrame:
     return spark.table(name)
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` written compressed to the shared folder and read again: keys compress little, all else well."""
+    path = scratch_path(df.sparkSession, "keys")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _lines(stored: DataFrame) -> DataFrame:
     """(_rk, doc_id, pos, x): the lines that take part."""
     cut = stored.where(F.col("_doc.text").isNotNull()).select("_rk", F.col("_doc.doc_id").alias("doc_id"), F.posexplode(F.split("_doc.text", "\n")).alias("pos", "raw"))
@@ -174,11 +181,11 @@ def _shared(keyed: DataFrame, frequent: DataFrame) -> DataFrame:
 
 def class_counts(x: Column) -> Column:
     """Counts of the letter classes; a substitution changes two by one, other edits one."""
-    return F.array(*(F.length(x) - F.length(F.translate(x, c, "")) for c in CLASSES))
+    return F.struct(*((F.length(x) - F.length(F.translate(x, c, ""))).alias(f"c{i}") for i, c in enumerate(CLASSES)))
 
 
 def _apart(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+    return sum((F.abs(a[f"c{i}"] - b[f"c{i}"]) for i in range(1, len(CLASSES))), F.abs(a["c0"] - b["c0"]))
 
 
 def _sampled(name: str) -> Column:
@@ -194,8 +201,8 @@ def _pairs(rows: DataFrame) -> DataFrame:
 
 
 def _by_variants(left: DataFrame, fetch) -> DataFrame:
-    """(a, b): links between lines that differ only in places (id, at) that are left, by equal variants of
-    the whole lines. Lines of equal length share one with two places blanked, or with one deleted each; of
+    """(key, own, id, n): the lines that share a variant with another, n in all, of lines that differ only in
+    places (id, at) that are left. Lines of equal length share one with two places blanked, or with one deleted each; of
     others, the longer has one more deleted than the shorter. A variant of the first kinds proves a link
     between any two that share it, one of the others between a shorter line and any."""
     one = "transform(at, i -> named_struct('i', i, 'j', 0))"
@@ -212,39 +219,88 @@ def _by_variants(left: DataFrame, fetch) -> DataFrame:
     whole = "named_struct('key', xxhash64('longer', x), 'own', true)"
     made = F.expr(f"case when i = 0 then array({whole}) when j = 0 then array({', '.join(singles)}) else array({', '.join(doubles)}) end")
     lines = fetch(left.select("id").distinct())
-    keyed = materialize(places.join(lines.select("id", "x"), "id").select("id", F.explode(made).alias("_v")).select("id", "_v.key", "_v.own").distinct())
-    met = materialize(_met(keyed))
-    crowded = met.where(f"n > {STARRED}")
-    least = crowded.where("own").groupBy("key").agg(F.min("id").alias("_c"))
-    stars = crowded.join(least, "key").where("id != _c").select(F.least("id", "_c").alias("a"), F.greatest("id", "_c").alias("b"))
-    return materialize(_pairs(met.where(f"n <= {STARRED}")).unionByName(stars).distinct())
+    keyed = _kept(places.join(lines.select("id", "x"), "id").select("id", F.explode(made).alias("_v")).select("id", "_v.key", "_v.own").distinct())
+    return _kept(_met(keyed))
 
 
-def candidates(lines: DataFrame, fetch=None, sample: DataFrame | None = None) -> DataFrame:
-    """(a, b): ids of lines (id, x) that may be within EDITS edits: all pairs that are, but for those of
-    crowded variants, where a star stands for them. ``fetch`` gives the lines of a frame of ids without
-    moving the others, ``sample`` one of SAMPLED of all."""
-    fetch = fetch or (lambda ids: lines.join(ids, "id", "left_semi"))
+def _stars(met: DataFrame) -> DataFrame:
+    """(a, b): the lines of each variant, linked to the first that has it as its own, which proves a link to any."""
+    least = met.where("own").groupBy("key").agg(F.min("id").alias("_c"))
+    return met.join(least, "key").where("id != _c").select(F.least("id", "_c").alias("a"), F.greatest("id", "_c").alias("b"))
+
+
+def _levels(lines: DataFrame, fetch, sample: DataFrame | None):
+    """The rows (key, own, id) of keys that at most CROWDED lines share, of each level of cutting, and those of
+    variants (with n, the lines that share one): pairs of a name and a frame."""
     lines = lines.withColumn("n", F.length("x"))
     keys = lambda of: of.select("id", F.explode(F.expr(_posts())).alias("_k")).select("id", "_k.key", "_k.own")
     some = lines.where(_sampled("id")) if sample is None else sample.withColumn("n", F.length("x"))
     frequent = materialize(keys(some).groupBy("key").agg(F.count("*").alias("_c")).where(f"_c > {CROWDED}").select("key"))
     # the widest shuffle of the operator: a key, an id and a flag a row
-    shared = materialize(_shared(keys(lines), frequent))
-    found = _pairs(shared.where(f"n <= {CROWDED}"))
+    shared = _kept(_shared(keys(lines), frequent))
+    yield "keys", shared.where(f"n <= {CROWDED}").select("key", "own", "id")
     # two near lines share a key that isn't crowded, or both have a crowded one
-    texts = materialize(fetch(shared.where(f"n > {CROWDED}").select("id").distinct()).select("id", "x"))
+    texts = _kept(fetch(shared.where(f"n > {CROWDED}").select("id").distinct()).select("id", "x"))
     rows = texts.select("id", F.lit(0).cast("bigint").alias("above"), F.expr(NO_OPS).alias("ops"))
     while not rows.isEmpty():
         left = rows.join(texts, "id").select("id", "above", "ops", F.col("x").alias("_line"), _windows(F.col("x"), F.col("ops")).alias("x"))
         left = left.withColumn("n", F.length("x"))
-        ended = materialize(left.where(f"n <= {SHORT}").select("id", _places(F.col("_line"), F.col("ops")).alias("at")).distinct())
+        ended = _kept(left.where(f"n <= {SHORT}").select("id", _places(F.col("_line"), F.col("ops")).alias("at")).distinct())
         if not ended.isEmpty():
-            found = found.unionByName(_by_variants(ended, fetch))
-        met = materialize(_met(_fine(left.where(f"n > {SHORT}"))))
-        found = found.unionByName(_pairs(met.where(f"n <= {CROWDED}")))
+            yield "variants", _by_variants(ended, fetch)
+        met = _kept(_met(_fine(left.where(f"n > {SHORT}"))))
+        yield "keys", met.where(f"n <= {CROWDED}").select("key", "own", "id")
         rows = met.where(f"n > {CROWDED}").select("id", F.col("key").alias("above"), "ops").distinct()
-    return found.distinct()
+
+
+def candidates(lines: DataFrame, fetch=None, sample: DataFrame | None = None) -> DataFrame:
+    """(a, b): ids of lines (id, x) that may be within EDITS edits: all pairs that are, but for those of
+    crowded variants, where a star stands for them. ``fetch`` gives the lines of a frame of ids without
+    moving the others, ``sample`` one of SAMPLED of all."""
+    fetch = fetch or (lambda ids: lines.join(ids, "id", "left_semi"))
+    found = []
+    for name, rows in _levels(lines, fetch, sample):
+        few = rows if name == "keys" else rows.where(f"n <= {STARRED}")
+        found += [_pairs(few)] + ([_stars(rows.where(f"n > {STARRED}"))] if name == "variants" else [])
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def groups(lines: DataFrame, fetch, sample: DataFrame | None = None) -> DataFrame:
+    """(key, id): lines that share a key, at most CROWDED; any two near lines are in one group or joined by
+    several. Grows with the keys of the lines, not with their pairs."""
+    found = []
+    for name, rows in _levels(lines, fetch, sample):
+        if name == "variants":
+            rows = _stars(rows).distinct().select(F.xxhash64("a", "b").alias("key"), F.explode(F.array("a", "b")).alias("id"))
+        found.append(rows.select("key", "id"))
+    return _kept(reduce(DataFrame.unionByName, found))
+
+
+def _forest(members: Column) -> Column:
+    """Links (a, b) between members (id, counts, x) within EDITS edits: those that join lines not joined yet."""
+    none = F.array().cast("array<struct<a:bigint,b:bigint>>")
+    start = F.struct(F.sequence(F.lit(0), F.size(members) - 1).alias("root"), none.alias("links"))
+    pairs = F.flatten(F.transform(F.sequence(F.lit(1), F.size(members) - 1), lambda j: F.transform(F.sequence(F.lit(0), j - 1), lambda i: F.struct(i.alias("i"), j.alias("j")))))
+
+    def step(s: Column, p: Column) -> Column:
+        u, v, at, to = F.get(members, p["i"]), F.get(members, p["j"]), F.get(s["root"], p["i"]), F.get(s["root"], p["j"])
+        link = F.array(F.struct(u["id"].alias("a"), v["id"].alias("b")))
+        joined = F.struct(F.transform(s["root"], lambda r: F.when(r == to, at).otherwise(r)).alias("root"), F.concat(s["links"], link).alias("links"))
+        return F.when((at != to) & (_apart(u["counts"], v["counts"]) <= 2 * EDITS) & within(u["x"], v["x"]), joined).otherwise(s)
+
+    return F.aggregate(pairs, start, step, lambda s: s["links"])
+
+
+def linked(grouped: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b): links between the lines of each group, verified; in all they join the same lines as every pair
+    of near ones in a group would, and a group gives fewer than its lines. ``known``: (id, counts, x)."""
+    parts = max(1, int(known.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # near lines share most of their keys: equal groups are one before any text moves
+    ids = grouped.groupBy("key").agg(F.sort_array(F.collect_set("id")).alias("ids")).select("ids").distinct()
+    rows = ids.select(F.xxhash64("ids").alias("key"), F.explode("ids").alias("id")).join(known.select("id", "counts", "x"), "id")
+    # an automaton is work beyond its bytes: groups are dealt to as many tasks as the session shuffles to
+    whole = rows.repartition(parts, "key").groupBy("key").agg(F.collect_list(F.struct("id", "counts", "x")).alias("m"))
+    return whole.select(F.explode(_forest(F.col("m"))).alias("_l")).select("_l.a", "_l.b").distinct()
 
 
 def within(a: Column, b: Column, edits: int = EDITS) -> Column:
@@ -310,15 +366,10 @@ def removals(stored: DataFrame) -> DataFrame:
     def fetch(ids: DataFrame) -> DataFrame:
         return texts(where.join(ids, "id").select("_rk", "pos", "id", "first"))
 
-    pairs = materialize(candidates(texts(where).select("id", "x"), lambda ids: fetch(ids).select("id", "x"), texts(where.where(_sampled("id"))).select("id", "x")))
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    known = materialize(fetch(wanted).withColumn("counts", class_counts(F.col("x"))))
-    # the class bound needs no texts; what passes it is dealt out by its number, as an automaton is work beyond its bytes
-    close = pairs.join(known.select(F.col("id").alias("a"), F.col("counts").alias("_ca")), "a").join(known.select(F.col("id").alias("b"), F.col("counts").alias("_cb")), "b")
-    close = materialize(close.where(_apart(F.col("_ca"), F.col("_cb")) <= 2 * EDITS).select("a", "b"))
-    left = known.select(F.col("id").alias("a"), F.col("first").alias("u"), F.col("x").alias("_x"))
-    right = known.select(F.col("id").alias("b"), F.col("first").alias("v"), F.col("x").alias("_y"))
-    near = close.join(left, "a").join(right, "b").repartition(close.count() // VERIFIED + 1, "a", "b").where(within(F.col("_x"), F.col("_y")))
+    grouped = groups(texts(where).select("id", "x"), lambda ids: fetch(ids).select("id", "x"), texts(where.where(_sampled("id"))).select("id", "x"))
+    known = _kept(fetch(grouped.select("id").distinct()).withColumn("counts", class_counts(F.col("x"))))
+    first = known.select("id", "first")
+    near = linked(grouped, known).join(first.toDF("a", "u"), "a").join(first.toDF("b", "v"), "b")
     rooted = components(near.select("u", "v"), "u", "v").select(F.col("node").alias("first"))
     exact = hashed.join(lines.where("n > 1").select("h", "g", "first"), ["h", "g"]).where(F.col("at") != F.col("first"))
     # a line whose class is linked to an earlier one goes with all its copies; the copies go anyway

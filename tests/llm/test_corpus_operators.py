@@ -217,6 +217,35 @@ def test_lines_of_one_template_do_not_emit_all_pairs(spark, monkeypatch, sampled
     assert all(find(i) == find(same[0]) for group in (blanked, deleted) for same in group.values() for i in same)
 
 
+@pytest.mark.parametrize("crowded", [32, 4])
+def test_links_of_a_group_are_fewer_than_its_lines(spark, monkeypatch, crowded):
+    """Near lines are joined by rows in proportion to the lines, whatever their number of near pairs."""
+    monkeypatch.setattr(line_dedup, "CROWDED", crowded)
+    r = random.Random(21)
+    base = ["".join(r.choice("abcdefghij ") for _ in range(40)).strip().ljust(40, "x") for _ in range(6)]
+    lines = sorted({b[:20] + c + b[20:] for b in base for c in "abcdefghijklmnopqrstuvwxy"} | {edited(r, base[0], r.randint(1, 4)).strip().ljust(34, "y") for _ in range(60)})
+    frame = spark.createDataFrame(list(enumerate(lines)), "id bigint, x string")
+    grouped = line_dedup.groups(frame, lambda ids: frame.join(ids, "id", "left_semi"))
+    members = grouped.distinct().collect()
+    got = [tuple(p) for p in line_dedup.linked(grouped, frame.withColumn("counts", line_dedup.class_counts(F.col("x")))).collect()]
+    near = [(i, j) for i, x in enumerate(lines) for j in range(i) if abs(len(x) - len(lines[j])) <= 2 and edit_distance(x, lines[j]) <= 2]
+    assert all((max(p), min(p)) in set(near) for p in got) and len(got) < len(members) and len(near) > 1500
+
+    def components(pairs):
+        root = list(range(len(lines)))
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for a, b in pairs:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+        return [find(i) for i in range(len(lines))]
+
+    assert components(got) == components(near)
+
+
 def removed_by_brute_force(docs):
     every = [((d[0] is not None, d[0] or 0), k, p, x.strip(" ")) for k, d in enumerate(docs) if d[1] is not None for p, x in enumerate(d[1].split("\n")) if len(x.strip(" ")) >= 32]
     every.sort()
