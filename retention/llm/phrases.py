@@ -9,7 +9,8 @@
 3. A shard's text is broken wherever a word or pair is certainly rare, as no candidate runs across
    it; the FM-index of what is left (``fm_index``) enumerates its phrases of up to four words with
    their counts in the shard, leaving out those that are certainly rare.
-4. Counts are summed over the shards. What follows works on phrases of at least the least count:
+4. A shard deals its phrases to parts by their hashes and writes a row for each part: sorted, compressed.
+   Counts are summed over the shards, part by part. What follows works on phrases of at least the least count:
    extensions to the left and right, cuts, scores and ranks.
 
 A one-word extension of a phrase is at least as frequent as any longer one around it, so the drop
@@ -37,6 +38,8 @@ NEEDED = 0
 SHARD_BYTES, HELD_BYTES, SPLIT_BYTES = 8 << 20, 16 << 20, 2 << 20
 #: Rows in a batch that a task writes at once.
 OUT_ROWS = 50_000
+#: Phrases in a part, by the bits set, and phrases of several shards that a task holds before it sums them.
+PART_PHRASES, HELD_PHRASES = 200_000, 1_000_000
 #: Groups that a language's candidates are ranked in before its first ones are.
 RANK_GROUPS = 256
 
@@ -45,9 +48,19 @@ _SAME = bytes(range(256)).translate(bytes.maketrans(b",;:!?\n\x0b\x0c\r\tABCDEFG
 
 SHARDS = "lang string, words binary, ids binary, kind int, block int, counts binary"
 BLOCKS = "kind int, block int, counts binary"
+PARTS = "lang string, part int, phrases binary, counts binary"
 FOUND = "lang string, words int, phrase string, f bigint"
 
 
+def pack(data: bytes) -> bytes:
+    """Compressed, after its size."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpack(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
 class Ids(dict):
     """Numbers words as they come."""
 
@@ -123,7 +136,8 @@ class Counts:
                 here = table[block << BLOCK_BITS:(block + 1) << BLOCK_BITS]
                 used = np.flatnonzero(here)
                 if len(used):
-                    yield k, side * count + block, used.astype(np.uint16).tobytes() + here[used].astype(np.uint8).tobytes()
+                    steps = np.diff(used, prepend=0).astype(np.uint16)
+                    yield k, side * count + block, pack(steps.tobytes() + here[used].astype(np.uint8).tobytes())
 
 
 class Frequent:
@@ -170,7 +184,7 @@ def _write_shards(fields):
             h = word_hashes(lang, words)
             counts.add(1, h[1:], np.bincount(ids, minlength=len(words))[1:])
             counts.add(2, text_hashes(h, ids, 2)[(ids[:-1] > 0) & (ids[1:] > 0)])
-            return _batch(schema, [[lang], [b"\n".join(words)], [ids.tobytes()], [None], [None], [None]])
+            return _batch(schema, [[lang], [pack(b"\n".join(words))], [pack(ids.tobytes())], [None], [None], [None]])
 
         for b in batches:
             for at in range(0, b.num_rows, 256):
@@ -196,7 +210,7 @@ def _shards(batches):
     for b in batches:
         for row in range(b.num_rows):
             lang, words, ids = (b.column(i)[row].as_py() for i in range(3))
-            yield lang, words.split(b"\n"), np.frombuffer(ids, np.int32)
+            yield lang, unpack(words).split(b"\n"), np.frombuffer(unpack(ids), np.int32)
 
 
 def _count_longer(fields, bits):
@@ -225,9 +239,10 @@ def _sum_blocks(fields):
         sums = {}
         for b in batches:
             for kind, block, data in zip(*(c.to_pylist() for c in b.columns)):
+                data = unpack(data)
                 n = len(data) // 3
                 total = sums.setdefault((kind, block), np.zeros(1 << BLOCK_BITS, np.uint8))
-                used = np.frombuffer(data, np.uint16, n)
+                used = np.cumsum(np.frombuffer(data, np.uint16, n), dtype=np.int64)
                 total[used] = np.minimum(total[used] + np.frombuffer(data, np.uint8, n, 2 * n), LEAST)  # at most 2 * LEAST before
         for (kind, block), total in sums.items():
             yield _batch(schema, [[kind], [block], [np.packbits(total >= LEAST).tobytes()]])
@@ -256,20 +271,37 @@ def kept_text(ids: np.ndarray, pair: np.ndarray) -> np.ndarray:
     return x
 
 
-def _phrases_of(fields, bits):
+def part_count(frequent: Frequent, least: int) -> int:
+    """Parts of some ``PART_PHRASES`` phrases, by the buckets that are full in the first table of each number of words."""
+    full = sum(int(np.unpackbits(frequent.bits[k][:len(frequent.bits[k]) // 2]).sum()) for k in (1, 2, 3, 4))
+    return max(least, full // PART_PHRASES + 1)
+
+
+def _phrases_of(fields, bits, parts: int):
     def run(batches):
         import pyarrow.compute as pc
 
         schema, frequent = _arrow(fields), bits.value
+
+        def dealt(lang, phrases, counts, hashes):
+            """A row for each part; a phrase's part is the same in all shards."""
+            part = (hashes >> np.uint64(20)) % np.uint64(parts)
+            order = np.asarray(pc.sort_indices(phrases))
+            order = order[np.argsort(part[order], kind="stable")]
+            ends = np.cumsum(np.bincount(part.astype(np.int64), minlength=parts))
+            for i in range(parts):
+                at = order[ends[i - 1] if i else 0:ends[i]]
+                if len(at):
+                    text = "\n".join(phrases.take(pa.array(at)).to_pylist()).encode()
+                    yield _batch(schema, [[lang], [i], [pack(text)], [pack(counts[at].astype(np.int64).tobytes())]])
+
         for lang, words, ids in _shards(batches):
             h = word_hashes(lang, words)
             names = pa.array([w.decode() for w in words])
             counts = np.bincount(ids, minlength=len(words))
-            yield _batch(schema, [[lang], [0], [""], [int(counts[1:].sum())]])
+            yield _batch(schema, [[lang], [0], [pack(b"")], [pack(np.array([counts[1:].sum()], np.int64).tobytes())]])
             common = np.flatnonzero(frequent.has(h[1:], NEEDED) & frequent.has(h[1:], 1)) + 1
-            for at in range(0, len(common), OUT_ROWS):
-                some = common[at:at + OUT_ROWS]
-                yield _batch(schema, [[lang] * len(some), [1] * len(some), names.take(pa.array(some)), counts[some]])
+            yield from dealt(lang, names.take(pa.array(common)), counts[common], h[common])
             text = kept_text(ids, pairs_kept(h, ids, frequent))
             if not len(text):
                 continue
@@ -280,10 +312,39 @@ def _phrases_of(fields, bits):
                 return frequent.has(gram_hashes([hashes[w] for w in columns]), len(columns))
 
             for p in Bidirectional(dense.astype(np.int32), LONGEST).grams(LONGEST, kept):
-                for at in range(0, len(p.count), OUT_ROWS):
-                    count = p.count[at:at + OUT_ROWS]
-                    columns = [names.take(pa.array(used[w[at:at + OUT_ROWS]])) for w in p.words]
-                    yield _batch(schema, [[lang] * len(count), [len(columns)] * len(count), pc.binary_join_element_wise(*columns, " "), count])
+                if len(p.count):
+                    columns = [names.take(pa.array(used[w])) for w in p.words]
+                    yield from dealt(lang, pc.binary_join_element_wise(*columns, " "), p.count, gram_hashes([hashes[w] for w in p.words]))
+
+    return run
+
+
+def _sum_parts(fields):
+    """Sums the counts of each phrase of a part; holds the distinct phrases of its parts."""
+
+    def run(batches):
+        import pyarrow.compute as pc
+
+        schema = _arrow(fields)
+        held, rows = {}, 0
+
+        def summed(tables):
+            return pa.concat_tables(tables).group_by("phrase").aggregate([("f", "sum")]).rename_columns({"f_sum": "f"}).select(["phrase", "f"])
+
+        for b in batches:
+            for lang, part, phrases, counts in zip(*(c.to_pylist() for c in b.columns)):
+                names = pc.split_pattern(pa.array([unpack(phrases).decode()]), "\n").flatten()
+                new = pa.table({"phrase": names, "f": pa.array(np.frombuffer(unpack(counts), np.int64))})
+                held.setdefault((lang, part), []).append(new)
+                rows += new.num_rows
+                if rows > HELD_PHRASES:
+                    held, rows = {key: [summed(t)] for key, t in held.items()}, 0
+        for (lang, _), tables in held.items():
+            t = summed(tables)
+            words = pc.if_else(pc.equal(t["phrase"], ""), 0, pc.add(pc.count_substring(t["phrase"], " "), 1)).cast(pa.int32())
+            t = t.append_column("words", words).filter(pc.or_(pc.equal(words, 0), pc.greater_equal(t["f"], LEAST)))
+            for some in t.to_batches(OUT_ROWS):
+                yield _batch(schema, [pa.array([lang] * some.num_rows, pa.string()), some["words"], some["phrase"], some["f"]])
 
     return run
 
@@ -293,7 +354,7 @@ def frequent_phrases(docs: DataFrame) -> DataFrame:
     their exact counts; a row of 0 words has the count of all words. Materialised."""
     spark = docs.sparkSession
     ship_package(spark)
-    schema = {text: spark.createDataFrame([], text).schema for text in (SHARDS, BLOCKS, FOUND)}
+    schema = {text: spark.createDataFrame([], text).schema for text in (SHARDS, BLOCKS, PARTS, FOUND)}
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     written = materialize(texts.mapInArrow(_write_shards(schema[SHARDS]), schema[SHARDS]))
     shards = written.where("kind is null").select("lang", "words", "ids")
@@ -302,8 +363,9 @@ def frequent_phrases(docs: DataFrame) -> DataFrame:
     counted = shards.mapInArrow(_count_longer(schema[BLOCKS], spark.sparkContext.broadcast(frequent)), schema[BLOCKS])
     read_frequent(counted, [NEEDED, 3, 4], frequent)
     bits = spark.sparkContext.broadcast(frequent)
-    found = shards.mapInArrow(_phrases_of(schema[FOUND], bits), schema[FOUND])
-    return materialize(found.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where(f"words = 0 or f >= {LEAST}"))
+    parts = part_count(frequent, spark.sparkContext.defaultParallelism)
+    found = shards.mapInArrow(_phrases_of(schema[PARTS], bits, parts), schema[PARTS])
+    return materialize(found.repartition("lang", "part").mapInArrow(_sum_parts(schema[FOUND]), schema[FOUND]))
 
 
 def _part(start: Column, n: Column) -> Column:

@@ -140,6 +140,32 @@ def test_collocations_equal_brute_force(spark, monkeypatch):
     assert phrases.collocations(docs.limit(0)).collect() == []
 
 
+def test_phrases_leave_shards_in_packed_parts(spark, monkeypatch):
+    """Rows between the shards and the sums follow the shards, not the phrases that reach the least count."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(phrases, "HELD_PHRASES", 50)
+    rows = phrase_rows()
+    docs = spark.createDataFrame([(i, t, lang, "x", "y", "z") for i, (t, lang) in enumerate(rows)], DOCS)
+    f = Counter()
+    for t, lang in rows:
+        for piece in re.split(r"[.,;:!?\n-\r]", (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))):
+            ws = re.findall(r"[^\x20\x09]+", piece)
+            f.update(("und" if lang is None else lang, tuple(ws[i:i + k])) for k in range(1, 5) for i in range(len(ws) - k + 1))
+    found = {(r.lang, r.phrase): r.f for r in phrases.frequent_phrases(docs.repartition(3)).where("words > 1").collect()}
+    assert found == {(lang, " ".join(p)): n for (lang, p), n in f.items() if len(p) > 1 and n >= 30} and len(found) > 100
+    data = bytes(range(256)) * 50 + b"\0"
+    assert phrases.unpack(phrases.pack(data)) == data and len(phrases.pack(data)) < len(data) / 5 and phrases.unpack(phrases.pack(b"")) == b""
+    every = phrases.Frequent()
+    every.bits = {k: np.full(2 << phrases.BITS[max(k, 1)] >> 3, 255, np.uint8) for k in range(5)}
+    assert phrases.part_count(every, 4) > 200
+    fields = spark.createDataFrame([], phrases.PARTS).schema
+    ids, words = phrases.word_ids([" ".join(f"w{i % 50}" for i in range(3000)).encode()])
+    shard = pa.RecordBatch.from_arrays([pa.array([x]) for x in ("en", phrases.pack(b"\n".join(words)), phrases.pack(ids.tobytes()))], names=["lang", "words", "ids"])
+    made = list(phrases._phrases_of(fields, type("Held", (), {"value": every}), 3)([shard]))
+    assert sum(b.num_rows for b in made) <= 1 + 4 * 3
+
+
 def test_collocations_keep_the_first_of_each_language(spark):
     docs = spark.createDataFrame([(i, t, lang, None, None, None) for i, (t, lang) in enumerate(phrase_rows())], DOCS)
     want = [r for r in brute_phrases(phrase_rows()) if r[1] <= 5]
