@@ -1076,15 +1076,20 @@ def q_order_sets_concat(spark, sf):
 
 # ---------------------------------------------------------------- Spark ML (M1-M5, M11, M13 trees, A18)
 
-_MODELS: dict[tuple[str, str], object] = {}
+_MODELS: dict[tuple[str, str], tuple] = {}
 
 
 def fitted_gbt(spark, sf):
+    """The fitted model and the checkpointed training table that it was fitted and is validated on."""
     from retention.operators.model import GBTParams, train_model
-    return train_model(multi_features_df(spark, sf), multi_labels_df(spark, sf), SPLIT_DATE, AS_OF, gp=GBTParams())[0]
+    from retention.operators.split import training_set
+    from retention.session import materialize
+    features, labels = multi_features_df(spark, sf), multi_labels_df(spark, sf)
+    training = materialize(training_set(features, labels))
+    return train_model(features, labels, SPLIT_DATE, AS_OF, gp=GBTParams(), training=training)[0], training
 
 
-def gbt_model(spark, sf):
+def _held_gbt(spark, sf):
     """Fit once per session and scale factor (the queries that explain or check the model share it)."""
     from retention.session import app_key
     key = (app_key(spark), sf)
@@ -1093,15 +1098,20 @@ def gbt_model(spark, sf):
     return _MODELS[key]
 
 
+def gbt_model(spark, sf):
+    return _held_gbt(spark, sf)[0]
+
+
 @query("gbt_train_score")
 def q_gbt_train_score(spark, sf):
     """Train (reference settings, anew each time), save and reload the pipeline (A18), score the validation split."""
     from retention.operators.model import predict
     from retention.operators.split import split
     st = _store(spark)
-    st.save_model(fitted_gbt(spark, sf), AS_OF)
+    fitted, training = fitted_gbt(spark, sf)
+    st.save_model(fitted, AS_OF)
     model = st.load_model(AS_OF)
-    val = split(training_df(spark, sf), SPLIT_DATE)[1]
+    val = split(training, SPLIT_DATE)[1]
     return tidy(predict(model, val, AS_OF, keep=("churn_label",)))
 
 
@@ -1121,11 +1131,11 @@ def q_gbt_val_scores(spark, sf):
     it, and the same score from the model saved and loaded again."""
     from retention.operators.model import predict
     from retention.operators.split import split
-    from retention.session import materialize
     st, keys = _store(spark), ["customer_id", "snapshot_date"]
-    st.save_model(gbt_model(spark, sf), AS_OF)
-    val = materialize(split(training_df(spark, sf), SPLIT_DATE)[1])
-    one = predict(gbt_model(spark, sf), val, AS_OF, keep=("churn_label",))
+    model, training = _held_gbt(spark, sf)
+    st.save_model(model, AS_OF)
+    val = split(training, SPLIT_DATE)[1]
+    one = predict(model, val, AS_OF, keep=("churn_label",))
     two = predict(st.load_model(AS_OF), val, AS_OF).select(*keys, F.col("churn_probability").alias("_again"))
     p = F.col("churn_probability")
     return tidy(one.join(two, keys, "left").select(
