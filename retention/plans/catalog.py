@@ -1160,11 +1160,12 @@ def q_gbt_gate(spark, sf):
                             (F.when(low, "warn").otherwise("ok") == F.col("status")).alias("status_agrees")))
 
 
-def _tree_explanations(spark, sf) -> DataFrame:
+def _tree_explanations(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The checkpointed features and their attributions."""
     from retention.operators.treeshap import explain
     from retention.session import materialize, scratch_path
     feats = materialize(multi_features_df(spark, sf))
-    return materialize(explain(spark, gbt_model(spark, sf), feats, scratch_path(spark, "treeshap")))
+    return feats, materialize(explain(spark, gbt_model(spark, sf), feats, scratch_path(spark, "treeshap")))
 
 
 @query("gbt_shap_additive", tidy_sql(V("SELECT customer_id, snapshot_date, TRUE AS additive FROM features4"),
@@ -1174,12 +1175,12 @@ def q_gbt_shap_additive(spark, sf):
     from pyspark.ml.functions import vector_to_array
     from retention.operators.model import model_columns, prepare
     model, keys = gbt_model(spark, sf), ["customer_id", "snapshot_date"]
-    explained = _tree_explanations(spark, sf)
+    feats, explained = _tree_explanations(spark, sf)
     shap = [c for c in explained.columns if c.startswith("shap_")]
     total = F.col("expected_value")
     for c in shap:
         total = total + F.col(c)
-    margin = model.transform(prepare(multi_features_df(spark, sf), model_columns(model))).select(
+    margin = model.transform(prepare(feats, model_columns(model))).select(
         *keys, vector_to_array("rawPrediction")[1].alias("_margin"))
     return tidy(explained.select(*keys, total.alias("_sum")).join(margin, keys, "left").select(
         *keys, (F.abs(F.col("_sum") - F.col("_margin")) <= 1e-6).alias("additive")))
@@ -1192,7 +1193,7 @@ def q_gbt_importance(spark, sf):
     """M15, M16 on trees: every model input has a rank, and importances don't rise with it."""
     from pyspark.sql import Window
     from retention.operators.explain import global_importance
-    ranked = global_importance(_tree_explanations(spark, sf))
+    ranked = global_importance(_tree_explanations(spark, sf)[1])
     before = F.lag("importance").over(Window.orderBy("rank"))  # a row per feature
     return tidy(ranked.select("rank", ((F.col("importance") >= 0) & (F.coalesce(before >= F.col("importance"), F.lit(True)))).alias("falling")))
 

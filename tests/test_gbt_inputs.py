@@ -41,3 +41,6 @@ def test_features_are_made_once_for_the_fit_and_the_validation(spark, monkeypatc
     monkeypatch.setattr(catalog, "_MODELS", {})
     got = catalog.q_gbt_val_scores(spark, "none").collect()
     assert made == ["features"] and got and all(r.in_range and r.class_agrees and r.reload_equal for r in got)
+    del made[:]
+    every = catalog.q_gbt_shap_additive(spark, "none").collect()
+    assert made == ["features"] and len(every) == 600 and all(r.additive for r in every)
