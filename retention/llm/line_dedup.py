@@ -1,18 +1,18 @@
 """Deduplication of lines across documents, exact and within a small edit distance.
 
 Lines of at least ``MIN_CHARS`` code points (trimmed of spaces) take part. Equal lines meet by two
-64-bit hashes, combined before the shuffle. Each distinct line is then cut into ``EDITS`` + 1
-segments; two lines within ``EDITS`` edits share a segment of the shorter one, at a place that its
-length bounds. Keys (length, segment number, hash of the segment) are made for the line's own
-segments and for the substrings of the line that may equal a segment of a line as long or up to
-``EDITS`` shorter. Lines that share a key are a group. Within a group, a count of letter classes bounds
-the distance of two lines from below, and a banded bit-parallel automaton verifies it, unless links found
+64-bit hashes, combined before the shuffle. Each distinct line is then cut by a base, the least length of those
+that are cut alike (a line near the next shorter one also by that): into the first third, a middle one and the
+last. Two lines within ``EDITS`` edits share the first or the last, or have one edit in each and share the middle
+one, moved by a place at most. Keys (base, segment number, hash of the segment) are made for the line's segments
+and for the middle one a place further on. Lines that share a key are a group. Within a group, a count of letter classes bounds the distance
+of two lines from below, and a banded bit-parallel automaton verifies it, unless links found
 before join them already: a group gives fewer links than it has lines, and components are the same.
 
 A key that more than ``CROWDED`` lines share is no group. Its lines are cut again, into
-up to ``FINE`` segments: two near lines agree in all but two of these, the middle ones moved by as much
-as the first of the two allows. Keys are made of all but two segments, so what is left is two short
-windows. A key that is still crowded has its windows cut again under it, until at most ``SHORT`` code
+up to ``FINE`` segments: two near lines agree in all but two of these, the middle ones moved by a place
+at most. Keys are made of all but two segments, so what is left is two short
+windows. A key that is still crowded has its windows cut again under it, until about ``SHORT`` code
 points are left. Then lines meet by their variants with up to ``EDITS`` of these deleted or blanked: an
 equal variant proves the link, so a star links the lines of one. (``candidates`` gives the pairs instead, of
 keys and variants that at most ``CROWDED`` or ``STARRED`` lines share.)
@@ -44,6 +44,8 @@ MIN_CHARS, EDITS = 32, 2
 CROWDED, SHORT, STARRED = 32, 12, 64
 #: Most and fewest segments of a text whose keys are crowded, and code points of one in between.
 FINE, COARSE, SEGMENT = 12, 5, 16
+#: Texts of lengths up to 8 apart are cut alike, shorter ones than so many code points up to 4 apart.
+NARROW = 64
 #: One of so many lines is looked at for frequent keys; a key of more than CROWDED of these is one.
 SAMPLED = 64
 #: Letter classes whose counts bound the edit distance from below.
@@ -77,84 +79,79 @@ def _lines(stored: DataFrame) -> DataFrame:
     return cut.select("_rk", "doc_id", "pos", _line(F.col("raw")).alias("x")).where(F.length("x") >= MIN_CHARS)
 
 
-def _segment(less: int, i: int, shift: int) -> tuple[str, str, str]:
-    """SQL for (length, start from 1, size) of segment i (from 0) of a line shorter by ``less`` than one of
-    n code points, moved by ``shift``: even parts, the last ones longer by one."""
-    length, parts = f"(n - {less})", EDITS + 1
-    start = f"({1 + shift} + ({length} div {parts}) * {i} + greatest(0, {length} % {parts} - {parts - i}))"
-    size = f"(({length} div {parts}) + if({parts - i} <= {length} % {parts}, 1, 0))"
-    return length, f"cast({start} as int)", f"cast({size} as int)"
+def _base(n: str) -> str:
+    """SQL for the fewest code points of a text that is cut like one of ``n``: lines of about one length are cut alike."""
+    return f"cast({n} - {n} % if({n} < {NARROW}, 4, 8) as int)"
 
 
-def _cuts() -> list[tuple[int, int, int]]:
-    """(shorter by, segment, shift) of every substring that may equal a segment of a line shorter by
-    0 to EDITS. Of two lines of equal length, either finds the other, so only shifts to the right."""
-    out = []
-    for less in range(EDITS + 1):
-        for i in range(EDITS + 1):
-            for shift in range(max(-i, less - (EDITS - i)), min(i, less + (EDITS - i)) + 1):
-                if less or shift >= 0:
-                    out.append((less, i, shift))
-    return out
+def _measured(texts: DataFrame) -> DataFrame:
+    """``texts`` with u, x as four bytes a code point (cut without counting characters), its number n of code points,
+    and the bases it is cut by: ``home``, and ``below``, that of a line shorter by EDITS, where that is another."""
+    texts = texts.withColumn("u", F.encode("x", "UTF-32")).withColumn("n", F.expr("cast(length(u) div 4 as int)"))
+    return texts.withColumns({"home": F.expr(_base("n")), "below": F.expr(_base(f"(n - {EDITS})"))})
 
 
-def _keys() -> list[str]:
-    """SQL for the keys of a text x of n code points."""
-    return [f"xxhash64({length}, {i}, substring(x, {start}, {size}))" for length, start, size, i in ((*_segment(less, i, shift), i) for less, i, shift in _cuts())]
+def _slice(start: str, size: str) -> str:
+    """SQL for ``size`` code points of u from ``start`` (from 1)."""
+    return f"substring(u, cast(4 * ({start}) - 3 as int), cast(4 * ({size}) as int))"
 
 
-def _own(less: int, shift: int) -> str:
-    """SQL for whether a cut is the line's own segment. Of two near lines, one has the key as its own."""
-    return "true" if less == shift == 0 else "false"
+def _keys(base: str, own: str) -> list[str]:
+    """SQL for (key, own) of the segments by a base: the first third, the last and the middle one. Of two near lines
+    with edits in the first and in the last third, these are one each, so the middle is moved by one place at most; to
+    the right, if the line is the longer one. Of two lines of equal length, either finds the other."""
+    part, rest = f"({base} div 3)", f"({base} - 2 * ({base} div 3))"
+    cuts = [(0, "1", part, own), (1, f"{part} + 1", part, own), (1, f"{part} + 2", part, "false"), (2, f"n - {rest} + 1", rest, own)]
+    return [f"named_struct('key', xxhash64({base}, {i}, {_slice(start, size)}), 'own', {flag})" for i, start, size, flag in cuts]
 
 
 def _posts() -> str:
-    """SQL for an array of (key, own)."""
-    return f"array({', '.join(f'named_struct({chr(39)}key{chr(39)}, {key}, {chr(39)}own{chr(39)}, {_own(less, shift)})' for key, (less, _, shift) in zip(_keys(), _cuts()))})"
+    """SQL for an array of (key, own). Of two near lines, one has the key as its own."""
+    home = _keys("home", "true")
+    return f"if(below = home, array({', '.join(home)}), array({', '.join(home + _keys('below', 'false'))}))"
 
 
-def _left_out() -> list[tuple[int, int, int, int]]:
-    """(shorter by, first, second, shift): two segments that are left out, by which a line may agree with one
-    shorter by 0 to EDITS, and how far the segments between them are moved. Edits in the first one move
-    those, the rest follows from the lengths; of two lines of equal length, either finds the other."""
-    out = []
-    for less in range(EDITS + 1):
-        for i in range(FINE):
-            for j in range(i + 1, FINE):
-                shifts = [s for s in range(EDITS + 1) if abs(s) + abs(less - s) <= EDITS]
-                out += [(less, i, j, s) for s in (shifts if j > i + 1 else [0])]  # of neighbours, the two are one window
-    return out
+def _left_out() -> list[tuple[int, int, int]]:
+    """(first, second, shift): two segments that are left out, and how far the segments between them are moved. Edits
+    in both are one each, so that is one place at most (as in ``_keys``); two edits in one leave out a neighbour too."""
+    return [(i, j, s) for i in range(FINE) for j in range(i + 1, FINE) for s in ((0, 1) if j > i + 1 else (0,))]
 
 
 def _fine(left: DataFrame) -> DataFrame:
-    """(id, key, own, ops): the keys of texts x of n code points under ``above``; ops, with the places of the
-    two windows that a key leaves out, says how to come from the line to them."""
-    parts = F.array(*(F.struct(*(F.lit(v).alias(k) for k, v in zip(("less", "i", "j", "shift"), cut))) for cut in _left_out()))
-    each = left.withColumn("_c", F.explode(parts)).select("id", "above", "ops", "x", "n", "_c.*").withColumn("len", F.col("n") - F.col("less"))
-    # the number of segments follows from the shorter line's length, which both lines know
-    each = each.withColumn("p", F.least(F.lit(FINE), F.greatest(F.lit(COARSE), F.expr(f"cast(len div {SEGMENT} as int)")))).where("j < p")
+    """(id, key, own, ops): the keys of texts x under ``above``; ops, with the places of the two windows that a key
+    leaves out, says how to come from the line to them. Code points beyond the base are in the second window."""
+    parts = F.array(*(F.struct(*(F.lit(v).alias(k) for k, v in zip(("i", "j", "shift"), cut))) for cut in _left_out()))
+    each = _measured(left).select("id", "above", "ops", "u", "n", "home", F.explode(F.array_distinct(F.array("home", "below"))).alias("len"))
+    # the number of segments follows from the base, which both lines know
+    each = each.withColumn("p", F.least(F.lit(FINE), F.greatest(F.lit(COARSE), F.expr(f"cast(len div {SEGMENT} as int)"))))
+    each = each.withColumn("_c", F.explode(parts)).select("id", "above", "ops", "u", "n", "home", "len", "p", "_c.*").where("j < p")
 
     def begin(segment: str) -> Column:
         return F.expr(f"cast(1 + (len div p) * {segment} + greatest(0, len % p - (p - {segment})) as int)")
 
     each = each.withColumns({"_si": begin("i"), "_ei": begin("(i + 1)"), "_sj": begin("j"), "_ej": begin("(j + 1)")})
-    key = F.expr("xxhash64(above, len, i, j, substring(x, 1, _si - 1), substring(x, _ei + shift, _sj - _ei), substring(x, _ej + less))")
-    each = each.where("_ej + less - _sj - shift >= 0")  # a window can't be shorter than nothing
-    op = F.expr("named_struct('s', _si, 'z', _ei + shift - _si, 't', _sj + shift, 'y', _ej + less - _sj - shift)")
-    return each.select("id", key.alias("key"), ((F.col("less") == 0) & (F.col("shift") == 0)).alias("own"), F.concat("ops", F.array(op)).alias("ops"))
+    key = F.expr(f"xxhash64(above, len, i, j, {_slice('1', '_si - 1')}, {_slice('_ei + shift', '_sj - _ei')}, {_slice('n - len + _ej', 'len + 1 - _ej')})")
+    op = F.array(F.expr("_si"), F.expr("_ei + shift - _si"), F.expr("_sj + shift"), F.expr("n - len + _ej - _sj - shift"))
+    return each.select("id", key.alias("key"), ((F.col("len") == F.col("home")) & (F.col("shift") == 0)).alias("own"), F.concat("ops", op).alias("ops"))
 
 
-NO_OPS = "cast(array() as array<struct<s:int,z:int,t:int,y:int>>)"
+NO_OPS = "cast(array() as array<int>)"
+
+
+def _applied(ops: Column, start: Column, part) -> Column:
+    """``start`` after each of ``ops`` (start and size of two windows, four numbers each), parts by ``part``."""
+    steps = F.filter(F.transform(ops, lambda o, k: F.when(k % 4 == 0, F.slice(ops, k + 1, F.lit(4)))), lambda o: o.isNotNull())
+    return F.aggregate(steps, start, lambda t, o: F.concat(part(t, o[0], o[1]), part(t, o[2], o[3])))
 
 
 def _windows(x: Column, ops: Column) -> Column:
     """The text that is left of a line after each of ``ops``."""
-    return F.aggregate(ops, x, lambda t, o: F.concat(F.substring(t, o.s, o.z), F.substring(t, o.t, o.y)))
+    return _applied(ops, x, F.substring)
 
 
 def _places(x: Column, ops: Column) -> Column:
     """The places of that text in the line."""
-    return F.aggregate(ops, F.sequence(F.lit(1), F.length(x)), lambda t, o: F.concat(F.slice(t, o.s, o.z), F.slice(t, o.t, o.y)))
+    return _applied(ops, F.sequence(F.lit(1), F.length(x)), F.slice)
 
 
 def _met(keyed: DataFrame) -> DataFrame:
@@ -232,9 +229,8 @@ def _stars(met: DataFrame) -> DataFrame:
 def _levels(lines: DataFrame, fetch, sample: DataFrame | None):
     """The rows (key, own, id) of keys that at most CROWDED lines share, of each level of cutting, and those of
     variants (with n, the lines that share one): pairs of a name and a frame."""
-    lines = lines.withColumn("n", F.length("x"))
-    keys = lambda of: of.select("id", F.explode(F.expr(_posts())).alias("_k")).select("id", "_k.key", "_k.own")
-    some = lines.where(_sampled("id")) if sample is None else sample.withColumn("n", F.length("x"))
+    keys = lambda of: _measured(of).select("id", F.explode(F.expr(_posts())).alias("_k")).select("id", "_k.key", "_k.own")
+    some = lines.where(_sampled("id")) if sample is None else sample
     frequent = materialize(keys(some).groupBy("key").agg(F.count("*").alias("_c")).where(f"_c > {CROWDED}").select("key"))
     # the widest shuffle of the operator: a key, an id and a flag a row
     shared = _kept(_shared(keys(lines), frequent))
@@ -245,7 +241,8 @@ def _levels(lines: DataFrame, fetch, sample: DataFrame | None):
     while not rows.isEmpty():
         left = rows.join(texts, "id").select("id", "above", "ops", F.col("x").alias("_line"), _windows(F.col("x"), F.col("ops")).alias("x"))
         left = left.withColumn("n", F.length("x"))
-        ended = _kept(left.where(f"n <= {SHORT}").select("id", _places(F.col("_line"), F.col("ops")).alias("at")).distinct())
+        # two near texts both end here, or both are cut again: one of about SHORT code points does both
+        ended = _kept(left.where(f"n <= {SHORT + EDITS}").select("id", _places(F.col("_line"), F.col("ops")).alias("at")).distinct())
         if not ended.isEmpty():
             yield "variants", _by_variants(ended, fetch)
         met = _kept(_met(_fine(left.where(f"n > {SHORT}"))))

@@ -246,6 +246,40 @@ def test_links_of_a_group_are_fewer_than_its_lines(spark, monkeypatch, crowded):
     assert components(got) == components(near)
 
 
+def test_few_keys_a_line(spark, monkeypatch):
+    """A line is cut by one base, near the next one by two: four keys for each; crowded, by all but two segments."""
+    r = random.Random(33)
+    lines = ["".join(r.choices("abcdefghij ", k=n)).strip().ljust(32, "x") for n in range(32, 232) for _ in range(2)]
+    lines += ["the beginning of a hundred lines and more" + "".join(r.choices("abcdefghij", k=54)) for _ in range(100)]
+    made = []
+    for name in ("_shared", "_met"):
+        monkeypatch.setattr(line_dedup, name, lambda keyed, *a, f=getattr(line_dedup, name): made.append((keyed.select("id").distinct().count(), keyed.count())) or f(keyed, *a))
+    frame = spark.createDataFrame(list(enumerate(lines)), "id bigint, x string")
+    line_dedup.groups(frame, lambda ids: frame.join(ids, "id", "left_semi"))
+    (n, keys), (crowded, fine) = made[:2]
+    assert n == len(lines) and keys <= 6 * n
+    assert crowded >= 100 and fine <= 20 * crowded
+
+
+@pytest.mark.parametrize("inserted", [0, 1, 2])
+def test_near_lines_whose_windows_end_in_other_rounds(spark, monkeypatch, inserted):
+    """Of two near lines under a crowded key, the windows of one have SHORT code points, those of the other more."""
+    monkeypatch.setattr(line_dedup, "CROWDED", 0)  # every key that two lines share is cut again
+    r = random.Random(34)
+    lines = []
+    for n in range(32, 80):
+        a = "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+        b = list(a)
+        i, j = sorted(r.sample(range(n), 2))
+        b[j:j + 1 - (inserted > 0)] = "0"
+        b[i:i + 1 - (inserted > 1)] = "1"
+        lines += [a, "".join(b)]
+    frame = spark.createDataFrame(list(enumerate(lines)), "id bigint, x string")
+    grouped = line_dedup.groups(frame, lambda ids: frame.join(ids, "id", "left_semi"))
+    got = line_dedup.linked(grouped, frame.withColumn("counts", line_dedup.class_counts(F.col("x")))).collect()
+    assert {(min(p), max(p)) for p in got} == {(k, k + 1) for k in range(0, len(lines), 2)}
+
+
 def removed_by_brute_force(docs):
     every = [((d[0] is not None, d[0] or 0), k, p, x.strip(" ")) for k, d in enumerate(docs) if d[1] is not None for p, x in enumerate(d[1].split("\n")) if len(x.strip(" ")) >= 32]
     every.sort()
