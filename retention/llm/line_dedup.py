@@ -9,7 +9,8 @@ and for the middle one a place further on. Lines that share a key are a group. W
 of two lines from below, and a banded bit-parallel automaton verifies it, unless links found
 before join them already: a group gives fewer links than it has lines, and components are the same.
 
-A key that more than ``CROWDED`` lines share is no group. Its lines are cut again, into
+A key that more than ``CROWDED`` lines share is no group. Its lines meet by their lengths too; if that is
+crowded, they are cut again, into
 up to ``FINE`` segments: two near lines agree in all but two of these, the middle ones moved by a place
 at most. Keys are made of all but two segments, so what is left is two short
 windows. A key that is still crowded has its windows cut again under it, until about ``SHORT`` code
@@ -111,20 +112,20 @@ def _posts() -> str:
     return f"if(below = home, array({', '.join(home)}), array({', '.join(home + _keys('below', 'false'))}))"
 
 
-def _left_out() -> list[tuple[int, int, int]]:
-    """(first, second, shift): two segments that are left out, and how far the segments between them are moved. Edits
+def _left_out(parts: int) -> list[tuple[int, int, int]]:
+    """(first, second, shift): two of so many segments that are left out, and how far the segments between them are moved. Edits
     in both are one each, so that is one place at most (as in ``_keys``); two edits in one leave out a neighbour too."""
-    return [(i, j, s) for i in range(FINE) for j in range(i + 1, FINE) for s in ((0, 1) if j > i + 1 else (0,))]
+    return [(i, j, s) for i in range(parts) for j in range(i + 1, parts) for s in ((0, 1) if j > i + 1 else (0,))]
 
 
 def _fine(left: DataFrame) -> DataFrame:
     """(id, key, own, ops): the keys of texts x under ``above``; ops, with the places of the two windows that a key
     leaves out, says how to come from the line to them. Code points beyond the base are in the second window."""
-    parts = F.array(*(F.struct(*(F.lit(v).alias(k) for k, v in zip(("i", "j", "shift"), cut))) for cut in _left_out()))
+    cuts = F.array(*(F.array(*(F.struct(*(F.lit(v).alias(k) for k, v in zip(("i", "j", "shift"), cut))) for cut in _left_out(p))) for p in range(COARSE, FINE + 1)))
     each = _measured(left).select("id", "above", "ops", "u", "n", "home", F.explode(F.array_distinct(F.array("home", "below"))).alias("len"))
     # the number of segments follows from the base, which both lines know
     each = each.withColumn("p", F.least(F.lit(FINE), F.greatest(F.lit(COARSE), F.expr(f"cast(len div {SEGMENT} as int)"))))
-    each = each.withColumn("_c", F.explode(parts)).select("id", "above", "ops", "u", "n", "home", "len", "p", "_c.*").where("j < p")
+    each = each.withColumn("_c", F.explode(F.get(cuts, F.col("p") - COARSE))).select("id", "above", "ops", "u", "n", "home", "len", "p", "_c.*")
 
     def begin(segment: str) -> Column:
         return F.expr(f"cast(1 + (len div p) * {segment} + greatest(0, len % p - (p - {segment})) as int)")
@@ -162,18 +163,24 @@ def _met(keyed: DataFrame) -> DataFrame:
 
 
 def _shared(keyed: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(key, id, own, n): the rows whose key belongs to two lines or more, one of them with a segment of its
-    own; n counts its rows. The rows of ``frequent`` keys, crowded anyway, are spread instead of counted (key
+    """(key, id, size, own, often, n): the rows whose key belongs to two lines or more, one of them with a segment of
+    its own; n counts its rows. The rows of ``frequent`` keys (``often``), crowded anyway, are spread instead of counted (key
     is then a hash of key and id): no key goes to one task. ``how`` is 1 for own segments, 2 for these."""
     from pyspark.sql import Window
 
     rows = keyed.join(F.broadcast(frequent.withColumn("_often", F.lit(True))), "key", "left")
     how = F.when(F.col("_often"), 2).when(F.col("own"), 1).otherwise(0).cast("tinyint")
-    rows = rows.select(F.when(F.col("_often"), F.xxhash64("key", "id")).otherwise(F.col("key")).alias("key"), "id", how.alias("how"))
+    rows = rows.select(F.when(F.col("_often"), F.xxhash64("key", "id")).otherwise(F.col("key")).alias("key"), "id", "size", how.alias("how"))
     of_key = Window.partitionBy("key")
     seen = rows.withColumns({"n": F.count("*").over(of_key), "_a": F.min("id").over(of_key), "_b": F.max("id").over(of_key), "_own": F.max("how").over(of_key)})
     seen = seen.where("how = 2 or _a != _b and _own > 0")
-    return seen.select("key", "id", (F.col("how") == 1).alias("own"), F.when(F.col("how") < 2, F.col("n")).otherwise(CROWDED + 1).alias("n"))
+    return seen.select("key", "id", "size", (F.col("how") == 1).alias("own"), (F.col("how") == 2).alias("often"), F.when(F.col("how") < 2, F.col("n")).otherwise(CROWDED + 1).alias("n"))
+
+
+def _of_length(crowded: DataFrame) -> DataFrame:
+    """(id, key, own): keys of a base, met by lengths: a line of ``size`` code points meets those up to EDITS shorter."""
+    each = crowded.withColumn("less", F.explode(F.array(*(F.lit(d) for d in range(EDITS + 1)))))
+    return each.select("id", F.expr("xxhash64(key, size - less)").alias("key"), F.expr("own and less = 0").alias("own"))
 
 
 def class_counts(x: Column) -> Column:
@@ -229,23 +236,28 @@ def _stars(met: DataFrame) -> DataFrame:
 def _levels(lines: DataFrame, fetch, sample: DataFrame | None):
     """The rows (key, own, id) of keys that at most CROWDED lines share, of each level of cutting, and those of
     variants (with n, the lines that share one): pairs of a name and a frame."""
-    keys = lambda of: _measured(of).select("id", F.explode(F.expr(_posts())).alias("_k")).select("id", "_k.key", "_k.own")
+    keys = lambda of: _measured(of).select("id", F.col("n").alias("size"), F.explode(F.expr(_posts())).alias("_k")).select("id", "size", "_k.key", "_k.own")
     some = lines.where(_sampled("id")) if sample is None else sample
     frequent = materialize(keys(some).groupBy("key").agg(F.count("*").alias("_c")).where(f"_c > {CROWDED}").select("key"))
-    # the widest shuffle of the operator: a key, an id and a flag a row
+    # the widest shuffle of the operator: a key, an id, a length and a flag a row
     shared = _kept(_shared(keys(lines), frequent))
     yield "keys", shared.where(f"n <= {CROWDED}").select("key", "own", "id")
+    met = _kept(_met(_of_length(shared.where(f"n > {CROWDED} and not often"))))
+    yield "keys", met.where(f"n <= {CROWDED}").select("key", "own", "id")
     # two near lines share a key that isn't crowded, or both have a crowded one
-    texts = _kept(fetch(shared.where(f"n > {CROWDED}").select("id").distinct()).select("id", "x"))
+    crowded = shared.where("often").select("id").unionByName(met.where(f"n > {CROWDED}").select("id")).distinct()
+    texts = _kept(fetch(crowded).select("id", "x"))
+    parts = max(1, int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = texts.select("id", F.lit(0).cast("bigint").alias("above"), F.expr(NO_OPS).alias("ops"))
     while not rows.isEmpty():
         left = rows.join(texts, "id").select("id", "above", "ops", F.col("x").alias("_line"), _windows(F.col("x"), F.col("ops")).alias("x"))
-        left = left.withColumn("n", F.length("x"))
+        # a line has few texts or many: they are dealt one by one, as a text gives many keys
+        left = left.withColumn("n", F.length("x")).repartition(parts, "id", "above", "ops")
         # two near texts both end here, or both are cut again: one of about SHORT code points does both
         ended = _kept(left.where(f"n <= {SHORT + EDITS}").select("id", _places(F.col("_line"), F.col("ops")).alias("at")).distinct())
         if not ended.isEmpty():
             yield "variants", _by_variants(ended, fetch)
-        met = _kept(_met(_fine(left.where(f"n > {SHORT}"))))
+        met = _kept(_met(_kept(_fine(left.where(f"n > {SHORT}")))))
         yield "keys", met.where(f"n <= {CROWDED}").select("key", "own", "id")
         rows = met.where(f"n > {CROWDED}").select("id", F.col("key").alias("above"), "ops").distinct()
 
